@@ -74,7 +74,7 @@ def main() -> int:
     wanted = sys.argv[2:]
     spark = build_session(
         "check", "local[8]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g", "spark.ui.enabled": "false"},
+        **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"},
     )
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(sf_dir)
