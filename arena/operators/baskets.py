@@ -41,7 +41,7 @@ def merge_same_item(rows: DataFrame) -> DataFrame:
     missing = F.col("card_id").isNull()
     key = F.when(missing, F.col("raw_name"))
     return rows.groupBy("deck_id", "card_id", "stat_scope", key.alias("_null_name")).agg(
-        F.when(F.first(missing), F.max("count")).otherwise(F.sum("count")).alias("count"),
+        F.when(F.max(missing), F.max("count")).otherwise(F.sum("count")).alias("count"),
         F.min("raw_name").alias("raw_name"),
     ).select("deck_id", "card_id", "raw_name", "count", "stat_scope")
 
