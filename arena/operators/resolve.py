@@ -342,11 +342,9 @@ def vocab_fill(cards: DataFrame, vocab: DataFrame) -> tuple[DataFrame, DataFrame
         .when(F.col("name_ja").isNull(), "filled").when(F.col("name_ja") == F.col("ja"), "already").otherwise("conflict")
     )
     out = joined.select("card_id", F.coalesce("name_ja", "ja").alias("name_ja"), state.alias("state"))
-    used = joined.filter(F.col("ja").isNotNull()).groupBy(F.col("_en").alias("en"), "cn").agg(F.count(F.lit(1)).alias("cards"))
-    usage = vocab.select("en", "cn", "ja").join(used.withColumnRenamed("cn", "_cn"), "en", "left").filter(
-        F.col("_cn").isNull() | F.col("cn").eqNullSafe(F.col("_cn"))
-    )
-    return out, usage.groupBy("en", "cn").agg(F.coalesce(F.sum("cards"), F.lit(0)).alias("cards"))
+    used = joined.filter(F.col("ja").isNotNull()).groupBy("_en", F.col("cn").alias("_cn")).agg(F.count(F.lit(1)).alias("cards"))
+    usage = vocab.select("en", "cn").join(used, (F.col("en") == F.col("_en")) & F.col("cn").eqNullSafe(F.col("_cn")), "left")
+    return out, usage.select("en", "cn", F.coalesce("cards", F.lit(0)).alias("cards"))
 
 
 def vocab_anchor_check(vocab: DataFrame, names: DataFrame) -> DataFrame:

@@ -1,3 +1,3 @@
 """Registered queries: library operators bound to the driver tables, with their SQL."""
 
-from arena.queries import baskets, metrics, normalise  # noqa: F401
+from arena.queries import baskets, metrics, normalise, resolve  # noqa: F401
