@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from arena.functions.rank import latest_per_key
@@ -160,7 +160,7 @@ def effective_text(cards: DataFrame, overrides: DataFrame, errata: DataFrame, da
     """
     on = F.lit(day).cast("date")
     covers = (F.col("effective_from") <= on) & (F.col("effective_to").isNull() | (on <= F.col("effective_to")))
-    target = overrides.filter(covers & (F.coalesce("target", F.lit("")) != "")).groupBy("card_id").agg(
+    target = overrides.filter(covers & (F.coalesce(F.col("target").cast("string"), F.lit("")) != "")).groupBy("card_id").agg(
         F.max_by("target", F.struct("effective_from", "format")).alias("target")
     )
     notices = errata.filter(F.col("effective_from") <= on).groupBy(F.col("card_id").alias("_rid")).agg(
@@ -208,17 +208,10 @@ def apply_snapshots(current: DataFrame, proposals: DataFrame) -> tuple[DataFrame
     )
     marked = checked.select("snapshot_id", "format", "effective_from", reason.alias("reason"))
     accepted = marked.filter(F.col("reason").isNull()).drop("reason").withColumn("effective_to", F.lit(None).cast("date"))
-    starts = accepted.select("format", F.col("effective_from").alias("_start"))
     both = current.select("snapshot_id", "format", "effective_from", "effective_to").unionByName(accepted)
-    # the next start closes a row; history rows keep the end they had
-    closing = both.filter(F.col("effective_to").isNull()).join(starts, "format", "left").filter(
-        F.col("_start").isNull() | (F.col("_start") > F.col("effective_from"))
-    )
-    nexts = closing.groupBy("snapshot_id").agg(F.min("_start").alias("_next"))
-    history = both.join(nexts, "snapshot_id", "left").select(
-        "snapshot_id", "format", "effective_from",
-        F.coalesce(F.col("effective_to"), F.date_sub("_next", 1)).alias("effective_to"),
-    )
+    # the next start closes an open row; history rows keep the end they had
+    following = F.lead("effective_from").over(Window.partitionBy("format").orderBy("effective_from"))
+    history = both.withColumn("effective_to", F.coalesce(F.col("effective_to"), F.date_sub(following, 1)))
     return history, marked.filter(F.col("reason").isNotNull())
 
 
