@@ -87,9 +87,14 @@ def banned_by(snapshot: Snapshot, names: Column, skills: Column) -> Column:
     return out
 
 
-def with_names(cards: DataFrame, card_groups: DataFrame) -> DataFrame:
-    """Adds ``names``: the card's own name and its (few) name groups."""
-    groups = card_groups.groupBy("card_id").agg(F.collect_set("group_key").alias("_groups"))
+def with_names(cards: DataFrame, card_groups: DataFrame, snapshot: Snapshot) -> DataFrame:
+    """Adds ``names``: the card's own name and those of its name groups the snapshot mentions.
+
+    Only mentioned names can decide anything, so the collected set is bounded by
+    the snapshot, however many groups a card is in.
+    """
+    mentioned = {*snapshot.whitelist, *(name for name, _ in snapshot.banned)}
+    groups = card_groups.filter(F.col("group_key").isin(*sorted(mentioned))).groupBy("card_id").agg(F.collect_set("group_key").alias("_groups"))
     joined = cards.join(groups, "card_id", "left")
     names = F.array_union(F.coalesce("_groups", F.array().cast("array<string>")), F.array("name_full"))
     return joined.withColumn("names", names).drop("_groups")

@@ -101,7 +101,7 @@ def legal_inputs(t: Tables) -> tuple[DataFrame, DataFrame]:
     groups = cat.select("card_id", F.col("species").alias("group_key")).unionByName(
         cat.filter(F.col("num") % 3 == 0).select("card_id", F.col("first_word").alias("group_key"))
     )
-    cards = lg.with_names(cat, groups).withColumn("skills", F.array(F.concat(F.lit("hit "), F.col("size").cast("string"))))
+    cards = lg.with_names(cat, groups, RULES).withColumn("skills", F.array(F.concat(F.lit("hit "), F.col("size").cast("string"))))
     overrides = cat.filter(F.col("num") % 40 == 0).select("card_id", F.lit("G").alias("mark"))
     return cards, overrides
 

@@ -337,13 +337,13 @@ def seeded_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "search_catalogue",
-    f"""WITH {CAT} SELECT card_id, name_full FROM cat WHERE (contains(name_full, 'ring') OR contains(species, 'ring')) AND mark IN ('F','G') AND card_type = 'pokemon' AND set_id IN ('Brand#1','Brand#2','Brand#3','Brand#4')
-  AND NOT basic ORDER BY card_id LIMIT 30 OFFSET 1""",
+    f"""WITH {CAT} SELECT card_id, name_full FROM cat WHERE (contains(name_full, 'ring') OR contains(species, 'ring')) AND mark IN ('F','G') AND card_type = 'pokemon' AND set_id IN ('Brand#1','Brand#2','Brand#3','Brand#4','Brand#5','Brand#6','Brand#7','Brand#8','Brand#9')
+  AND NOT basic ORDER BY card_id LIMIT 30""",
 )
 def search_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = q.search_catalogue(
-        c.catalogue(Tables(spark, sf_dir)), name="ring", marks=["F", "G"], card_type="pokemon", set_ids=["Brand#1", "Brand#2", "Brand#3", "Brand#4"],
-        flags={"is_basic_energy": False}, limit=30, offset=1,
+        c.catalogue(Tables(spark, sf_dir)), name="ring", marks=["F", "G"], card_type="pokemon", set_ids=[f"Brand#{i}" for i in range(1, 10)],
+        flags={"is_basic_energy": False}, limit=30,
     )
     return hits.select("card_id", "name_full")
 

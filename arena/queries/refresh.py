@@ -259,7 +259,7 @@ def new_items_since(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "increment_detect",
-    """WITH f AS (SELECT c_nationkey AS k, count(*) FILTER (c_nationkey <> 7 OR c_custkey % 2 = 0) AS n FROM customer GROUP BY 1), s AS (SELECT c_nationkey AS k, count(*) AS n FROM customer WHERE c_custkey % 20 <> 0 AND c_nationkey <> 9 GROUP BY 1)
+    """WITH f AS (SELECT c_nationkey AS k, count(*) AS n FROM customer WHERE c_nationkey <> 7 OR c_custkey % 2 = 0 GROUP BY 1), s AS (SELECT c_nationkey AS k, count(*) AS n FROM customer WHERE c_custkey % 20 <> 0 AND c_nationkey <> 9 GROUP BY 1)
 SELECT f.k AS set_id, CASE WHEN s.n IS NULL THEN 'new' WHEN f.n > s.n THEN 'grown' ELSE 'shrunk' END AS kind, f.n AS expected, s.n AS current FROM f LEFT JOIN s ON s.k = f.k WHERE s.n IS NULL OR s.n <> f.n""",
 )
 def increment_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
