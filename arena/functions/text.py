@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Sequence
 
@@ -161,18 +162,29 @@ def first_match(text: Column, rules: Sequence[tuple[str, str]]) -> Column:
     return out
 
 
+LITERAL = re.compile(r"[^\\.\[\](){}*+?^$|]+")
+
+
+def any_pattern(text: Column, patterns: Sequence[str]) -> Column:
+    """True when one pattern is found; plain words are searched as bytes, without a regex."""
+    out = F.lit(False)
+    for pattern in sorted(patterns, key=lambda p: LITERAL.fullmatch(p) is None):
+        out = out | (F.contains(text, F.lit(pattern)) if LITERAL.fullmatch(pattern) else text.rlike(pattern))
+    return out
+
+
 def regex_tags(
     text: Column, tags: Sequence[tuple[str, Sequence[str], str | None]], kind: Column | None = None
 ) -> Column:
-    """All tags hit, in vocabulary order: one alternation per tag, one pass over the text.
+    """All tags hit, in vocabulary order, from one pass over the rows.
 
     A tag may be limited to a scope; scope 'pokemon' covers attacks and abilities.
     """
     hits = []
     for tag, patterns, scope in tags:
-        found = text.rlike("|".join(f"(?:{p})" for p in patterns))
+        found = any_pattern(text, patterns)
         if scope is not None and kind is not None:
             kinds = ["attack", "ability"] if scope == "pokemon" else [scope]
-            found = found & kind.isin(*kinds)
+            found = kind.isin(*kinds) & found
         hits.append(F.when(found, F.lit(tag)))
     return F.array_compact(F.array(*hits))

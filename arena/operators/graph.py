@@ -2,24 +2,29 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arena.session import checkpointed
 
 
-def _double(nodes: DataFrame, rounds: int) -> DataFrame:
-    """Pointer doubling on (id, ptr, done): after k rounds a pointer is 2^k steps ahead."""
-    for _ in range(rounds):
+def _double(nodes: DataFrame) -> DataFrame:
+    """Pointer doubling on (id, ptr, done): after k rounds a pointer is 2^k steps ahead.
+
+    Stops when nothing is open, or when a round neither closed a node nor moved
+    pointers onto fewer targets: the open rest then leads into cycles, and its
+    pointers are exactly the nodes on them.
+    """
+    previous = None
+    while True:
+        left = nodes.filter(~F.col("done"))
+        state = left.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("ptr").alias("targets")).first()
+        if state["n"] == 0 or state == previous:
+            return nodes
+        previous = state
         ahead = nodes.select(F.col("id").alias("_id"), F.col("ptr").alias("_ptr"), F.col("done").alias("_done"))
-        open_rows = nodes.filter(~F.col("done")).join(ahead, F.col("ptr") == F.col("_id"))
-        stepped = open_rows.select("id", F.col("_ptr").alias("ptr"), F.col("_done").alias("done"))
+        stepped = left.join(ahead, F.col("ptr") == F.col("_id")).select("id", F.col("_ptr").alias("ptr"), F.col("_done").alias("done"))
         nodes = checkpointed(nodes.filter("done").unionByName(stepped))
-        if nodes.filter(~F.col("done")).isEmpty():
-            break
-    return nodes
 
 
 def chain_roots(parents: DataFrame) -> DataFrame:
@@ -27,19 +32,17 @@ def chain_roots(parents: DataFrame) -> DataFrame:
     ids = parents.select(F.col("id").alias("_pid"))
     linked = parents.join(ids, F.col("parent") == F.col("_pid"), "left").select("id", F.col("_pid").alias("parent"))
     linked = checkpointed(linked)
-    rounds = math.ceil(math.log2(linked.count() + 2)) + 1
     start = linked.select("id", F.coalesce("parent", F.col("id")).alias("ptr"), F.col("parent").isNull().alias("done"))
-    nodes = _double(start, rounds)
+    nodes = _double(start)
     stuck = nodes.filter(~F.col("done"))
     if stuck.isEmpty():
         return nodes.select("id", F.col("ptr").alias("root"))
-    # more steps than nodes were made, so these pointers sit on cycles and cover them
     on_cycle = stuck.select(F.col("ptr").alias("_cycle")).distinct()
     cut = linked.join(on_cycle, F.col("id") == F.col("_cycle"), "left").select(
         "id", F.when(F.col("_cycle").isNull(), F.col("parent")).alias("parent")
     )
     again = cut.select("id", F.coalesce("parent", F.col("id")).alias("ptr"), F.col("parent").isNull().alias("done"))
-    return _double(again, rounds).select("id", F.col("ptr").alias("root"))
+    return _double(again).select("id", F.col("ptr").alias("root"))
 
 
 def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:

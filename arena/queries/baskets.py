@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from arena.functions.parallel import spread
 from arena.operators import baskets as k
 from arena.operators import normalise as n
 from arena.queries.normalise import PAIR_SQL, raw_pairings
@@ -271,7 +272,7 @@ def delimited_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = F.concat_ws("_", part, F.col("l_quantity").cast("int").cast("string"), F.lit("1"))
     second = F.concat_ws("_", F.concat(F.lit("s"), F.col("l_suppkey").cast("string")), F.when(line == "2", "x").otherwise(line), F.lit("0"))
     value = F.concat_ws("-", first, second, F.lit(""), F.lit("junk"))
-    lines = Tables(spark, sf_dir).lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    lines = spread(Tables(spark, sf_dir).lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"))
     groups = lines.select(F.col("l_orderkey").alias("deck_id"), F.concat(F.lit("g"), line).alias("group"), value.alias("value"))
     suffix = F.concat(F.lit("(S"), line, F.lit(" 0"), part, F.lit("/300)"))
     # the name table of a page knows only some ids, and one name per id

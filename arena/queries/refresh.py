@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arena.functions import vocab as v
+from arena.functions.parallel import spread
 from arena.operators import legality as lg
 from arena.operators import pages as p
 from arena.plans import metrics as m
@@ -223,7 +224,7 @@ def late_refresh_window(spark: SparkSession, sf_dir: str) -> DataFrame:
   CASE WHEN page_id % 9 <> 0 AND page_id % 5 = 0 THEN 'notice ' || page_id END AS added FROM pages""",
 )
 def page_change_monitor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages, key = Tables(spark, sf_dir).pages.select("page_id", "html"), F.col("page_id")
+    pages, key = spread(Tables(spark, sf_dir).pages.select("page_id", "html")), F.col("page_id")
     insert = lambda text: F.replace(F.col("html"), F.lit("<article><h1>"), F.concat(F.lit("<article>"), text, F.lit("<h1>")))
     changed = insert(F.concat(F.lit("<p>notice "), key.cast("string"), F.lit("</p>")))
     title = F.regexp_extract("html", r"(?s)<article>(<h1>.*?</h1>)", 1)
