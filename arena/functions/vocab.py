@@ -133,6 +133,14 @@ STAGES: dict[str, str] = {
     "V-UNION": "V-UNION",
     "VSTAR": "VSTAR",
 }
+ERAS: dict[str, str] = {
+    "Sun & Moon": "太阳&月亮",
+    "Sword & Shield": "剑&盾",
+    "Scarlet & Violet": "朱&紫",
+    "Promo": "特典",
+    "30th": "特典",
+}
+UNKNOWN_ERA = "未划分"
 OWNERS = ["火箭队", "莉莉艾", "竹兰", "玛俐", "N"]
 RULE_SUFFIXES = ["GX", "◇", "ex", "V-UNION", "VMAX", "VSTAR", "V"]
 

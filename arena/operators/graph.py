@@ -57,7 +57,7 @@ def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     while True:
         # large star: every larger neighbour of u hangs on the least of u and its neighbours
         around = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = around.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        least = around.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
         large = around.join(least, "u").filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         # small star: u and its smaller neighbours hang on the least of them
         large = large.filter(F.col("u") != F.col("v")).distinct()

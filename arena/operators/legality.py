@@ -73,6 +73,26 @@ class Snapshot:
     banned: tuple[tuple[str, str | None], ...] = ()
 
 
+def load_snapshot(snapshots: DataFrame, fmt: str, day: date) -> tuple[Snapshot, DataFrame]:
+    """(rules, mark overrides) of the newest snapshot covering the day; LookupError without one.
+
+    A snapshot row is configuration, so reading one row on the driver is bounded.
+    """
+    on = F.lit(day).cast("date")
+    covering = snapshots.filter(
+        (F.col("format") == fmt) & (F.col("effective_from") <= on) & (F.col("effective_to").isNull() | (on <= F.col("effective_to")))
+    )
+    row = covering.orderBy(F.col("effective_from").desc(), "snapshot_id").first()
+    if row is None:
+        raise LookupError(f"no {fmt} snapshot covers {day}")
+    rules = Snapshot(
+        row["snapshot_id"], tuple(row["allowed_marks"]), tuple(row["allowed_energies"]), tuple(w["name_full"] for w in row["whitelist"]),
+        tuple((b["name"], b["ability_or_attack"]) for b in row["banned"]),
+    )
+    overrides = covering.filter(F.col("snapshot_id") == row["snapshot_id"]).select(F.explode("mark_overrides").alias("o")).select("o.card_id", "o.mark")
+    return rules, overrides
+
+
 def _strings(values: Sequence[str]) -> Column:
     return F.array(*[F.lit(v) for v in values]).cast("array<string>")
 

@@ -181,6 +181,23 @@ def normalise_cards(
     return cards, rejects
 
 
+def normalise_sets(products: DataFrame, marks: DataFrame) -> DataFrame:
+    """Set rows. A placeholder year is no release date; an unknown series is questioned.
+
+    ``products``: set_id, name, series, release_text, cards_num; ``marks``: the
+    mark summary per set.
+    """
+    day = x.text_date(F.col("release_text"))
+    era = lookup(F.col("series"), v.ERAS)
+    joined = products.join(marks.select("set_id", "marks", F.col("question").alias("_several")), "set_id", "left")
+    questions = F.array_compact(F.array(F.when(era.isNull(), "series"), F.when(F.col("_several"), "regulation_mark")))
+    return joined.select(
+        "set_id", F.col("name").alias("name_zh"), F.coalesce(era, F.lit(v.UNKNOWN_ERA)).alias("era"),
+        F.when(F.year(day) > 1, day).alias("release_date"), F.coalesce("marks", F.lit("")).alias("regulation_mark"),
+        F.col("cards_num").alias("expected_count"), questions.alias("questions"),
+    )
+
+
 def classify_first_match(
     name: Column, players: Column, tiers: Sequence[tuple[str, str]], rejects: Sequence[tuple[str, str]], min_players: int
 ) -> Column:

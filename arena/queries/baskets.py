@@ -130,7 +130,7 @@ def topcut_from_ingested(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     cuts = n.lookup_table(spark, list(CUTS.items()), "tier string, cut_limit int")
     kept, _ = k.rank_cut(tier_entries(t), "tier", cuts)
-    full = b.deck_status(line_items(t)).filter(F.col("mapping_status") == "full").select("deck_id")
+    full = k.mapping_status(line_items(t)).filter(F.col("mapping_status") == "full").select("deck_id")
     return kept.join(full, "deck_id", "left_semi").groupBy("tournament_id").agg(F.count(F.lit(1)).alias("slots"))
 
 

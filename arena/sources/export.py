@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from arena.sources.tables import Star
 
-MAX_ROWS_PER_FILE = 1_000_000  # keeps every part file small enough to checksum in one task
+MAX_ROWS_PER_FILE = 200_000  # keeps every part file small enough to checksum in one task
 
 
 def next_data_version(current: str | None, today: date) -> str:

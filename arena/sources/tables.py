@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arena.functions.rank import quantile_splits, split_rank
+from arena.operators.baskets import mapping_status
 
 
 @dataclass(frozen=True)
@@ -126,20 +127,6 @@ def basket_lines(t: Tables) -> DataFrame:
     )
 
 
-def deck_status(deck_cards: DataFrame) -> DataFrame:
-    """mapped_ratio by copies and the full / partial / unmapped status of each basket."""
-    ratio = F.col("mapped") / F.nullif(F.col("total"), F.lit(0))
-    status = F.when(ratio >= 0.95, "full").when(ratio > 0, "partial").otherwise("unmapped")
-    return (
-        deck_cards.groupBy("deck_id")
-        .agg(
-            F.sum("count").alias("total"),
-            F.sum(F.when(F.col("card_id").isNotNull(), F.col("count")).otherwise(0)).alias("mapped"),
-        )
-        .select("deck_id", "total", "mapped", ratio.alias("mapped_ratio"), status.alias("mapping_status"))
-    )
-
-
 def records(t: Tables) -> DataFrame:
     flag = F.col("l_returnflag")
     return t.lineitem.groupBy(F.col("l_orderkey").alias("deck_id")).agg(
@@ -176,4 +163,4 @@ def appearances(t: Tables) -> DataFrame:
 def basket_star(t: Tables) -> Star:
     """The driver tables as a star; item groups are already carried by the basket rows."""
     cards = basket_lines(t)
-    return Star(tournaments(t), deck_status(cards), appearances(t), cards)
+    return Star(tournaments(t), mapping_status(cards), appearances(t), cards)
