@@ -34,11 +34,19 @@ def test_split_rank_equals_sorting(skewed, desc):
 def test_split_rank_keeps_hot_keys_apart(skewed):
     _, df = skewed
     splits = rk.quantile_splits(df, "v")
-    bucket = F.size(F.filter(F.array(*[F.lit(s) for s in splits]), lambda s: s < F.col("v")))
-    largest = df.filter("k = 'hot'").groupBy(bucket).count().agg(F.max("count")).first()[0]
+    ranged = rk.with_range(df.filter("k = 'hot'"), F.col("v"), splits, "r")
+    largest = ranged.groupBy("r").count().agg(F.max("count")).first()[0]
     assert largest < 2000 / 4
 
 
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 10, 17])
+def test_range_of_counts_the_splits_below(spark, n):
+    splits = [float(10 * i) for i in range(n)]
+    df = spark.createDataFrame([(float(v),) for v in range(-5, 200, 5)], "v double")
+    for row in rk.with_range(df, F.col("v"), splits, "r").collect():
+        assert row["r"] == sum(s < row["v"] for s in splits)
+
+
 def test_split_rank_without_keys_is_global(skewed):
     rows, df = skewed
     out = rk.split_rank(df, [], "v", splits=rk.quantile_splits(df, "v"), tie=["id"])
