@@ -117,9 +117,14 @@ def entry_shares(star: Star, comps: DataFrame) -> DataFrame:
     )
 
 
-def group_items(star: Star, scope: tuple[str, ...]) -> DataFrame:
-    """(deck, group) with the copies carried, for items in scope."""
-    items = star.deck_cards.filter(F.col("stat_scope").isin(*scope))
+def group_items(star: Star, scope: tuple[str, ...], entries: DataFrame) -> DataFrame:
+    """(deck, group) with the copies carried, for items in scope of the decks in ``entries``.
+
+    The semi join drops the baskets outside the window before anything is
+    aggregated, and its partitioning by deck serves the aggregate and the join
+    with the entries after it.
+    """
+    items = star.deck_cards.filter(F.col("stat_scope").isin(*scope)).join(entries.select("deck_id"), "deck_id", "left_semi")
     if star.card_groups is not None:
         items = items.join(star.card_groups.select("card_id", "group_key"), "card_id")
     return (
@@ -141,9 +146,8 @@ def stat_facts(star: Star) -> DataFrame:
 def carries(star: Star, p: MetricParams, comps: DataFrame) -> DataFrame:
     """One row per (group, entry): share carried once, or once per copy."""
     factor = F.col("copies") if p.usage_basis == "copies" else F.lit(1.0)
-    return (
-        group_items(star, p.scope).join(entry_shares(star, comps), "deck_id").withColumn("carry", factor * F.col("share"))
-    )
+    shares = entry_shares(star, comps)
+    return group_items(star, p.scope, shares).join(shares, "deck_id").withColumn("carry", factor * F.col("share"))
 
 
 def _scalar(df: DataFrame, expr: Column) -> Column:
@@ -166,7 +170,7 @@ def win_rate_records(star: Star, p: MetricParams) -> DataFrame:
     """WR layer A: games won, ties at half, over entries that carry a record."""
     comps = eligible(star, p)
     app = full_entries(star, comps).filter(F.col("record_wins").isNotNull())
-    agg = group_items(star, p.scope).join(app, "deck_id").groupBy("group_key").agg(
+    agg = group_items(star, p.scope, app).join(app, "deck_id").groupBy("group_key").agg(
         F.sum("record_wins").alias("w"), F.sum("record_losses").alias("l"), F.sum("record_ties").alias("t")
     )
     games = F.col("w") + F.col("l") + F.col("t")

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from arena.functions.rank import quantile_splits, split_rank
 from arena.operators.baskets import mapping_status
@@ -33,11 +34,18 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._schemas: dict[str, StructType] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
+        """A fresh scan each time; the schema is read from the files once."""
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        path = f"{self.sf_dir}/{name}.parquet"
+        if name in self._schemas:
+            return self.spark.read.schema(self._schemas[name]).parquet(path)
+        table = self.spark.read.parquet(path)
+        self._schemas[name] = table.schema
+        return table
 
 
 def day_text(col: Column | str) -> Column:
