@@ -175,3 +175,73 @@ LIMIT_BY_RULE_BOX: dict[str, int] = {"prism_star": 1, "radiant": 1, "v_union": 1
 SAME_NAME_BASES = ["博士的研究", "老大的指令"]
 UNION_POSITIONS = ["左上", "右上", "左下", "右下"]
 TOPCUT_SIZES = [4, 8, 16, 32]
+
+# Composition of Japanese item names from English ones, and set code overrides.
+JA_PREFIXES: dict[str, str] = {
+    "Team Rocket's": "ロケット団の",
+    "Shadow Rider": "こくば",
+    "Ice Rider": "はくば",
+    "Rapid Strike": "れんげき",
+    "Single Strike": "いちげき",
+    "Fusion Strike": "フュージョン",
+    "Origin Forme": "オリジン",
+    "Ultra": "ウルトラ",
+    "Surfing": "なみのり",
+    "Flying": "そらをとぶ",
+    "Shining": "ひかる",
+    "Alolan": "アローラ ",
+    "Galarian": "ガラル ",
+    "Hisuian": "ヒスイ ",
+    "Paldean": "パルデア ",
+    "Radiant": "かがやく",
+    "Mega": "メガ",
+    "Black": "ブラック",
+    "White": "ホワイト",
+    "Mow": "カット",
+    "Heat": "ヒート",
+    "Wash": "ウォッシュ",
+    "Fan": "スピン",
+    "Frost": "フロスト",
+}
+JA_MODIFIERS: dict[str, str] = {
+    "Hearthflame Mask": "かまどのめん",
+    "Cornerstone Mask": "いしずえのめん",
+    "Wellspring Mask": "いどのめん",
+    "Teal Mask": "みどりのめん",
+    "Bloodmoon": "アカツキ",
+}
+JA_OWNERS: dict[str, str] = {
+    "N": "N",
+    "Ethan": "ヒビキ",
+    "Hop": "ホップ",
+    "Cynthia": "シロナ",
+    "Iono": "ナンジャモ",
+    "Arven": "ペパー",
+    "Marnie": "マリィ",
+    "Misty": "カスミ",
+    "Steven": "ダイゴ",
+    "Lillie": "リーリエ",
+    "Lance": "ワタル",
+}
+JA_SUFFIXES: dict[str, str] = {
+    " Prism Star": "◇",
+    " V-UNION": "V-UNION",
+    " VMAX": "VMAX",
+    " VSTAR": "VSTAR",
+    "-GX": "GX",
+    "-EX": "EX",
+    " ex": "ex",
+    " V": "V",
+}
+JA_BASIC_ENERGIES: dict[str, str] = {
+    "Grass Energy": "基本草エネルギー",
+    "Fire Energy": "基本炎エネルギー",
+    "Water Energy": "基本水エネルギー",
+    "Lightning Energy": "基本雷エネルギー",
+    "Psychic Energy": "基本超エネルギー",
+    "Fighting Energy": "基本闘エネルギー",
+    "Darkness Energy": "基本悪エネルギー",
+    "Metal Energy": "基本鋼エネルギー",
+    "Fairy Energy": "基本フェアリーエネルギー",
+}
+SET_OVERRIDES: list[tuple[str, str]] = [("SMP", "smp"), ("SP", "swshp"), ("SVP", "svp"), ("Energy", "sve"), ("SVE", "sve")]

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from arena.functions import text as x
+from arena.functions import vocab as v
 from arena.functions.rank import earliest_per_key
 from arena.sources.tables import lookup
 
@@ -226,6 +227,9 @@ class NameRules:
     joiner: str = "&"
 
 
+JAPANESE_NAMES = NameRules(v.JA_PREFIXES, v.JA_SUFFIXES, v.JA_MODIFIERS, v.JA_OWNERS, v.JA_BASIC_ENERGIES)
+
+
 def _longest_first(words: dict[str, str]) -> list[tuple[str, str]]:
     return sorted(words.items(), key=lambda w: -len(w[0]))
 

@@ -187,7 +187,7 @@ EVENT_SCHEMA = "event_id long, user_id long, event_type string"
 def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, target, checkpoint = (scratch_dir(spark, n) for n in ("files", "store", "progress"))
     events = Tables(spark, sf_dir).events.select("event_id", "user_id", "event_type")
-    run = lambda: r.ingest_files(spark, source, target, checkpoint, EVENT_SCHEMA, "event_id")
+    run = lambda: r.ingest_files(spark, source, target, checkpoint, EVENT_SCHEMA, "event_id", partition="event_type")
     events.filter(F.col("event_id") % 2 == 0).write.mode("append").parquet(source)
     run()
     # the second delivery repeats a third of the first; a rerun without new files adds nothing

@@ -23,18 +23,29 @@ def stored_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], f"{schema}, {BATCH} long")
 
 
-def ingest_files(spark: SparkSession, source: str, target: str, checkpoint: str, schema: str, key: str) -> None:
+def ingest_files(
+    spark: SparkSession, source: str, target: str, checkpoint: str, schema: str, key: str, partition: str | None = None
+) -> None:
     """Appends rows of new files whose key is not stored yet; rerunning adds nothing.
 
     Each micro-batch owns one ``batch_id`` folder and overwrites it, so a batch
-    replayed after a failure leaves the same rows.
+    replayed after a failure leaves the same rows. With ``partition`` (a column
+    the key determines, such as its day) a batch reads only the stored
+    partitions it touches, so its cost does not grow with the store.
     """
 
     def append(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        known = stored_rows(session, target, schema).filter(F.col(BATCH) != batch_id).select(key)
-        fresh = batch.dropDuplicates([key]).join(known, key, "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{target}/{BATCH}={batch_id}")
+        known = stored_rows(session, target, schema).filter(F.col(BATCH) != batch_id)
+        on = [key]
+        if partition is not None:
+            on.append(partition)
+            known = known.join(batch.select(partition).distinct(), partition, "left_semi")
+        fresh = batch.dropDuplicates([key]).join(known.select(*on), on, "left_anti")
+        writer = fresh.write.mode("overwrite")
+        if partition is not None:
+            writer = writer.partitionBy(partition)
+        writer.parquet(f"{target}/{BATCH}={batch_id}")
 
     stream = spark.readStream.schema(schema).parquet(source)
     job = stream.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

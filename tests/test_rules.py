@@ -278,3 +278,27 @@ def test_name_chain_rules(spark):
         "Boss's Orders (Ghetsis)": ("A-2", "ptcd+paren_strip+env+latest"), "Boss's Orders": ("A-1", "ptcd+latest"),
         "Basic Psychic Energy": ("A-3", "ptcd+basic_energy_alias+unique"), "Nothing": (None, "unmapped"),
     }
+
+
+@pytest.mark.parametrize("name, dex, want", [
+    ("Mega Lopunny & Jigglypuff-GX", [39, 428], "メガミミロップ&プリンGX"), ("Bloodmoon Ursaluna ex", [901], "ガチグマ アカツキex"),
+    ("Alolan Exeggutor", [103], "アローラ ナッシー"), ("N's Zoroark ex", [571], "Nのゾロアークex"), ("Team Rocket's Zoroark", [571], "ロケット団のゾロアーク"),
+    ("Nobody's Zoroark", [571], None), ("Grass Energy", [], "基本草エネルギー"), ("Exeggutor", [], "ナッシー"), ("Exeggutor", [571], None),
+    ("Lopunny & Jigglypuff", [], None),
+])
+def test_composed_names(spark, name, dex, want):
+    species = spark.createDataFrame(
+        [(39, "Jigglypuff", "プリン"), (103, "Exeggutor", "ナッシー"), (428, "Lopunny", "ミミロップ"), (571, "Zoroark", "ゾロアーク"), (901, "Ursaluna", "ガチグマ")],
+        "dex long, name string, translated string",
+    )
+    cards = spark.createDataFrame([("c", name, dex)], "card_id string, name string, dex_ids array<long>")
+    assert r.compose_names(cards, species, r.JAPANESE_NAMES).first()["translated"] == want
+
+
+def test_partitioned_ingest(spark, tmp_path):
+    source, target, progress = (str(tmp_path / d) for d in ("in", "out", "progress"))
+    schema = "id long, day string"
+    for rows in ([(1, "a"), (2, "b")], [(2, "b"), (3, "b"), (4, "c")]):
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(source)
+        rf.ingest_files(spark, source, target, progress, schema, "id", partition="day")
+    assert sorted(row["id"] for row in rf.stored_rows(spark, target, schema).collect()) == [1, 2, 3, 4]
