@@ -91,15 +91,15 @@ def eligible(star: Star, p: MetricParams) -> DataFrame:
     return df.withColumn("w_t", F.col("static_weight") * F.pow(F.lit(0.5), age / HALF_LIFE_DAYS))
 
 
+def played_entries(star: Star, comps: DataFrame) -> DataFrame:
+    return star.appearances.join(comps.select("tournament_id"), "tournament_id", "left_semi")
+
+
 def full_entries(star: Star, comps: DataFrame) -> DataFrame:
     """Entries of the given competitions whose basket is fully mapped, with entry weight."""
     full = star.decks.filter(F.col("mapping_status") == "full").select("deck_id")
     weight = F.when(F.col("points") > 0, F.col("points")).otherwise(F.lit(1.0) / F.col("rank"))
-    return (
-        star.appearances.join(comps.select("tournament_id"), "tournament_id", "left_semi")
-        .join(full, "deck_id", "left_semi")
-        .withColumn("w_d", weight)
-    )
+    return played_entries(star, comps).join(full, "deck_id", "left_semi").withColumn("w_d", weight)
 
 
 def entry_shares(star: Star, comps: DataFrame) -> DataFrame:
@@ -146,8 +146,8 @@ def stat_facts(star: Star) -> DataFrame:
 def carries(star: Star, p: MetricParams, comps: DataFrame) -> DataFrame:
     """One row per (group, entry): share carried once, or once per copy."""
     factor = F.col("copies") if p.usage_basis == "copies" else F.lit(1.0)
-    shares = entry_shares(star, comps)
-    return group_items(star, p.scope, shares).join(shares, "deck_id").withColumn("carry", factor * F.col("share"))
+    items = group_items(star, p.scope, played_entries(star, comps))
+    return items.join(entry_shares(star, comps), "deck_id").withColumn("carry", factor * F.col("share"))
 
 
 def _scalar(df: DataFrame, expr: Column) -> Column:
@@ -170,7 +170,7 @@ def win_rate_records(star: Star, p: MetricParams) -> DataFrame:
     """WR layer A: games won, ties at half, over entries that carry a record."""
     comps = eligible(star, p)
     app = full_entries(star, comps).filter(F.col("record_wins").isNotNull())
-    agg = group_items(star, p.scope, app).join(app, "deck_id").groupBy("group_key").agg(
+    agg = group_items(star, p.scope, played_entries(star, comps)).join(app, "deck_id").groupBy("group_key").agg(
         F.sum("record_wins").alias("w"), F.sum("record_losses").alias("l"), F.sum("record_ties").alias("t")
     )
     games = F.col("w") + F.col("l") + F.col("t")
