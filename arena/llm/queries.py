@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arena.llm.common import table
+from arena.llm.chat_turns import canonical_turns, formatted, loss_text, records_of, turns_back
+from arena.llm.common import computed, table
 from arena.llm.quality_rules import STOP_WORDS, judged
+from arena.llm.url_rules import WORD_RULES, judge_urls, site_rule
 from arena.registry import query
 
 _SPACE = r"[\x20\x09-\x0D]+"
@@ -48,3 +50,70 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         m.n_symbols.alias("n_symbols"), m.lines.dup.alias("n_dup_lines"), m.n_repeat_words.alias("n_repeat_words"),
         base.alias("base_failed"), (F.col("kept") & ~base).alias("kept"),
     )
+
+
+SITE_RULES = (
+    site_rule("block", "net", "/"),
+    site_rule("allow", "example.net", "/en/"),
+    site_rule("block", "example.com", "/de/"),
+    site_rule("allow", "org", "/fr/"),
+)
+
+
+@query(
+    "op4_url_rules",
+    r"""
+    WITH p AS (SELECT page_id, coalesce(url, '') AS u FROM pages),
+    s AS (SELECT page_id, CASE WHEN instr(u, '://') > 0 THEN substr(u, instr(u, '://') + 3) ELSE '' END AS rest FROM p),
+    h AS (SELECT page_id, regexp_extract(rest, '^[^/?#]*') AS raw, rest FROM s),
+    k AS (SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                 regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path FROM h),
+    r(host, path, action) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'),
+                                     ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+    f AS (SELECT k.page_id, arg_max(r.host || r.path, length(r.host || r.path)) AS rule,
+                 arg_max(r.action, length(r.host || r.path)) AS action
+          FROM k JOIN r ON (k.host = r.host OR k.host LIKE '%.' || r.host) AND starts_with(k.path, r.path) GROUP BY 1)
+    SELECT k.page_id, host, path, f.rule,
+           coalesce(f.action, CASE WHEN regexp_matches(host || path,
+               '(?i)(^|[^a-z0-9])(casino|porn|xxx|torrent|escort|viagra|betting|warez)([^a-z0-9]|$)')
+               THEN 'block' ELSE 'allow' END) AS verdict
+    FROM k LEFT JOIN f ON f.page_id = k.page_id
+    """,
+)
+def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return judge_urls(pages, SITE_RULES + WORD_RULES, keep=("page_id",))
+
+
+@query(
+    "op7_schema_turns",
+    r"""
+    WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+               UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+    e AS (SELECT *, 23 + length(role) + length(text)
+                 + len(regexp_extract_all(text, '\\')) + len(regexp_extract_all(role, '\\'))
+                 + len(regexp_extract_all(text, '<\||</?s>|\[/?INST\]')) + len(regexp_extract_all(role, '<\||</?s>|\[/?INST\]')) AS n
+          FROM t)
+    SELECT conv_id, count(*)::BIGINT AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+           coalesce(sum(CASE WHEN role = 'assistant' THEN length(text) END), 0)::BIGINT AS loss_chars,
+           sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '')) AS loss_sha256,
+           sum(n)::BIGINT AS formatted_chars
+    FROM e GROUP BY conv_id
+    """,
+)
+def op7_schema_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    probe = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    turns = canonical_turns(records_of(rows.unionByName(probe)), keep=("conv_id",))
+    back = computed(
+        formatted(turns),
+        F.struct(turns_back(F.col("formatted")).alias("turns"), loss_text(F.col("formatted"), F.col("loss")).alias("loss")), "b",
+    )
+    read = F.array_join(F.transform("b.turns", lambda x: F.concat(x.role, F.lit("\n"), x.text, F.lit("\n"))), "")
+    return back.select(
+        "conv_id", F.size("b.turns").cast("long").alias("n_turns"), F.sha2(read, 256).alias("turns_sha256"),
+        F.length("b.loss").cast("long").alias("loss_chars"), F.sha2("b.loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
