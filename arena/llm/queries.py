@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from arena.llm.chat_turns import canonical_turns, formatted, loss_text, records_of, turns_back
 from arena.llm.common import computed, table
 from arena.llm.quality_rules import STOP_WORDS, judged
+from arena.llm.split_mix import mix
 from arena.llm.url_rules import WORD_RULES, judge_urls, site_rule
 from arena.registry import query
 
@@ -117,3 +118,15 @@ def op7_schema_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("b.loss").cast("long").alias("loss_chars"), F.sha2("b.loss", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+@query("op5_split_tree_mix")
+def op5_split_tree_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    plan = mix(docs, weights=(5, 2, 1))
+    taken = plan.draws.groupBy("sid", "begin").agg(F.sum("length").alias("taken"))
+    sized = plan.rows.join(taken, ["sid", "begin"], "left")
+    return sized.select(
+        F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target",
+        F.when(F.col("size") > 0, F.coalesce("taken", F.lit(0))).otherwise(0).cast("long").alias("taken"),
+    )
