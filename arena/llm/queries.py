@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +10,7 @@ from arena.llm.chat_turns import canonical_turns, formatted, loss_text, records_
 from arena.llm.common import computed, table
 from arena.llm.quality_rules import STOP_WORDS, judged
 from arena.llm.split_mix import mix
+from arena.llm.tier_packing import pack_documents
 from arena.llm.url_rules import WORD_RULES, judge_urls, site_rule
 from arena.registry import query
 
@@ -130,3 +132,12 @@ def op5_split_tree_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target",
         F.when(F.col("size") > 0, F.coalesce("taken", F.lit(0))).otherwise(0).cast("long").alias("taken"),
     )
+
+
+@query("op2_tier_packing")
+def op2_tier_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    pieces = pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "context", "step_group"
+    )
