@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from arena.llm.chat_turns import canonical_turns, formatted, loss_text, records_of, turns_back
 from arena.llm.common import computed, table
+from arena.llm.metric_join import join_vectors
 from arena.llm.quality_rules import STOP_WORDS, judged
 from arena.llm.split_mix import mix
 from arena.llm.tier_packing import pack_documents
@@ -141,3 +142,8 @@ def op2_tier_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "context", "step_group"
     )
+
+
+@query("op6_metric_range_join")
+def op6_metric_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return join_vectors(table(spark, sf_dir, "embeddings"), threshold=0.93)
