@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from arena.llm.chat_turns import canonical_turns, formatted, loss_text, records_of, turns_back
 from arena.llm.common import computed, table
 from arena.llm.metric_join import join_vectors
+from arena.llm.pu_quality import fit_scorer, held_out, score_texts
 from arena.llm.quality_rules import STOP_WORDS, judged
 from arena.llm.split_mix import mix
 from arena.llm.tier_packing import pack_documents
@@ -147,3 +148,14 @@ def op2_tier_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_metric_range_join")
 def op6_metric_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join_vectors(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
+@query("op9_pu_quality")
+def op9_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").filter(~held_out(F.col("doc_id")))
+    web = docs.select("doc_id").filter(~held_out(F.col("doc_id")))
+    scorer = fit_scorer(docs, labels.filter("quality = 1"), web)
+    return score_texts(docs, scorer).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
