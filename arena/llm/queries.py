@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arena.llm.chat_turns import canonical_turns, formatted, loss_text, records_of, turns_back
-from arena.llm.common import computed, table
+from arena.llm.common import computed, stored, table
+from arena.llm.merkle_audit import audit, warc_body, with_offsets
 from arena.llm.metric_join import join_vectors
 from arena.llm.pu_quality import fit_scorer, held_out, score_texts
 from arena.llm.quality_rules import STOP_WORDS, judged
@@ -159,3 +160,37 @@ def op9_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(docs, scorer).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
     )
+
+
+@query(
+    "op1_merkle_audit",
+    """
+    WITH r AS (SELECT page_id, (page_id // 1000)::VARCHAR AS archive, substr(md5(page_id::VARCHAR), 1, 2) AS luck,
+                      strlen('WARC/1.0' || 'WARC-Type: response' || 'WARC-Target-URI: ' || coalesce(url, '') || 'Content-Length: '
+                             || strlen(coalesce(html, ''))::VARCHAR || coalesce(html, '')) + 14 AS length FROM pages),
+    o AS (SELECT *, coalesce(sum(length) OVER (PARTITION BY archive ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT
+                 AS "offset" FROM r)
+    SELECT archive, "offset", length::BIGINT AS length, (length + CASE WHEN luck IN ('02', '12') THEN 3 ELSE 0 END)::BIGINT AS copy_length,
+           'changed' AS problem, "offset" // 65536 AS leaf FROM o WHERE luck IN ('00', '10', '02', '12')
+    UNION ALL
+    SELECT archive, "offset", length::BIGINT, NULL, 'missing', "offset" // 65536 FROM o WHERE luck IN ('01', '11')
+    UNION ALL
+    SELECT archive, "offset" + 1, NULL, length::BIGINT, 'extra', ("offset" + 1) // 65536 FROM o WHERE luck IN ('03', '13')
+    """,
+)
+def op1_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audits the pages as archives of 1000 against a copy that has altered, lost, lengthened and added records."""
+    luck = F.substring(F.md5(F.col("page_id").cast("string").cast("binary")), 1, 2)
+    body = warc_body(F.col("url"), F.col("html"))
+    altered = F.when(luck.isin("00", "10"), F.concat(F.lit("X").cast("binary"), F.substring(body, 2, 2**31 - 1)))
+    altered = altered.when(luck.isin("02", "12"), F.concat(body, F.lit("\x00\r\n").cast("binary"))).otherwise(body)
+    read = table(spark, sf_dir, "pages").select(
+        F.floor(F.col("page_id") / 1000).cast("string").alias("archive"), "page_id", luck.alias("luck"),
+        F.octet_length(body).cast("long").alias("length"), F.sha2(body, 256).alias("digest"),
+        F.octet_length(altered).cast("long").alias("copy_length"), F.sha2(altered, 256).alias("copy_digest"),
+    )
+    index = stored(with_offsets(read, "archive", "page_id", "length"), "warc-index")
+    theirs = index.select("archive", "offset", F.col("copy_length").alias("length"), F.col("copy_digest").alias("digest"), "luck")
+    added = theirs.filter(F.col("luck").isin("03", "13")).withColumn("offset", F.col("offset") + 1)
+    copy = theirs.filter(~F.col("luck").isin("01", "11")).unionByName(added).drop("luck")
+    return audit(index.select("archive", "offset", "length", "digest"), copy)
