@@ -60,13 +60,12 @@ class WordIds:
         try:
             return b"".join([self.known[w] for w in words])
         except KeyError:
-            self.learn({w for w in words if w not in self.known})
+            if len(self.known) > CACHE_WORDS:
+                self.known = {}
+            self.learn(sorted({w for w in words if w not in self.known}))
             return b"".join([self.known[w] for w in words])
 
-    def learn(self, words: set[bytes]) -> None:
-        if len(self.known) + len(words) > CACHE_WORDS:
-            self.known = {w: self.known[w] for w in words & self.known.keys()}
-        new = sorted(words - self.known.keys())
+    def learn(self, new: list[bytes]) -> None:
         odd = [w for w in new if _SEPARATOR.encode() in w]
         plain = [w for w in new if _SEPARATOR.encode() not in w] if odd else new
         for i in range(0, len(plain), 64):
