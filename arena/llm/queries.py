@@ -6,10 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from arena.llm.block_anchors import NULL_ID, remove_repeats
 from arena.llm.chat_turns import canonical_turns, formatted, loss_text, records_of, turns_back
 from arena.llm.common import computed, stored, table
 from arena.llm.merkle_audit import audit, warc_body, with_offsets
 from arena.llm.metric_join import join_vectors
+from arena.llm.prob_minhash import near_classes
 from arena.llm.pu_quality import fit_scorer, held_out, score_texts
 from arena.llm.quality_rules import STOP_WORDS, judged
 from arena.llm.split_mix import mix
@@ -194,3 +196,16 @@ def op1_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     added = theirs.filter(F.col("luck").isin("03", "13")).withColumn("offset", F.col("offset") + 1)
     copy = theirs.filter(~F.col("luck").isin("01", "11")).unionByName(added).drop("luck")
     return audit(index.select("archive", "offset", "length", "digest"), copy)
+
+
+@query("op3_block_anchors")
+def op3_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), digest=True)
+    return left.select(
+        F.when(F.col("id") != NULL_ID, F.col("id")).alias("doc_id"), "n_words", "n_removed", F.col("kept").alias("kept_sha256")
+    )
+
+
+@query("op8_prob_minhash")
+def op8_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
