@@ -10,10 +10,10 @@ bring candidates together; candidates whose sketches agree well enough are
 verified on their whole texts: Jaccard similarity of the shingle sets.
 
 Members of a small bucket are all compared. In a large one each member is
-compared with the hub, the member that shares most buckets; where that leaves
+compared with its hubs, the members that share most buckets; where that leaves
 several components, the bucket is split by further bands, which similar texts
-share, until its parts are small or of one component. So no bucket is expanded
-into its pairs, and none is capped.
+tend to share, into small parts. So no bucket is expanded into its pairs, and no
+member is left out.
 
 Defined cases: a null text is empty; texts without words are alone, whatever
 they are; texts of one to four words have one shingle; rows of one id are one
@@ -39,8 +39,9 @@ SIMILARITY = 0.8
 BANDS, ROWS = 24, 4  # a pair at 0.8 shares no band with a chance of 3e-6
 REGISTERS = BANDS * ROWS
 AGREE = 56  # registers; a pair at 0.8 agrees in fewer with a chance under 1e-6
-SMALL = 32  # a bucket up to this size is compared whole
-BRANCHES = 3  # further bands by which a large bucket is split
+SMALL = 64  # a bucket up to this size is compared whole
+HUBS = 8  # members of a large bucket with which all others are compared
+LEVELS = 3  # times that large buckets are split by one more band
 GROUP_SHINGLES = 400_000  # sketched at once
 SHORT = 64  # shingles of a short text
 
@@ -161,16 +162,18 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
 
 def _candidates(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Pairs to compare of (key, id, part, hub), and the members of large buckets that go on."""
-    buckets = members.groupBy("key").agg(
-        F.count(F.lit(1)).alias("n"), F.min("part").alias("low"), F.max("part").alias("high"), F.max(F.struct("hub", "id")).alias("top")
-    )
-    buckets = buckets.filter(F.col("low") != F.col("high")).select("key", "n", F.col("top.id").alias("leader"))
+    turn = F.pmod(F.xxhash64("id"), F.lit(HUBS))
+    tops = [F.max(F.when(turn == i, F.struct("hub", "id", "part"))).alias(f"top{i}") for i in range(HUBS)]
+    buckets = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("part").alias("low"), F.max("part").alias("high"), *tops)
+    hubs = F.array_compact(F.array(*[F.col(f"top{i}") for i in range(HUBS)]))
+    buckets = buckets.filter(F.col("low") != F.col("high")).select("key", "n", F.when(F.col("n") > SMALL, hubs).alias("hubs"))
     here = stored(members.join(buckets, "key"), "minhash-members")
     small = here.filter(F.col("n") <= SMALL).select("key", "id", "part")
     other = small.select("key", F.col("id").alias("b"), F.col("part").alias("part_b"))
     each = small.join(other, "key").filter((F.col("id") < F.col("b")) & (F.col("part") != F.col("part_b"))).select(F.col("id").alias("a"), "b")
     large = here.filter(F.col("n") > SMALL)
-    star = large.filter(F.col("id") != F.col("leader")).select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b"))
+    star = large.select("id", "part", F.explode("hubs").alias("h")).filter(F.col("part") != F.col("h.part"))
+    star = star.select(F.least("id", "h.id").alias("a"), F.greatest("id", "h.id").alias("b"))
     return each.unionByName(star).distinct(), large.select("key", "id", "hub")
 
 
@@ -196,21 +199,18 @@ def near_classes(df: DataFrame, key: str = "doc_id", text: str = "text", similar
 
     level = members.select("key", "id").join(hubs, "id").withColumn("part", F.col("id"))
     links = parts = None
-    while True:
+    for depth in range(LEVELS + 1):
         pairs, large = _candidates(level)
         new = stored(_verified(_agreeing(pairs, sketches), texts, similarity), "minhash-links")
         links = new if links is None else links.unionByName(new)
         parts = stored(connected_components(ids, links.select(F.col("a").alias("src"), F.col("b").alias("dst"))), "minhash-parts")
-        if large.isEmpty():
+        if depth == LEVELS or large.isEmpty():
             break
         # similar texts share further bands; buckets of one component have nothing left to find
-        further = F.transform(
-            F.sequence(F.lit(0), F.lit(BRANCHES - 1)),
-            lambda t: F.xxhash64("key", t, F.get("bands", F.pmod(F.xxhash64("key", t), F.lit(BANDS)).cast("int"))),
-        )
+        band = F.pmod(F.xxhash64("key"), F.lit(BANDS)).cast("int")
         level = (
             large.join(parts.select("id", F.col("component").alias("part")), "id").join(sketches.select("id", "bands"), "id")
-            .select(F.explode(further).alias("key"), "id", "part", "hub")
+            .select(F.xxhash64("key", band, F.get("bands", band)).alias("key"), "id", "part", "hub")
         )
         level = stored(level, "minhash-level")
 
