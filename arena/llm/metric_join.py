@@ -140,8 +140,6 @@ def _join_tile(frame: pd.DataFrame, threshold: float) -> pd.DataFrame:
     links = x @ y.T >= threshold
     if same:
         np.fill_diagonal(links, False)
-    # guests meet in their own cells
-    links &= ~((left["role"].to_numpy() == GUEST)[:, None] & (right["role"].to_numpy() == GUEST)[None, :])
     n = len(left)
     a, b = np.nonzero(links)
     counts = [pd.DataFrame({"cid": left["cid"], "other": -1, "n": links @ right["copies"].to_numpy()})]
@@ -166,15 +164,18 @@ def join_vectors(df: DataFrame, threshold: float, vec_id: str = "vec_id", vector
     balls = {(r["label"], r["dim"], r["cell"]): r["ball"] for r in homes.groupBy("label", "dim", "cell").agg(F.max("near").alias("ball")).collect()}
     copied = _copied(homes, pivots, balls, radius)
 
-    # blocks of a cell by hash; a tile is a pair of blocks, the cell's size decides their number
+    # blocks of a cell by hash, guests after those at home; a tile is a pair of blocks, never of two guests
     copied = stored(copied, "metric-copies")
     cell = ["label", "dim", "cell"]
-    sizes = copied.groupBy(*cell).agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("blocks"))
-    blocked = copied.join(sizes, cell).withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
-    others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    lower, upper = F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
-    tiles = blocked.select("*", others).select(
-        *cell, "cid", "copies", "unit", "role", lower, upper, F.when(F.col("block") <= F.col("other"), 0).otherwise(1).alias("side")
+    count = lambda role: F.ceil(F.count_if(F.col("role") == role) / TILE).cast("int")
+    sizes = copied.groupBy(*cell).agg(count(HOME).alias("homes"), count(GUEST).alias("guests"))
+    at_home, place = F.col("role") == HOME, F.xxhash64("cid")
+    block = F.when(at_home, F.pmod(place, F.col("homes"))).otherwise(F.col("homes") + F.pmod(place, F.greatest("guests", F.lit(1))))
+    blocked = copied.join(sizes, cell).withColumn("block", block.cast("int"))
+    last = F.when(at_home, F.col("homes") + F.col("guests")).otherwise(F.col("homes")) - 1
+    tiles = blocked.select("*", F.explode(F.sequence(F.lit(0), last)).alias("other")).select(
+        *cell, "cid", "copies", "unit", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+        F.when(F.col("block") <= F.col("other"), 0).otherwise(1).alias("side"),
     )
     found = tiles.groupBy(*cell, "i", "j").applyInPandas(lambda f: _join_tile(f, threshold), "cid long, other long, n long")
     found = stored(found, "metric-found")
