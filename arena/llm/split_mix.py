@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from arena.llm.common import WORD, let, stored
 
 BLOCKS = 1024  # blocks of a source, fewer only if it has fewer words
-ROWS_PER_BUCKET = 20_000
+ROWS_PER_BUCKET = 2_000
 SEED = 20_240
 PRIMES = (1031, 1277, 1523, 1777, 2053, 2297, 2539, 2791)  # above BLOCKS
 
