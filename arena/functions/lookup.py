@@ -1,4 +1,4 @@
-"""Small fixed lookup tables: bounded by construction, so safe to broadcast."""
+"""Lookup tables from configuration rows."""
 
 from __future__ import annotations
 
@@ -6,13 +6,8 @@ from collections.abc import Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-MAX_LOOKUP_ROWS = 10_000
 
 
 def lookup_table(spark: SparkSession, rows: Sequence[tuple[Any, ...]], schema: str) -> DataFrame:
-    """A broadcast table of configuration rows; refuses anything that is not small."""
-    if len(rows) > MAX_LOOKUP_ROWS:
-        raise ValueError(f"lookup of {len(rows)} rows is too large to broadcast")
-    return F.broadcast(spark.createDataFrame(list(rows), schema))
+    """Configuration rows as a table; its known size decides whether a join sends it to every task."""
+    return spark.createDataFrame(list(rows), schema)

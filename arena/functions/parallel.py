@@ -1,4 +1,4 @@
-"""Parallelism for row work that costs far more than reading the row."""
+"""Row work that must not be repeated by later projections."""
 
 from __future__ import annotations
 
@@ -6,19 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """A plain scan with at least one partition per core.
-
-    A small file of one row group is read by one task; regexes over its texts
-    would then use one core. Scans that already have enough partitions (any
-    large table) are returned as they are, without a shuffle.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= cores:
-        return scan
-    return scan.repartition(cores)
-
-
 def parse_json(df: DataFrame, body: str, schema: str, out: str = "r") -> DataFrame:
     """Adds the parsed document; filters on its fields are not pushed below, so a text is parsed once."""
     parsed: Column = F.explode(F.array(F.from_json(body, schema)))

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_SPLITS = 1024  # upper bound of the split array carried in the plan
+MAX_SPLITS = 1024  # upper bound of the split array carried in the plan; heavy values are cut again by the tie
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -64,34 +64,50 @@ def split_rank(
     tie: Sequence[str] = (),
     name: str = "rn",
     total: str | None = None,
+    tie_splits: Sequence[float] = (),
 ) -> DataFrame:
     """Exact row number within ``keys`` where one key may hold most of the rows.
 
     Rows are cut into value ranges of ``order`` (``splits``), numbered inside
-    (key, range), then shifted by the row count of the ranges before. No task
-    sees more than one range of a key. ``total`` also adds the group size.
+    (key, range), then shifted by the row count of the ranges before. A value
+    that is itself a split, as every heavy one is, has a range of its own, which
+    ``tie_splits`` cut further by the first (numeric) tie column. No task sees
+    more than one range of a key. NULL keys are a key like any other. ``total``
+    also adds the group size.
     """
     keys = list(keys)
-    base = with_range(df, F.col(order).cast("double"), splits, "_range")
+    value = F.col(order).cast("double")
+    base = with_range(df, value, splits, "_range")
+    at_split = F.coalesce(F.get(F.array(*[F.lit(float(x)) for x in splits]), F.col("_range")) == value, F.lit(False)) if splits else F.lit(False)
+    # the values below split i, then the split itself
+    base = base.withColumn("_at", at_split).withColumn("_range", F.col("_range") * 2 + F.col("_at").cast("int"))
     if desc:
         base = base.withColumn("_range", -F.col("_range"))
+    if tie and tie_splits:
+        base = with_range(base, F.col(tie[0]).cast("double"), tie_splits, "_tie").withColumn("_tie", F.when(F.col("_at"), F.col("_tie")).otherwise(0))
+    else:
+        base = base.withColumn("_tie", F.lit(0))
+    base = base.drop("_at")
 
-    ranges = base.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_n"))
+    ranges = base.groupBy(*keys, "_range", "_tie").agg(F.count(F.lit(1)).alias("_n"))
     group = Window.partitionBy(*keys)
-    before = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = group.orderBy("_range", "_tie").rowsBetween(Window.unboundedPreceding, -1)
     offsets = ranges.select(
-        *keys,
-        "_range",
+        *[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)],
+        F.col("_range").alias("_r"),
+        F.col("_tie").alias("_t"),
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
         F.sum("_n").over(group).alias("_total"),
     )
 
     direction = F.col(order).desc() if desc else F.col(order).asc()
-    local = Window.partitionBy(*keys, "_range").orderBy(direction, *[F.col(t).asc() for t in tie])
-    ranked = base.withColumn("_local", F.row_number().over(local)).join(
-        offsets, [*keys, "_range"], "inner"
-    )
+    local = Window.partitionBy(*keys, "_range", "_tie").orderBy(direction, *[F.col(t).asc() for t in tie])
+    numbered = base.withColumn("_local", F.row_number().over(local))
+    same = (F.col("_range") == F.col("_r")) & (F.col("_tie") == F.col("_t"))
+    for i, k in enumerate(keys):
+        same = same & numbered[k].eqNullSafe(F.col(f"_key{i}"))
+    ranked = numbered.join(offsets, same).drop("_r", "_t", *[f"_key{i}" for i in range(len(keys))])
     out = ranked.withColumn(name, F.col("_local") + F.col("_offset"))
     if total:
         out = out.withColumn(total, F.col("_total"))
-    return out.drop("_range", "_local", "_offset", "_total")
+    return out.drop("_range", "_tie", "_local", "_offset", "_total")

@@ -132,14 +132,15 @@ def content_entities(items: DataFrame, prefix: str) -> DataFrame:
     """basket -> content id: equal (item, copies) sets share one id.
 
     The id is a sum of per-line hashes (order does not matter), so the basket
-    is combined map-side and never collected; two independent 64-bit sums and
-    the line count make up the key.
+    is combined map-side and never collected; four independent 64-bit sums
+    (256 bits a line) and the line count make up the key, whose whole digest is kept.
     """
     lines = items.groupBy("deck_id", "item").agg(F.sum("count").alias("count"))
     h = lambda salt: F.xxhash64(F.lit(salt), "item", "count").cast("decimal(38,0)")
-    sums = lines.groupBy("deck_id").agg(F.sum(h(1)).alias("_a"), F.sum(h(2)).alias("_b"), F.count(F.lit(1)).alias("_n"))
-    digest = F.sha2(F.concat_ws(":", F.col("_a").cast("string"), F.col("_b").cast("string"), F.col("_n").cast("string")), 256)
-    return sums.select("deck_id", F.concat(F.lit(f"{prefix}:"), F.substr(digest, F.lit(1), F.lit(16))).alias("content_id"))
+    parts = [F.sum(h(salt)).cast("string").alias(f"_h{salt}") for salt in range(1, 5)]
+    sums = lines.groupBy("deck_id").agg(*parts, F.count(F.lit(1)).cast("string").alias("_n"))
+    digest = F.sha2(F.concat_ws(":", *[c for c in sums.columns if c != "deck_id"]), 256)
+    return sums.select("deck_id", F.concat(F.lit(f"{prefix}:"), digest).alias("content_id"))
 
 
 def topcut_from_columns(static: DataFrame, comps: DataFrame, sizes: Sequence[int] = TOPCUT_SIZES) -> DataFrame:

@@ -83,7 +83,7 @@ def set_mark_summary(cards: DataFrame) -> DataFrame:
 
 
 def sequence_gaps(cards: DataFrame, official: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(set, official, reason) and the first five missing numbers of failing sets.
+    """(set, official, reason) and all missing numbers of failing sets, as ranges.
 
     ``cards``: set_id, num; ``official``: set_id, official. Accepted when
     1..official is fully covered and official does not exceed the greatest number.
@@ -98,10 +98,13 @@ def sequence_gaps(cards: DataFrame, official: DataFrame) -> tuple[DataFrame, Dat
         .when(F.col("covered") < F.col("official"), "gap")
     )
     verdict = stats.select("set_id", "official", reason.alias("reason"))
-    failing = verdict.filter(F.col("reason") == "gap").select("set_id", F.explode(F.sequence(F.lit(1).cast("long"), F.col("official").cast("long"))).alias("num"))
-    missing = failing.join(numbers, ["set_id", "num"], "left_anti")
-    first = F.row_number().over(Window.partitionBy("set_id").orderBy("num"))
-    return verdict, missing.withColumn("rn", first).filter(F.col("rn") <= 5).drop("rn")
+    # the numbers of a failing set and both its ends; a gap lies between two neighbours that are not next to each other
+    failing = verdict.filter(F.col("reason") == "gap").select("set_id", "official")
+    inside = numbers.join(failing, "set_id").filter(F.col("num").between(1, F.col("official"))).select("set_id", F.col("num").cast("long").alias("num"))
+    ends = failing.select("set_id", F.explode(F.array(F.lit(0).cast("long"), F.col("official").cast("long") + 1)).alias("num"))
+    after = F.lead("num").over(Window.partitionBy("set_id").orderBy("num"))
+    gaps = inside.unionByName(ends).withColumn("_next", after).filter(F.col("_next") > F.col("num") + 1)
+    return verdict, gaps.select("set_id", (F.col("num") + 1).alias("gap_from"), (F.col("_next") - 1).alias("gap_to"))
 
 
 def pack_counts(cards: DataFrame, measured: DataFrame, width: int = 2) -> DataFrame:
@@ -151,10 +154,11 @@ def run_reconcile(expected: DataFrame, done: DataFrame, question: DataFrame, key
     joined = expected.select(key).distinct().join(d, key, "left").join(q, key, "left")
     outcome = F.when(F.col("_d"), "scraped").when(F.col("_q"), "question").otherwise("missing")
     marked = joined.select(key, outcome.alias("outcome"))
-    piece = F.conv(F.substr(F.md5(F.concat_ws(":", F.col(key).cast("string"), "outcome")), F.lit(1), F.lit(12)), 16, 10)
+    digest = F.md5(F.concat_ws(":", F.col(key).cast("string"), "outcome"))
+    parts = [F.sum(F.conv(F.substr(digest, F.lit(i), F.lit(8)), 16, 10).cast("decimal(38,0)")).cast("string") for i in (1, 9, 17, 25)]
     return marked.agg(
         F.count(F.lit(1)).alias("total"), *[F.count_if(F.col("outcome") == o).alias(o) for o in ("scraped", "question", "missing")],
-        F.sum(piece.cast("decimal(38,0)")).cast("string").alias("run_hash"),
+        F.concat_ws(":", *parts).alias("run_hash"),
     )
 
 
@@ -258,10 +262,10 @@ def seeded_sample(df: DataFrame, id_col: str, n: int, seed: int, only: Column |
 
 def search_catalogue(
     cards: DataFrame, *, name: str | None = None, marks: Sequence[str] | None = None, card_type: str | None = None,
-    set_ids: Sequence[str] | None = None, flags: Mapping[str, bool] | None = None, limit: int = 100, offset: int = 0,
+    set_ids: Sequence[str] | None = None, flags: Mapping[str, bool] | None = None, limit: int | None = None, offset: int = 0,
     order: str = "card_id",
 ) -> DataFrame:
-    """Conjunctive search, one page in id order. Only filters that are set enter the plan."""
+    """Conjunctive search: all hits, or one page in id order. Only filters that are set enter the plan."""
     df = cards
     if name:
         df = df.filter(F.contains("name_full", F.lit(name)) | F.coalesce(F.contains("species", F.lit(name)), F.lit(False)))
@@ -273,11 +277,12 @@ def search_catalogue(
         df = df.filter(F.col("set_id").isin(*set_ids))
     for column, value in (flags or {}).items():
         df = df.filter(F.col(column) == value)
-    return page(df, order, limit, offset)
+    return df if limit is None and not offset else page(df, order, limit, offset)
 
 
-def page(df: DataFrame, order: str, limit: int, offset: int = 0) -> DataFrame:
-    return df.orderBy(order).offset(offset).limit(limit)
+def page(df: DataFrame, order: str, limit: int | None, offset: int = 0) -> DataFrame:
+    rest = df.orderBy(order).offset(offset)
+    return rest if limit is None else rest.limit(limit)
 
 
 def catalogue_overview(cards: DataFrame, sets: DataFrame) -> DataFrame:
@@ -310,11 +315,13 @@ def share_reconcile(ours: DataFrame, theirs: DataFrame) -> DataFrame:
 
 def work_estimate(occurrences: DataFrame, code: str, splits: Sequence[str]) -> DataFrame:
     """(dimension, key, codes): distinct codes in all and by each column."""
-    whole = occurrences.agg(F.count_distinct(code).alias("codes")).select(F.lit("all").alias("dimension"), F.lit("").alias("key"), "codes")
-    for s in splits:
-        part = occurrences.groupBy(F.col(s).alias("key")).agg(F.count_distinct(code).alias("codes"))
-        whole = whole.unionByName(part.select(F.lit(s).alias("dimension"), F.col("key").cast("string").alias("key"), "codes"))
-    return whole
+    # each occurrence is one row per dimension, distinct before it is counted: one scan, one exchange
+    rows = F.array(
+        F.struct(F.lit("all").alias("dimension"), F.lit("").alias("key")),
+        *[F.struct(F.lit(s).alias("dimension"), F.col(s).cast("string").alias("key")) for s in splits],
+    )
+    pairs = occurrences.select(F.col(code).alias("_code"), F.explode(rows).alias("d")).select("_code", "d.dimension", "d.key").distinct()
+    return pairs.groupBy("dimension", "key").agg(F.count("_code").alias("codes"))
 
 
 def budget_guard(occurrences: DataFrame, code: str, category: str, priority: str, gate: int) -> DataFrame:

@@ -419,13 +419,22 @@ def resolve_parents(cards: DataFrame) -> DataFrame:
 def longest_prefix(keys: DataFrame, targets: DataFrame) -> DataFrame:
     """key (array) -> target with the longest prefix equal to its own array.
 
-    ``keys``: key_id, path; ``targets``: target_id, path.
+    ``keys``: key_id, path (any length); ``targets``: target_id, path. Prefixes up
+    to the longest target meet as running hashes, two numbers each, and are
+    compared as words only where a target has the same hashes.
     """
-    prefixes = F.transform(F.sequence(F.lit(1), F.size("path")), lambda n: F.slice("path", 1, n))
-    exploded = keys.filter(F.size("path") > 0).select("key_id", F.explode(prefixes).alias("path"))
-    hits = exploded.join(targets, "path").groupBy("key_id").agg(
-        F.max_by("target_id", F.size("path")).alias("target_id"), F.max(F.size("path")).alias("depth")
-    )
+    longest = targets.agg(F.coalesce(F.max(F.size("path")), F.lit(0))).first()[0]
+    blank = F.struct(F.lit(0).cast("long").alias("a"), F.lit(1).cast("long").alias("b"), F.array().cast("array<struct<a:bigint,b:bigint>>").alias("all"))
+
+    def step(acc: Column, word: Column) -> Column:
+        a, b = F.xxhash64(acc["a"], word), F.xxhash64(acc["b"], word, F.lit(7))
+        return F.struct(a.alias("a"), b.alias("b"), F.array_append(acc["all"], F.struct(a.alias("a"), b.alias("b"))).alias("all"))
+
+    heads = lambda path: F.aggregate(F.slice(path, 1, max(longest, 1)), blank, step, lambda acc: acc["all"])
+    exploded = keys.filter(F.size("path") > 0).select("key_id", F.slice("path", 1, max(longest, 1)).alias("_head"), F.posexplode(heads("path")).alias("_at", "_h"))
+    aims = targets.filter(F.size("path") > 0).select("target_id", F.col("path").alias("_path"), F.element_at(heads("path"), -1).alias("_h"))
+    met = exploded.join(aims, "_h").filter(F.slice("_head", 1, F.col("_at") + 1) == F.col("_path"))
+    hits = met.groupBy("key_id").agg(F.max_by("target_id", "_at").alias("target_id"), (F.max("_at") + 1).alias("depth"))
     return keys.select("key_id").join(hits, "key_id", "left")
 
 

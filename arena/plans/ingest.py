@@ -31,6 +31,8 @@ class Ingested:
     misses: DataFrame
     rules: DataFrame
     env_warnings: DataFrame
+    lost_entries: DataFrame
+    repeated: DataFrame
 
 
 def ingest_channel(
@@ -63,10 +65,20 @@ def ingest_channel(
 
     lines = items.join(played.select("basket_id").distinct(), "basket_id", "left_semi").withColumnRenamed("basket_id", "deck_id")
     kept, blocked = k.size_gate(lines, size)
+    # absent parts are written out, so they cannot be taken for each other
+    identity = F.to_json(F.struct("raw_set", "raw_number", "raw_name"), {"ignoreNullFields": "false"})
     content = k.content_entities(
-        kept.select("deck_id", F.concat_ws("|", "raw_set", "raw_number", "raw_name").alias("item"), "count"), source
+        kept.select("deck_id", identity.alias("item"), "count"), source
     ).withColumnRenamed("deck_id", "basket_id")
-    entry_rows = played.join(content, "basket_id").filter(F.col("rank").isNotNull()).withColumnRenamed("content_id", "deck_id")
+    found = played.join(content, "basket_id", "left")
+    why = (
+        F.when(F.col("rank").isNull(), "no_rank").when(F.col("content_id").isNotNull(), None)
+        .when(F.col("_lines").isNull(), "no_basket").otherwise("basket_blocked")
+    )
+    with_lines = lines.select(F.col("deck_id").alias("basket_id"), F.lit(True).alias("_lines")).distinct()
+    judged = found.join(with_lines, "basket_id", "left").withColumn("reason", why).drop("_lines")
+    lost = judged.filter(F.col("reason").isNotNull()).select("basket_id", "tournament_id", "rank", "reason")
+    entry_rows = judged.filter(F.col("reason").isNull()).drop("reason").withColumnRenamed("content_id", "deck_id")
 
     # one basket stands for all of equal content; its first competition decides the environment
     first = entry_rows.groupBy("deck_id").agg(F.min("basket_id").alias("_basket"), F.min("date").alias("_first_day"))
@@ -92,7 +104,8 @@ def ingest_channel(
         F.col("located_name").alias("resolved_name"), k.classify_miss(F.col("located_name")).alias("miss_kind"),
     ).distinct()
 
-    decks = k.mapping_status(deck_cards).withColumn("source", F.lit(source))
+    # shares are taken over the whole basket, before lines of one name are merged
+    decks = k.mapping_status(scoped).withColumn("source", F.lit(source))
     appearances = latest_per_key(
         entry_rows.drop("date").withColumn("source", F.lit(source)), ["deck_id", "tournament_id", "rank"], [F.col("basket_id")]
     ).drop("basket_id")
@@ -102,5 +115,6 @@ def ingest_channel(
     )
     return Ingested(
         Star(comps, decks, appearances, deck_cards, card_groups), counts, blocked.withColumnRenamed("deck_id", "basket_id"), misses,
-        k.rule_distribution(mapped), warned,
+        k.rule_distribution(mapped), warned, lost,
+        entry_rows.groupBy("deck_id", "tournament_id", "rank").agg(F.count(F.lit(1)).alias("seen")).filter(F.col("seen") > 1),
     )

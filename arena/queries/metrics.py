@@ -215,10 +215,14 @@ def metric_meta_echo(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.metric_meta(b.basket_star(Tables(spark, sf_dir)), PARAMS, layer="b")
 
 
-@query("metric_ranking", _usage_sql("") + " ORDER BY value DESC, group_key LIMIT 10")
+@query("metric_ranking", _usage_sql("") + " ORDER BY value DESC, group_key")
 def metric_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    usage = _round(m.weighted_usage(b.basket_star(Tables(spark, sf_dir)), PARAMS), "value")
-    return m.ranking(usage, limit=10)
+    return m.ranking(_round(m.weighted_usage(b.basket_star(Tables(spark, sf_dir)), PARAMS), "value"))
+
+
+@query("metric_ranking_top", _usage_sql("") + " ORDER BY value DESC, group_key LIMIT 10")
+def metric_ranking_top(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return m.ranking(_round(m.weighted_usage(b.basket_star(Tables(spark, sf_dir)), PARAMS), "value"), limit=10)
 
 
 SOURCES = sorted(SOURCE_BASIS)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from arena.functions import text as x
 from arena.functions import vocab as v
-from arena.functions.parallel import parse_json, spread
+from arena.functions.parallel import parse_json
 from arena.operators import normalise as n
 from arena.queries.sql import star
 from arena.registry import query
@@ -213,7 +213,7 @@ def explode_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(key % 13 != 0, F.array(player("p"), player("q"))).otherwise(F.array()).alias("players"),
         F.array(deck(F.col("o_orderstatus") != "P", key), deck(key % 7 == 0, key + 1000000)).alias("decks"),
     )
-    raw = spread(Tables(spark, sf_dir).orders).select(
+    raw = Tables(spark, sf_dir).orders.select(
         F.date_format("o_orderdate", "yyyy-MM").alias("tournament_id"), F.to_json(record).alias("body")
     )
     out = n.explode_entries(parse_json(raw, "body", n.ENTRY_SCHEMA))
@@ -244,7 +244,7 @@ def explode_basket_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(odd, item(qty, "aid ", "l_suppkey")).alias("trainer"),
         F.when(odd, item(qty, "", "l_suppkey")).alias("unused"),
     )
-    docs = spread(Tables(spark, sf_dir).lineitem).select(F.col("l_orderkey").alias("deck_id"), F.to_json(record).alias("body"))
+    docs = Tables(spark, sf_dir).lineitem.select(F.col("l_orderkey").alias("deck_id"), F.to_json(record).alias("body"))
     items = n.explode_basket_items(parse_json(docs, "body", n.BASKET_SCHEMA))
     return items.groupBy("deck_id").agg(
         F.count(F.lit(1)).alias("items"), F.sum("count").alias("copies"), F.min("raw_name").alias("first_name")
@@ -269,7 +269,7 @@ def raw_pairings(t: Tables) -> DataFrame:
         F.concat(F.lit("u"), user.cast("string")).alias("player1"),
         F.when(user % 10 != 0, F.concat(F.lit("u"), ((user * 7 + 3) % 150).cast("string"))).otherwise("").alias("player2"),
     )
-    raw = spread(t.events).select("event_id", day_text("ts").alias("tournament_id"), F.to_json(record).alias("body"))
+    raw = t.events.select("event_id", day_text("ts").alias("tournament_id"), F.to_json(record).alias("body"))
     return parse_json(raw, "body", n.PAIRING_SCHEMA)
 
 
@@ -370,7 +370,7 @@ def rule_type_derivation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SELECT doc_id, regexp_replace(strip_accents(replace(lower(text), 'ß', 'ss')), '[^a-z0-9]', '', 'g') AS norm FROM documents""",
 )
 def normalise_name(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(Tables(spark, sf_dir).documents.select("doc_id", "text")).select("doc_id", x.normalise_name("text").alias("norm"))
+    return Tables(spark, sf_dir).documents.select("doc_id", "text").select("doc_id", x.normalise_name("text").alias("norm"))
 
 
 @query(

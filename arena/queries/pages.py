@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arena.functions.parallel import spread
 from arena.functions.rank import earliest_per_key, quantile_splits, split_rank
 from arena.operators import pages as p
 from arena.operators import tags as tg
@@ -57,7 +56,7 @@ def attribute_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('" class="row" data-prize="'), F.col("o_totalprice").cast("string"), F.lit('"><td>x</td></tr>'),
     )
     second = F.concat(F.lit('<tr data-rank="DQ"'), F.when(key % 2 == 0, F.concat(F.lit(' data-name="'), "o_orderpriority", F.lit('"'))).otherwise(""), F.lit("></tr></table>"))
-    pages = spread(Tables(spark, sf_dir).orders).select(key.alias("page_id"), F.concat(first, second).alias("html"))
+    pages = Tables(spark, sf_dir).orders.select(key.alias("page_id"), F.concat(first, second).alias("html"))
     rows = p.attribute_rows(pages, "tr", {"placing": ("data-rank", "bigint"), "player": ("data-name", "string"), "prize": ("data-prize", "double")})
     return rows.withColumn("pos", F.col("pos").cast("long"))
 
@@ -70,7 +69,7 @@ t AS (SELECT page_id, list_transform(raw, lambda x: CASE WHEN x LIKE '<h1>%' THE
 SELECT page_id, CAST(len(blocks) AS BIGINT) AS n_blocks, sha256(array_to_string(blocks, chr(10))) AS content_hash FROM t""",
 )
 def block_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    blocks = p.block_texts(spread(Tables(spark, sf_dir).pages), "article")
+    blocks = p.block_texts(Tables(spark, sf_dir).pages, "article")
     return blocks.select("page_id", F.size("blocks").cast("long").alias("n_blocks"), "content_hash")
 
 
@@ -90,7 +89,7 @@ def rule_page_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(key % 7 != 0, block("li", "特典卡“card ", F.col("o_orderstatus"), "”（P）")), block("p", p.BANNED_START),
         block("li", "ban ", F.col("o_custkey").cast("string"), "（招式：skill）"), block("li", "plain"),
     ))
-    parsed = p.parse_rule_pages(spread(Tables(spark, sf_dir).orders).select(key.alias("page_id"), blocks.alias("blocks")))
+    parsed = p.parse_rule_pages(Tables(spark, sf_dir).orders.select(key.alias("page_id"), blocks.alias("blocks")))
     bans = F.transform("banned", lambda b: F.concat_ws("/", b["name"], b["ability_or_attack"]))
     return parsed.select(
         "page_id", "format", F.date_format("effective_from", "yyyy-MM-dd").alias("day"), F.array_join("marks", ",").alias("marks"),
@@ -114,14 +113,13 @@ def nearest_heading(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "duplicate_key_numbering",
-    """WITH k AS (SELECT doc_id, source, left(sha1(left(text, 2)), 10) AS base FROM documents),
+    """WITH k AS (SELECT doc_id, source, sha1(text) AS base FROM documents),
 r AS (SELECT *, row_number() OVER (PARTITION BY source, base ORDER BY doc_id) AS rn FROM k)
 SELECT doc_id, CASE WHEN rn = 1 THEN base ELSE base || '#' || rn END AS event_key FROM r""",
 )
 def duplicate_key_numbering(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = Tables(spark, sf_dir).documents
-    base = F.substr(F.sha1(F.substr("text", F.lit(1), F.lit(2))), F.lit(1), F.lit(10))
-    keyed = docs.select("doc_id", "source", base.alias("base"))
+    keyed = docs.select("doc_id", "source", F.sha1("text").alias("base"))
     ranked = split_rank(keyed, ["source", "base"], "doc_id", splits=quantile_splits(docs, "doc_id"))
     return ranked.select("doc_id", F.when(F.col("rn") == 1, F.col("base")).otherwise(F.concat_ws("#", "base", F.col("rn").cast("string"))).alias("event_key"))
 
@@ -160,7 +158,7 @@ def _tags_sql(vocab) -> str:
 
 @query("regex_tagging", f"SELECT doc_id, {_tags_sql(DOC_TAGS)} AS tags, {_tags_sql(DOC_FLAGS)} AS flags FROM documents")
 def regex_tagging(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread(Tables(spark, sf_dir).documents.select("doc_id", "text", "lang"))
+    docs = Tables(spark, sf_dir).documents.select("doc_id", "text", "lang")
     tagged = tg.tag_texts(docs, "text", DOC_TAGS, DOC_FLAGS, kind="lang")
     return tagged.select("doc_id", F.array_join("tags", ",").alias("tags"), F.array_join("flags", ",").alias("flags"))
 
@@ -174,5 +172,5 @@ UNION ALL SELECT 'texts', 'multi_hit', count(*) FILTER (len(tags) >= 3) FROM t U
 UNION ALL SELECT 'tags', label, count(*) FROM (SELECT unnest(tags) AS label FROM t) GROUP BY label UNION ALL SELECT 'flags', label, count(*) FROM (SELECT unnest(flags) AS label FROM t) GROUP BY label""",
 )
 def tag_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread(Tables(spark, sf_dir).documents.select("doc_id", "text", "lang"))
+    docs = Tables(spark, sf_dir).documents.select("doc_id", "text", "lang")
     return tg.tag_coverage(tg.distinct_tagged(docs, "doc_id", "text", DOC_TAGS, DOC_FLAGS, kind="lang"))

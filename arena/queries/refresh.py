@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arena.functions import vocab as v
-from arena.functions.parallel import spread
 from arena.operators import legality as lg
 from arena.operators import pages as p
 from arena.plans import metrics as m
@@ -48,14 +47,14 @@ def raw_snapshot_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "content_hash_audit",
-    """SELECT doc_id, sha256('{"digest":"' || md5(text) || '","doc_id":' || doc_id || ',"lang":"' || lang || '","source":"' || source || '"}') AS content_hash,
+    """SELECT doc_id, sha256('{"doc_id":' || doc_id || ',"lang":"' || lang || '","source":"' || source || '","text":' || CAST(to_json(text) AS VARCHAR) || '}') AS content_hash,
   CASE WHEN doc_id % 17 = 0 THEN 'malformed' WHEN doc_id % 13 = 0 THEN 'mismatch' ELSE 'valid' END AS state FROM documents""",
 )
 def content_hash_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("doc_id")
-    docs = Tables(spark, sf_dir).documents.select("doc_id", "lang", "source", F.md5("text").alias("digest"))
-    canonical = F.to_json(F.struct("digest", "doc_id", "lang", "source"))
-    written = F.to_json(F.struct("source", "lang", "doc_id", "digest"))
+    docs = Tables(spark, sf_dir).documents.select("doc_id", "lang", "source", "text")
+    canonical = F.to_json(F.struct("doc_id", "lang", "source", "text"))
+    written = F.to_json(F.struct("text", "source", "lang", "doc_id"))
     bodies = docs.select(
         "doc_id", F.sha2(canonical, 256).alias("content_hash"), F.when(key % 17 == 0, F.substr(written, F.lit(1), F.lit(9))).otherwise(written).alias("body"),
         F.when(key % 13 == 0, "stale").otherwise(F.sha2(canonical, 256)).alias("stored"),
@@ -224,7 +223,7 @@ def late_refresh_window(spark: SparkSession, sf_dir: str) -> DataFrame:
   CASE WHEN page_id % 9 <> 0 AND page_id % 5 = 0 THEN 'notice ' || page_id END AS added FROM pages""",
 )
 def page_change_monitor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages, key = spread(Tables(spark, sf_dir).pages.select("page_id", "html")), F.col("page_id")
+    pages, key = Tables(spark, sf_dir).pages.select("page_id", "html"), F.col("page_id")
     insert = lambda text: F.replace(F.col("html"), F.lit("<article><h1>"), F.concat(F.lit("<article>"), text, F.lit("<h1>")))
     changed = insert(F.concat(F.lit("<p>notice "), key.cast("string"), F.lit("</p>")))
     title = F.regexp_extract("html", r"(?s)<article>(<h1>.*?</h1>)", 1)
@@ -237,15 +236,24 @@ def page_change_monitor(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "snapshot_diff",
-    """WITH o AS (SELECT event_type, user_id, count(*) AS n, max(value) AS top FROM events WHERE day(ts) <= 3 GROUP BY 1, 2), n AS (SELECT event_type, user_id, count(*) AS n, max(value) AS top FROM events WHERE day(ts) BETWEEN 2 AND 4 GROUP BY 1, 2),
-j AS (SELECT coalesce(o.event_type, n.event_type) AS event_type, coalesce(o.user_id, n.user_id) AS user_id, o.n AS a, n.n AS b, o.top AS c, n.top AS d FROM o FULL JOIN n ON n.event_type = o.event_type AND n.user_id = o.user_id)
-SELECT event_type, user_id, 'added' AS change, '' AS field FROM j WHERE a IS NULL UNION ALL SELECT event_type, user_id, 'removed', '' FROM j WHERE b IS NULL
-UNION ALL SELECT event_type, user_id, 'changed', 'n' FROM j WHERE a <> b UNION ALL SELECT event_type, user_id, 'changed', 'top' FROM j WHERE c <> d""",
+    """WITH s AS (SELECT CAST(ts AS DATE) AS day, event_type, user_id, count(*) AS n, max(value) AS top FROM events GROUP BY 1, 2, 3),
+o AS (SELECT day + 1 AS day, event_type, user_id, n, top FROM s WHERE day < (SELECT max(day) FROM s)), n AS (SELECT * FROM s WHERE day > (SELECT min(day) FROM s)),
+j AS (SELECT coalesce(o.day, n.day) AS day, coalesce(o.event_type, n.event_type) AS event_type, coalesce(o.user_id, n.user_id) AS user_id, o.n AS a, n.n AS b, o.top AS c, n.top AS d
+  FROM o FULL JOIN n ON n.day = o.day AND n.event_type = o.event_type AND n.user_id = o.user_id),
+r AS (SELECT day, event_type, user_id, 'added' AS change, '' AS field FROM j WHERE a IS NULL UNION ALL SELECT day, event_type, user_id, 'removed', '' FROM j WHERE b IS NULL
+UNION ALL SELECT day, event_type, user_id, 'changed', 'n' FROM j WHERE a <> b UNION ALL SELECT day, event_type, user_id, 'changed', 'top' FROM j WHERE c <> d)
+SELECT strftime(day, '%Y-%m-%d') AS day, event_type, user_id, change, field FROM r""",
 )
 def snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events, day = Tables(spark, sf_dir).events, F.dayofmonth("ts")
-    state = lambda cond: events.filter(cond).groupBy("event_type", "user_id").agg(F.count(F.lit(1)).alias("n"), F.max("value").alias("top"))
-    return r.snapshot_diff(state(day <= 3), state(day.between(2, 4)), ["event_type", "user_id"], ["n", "top"])
+    """Each day against the day before, over the whole table."""
+    key = ["day", "event_type", "user_id"]
+    state = Tables(spark, sf_dir).events.groupBy(F.to_date("ts").alias("day"), "event_type", "user_id").agg(
+        F.count(F.lit(1)).alias("n"), F.max("value").alias("top")
+    )
+    ends = state.agg(F.min("day").alias("first"), F.max("day").alias("last")).first()
+    before = state.filter(F.col("day") < F.lit(ends["last"])).withColumn("day", F.date_add("day", 1))
+    diff = r.snapshot_diff(before, state.filter(F.col("day") > F.lit(ends["first"])), key, ["n", "top"])
+    return diff.withColumn("day", day_text("day"))
 
 
 @query(

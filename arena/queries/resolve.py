@@ -470,7 +470,7 @@ SELECT w.doc_id AS key_id, array_to_string(max_by(p, n), ' ') AS target_id, CAST
 def longest_prefix_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = Tables(spark, sf_dir).documents
     words = F.regexp_extract_all(F.lower("text"), F.lit("([a-z]+)"), F.lit(1))
-    keys = docs.select(F.col("doc_id").alias("key_id"), words.alias("words")).select("key_id", F.slice("words", 1, 4).alias("path"))
+    keys = docs.select(F.col("doc_id").alias("key_id"), words.alias("path"))
     cut = lambda mod, size: keys.filter((F.col("key_id") % mod == 0) & (F.size("path") >= size)).select(F.slice("path", 1, size).alias("path"))
     targets = cut(2, 2).unionByName(cut(5, 1)).unionByName(cut(3, 3)).distinct().withColumn("target_id", F.array_join("path", " "))
     return r.longest_prefix(keys, targets).withColumn("depth", F.col("depth").cast("long"))

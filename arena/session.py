@@ -19,6 +19,7 @@ def build_session(app: str = "arena", master: str | None = None, **conf: str) ->
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        "spark.sql.files.minPartitionNum": "64",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         **conf,
     }

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from arena.sources.tables import Star
 
-MAX_ROWS_PER_FILE = 200_000  # keeps every part file small enough to checksum in one task
+MAX_ROWS_PER_FILE = 200_000
 
 
 def next_data_version(current: str | None, today: date) -> str:
@@ -29,6 +29,15 @@ def vocabulary_hash(vocabulary: object) -> str:
     return hashlib.sha256(text.encode("utf-8")).hexdigest()
 
 
+def _file_sums(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """table, file, checksum: sums of two hashes of every line with its count, so files of any size are read line by line."""
+    lines = spark.read.option("pathGlobFilter", "*.json").text(path).select("value", F.col("_metadata.file_name").alias("file"))
+    sums = [F.sum(F.xxhash64(F.lit(salt), "value").cast("decimal(38,0)")).cast("string") for salt in (1, 2)]
+    return lines.groupBy("file").agg(F.concat_ws(":", F.count(F.lit(1)).cast("string"), *sums).alias("checksum")).select(
+        F.lit(table).alias("table"), "file", "checksum"
+    )
+
+
 def write_bundle(tables: Mapping[str, DataFrame], root: str, version: str, hashes: Mapping[str, str] | None = None) -> DataFrame:
     """Writes each table as JSON below ``root`` and a manifest row per part file; returns per-table counts.
 
@@ -40,9 +49,7 @@ def write_bundle(tables: Mapping[str, DataFrame], root: str, version: str, hashe
         path = f"{root}/{name}"
         df.write.mode("overwrite").option("maxRecordsPerFile", MAX_ROWS_PER_FILE).option("ignoreNullFields", "false").json(path)
         rows = spark.read.schema(df.schema).json(path).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table"), "rows")
-        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(path).select(
-            F.lit(name).alias("table"), F.element_at(F.split("path", "/"), -1).alias("file"), F.sha2("content", 256).alias("sha256")
-        )
+        files = _file_sums(spark, path, name)
         counts = rows if counts is None else counts.unionByName(rows)
         sums = files if sums is None else sums.unionByName(files)
     manifest = counts.withColumn("version", F.lit(version)).withColumn("vocabulary", F.lit(json.dumps(dict(hashes or {}), sort_keys=True)))
@@ -53,17 +60,15 @@ def write_bundle(tables: Mapping[str, DataFrame], root: str, version: str, hashe
 
 def verify_bundle(spark: SparkSession, root: str) -> DataFrame:
     """(table, files, bad): part files whose checksum differs or that are missing."""
-    stored = spark.read.schema("table string, file string, sha256 string").json(f"{root}/checksums")
+    stored = spark.read.schema("table string, file string, checksum string").json(f"{root}/checksums")
     names = [r["table"] for r in stored.select("table").distinct().orderBy("table").collect()]
     found = None
     for name in names:
-        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(f"{root}/{name}").select(
-            F.lit(name).alias("table"), F.element_at(F.split("path", "/"), -1).alias("file"), F.sha2("content", 256).alias("now")
-        )
+        files = _file_sums(spark, f"{root}/{name}", name).withColumnRenamed("checksum", "now")
         found = files if found is None else found.unionByName(files)
     joined = stored.join(found, ["table", "file"], "full_outer")
     return joined.groupBy("table").agg(
-        F.count("sha256").alias("files"), F.count_if(~F.coalesce(F.col("sha256") == F.col("now"), F.lit(False))).alias("bad")
+        F.count("checksum").alias("files"), F.count_if(~F.coalesce(F.col("checksum") == F.col("now"), F.lit(False))).alias("bad")
     )
 
 
