@@ -34,11 +34,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of copies, the one of the smallest id; of equal rows, one."""
     kept = stored(near_classes(docs).filter("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")), "pipeline-kept")
-    mine = kept.withColumnRenamed("doc_id", "_id")
-    left = docs.join(mine, docs["doc_id"].eqNullSafe(mine["_id"]))
-    once = left.filter("_n = 1").select(*docs.columns)
-    again = left.filter("_n > 1").select(*docs.columns, F.xxhash64("text").alias("_fp")).dropDuplicates(["doc_id", "_fp"]).drop("_fp")
-    return once if kept.filter("_n > 1").isEmpty() else once.unionByName(again)
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", F.xxhash64("text").alias("fp"))
+    left = rows.join(kept.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")))
+    once = left.filter("_n = 1").select("row.*")
+    if kept.filter("_n > 1").isEmpty():
+        return once
+    return once.unionByName(left.filter("_n > 1").dropDuplicates(["doc_id", "fp"]).select("row.*"))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
