@@ -20,6 +20,7 @@ empty result; only the named columns are read.
 from __future__ import annotations
 
 import os
+import re
 from bisect import bisect_right, insort
 from collections.abc import Iterator
 
@@ -34,9 +35,11 @@ END_ID = 1
 POOL_TOKENS = 2_000_000  # a task packs whenever it holds this many
 MIN_CUT = 16  # smaller gaps of a long window are padded, not filled with a cut
 STEP_TOKENS = 131_072  # tokens of a step group
-CACHE_WORDS = 700_000  # words of which a worker remembers the ids
+CACHE_WORDS = 1_200_000  # words of which a worker remembers the ids
 
 _SEPARATOR = "\x01"
+# letters of ASCII and Latin-1, then ASCII punctuation without the apostrophe, which can open a suffix
+_WORD_AND_TAIL = re.compile(rb"((?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-&(-/:-@\[-`{-~]+)")
 _tokenizers: dict[str, WordIds] = {}
 
 
@@ -66,6 +69,14 @@ class WordIds:
             return b"".join([self.known[w] for w in words])
 
     def learn(self, new: list[bytes]) -> None:
+        """Punctuation behind letters never joins them, so such words are made of two that are met more often."""
+        halves = {w: m.groups() for w in new if (m := _WORD_AND_TAIL.fullmatch(w))}
+        rest = {x for w in new for x in halves.get(w, (w,)) if x not in self.known}
+        self._encode(sorted(rest))
+        for w, (head, tail) in halves.items():
+            self.known[w] = self.known[head] + self.known[tail]
+
+    def _encode(self, new: list[bytes]) -> None:
         odd = [w for w in new if _SEPARATOR.encode() in w]
         plain = [w for w in new if _SEPARATOR.encode() not in w] if odd else new
         for i in range(0, len(plain), 64):
@@ -131,19 +142,18 @@ class Packer:
         return gap
 
     def pack(self, last: bool) -> None:
-        """Packs tier by tier. Before the last call, rests that cannot fill a window of their tier wait."""
+        """Packs tier by tier. Rests that cannot fill a window of their tier wait, and after the last call make smaller ones."""
         for tier in range(len(self.tiers) - 1, -1, -1):
             size, rests = self.tiers[tier], self.rests[tier]
-            whole = size == self.long
             while rests:
-                held = sum(r[0] for r in rests) if len(rests) < 8 else size * 2
-                if not whole and held < size and sum(r[0] for x in self.rests[: tier + 1] for r in x) < size:
+                if len(rests) < 8 and sum(r[0] for x in self.rests[: tier + 1] for r in x) < size:
                     break
                 length, doc, start = rests.pop()
                 window = [(doc, start, length)]
-                gap = self._fill(window, size - length, max(tier, 1), MIN_CUT if whole else 1)
-                if gap and not whole:
-                    gap = self._fill(window, gap, tier + 1, 1)
+                least = MIN_CUT if size == self.long else 1
+                gap = self._fill(window, size - length, tier, least)
+                if gap >= least:
+                    self._fill(window, gap, tier + 1, least)
                 self.windows.append(window)
         if last:
             self._rest()
