@@ -13,6 +13,7 @@ from arena.sources import tables as b
 from arena.sources.tables import Tables, day_text
 
 PARAMS = m.metric_params(as_of="2001-08-01", window_days=365, basis=None)
+WINDOW = (PARAMS.date_from, PARAMS.date_to)
 
 
 def _round(df: DataFrame, *cols: str) -> DataFrame:
@@ -33,7 +34,7 @@ def competition_weight_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     star(ELIGIBLE) + "SELECT tournament_id, strftime(date, '%Y-%m-%d') AS day, round(w_t, 9) AS w_t FROM elig",
 )
 def eligible_competitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    comps = m.eligible(b.basket_star(Tables(spark, sf_dir)), PARAMS)
+    comps = m.eligible(b.calendar_star(Tables(spark, sf_dir), WINDOW), PARAMS)
     return _round(comps.select("tournament_id", day_text("date").alias("day"), "w_t"), "w_t")
 
 
@@ -66,7 +67,7 @@ def stat_fact_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 WHERE tournament_id IN (SELECT tournament_id FROM elig)""",
 )
 def eligible_semi_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = b.basket_star(Tables(spark, sf_dir))
+    s = b.basket_star(Tables(spark, sf_dir), WINDOW)
     comps = m.eligible(s, PARAMS).select("tournament_id")
     return s.appearances.join(comps, "tournament_id", "left_semi").select(
         "deck_id", "tournament_id", F.col("rank").cast("long").alias("rank")
@@ -78,7 +79,7 @@ def eligible_semi_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     star(CARRY) + "SELECT deck_id, tournament_id, round(share, 9) AS share FROM norm",
 )
 def share_within_competition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = b.basket_star(Tables(spark, sf_dir))
+    s = b.basket_star(Tables(spark, sf_dir), WINDOW)
     return _round(m.entry_shares(s, m.eligible(s, PARAMS)).select("deck_id", "tournament_id", "share"), "share")
 
 
@@ -89,7 +90,7 @@ def share_within_competition(spark: SparkSession, sf_dir: str) -> DataFrame:
   round(share * copies, 9) AS carry_copies FROM carry""",
 )
 def carry_per_entry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = b.basket_star(Tables(spark, sf_dir))
+    s = b.basket_star(Tables(spark, sf_dir), WINDOW)
     c = m.carries(s, PARAMS, m.eligible(s, PARAMS))
     return _round(
         c.select("group_key", "tournament_id", "deck_id", "carry", (F.col("share") * F.col("copies")).alias("carry_copies")),
@@ -107,13 +108,13 @@ def _usage_sql(factor: str) -> str:
 
 @query("weighted_usage", _usage_sql(""))
 def weighted_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _round(m.weighted_usage(b.basket_star(Tables(spark, sf_dir)), PARAMS), "value")
+    return _round(m.weighted_usage(b.basket_star(Tables(spark, sf_dir), WINDOW), PARAMS), "value")
 
 
 @query("weighted_usage_copies", _usage_sql(" * copies"))
 def weighted_usage_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     params = m.replace(PARAMS, usage_basis="copies")
-    return _round(m.weighted_usage(b.basket_star(Tables(spark, sf_dir)), params), "value")
+    return _round(m.weighted_usage(b.basket_star(Tables(spark, sf_dir), WINDOW), params), "value")
 
 
 @query(
@@ -124,7 +125,7 @@ def weighted_usage_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 FROM carry WHERE wins IS NOT NULL GROUP BY group_key""",
 )
 def win_rate_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _round(m.win_rate_records(b.basket_star(Tables(spark, sf_dir)), PARAMS), "value")
+    return _round(m.win_rate_records(b.basket_star(Tables(spark, sf_dir), WINDOW), PARAMS), "value")
 
 
 # layer B normalises over the competitions with a known cut and head count
@@ -144,7 +145,7 @@ LAYER_B = CARRY.replace(
 FROM wc GROUP BY group_key""",
 )
 def topcut_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _round(m.topcut_conversion(b.basket_star(Tables(spark, sf_dir)), PARAMS), "value", "q0")
+    return _round(m.topcut_conversion(b.basket_star(Tables(spark, sf_dir), WINDOW), PARAMS), "value", "q0")
 
 
 WWS = star(CARRY) + """, s AS (SELECT group_key, sum(w_t * share) AS usage,
@@ -166,7 +167,7 @@ tot AS (SELECT sum(w_t) AS w_all FROM elig)
   CAST(w + l + t AS BIGINT) AS n, w + l + t < 5 AS low_confidence FROM s, tot""",
 )
 def weighted_win_score_a(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _round(m.weighted_win_score(b.basket_star(Tables(spark, sf_dir)), PARAMS, "a"), "value")
+    return _round(m.weighted_win_score(b.basket_star(Tables(spark, sf_dir), WINDOW), PARAMS, "a"), "value")
 
 
 @query(
@@ -176,7 +177,7 @@ def weighted_win_score_a(spark: SparkSession, sf_dir: str) -> DataFrame:
   apps AS n, apps < 5 AS low_confidence FROM s, tot, q""",
 )
 def weighted_win_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _round(m.weighted_win_score(b.basket_star(Tables(spark, sf_dir)), PARAMS, "b"), "value")
+    return _round(m.weighted_win_score(b.basket_star(Tables(spark, sf_dir), WINDOW), PARAMS, "b"), "value")
 
 
 @query(
@@ -188,7 +189,7 @@ def weighted_win_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 FROM carry JOIN elig e USING (tournament_id) WHERE group_key = 'Brand#7' GROUP BY tournament_id, name, date, tier""",
 )
 def group_drilldown(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = m.group_drilldown(b.basket_star(Tables(spark, sf_dir)), PARAMS, "Brand#7")
+    out = m.group_drilldown(b.basket_star(Tables(spark, sf_dir), WINDOW), PARAMS, "Brand#7")
     return _round(out, "weighted_carry").select(
         "tournament_id", "name", day_text("date").alias("day"), "tier", "n_decks", "weighted_carry", "topcut_decks",
         F.col("best_rank").cast("long").alias("best_rank"),
@@ -200,7 +201,7 @@ def group_drilldown(spark: SparkSession, sf_dir: str) -> DataFrame:
     star(CARRY) + "SELECT CASE WHEN count(record_wins) > 0 THEN 'a' ELSE 'b' END AS layer FROM norm",
 )
 def layer_auto_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return m.detect_layer(b.basket_star(Tables(spark, sf_dir)), PARAMS)
+    return m.detect_layer(b.basket_star(Tables(spark, sf_dir), WINDOW), PARAMS)
 
 
 @query(
@@ -212,17 +213,17 @@ def layer_auto_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
 FROM elig WHERE topcut_slots IS NOT NULL AND participant_count IS NOT NULL""",
 )
 def metric_meta_echo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return m.metric_meta(b.basket_star(Tables(spark, sf_dir)), PARAMS, layer="b")
+    return m.metric_meta(b.calendar_star(Tables(spark, sf_dir), WINDOW), PARAMS, layer="b")
 
 
 @query("metric_ranking", _usage_sql("") + " ORDER BY value DESC, group_key")
 def metric_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return m.ranking(_round(m.weighted_usage(b.basket_star(Tables(spark, sf_dir)), PARAMS), "value"))
+    return m.ranking(_round(m.weighted_usage(b.basket_star(Tables(spark, sf_dir), WINDOW), PARAMS), "value"))
 
 
 @query("metric_ranking_top", _usage_sql("") + " ORDER BY value DESC, group_key LIMIT 10")
 def metric_ranking_top(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return m.ranking(_round(m.weighted_usage(b.basket_star(Tables(spark, sf_dir)), PARAMS), "value"), limit=10)
+    return m.ranking(_round(m.weighted_usage(b.basket_star(Tables(spark, sf_dir), WINDOW), PARAMS), "value"), limit=10)
 
 
 SOURCES = sorted(SOURCE_BASIS)
@@ -236,4 +237,4 @@ SOURCES = sorted(SOURCE_BASIS)
 )
 def weighted_usage_by_basis(spark: SparkSession, sf_dir: str) -> DataFrame:
     params = m.replace(PARAMS, basis="intl_aligned", tiers=("super",))
-    return _round(m.weighted_usage(b.basket_star(Tables(spark, sf_dir)), params), "value")
+    return _round(m.weighted_usage(b.basket_star(Tables(spark, sf_dir), WINDOW), params), "value")

@@ -73,9 +73,28 @@ SEGMENT_SOURCE = {
 MAX_RESOLVED_SIZE = 48  # larger parts play the role of unresolved items
 
 
-def entries(t: Tables) -> DataFrame:
+Window = tuple[str, str]  # first and last day of the competitions that are asked for
+
+
+def months_of(window: Window) -> tuple[str, str]:
+    """First day of the first month, and of the month after the last one: whole competitions, as ids hold the month."""
+    year, month = int(window[1][:4]), int(window[1][5:7])
+    after = (year + 1, 1) if month == 12 else (year, month + 1)
+    return f"{window[0][:7]}-01", f"{after[0]:04d}-{after[1]:02d}-01"
+
+
+def orders_of(t: Tables, window: Window | None) -> DataFrame:
+    """Orders of the months of a window; the bounds reach the scan."""
+    if window is None:
+        return t.orders
+    first, after = months_of(window)
+    stamp = t.orders.schema["o_orderdate"].dataType
+    return t.orders.filter((F.col("o_orderdate") >= F.lit(first).cast(stamp)) & (F.col("o_orderdate") < F.lit(after).cast(stamp)))
+
+
+def entries(t: Tables, window: Window | None = None) -> DataFrame:
     """orders with competition id, segment and day."""
-    orders = t.orders.select(
+    orders = orders_of(t, window).select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority",
         F.to_date("o_orderdate").alias("day"),
     )
@@ -88,8 +107,8 @@ def entries(t: Tables) -> DataFrame:
     )
 
 
-def tournaments(t: Tables) -> DataFrame:
-    agg = entries(t).groupBy("tournament_id", "segment").agg(
+def tournaments(t: Tables, window: Window | None = None) -> DataFrame:
+    agg = entries(t, window).groupBy("tournament_id", "segment").agg(
         F.max("day").alias("date"), F.count_distinct("o_custkey").alias("buyers")
     )
     month, year = F.month("date"), F.year("date")
@@ -120,9 +139,17 @@ def item_scope() -> Column:
     )
 
 
-def basket_lines(t: Tables) -> DataFrame:
+def lines_of(t: Tables, window: Window | None) -> DataFrame:
+    """Line items of the orders of a window, before anything is aggregated or joined."""
+    if window is None:
+        return t.lineitem
+    keys = orders_of(t, window).select(F.col("o_orderkey").alias("l_orderkey"))
+    return t.lineitem.select("l_orderkey", "l_partkey", "l_quantity", "l_returnflag").join(keys, "l_orderkey", "left_semi")
+
+
+def basket_lines(t: Tables, window: Window | None = None) -> DataFrame:
     """One row per line item with the catalogue columns the baskets need."""
-    lines = t.lineitem.select("l_orderkey", "l_partkey", F.col("l_quantity").cast("long").alias("copies"))
+    lines = lines_of(t, window).select("l_orderkey", "l_partkey", F.col("l_quantity").cast("long").alias("copies"))
     part = t.part.select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
     resolved = F.col("p_size") <= MAX_RESOLVED_SIZE
     return lines.join(part, lines.l_partkey == part.p_partkey).select(
@@ -135,29 +162,29 @@ def basket_lines(t: Tables) -> DataFrame:
     )
 
 
-def records(t: Tables) -> DataFrame:
+def records(t: Tables, window: Window | None = None) -> DataFrame:
     flag = F.col("l_returnflag")
-    return t.lineitem.groupBy(F.col("l_orderkey").alias("deck_id")).agg(
+    return lines_of(t, window).groupBy(F.col("l_orderkey").alias("deck_id")).agg(
         F.count_if(flag == "R").alias("w"),
         F.count_if(flag == "A").alias("l"),
         F.count_if(flag == "N").alias("t"),
     )
 
 
-def ranked_entries(t: Tables) -> DataFrame:
+def ranked_entries(t: Tables, window: Window | None = None) -> DataFrame:
     """Entries ranked by price inside each competition; a hot competition is split by price range."""
-    splits = quantile_splits(t.orders, "o_totalprice")
+    splits = quantile_splits(orders_of(t, window), "o_totalprice")
     return split_rank(
-        entries(t), ["tournament_id"], "o_totalprice", splits=splits, desc=True, tie=["o_orderkey"], name="rank"
+        entries(t, window), ["tournament_id"], "o_totalprice", splits=splits, desc=True, tie=["o_orderkey"], name="rank"
     )
 
 
-def appearances(t: Tables) -> DataFrame:
-    ranked = ranked_entries(t)
+def appearances(t: Tables, window: Window | None = None) -> DataFrame:
+    ranked = ranked_entries(t, window)
     status = F.col("o_orderstatus")
     points = F.when(status == "O", F.lit(0.0)).when(status == "F", F.col("o_totalprice") / 1000)
     played = status != "P"
-    joined = ranked.withColumnRenamed("o_orderkey", "deck_id").join(records(t), "deck_id", "left")
+    joined = ranked.withColumnRenamed("o_orderkey", "deck_id").join(records(t, window), "deck_id", "left")
     result = [
         F.when(played, F.coalesce(F.col(c), F.lit(0))).alias(n)
         for c, n in (("w", "record_wins"), ("l", "record_losses"), ("t", "record_ties"))
@@ -168,7 +195,17 @@ def appearances(t: Tables) -> DataFrame:
     )
 
 
-def basket_star(t: Tables) -> Star:
-    """The driver tables as a star; item groups are already carried by the basket rows."""
-    cards = basket_lines(t)
-    return Star(tournaments(t), mapping_status(cards), appearances(t), cards)
+def basket_star(t: Tables, window: Window | None = None) -> Star:
+    """The driver tables as a star; item groups are already carried by the basket rows.
+
+    With a window, only whole competitions of its months are read: ranks, records
+    and mapping states of other years are never made.
+    """
+    cards = basket_lines(t, window)
+    return Star(tournaments(t, window), mapping_status(cards), appearances(t, window), cards)
+
+
+def calendar_star(t: Tables, window: Window | None = None) -> Star:
+    """A star for what reads competitions alone: no ranks are prepared."""
+    none = t.orders.limit(0)
+    return Star(tournaments(t, window), none, none, none)
