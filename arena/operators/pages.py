@@ -131,6 +131,7 @@ UPDATED = r"更新日期.*?(\d{4})年(\d{1,2})月(\d{1,2})日"
 MARK_LIST = r"赛制标记为\s*([A-Z](?:\s*、\s*[A-Z])*)"
 BANNED_START = "以下卡牌无法加入卡组中"
 BANNED_ITEM = r"^(.+?)（(?:特性|招式)：(.+?)）$"
+PROMO_NOTE = "特典卡 "
 PROMO_ITEM = r"^特典卡“(.+?)”（(.+?)）$"
 ANY_ENERGY = "各种基本能量卡"
 
@@ -177,7 +178,10 @@ def parse_rule_pages(pages: DataFrame) -> DataFrame:
         marks = F.regexp_extract(F.coalesce(marks_text, F.lit("")), MARK_LIST, 1)
         df = df.withColumn("_state", state).withColumn("_from", F.coalesce(_page_date(texts, SINCE), _page_date(texts, UPDATED)))
         df = df.withColumn("_marks", F.when(marks != "", F.split(marks, r"\s*、\s*")) if fmt == "standard" else F.lit(None).cast("array<string>"))
-        allow = F.transform("_state.allow", lambda t: F.coalesce(F.nullif(F.regexp_extract(t, PROMO_ITEM, 1), F.lit("")), t))
+        part = lambda t, i: F.nullif(F.regexp_extract(t, PROMO_ITEM, i), F.lit(""))
+        allow = F.transform("_state.allow", lambda t: F.struct(
+            F.coalesce(part(t, 1), t).alias("name_full"), F.concat(F.lit(PROMO_NOTE), part(t, 2)).alias("note")
+        ))
         banned = F.transform("_state.ban", lambda t: F.struct(
             F.coalesce(F.nullif(F.regexp_extract(t, BANNED_ITEM, 1), F.lit("")), t).alias("name"),
             F.nullif(F.regexp_extract(t, BANNED_ITEM, 2), F.lit("")).alias("ability_or_attack"),

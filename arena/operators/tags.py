@@ -19,6 +19,22 @@ def tag_texts(df: DataFrame, text: str, tags: Vocabulary, flags: Vocabulary = ()
     return df.withColumn("tags", regex_tags(F.col(text), tags, k)).withColumn("flags", flag_col)
 
 
+def card_texts(cards: DataFrame) -> DataFrame:
+    """(card_id, kind, who, text) of active cards: rule text of trainer and energy cards, every attack and ability.
+
+    ``cards``: card_id, name_full, card_type, status, text_raw, attacks and
+    abilities (arrays of name, effect_text, text).
+    """
+    line = lambda kind, who, text: F.struct(kind.alias("kind"), who.alias("who"), F.trim(F.coalesce(text, F.lit(""))).alias("text"))
+    owner = lambda x: F.concat(F.col("name_full"), F.lit("/"), F.coalesce(x["name"], F.lit("")))
+    listed = lambda col, kind, text: F.transform(F.coalesce(F.col(col), F.array().cast(cards.schema[col].dataType)), lambda x: line(F.lit(kind), owner(x), text(x)))  # noqa: E731,E501
+    own = F.when(F.col("card_type").isin("trainer", "energy"), F.array(line(F.col("card_type"), F.col("name_full"), F.col("text_raw")))).otherwise(F.array())
+    attacks = listed("attacks", "attack", lambda x: x["effect_text"])
+    abilities = listed("abilities", "ability", lambda x: F.coalesce(F.nullif(x["effect_text"], F.lit("")), x["text"]))
+    rows = cards.filter(F.col("status") == "active").select("card_id", F.explode(F.concat(own, attacks, abilities)).alias("r"))
+    return rows.select("card_id", "r.*").filter(F.col("text") != "")
+
+
 def distinct_tagged(df: DataFrame, key: str, text: str, tags: Vocabulary, flags: Vocabulary = (), kind: str | None = None) -> DataFrame:
     """One row per distinct trimmed text (first key wins), tagged.
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arena.functions.rank import earliest_per_key, quantile_splits, split_rank
+from arena.functions.tag_vocab import EFFECT_FLAGS, EFFECT_TAGS
 from arena.operators import pages as p
 from arena.operators import tags as tg
 from arena.registry import query
@@ -76,8 +79,8 @@ def block_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "rule_page_parse",
     """SELECT o_orderkey AS page_id, 'standard' AS format, CASE WHEN o_orderkey % 5 <> 0 THEN strftime(o_orderdate, '%Y-%m-%d') END AS day, CASE WHEN o_orderkey % 3 <> 0 THEN 'G,H' END AS marks,
-  o_orderpriority AS whitelist, '' AS banned, concat_ws(',', CASE WHEN o_orderkey % 5 = 0 THEN 'no_date' END, CASE WHEN o_orderkey % 3 = 0 THEN 'no_marks' END) AS errors FROM orders
-UNION ALL SELECT o_orderkey, 'open', strftime(o_orderdate, '%Y-%m-%d'), NULL, CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE 'card ' || o_orderstatus END,
+  o_orderpriority || '/' AS whitelist, '' AS banned, concat_ws(',', CASE WHEN o_orderkey % 5 = 0 THEN 'no_date' END, CASE WHEN o_orderkey % 3 = 0 THEN 'no_marks' END) AS errors FROM orders
+UNION ALL SELECT o_orderkey, 'open', strftime(o_orderdate, '%Y-%m-%d'), NULL, CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE 'card ' || o_orderstatus || '/特典卡 P' END,
   'ban ' || o_custkey || '/skill,plain', CASE WHEN o_orderkey % 7 = 0 THEN 'empty_whitelist' ELSE '' END FROM orders""",
 )
 def rule_page_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,10 +93,11 @@ def rule_page_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
         block("li", "ban ", F.col("o_custkey").cast("string"), "（招式：skill）"), block("li", "plain"),
     ))
     parsed = p.parse_rule_pages(Tables(spark, sf_dir).orders.select(key.alias("page_id"), blocks.alias("blocks")))
+    allowed = F.transform("whitelist", lambda w: F.concat(w["name_full"], F.lit("/"), F.coalesce(w["note"], F.lit(""))))
     bans = F.transform("banned", lambda b: F.concat_ws("/", b["name"], b["ability_or_attack"]))
     return parsed.select(
         "page_id", "format", F.date_format("effective_from", "yyyy-MM-dd").alias("day"), F.array_join("marks", ",").alias("marks"),
-        F.array_join("whitelist", ",").alias("whitelist"), F.array_join(bans, ",").alias("banned"), F.array_join("errors", ",").alias("errors"),
+        F.array_join(allowed, ",").alias("whitelist"), F.array_join(bans, ",").alias("banned"), F.array_join("errors", ",").alias("errors"),
     )
 
 
@@ -174,3 +178,46 @@ UNION ALL SELECT 'tags', label, count(*) FROM (SELECT unnest(tags) AS label FROM
 def tag_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = Tables(spark, sf_dir).documents.select("doc_id", "text", "lang")
     return tg.tag_coverage(tg.distinct_tagged(docs, "doc_id", "text", DOC_TAGS, DOC_FLAGS, kind="lang"))
+
+
+# texts of cards, in the wording that the vocabulary is made for
+EFFECT_TEXTS = [
+    "抽3张卡牌。", "从自己牌库上方选择1张", "将自己牌库中的1张宝可梦加入手牌", "选择自己弃牌区中的1张卡牌加入手牌", "查看对手的手牌",
+    "这个招式的伤害增加30点", "在对手的备战宝可梦身上放置2个伤害指示物", "恢复30点HP", "令对手的战斗宝可梦陷入【睡眠】", "对手的战斗宝可梦与备战宝可梦互换", "没有效果", "",
+]
+
+
+def _effect_rows() -> str:
+    """Tags and flags of every text and kind, by Python's own expressions."""
+    rows = []
+    for i, text in enumerate(EFFECT_TEXTS):
+        for kind in ("trainer", "energy", "attack", "ability"):
+            hits = lambda vocabulary, scope: ",".join(t for t, ps, s in vocabulary if (s in (None, scope) or (s == "pokemon" and scope in ("attack", "ability"))) and any(re.search(p, text) for p in ps))  # noqa: B023,E731,E501
+            rows.append(f"({i}, '{kind}', '{hits(EFFECT_TAGS, kind)}', '{hits(EFFECT_FLAGS, None)}', {bool(text)})")
+    return ", ".join(rows)
+
+
+@query(
+    "effect_tag_scan",
+    f"""WITH v(i, kind, tags, flags, present) AS (VALUES {_effect_rows()}),
+k AS (SELECT p_brand || '-' || p_partkey AS card_id, p_name, p_type, p_partkey AS n FROM part WHERE p_size % 5 <> 0),
+x AS (SELECT card_id, p_name AS who, CASE WHEN p_type = 'PROMO' THEN 'energy' ELSE 'trainer' END AS kind, n % 12 AS i FROM k WHERE p_type NOT IN ('ECONOMY', 'STANDARD')
+  UNION ALL SELECT card_id, p_name || '/a' || j, 'attack', (n // 3 + j) % 12 FROM k, (VALUES (0), (5)) AS t(j) WHERE p_type IN ('ECONOMY', 'STANDARD')
+  UNION ALL SELECT card_id, p_name || '/b', 'ability', (n // 7) % 12 FROM k WHERE p_type = 'ECONOMY')
+SELECT card_id, x.kind, who, tags, flags FROM x JOIN v ON v.i = x.i AND v.kind = x.kind WHERE present""",
+)
+def effect_tag_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("p_partkey")
+    said = lambda i: F.element_at(F.array(*[F.lit(t) for t in EFFECT_TEXTS]), (i % len(EFFECT_TEXTS) + 1).cast("int"))
+    effect = lambda name, first, second: F.struct(F.lit(name).alias("name"), first.alias("effect_text"), second.alias("text"))
+    none, pokemon = F.lit(None).cast("string"), F.col("p_type").isin("ECONOMY", "STANDARD")
+    third, seventh = F.floor(key / 3), F.floor(key / 7)
+    cards = Tables(spark, sf_dir).part.select(
+        F.concat("p_brand", F.lit("-"), key.cast("string")).alias("card_id"), F.col("p_name").alias("name_full"),
+        F.when(pokemon, "pokemon").when(F.col("p_type") == "PROMO", "energy").otherwise("trainer").alias("card_type"),
+        F.when(F.col("p_size") % 5 == 0, "draft").otherwise("active").alias("status"), F.when(~pokemon, F.concat(F.lit(" "), said(key))).alias("text_raw"),
+        F.when(pokemon, F.array(effect("a0", said(third), none), effect("a5", said(third + 5), none))).alias("attacks"),
+        F.when(F.col("p_type") == "ECONOMY", F.array(effect("b", F.lit(""), said(seventh)))).alias("abilities"),
+    )
+    tagged = tg.tag_texts(tg.card_texts(cards), "text", EFFECT_TAGS, EFFECT_FLAGS, kind="kind")
+    return tagged.select("card_id", "kind", "who", F.array_join("tags", ",").alias("tags"), F.array_join("flags", ",").alias("flags"))

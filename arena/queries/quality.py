@@ -253,16 +253,36 @@ def mechanic_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "activation_gate",
-    """WITH f AS (SELECT p_brand, 'hp' AS rule FROM part WHERE p_size = 49 AND p_partkey % 3 = 0 UNION ALL SELECT p_brand, 'name' FROM part WHERE p_name = 'red rod' AND p_size > 30),
-b AS (SELECT p_brand, count(*) AS failures, count(DISTINCT rule) AS rules FROM f GROUP BY 1)
-SELECT p.p_brand AS set_id, coalesce(max(failures), 0) AS failures, coalesce(max(rules), 0) AS rules, max(failures) IS NULL AS passed,
-  count(*) FILTER (failures IS NULL OR p_size % 4 = 0) AS active FROM part p LEFT JOIN b USING (p_brand) GROUP BY p.p_brand""",
+    """WITH k AS (SELECT p_partkey AS num, p_brand AS set_id, p_type AS kind, p_size AS size FROM part),
+f AS (SELECT set_id, 'required' AS rule FROM k WHERE num % 379 = 0 UNION ALL SELECT set_id, 'enum' FROM k WHERE kind IN ('SMALL', 'MEDIUM', 'LARGE') AND num % 397 = 0
+  UNION ALL SELECT set_id, 'range' FROM k WHERE kind IN ('ECONOMY', 'STANDARD') AND num % 101 = 0 UNION ALL SELECT set_id, 'range' FROM k WHERE kind <> 'PROMO' AND num % 389 = 0
+  UNION ALL SELECT set_id, 'recompute' FROM k WHERE num % 383 = 0 UNION ALL SELECT set_id, 'count' FROM k WHERE num % 373 = 0 GROUP BY set_id),
+b AS (SELECT set_id, count(*) AS failures, count(DISTINCT rule) AS rules FROM f GROUP BY 1)
+SELECT k.set_id, coalesce(max(failures), 0) AS failures, coalesce(max(rules), 0) AS rules, max(failures) IS NULL AS passed,
+  count(*) FILTER (failures IS NULL OR size % 4 = 0) AS active FROM k LEFT JOIN b USING (set_id) GROUP BY k.set_id""",
 )
 def activation_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cat = c.catalogue(Tables(spark, sf_dir)).withColumn("status", F.when(F.col("size") % 4 == 0, "active").otherwise("draft"))
-    bad = lambda cond, rule: cat.filter(cond).select("set_id", F.lit(rule).alias("rule"))
-    failures = bad((F.col("size") == 49) & (F.col("num") % 3 == 0), "hp").unionByName(bad((F.col("name_full") == "red rod") & (F.col("size") > 30), "name"))
-    cards, verdict = q.activation_gate(cat, failures)
+    """Faults planted in stored records; the checks find them, and the gate takes what the checks return."""
+    at = lambda n: F.col("num") % n == 0
+    made = c.catalogue(Tables(spark, sf_dir)).withColumns({
+        "status": F.when(F.col("size") % 4 == 0, "active").otherwise("draft"), "hp": F.least(F.col("size") * 7 + 3, F.lit(340)),
+    })
+    stored = made.withColumns({
+        "name_full": F.when(~at(379), F.col("name_full")), "trainer_subtype": F.when(F.col("trainer_subtype").isNotNull() & at(397), "?").otherwise(F.col("trainer_subtype")),
+        "hp": F.when(at(101), 400).otherwise(F.col("hp")), "mark": F.when(F.col("mark").isNotNull() & at(389), "x").otherwise(F.col("mark")),
+        "species": F.when(at(383), F.concat("species", F.lit("?"))).otherwise(F.col("species")),
+    })
+    found = q.run_checks(
+        stored, "num",
+        {
+            "required": q.required_violations(stored, "num", ["name_full", "card_type", "number"]),
+            "enum": q.enum_violations(stored, "num", {"trainer_subtype": F.array("trainer_subtype")}, {"trainer_subtype": list(c.SUBTYPE_OF.values())}),
+            "range": q.format_and_range(stored, "num", "mark", "hp", F.col("card_type") == "pokemon"),
+            "recompute": q.recompute_compare(stored, made, "num", ["species"]),
+        },
+        {"count": q.set_reconciliation(made.select("set_id", "number"), stored.filter(~at(373)))},
+    )
+    cards, verdict = q.activation_gate(stored, found)
     return verdict.join(cards.groupBy("set_id").agg(F.count_if(F.col("status") == "active").alias("active")), "set_id")
 
 

@@ -209,12 +209,12 @@ def late_refresh_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     first, second = events.filter(F.col("event_id") % 10 != 0), events.filter(F.col("event_id") % 10 == 0)
     first.write.mode("append").parquet(source)
     r.daily_totals(spark, source, target, checkpoint, schema)
-    late = r.late_rows(second, "ts", first.agg(F.max("ts")).scalar())
     second.write.mode("append").parquet(source)
     r.daily_totals(spark, source, target, checkpoint, schema)
-    counts = late.groupBy(F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("late"))
-    totals = r.current_totals(spark, target).join(counts, "day", "left")
-    return totals.select(day_text("day").alias("day"), "n", "amount", F.coalesce("late", F.lit(0)).alias("late"))
+    # what the job itself set aside, not a second look at the deliveries
+    late = r.late_rejects(spark, target, schema).groupBy(F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("late"))
+    totals = r.current_totals(spark, target).join(late, "day", "full_outer")
+    return totals.select(day_text("day").alias("day"), F.coalesce("n", F.lit(0)).alias("n"), "amount", F.coalesce("late", F.lit(0)).alias("late"))
 
 
 @query(

@@ -52,36 +52,47 @@ def ingest_files(
     job.awaitTermination()
 
 
-def daily_totals(spark: SparkSession, source: str, target: str, checkpoint: str, schema: str, lateness: str = "14 days") -> None:
-    """Day totals of a file stream; a day is open for ``lateness`` after the newest row, then closed.
+def daily_totals(spark: SparkSession, source: str, target: str, checkpoint: str, schema: str, lateness_days: int = 14) -> None:
+    """Day totals of a file stream; a day is open for ``lateness_days`` after the newest row of earlier batches.
 
-    Updated days of each micro-batch are written to its own folder; the newest
-    batch of a day is its current value. State holds only the open days.
+    Each micro-batch owns one folder per output and overwrites it, so a replayed
+    batch leaves the same rows: ``totals`` gets what the batch adds to open days,
+    ``late`` the rows of closed days, and ``newest`` the greatest time of the batch.
     """
 
-    def upsert(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{target}/{BATCH}={batch_id}")
+    def split(batch: DataFrame, batch_id: int) -> None:
+        own = f"{BATCH}={batch_id}"
+        if batch_id == 0:
+            late, timely = batch.limit(0), batch
+        else:
+            seen = spark.read.schema(f"newest timestamp, {BATCH} long").parquet(f"{target}/newest")
+            newest_before = seen.filter(F.col(BATCH) < batch_id).agg(F.max("newest")).scalar()
+            closed = F.coalesce(is_late("ts", newest_before, lateness_days), F.lit(False))
+            late, timely = batch.filter(closed), batch.filter(~closed)
+        late.write.mode("overwrite").parquet(f"{target}/late/{own}")
+        added = timely.groupBy(F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount"))
+        added.write.mode("overwrite").parquet(f"{target}/totals/{own}")
+        batch.agg(F.max("ts").alias("newest")).write.mode("overwrite").parquet(f"{target}/newest/{own}")
 
     events = spark.readStream.schema(schema).parquet(source).withColumn("ts", F.col("ts").cast("timestamp"))
-    totals = events.withWatermark("ts", lateness).groupBy(F.window("ts", "1 day").alias("w")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount")
-    ).select(F.to_date("w.start").alias("day"), "n", "amount")
-    job = (
-        totals.writeStream.outputMode("update").foreachBatch(upsert).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
-    )
+    job = events.writeStream.foreachBatch(split).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     job.awaitTermination()
 
 
 def current_totals(spark: SparkSession, target: str) -> DataFrame:
-    rows = spark.read.schema(f"day date, n long, amount long, {BATCH} long").parquet(target)
-    return rows.groupBy("day").agg(F.max_by("n", BATCH).alias("n"), F.max_by("amount", BATCH).alias("amount"))
+    rows = spark.read.schema(f"day date, n long, amount long, {BATCH} long").parquet(f"{target}/totals")
+    return rows.groupBy("day").agg(F.sum("n").alias("n"), F.sum("amount").alias("amount"))
+
+
+def late_rejects(spark: SparkSession, target: str, schema: str) -> DataFrame:
+    """Rows that came after their day was closed."""
+    return spark.read.schema(f"{schema}, {BATCH} long").parquet(f"{target}/late").drop(BATCH)
 
 
-def late_rows(batch: DataFrame, ts: str, newest_before: Column, days: int = 14) -> DataFrame:
-    """Rows whose whole day was already closed when they arrived."""
+def is_late(ts: str, newest_before: Column, days: int = 14) -> Column:
+    """The whole day was already closed when the row arrived."""
     day_end = F.date_add(F.to_date(ts), 1).cast("timestamp")
-    return batch.filter(day_end <= newest_before - F.make_dt_interval(days=F.lit(days)))
+    return day_end <= newest_before - F.make_dt_interval(days=F.lit(days))
 
 
 def page_changes(stored: DataFrame, fetched: DataFrame) -> DataFrame:
