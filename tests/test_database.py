@@ -131,3 +131,21 @@ def test_ingest_channel(spark, db):
     mapped = {r["raw_name"]: r["card_id"] for r in out.star.deck_cards.collect()}
     assert mapped["Owl (old)"] == "B-1" and mapped["Ghost"] is None
     assert {r["rule"] for r in out.rules.collect()} == {"name_fallback+unique", "name_fallback+paren_strip+latest", "unmapped"}
+
+
+def test_ingest_counts_whole_baskets_and_keeps_what_it_drops(spark, db):
+    comps = spark.createDataFrame([("t1", "Regional", date(2025, 6, 1))], "tournament_id string, tier string, date date")
+    entries = spark.createDataFrame(
+        [("b1", "t1", 1), ("b2", "t1", 2), ("b3", "t1", 3), ("b4", "t1", None), ("b5", "t1", 5), ("b6", "t1", 6), ("b6", "t1", 6)],
+        "basket_id string, tournament_id string, rank int",
+    )
+    rows = [("b1", None, None, "Fox", 56), ("b1", "S1", "1", "Ghost", 2), ("b1", "S2", "2", "Ghost", 2)]
+    rows += [("b2", "S1", None, "Fox", 60), ("b3", None, "S1", "Fox", 60), ("b4", None, None, "Fox", 60), ("b6", None, None, "Fox", 59)]
+    items = spark.createDataFrame(rows, "basket_id string, raw_set string, raw_number string, raw_name string, count long")
+    out = ingest_channel("limitless", comps, entries, items, db.cards)
+    shares = {r["total"]: (r["mapped"], r["mapping_status"]) for r in out.star.decks.filter("mapped < total").collect()}
+    assert shares == {60: (56, "partial")}  # 56 of 60, although two lines of one unknown name are kept as one
+    ids = {r["rank"]: r["deck_id"] for r in out.star.appearances.collect()}
+    assert ids[2] != ids[3]  # a set without a number is not a number without a set
+    lost = sorted((r["basket_id"], r["reason"]) for r in out.lost_entries.collect())
+    assert lost == [("b4", "no_rank"), ("b5", "no_basket"), ("b6", "basket_blocked"), ("b6", "basket_blocked")]

@@ -32,10 +32,26 @@ def test_no_cross_join_and_no_row_python(spark, key):
         assert operator not in plan
 
 
+def scans(df):
+    """The parquet scans of a plan, one line each."""
+    return [x for x in df._jdf.queryExecution().executedPlan().toString().split("\n") if "FileScan parquet" in x]
+
+
 def test_filters_and_columns_reach_the_scan(spark):
-    df = entry.queries()["search_catalogue"](spark, SF)
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters: [" in plan and "p_retailprice" not in plan
+    (scan,) = scans(entry.queries()["search_catalogue"](spark, SF))
+    assert "p_retailprice" not in scan.split("ReadSchema")[1]
+    pushed = scan.split("PushedFilters: [")[1].split("]")[0]
+    assert "p_type" in pushed or "p_size" in pushed or "p_brand" in pushed
+
+
+@pytest.mark.parametrize("key", ["weighted_usage", "weighted_win_score", "win_rate_records", "topcut_conversion", "group_drilldown", "eligible_competitions"])
+def test_metrics_read_the_months_of_the_window(spark, key):
+    """Every scan of the orders carries both bounds of the window."""
+    orders = [x for x in scans(entry.queries()[key](spark, SF)) if "/orders.parquet" in x]
+    assert orders
+    for scan in orders:
+        pushed = scan.split("PushedFilters: [")[1].split("]")[0]
+        assert "GreaterThanOrEqual(o_orderdate" in pushed and "LessThan(o_orderdate" in pushed
 
 
 def brute(tours, apps, items, as_of, k_b=10.0):

@@ -54,6 +54,25 @@ def test_split_rank_without_keys_is_global(skewed):
     assert [r["id"] for r in out.orderBy("rn").collect()] == order
 
 
+def test_split_rank_keeps_null_keys(spark):
+    df = spark.createDataFrame([(None, 2.0, 1), (None, 1.0, 2), ("a", None, 3), ("a", 5.0, 4)], "k string, v double, id long")
+    out = rk.split_rank(df, ["k"], "v", splits=[1.0, 2.0, 5.0], tie=["id"], total="n").collect()
+    assert sorted((r["id"], r["rn"], r["n"]) for r in out) == [(1, 2, 2), (2, 1, 2), (3, 1, 2), (4, 2, 2)]
+
+
+@pytest.mark.parametrize("desc", [True, False])
+def test_split_rank_cuts_ties(spark, desc):
+    """A thousand equal values fall into several ranges and are still numbered by the tie."""
+    df = spark.createDataFrame([(7.0, i) for i in range(1000)] + [(float(i), 2000 + i) for i in range(20)], "v double, id long").repartition(4)
+    ties = rk.quantile_splits(df, "id")
+    out = rk.split_rank(df, [], "v", splits=rk.quantile_splits(df, "v"), desc=desc, tie=["id"], tie_splits=ties)
+    rows = sorted(out.collect(), key=lambda r: r["rn"])
+    assert [r["rn"] for r in rows] == list(range(1, 1021))
+    assert [r["id"] for r in rows] == [r["id"] for r in sorted(rows, key=lambda r: (-r["v"] if desc else r["v"], r["id"]))]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "windowspecdefinition(_range" in plan and "_tie" in plan
+
+
 def test_latest_and_earliest(skewed):
     rows, df = skewed
     last = {r["k"]: r["id"] for r in rk.latest_per_key(df, ["k"], [F.col("v"), F.col("id")]).collect()}
