@@ -28,12 +28,13 @@ def earliest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]
     return df.groupBy(*keys).agg(best).select(*keys, "_row.*")
 
 
-def quantile_splits(df: DataFrame, column: str) -> list[float]:
-    """Split points of a numeric column: one pass, a bounded array to the driver."""
+def quantile_splits(df: DataFrame, *columns: str) -> list[float] | list[list[float]]:
+    """Split points of a numeric column, or of several: one pass, bounded arrays to the driver."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     n = max(2, min(parts, MAX_SPLITS))
-    points = df.approxQuantile(column, [i / n for i in range(1, n)], 1 / (4 * n))
-    return sorted(set(points))
+    found = df.approxQuantile(list(columns), [i / n for i in range(1, n)], 1 / (4 * n))
+    out = [sorted(set(points)) for points in found]
+    return out[0] if len(columns) == 1 else out
 
 
 def with_range(df: DataFrame, value: Column, splits: Sequence[float], name: str) -> DataFrame:

@@ -224,7 +224,7 @@ def group_limits(cards: DataFrame, card_groups: DataFrame) -> DataFrame:
 
 
 def rule_violations(baskets: DataFrame, cards: DataFrame, card_groups: DataFrame, size: int = DECK_SIZE) -> DataFrame:
-    """Violation rows of every basket: deck_id, kind, subject, count.
+    """Violation rows of every basket: deck_id, kind, subject, count and the involved cards in order.
 
     ``baskets``: deck_id, card_id, count. ``cards``: card_id, deck_limit,
     is_basic_energy, rule_box_type, is_ace_spec, is_prism. Cards outside the
@@ -237,37 +237,41 @@ def rule_violations(baskets: DataFrame, cards: DataFrame, card_groups: DataFrame
     joined = lines.join(known_cards, F.col("card_id") == F.col("_id"), "left")
     known = joined.filter(F.col("_id").isNotNull())
 
+    limits = {
+        "ace_spec_limit": F.col("_id").isNotNull() & F.col("is_ace_spec"),
+        "radiant_limit": F.col("_id").isNotNull() & (F.coalesce(F.col("rule_box_type"), F.lit("")) == "radiant"),
+        "prism_star_limit": F.col("_id").isNotNull() & F.col("is_prism"),
+    }
+    card = F.col("card_id").cast("string")
+    listed = lambda cond: F.sort_array(F.collect_list(F.when(cond, card)))  # noqa: E731  at most the cards of one basket
     per_deck = joined.groupBy("deck_id").agg(
         F.sum("n").alias("total"),
         F.count_if(F.col("_id").isNull()).alias("unknown"),
-        *[
-            F.sum(F.when(F.col("_id").isNotNull() & cond, F.col("n")).otherwise(0)).alias(kind)
-            for kind, cond in (
-                ("ace_spec_limit", F.col("is_ace_spec")),
-                ("radiant_limit", F.coalesce(F.col("rule_box_type"), F.lit("")) == "radiant"),
-                ("prism_star_limit", F.col("is_prism")),
-            )
-        ],
+        listed(F.col("_id").isNull()).alias("unknown_cards"),
+        *[F.sum(F.when(cond, F.col("n")).otherwise(0)).alias(kind) for kind, cond in limits.items()],
+        *[listed(cond).alias(f"{kind}_cards") for kind, cond in limits.items()],
     )
-    limits = ("ace_spec_limit", "radiant_limit", "prism_star_limit")
+    row = lambda kind, count, cards: F.struct(F.lit(kind).alias("kind"), F.col(count).alias("count"), cards.alias("cards"))
     checks = F.array_compact(F.array(
-        F.when(F.col("total") != size, F.struct(F.lit("deck_size").alias("kind"), F.col("total").alias("count"))),
-        F.when(F.col("unknown") > 0, F.struct(F.lit("unknown_card").alias("kind"), F.col("unknown").alias("count"))),
-        *[F.when(F.col(k) > GLOBAL_LIMIT, F.struct(F.lit(k).alias("kind"), F.col(k).alias("count"))) for k in limits],
+        F.when(F.col("total") != size, row("deck_size", "total", F.array().cast("array<string>"))),
+        F.when(F.col("unknown") > 0, row("unknown_card", "unknown", F.col("unknown_cards"))),
+        *[F.when(F.col(k) > GLOBAL_LIMIT, row(k, k, F.col(f"{k}_cards"))) for k in limits],
     ))
     whole = per_deck.select("deck_id", F.explode(checks).alias("v")).select(
-        "deck_id", "v.kind", F.lit("").alias("subject"), "v.count"
+        "deck_id", "v.kind", F.lit("").alias("subject"), "v.count", "v.cards"
     )
 
     grouped = known.join(card_groups, "card_id").join(
         group_limits(cards, card_groups).filter(~F.col("all_basic")), "group_key"
     )
     singles = grouped.filter((F.col("n") > F.col("deck_limit")) & (F.col("deck_limit") < F.col("group_limit"))).select(
-        "deck_id", F.lit("name_limit").alias("kind"), F.col("card_id").cast("string").alias("subject"), F.col("n").alias("count")
+        "deck_id", F.lit("name_limit").alias("kind"), card.alias("subject"), F.col("n").alias("count"), F.array(card).alias("cards")
+    )
+    names = grouped.groupBy("deck_id", "group_key", "group_limit").agg(
+        F.sum("n").alias("count"), F.sort_array(F.collect_list(card)).alias("cards")
+    ).filter(F.col("count") > F.col("group_limit")).select(
+        "deck_id", F.lit("name_limit").alias("kind"), F.col("group_key").alias("subject"), "count", "cards"
     )
-    names = grouped.groupBy("deck_id", "group_key", "group_limit").agg(F.sum("n").alias("count")).filter(
-        F.col("count") > F.col("group_limit")
-    ).select("deck_id", F.lit("name_limit").alias("kind"), F.col("group_key").alias("subject"), "count")
     return whole.unionByName(singles).unionByName(names)
 
 
@@ -281,7 +285,7 @@ def legality_report(baskets: DataFrame, cards: DataFrame, card_groups: DataFrame
     refused = decisions.filter(~F.col("legal")).select("card_id", "banned")
     illegal = lines.join(refused, "card_id").select(
         "deck_id", F.when(F.col("banned"), "banned").otherwise("not_legal").alias("kind"),
-        F.col("card_id").cast("string").alias("subject"), "count",
+        F.col("card_id").cast("string").alias("subject"), "count", F.array(F.col("card_id").cast("string")).alias("cards"),
     )
     violations = rule_violations(baskets, cards, card_groups, size).unionByName(illegal)
     per_deck = violations.groupBy("deck_id").agg(F.count(F.lit(1)).alias("violations"))

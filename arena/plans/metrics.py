@@ -266,6 +266,11 @@ def win_rate(star: Star, p: MetricParams, layer: str = "auto") -> DataFrame:
     return topcut_conversion(star, p)
 
 
+def named(metric: DataFrame, name_groups: DataFrame) -> DataFrame:
+    """The metric with the name its groups are shown by; groups without one are left out. ``name_groups``: group_key, display_name."""
+    return metric.join(name_groups.select("group_key", "display_name"), "group_key")
+
+
 def ranking(metric: DataFrame, limit: int | None = None) -> DataFrame:
     """Value descending, key ascending; with a limit Spark keeps only top rows per task."""
     ordered = metric.orderBy(F.col("value").desc(), F.col("group_key").asc())

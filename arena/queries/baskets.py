@@ -235,13 +235,13 @@ gl AS (SELECT name_full, CASE WHEN bool_or(coalesce(rule, '') = 'v_union') THEN
 jd AS (SELECT ln.*, rc.name_full, rule, ace, lim, basic, prism FROM ln LEFT JOIN rc USING (card_id)),
 gd AS (SELECT jd.*, glim FROM jd JOIN gl ON gl.name_full = jd.name_full WHERE NOT all_basic),
 viol AS (
-  SELECT deck_id, 'deck_size' AS kind, '' AS subject, CAST(sum(n) AS BIGINT) AS cnt FROM jd GROUP BY deck_id HAVING sum(n) <> 16
-  UNION ALL SELECT deck_id, 'unknown_card', '', count(*) FROM jd WHERE name_full IS NULL GROUP BY deck_id
-  UNION ALL SELECT deck_id, 'ace_spec_limit', '', CAST(sum(n) AS BIGINT) FROM jd WHERE ace GROUP BY deck_id HAVING sum(n) > 1
-  UNION ALL SELECT deck_id, 'radiant_limit', '', CAST(sum(n) AS BIGINT) FROM jd WHERE rule = 'radiant' GROUP BY deck_id HAVING sum(n) > 1
-  UNION ALL SELECT deck_id, 'prism_star_limit', '', CAST(sum(n) AS BIGINT) FROM jd WHERE prism GROUP BY deck_id HAVING sum(n) > 1
-  UNION ALL SELECT deck_id, 'name_limit', CAST(card_id AS VARCHAR), n FROM gd WHERE n > lim AND lim < glim
-  UNION ALL SELECT deck_id, 'name_limit', name_full, CAST(sum(n) AS BIGINT) FROM gd GROUP BY deck_id, name_full, glim HAVING sum(n) > glim)"""
+  SELECT deck_id, 'deck_size' AS kind, '' AS subject, CAST(sum(n) AS BIGINT) AS cnt, '' AS cards FROM jd GROUP BY deck_id HAVING sum(n) <> 16
+  UNION ALL SELECT deck_id, 'unknown_card', '', count(*), string_agg(card_id::VARCHAR, ',' ORDER BY card_id::VARCHAR) FROM jd WHERE name_full IS NULL GROUP BY deck_id
+  UNION ALL SELECT deck_id, 'ace_spec_limit', '', CAST(sum(n) AS BIGINT), string_agg(card_id::VARCHAR, ',' ORDER BY card_id::VARCHAR) FROM jd WHERE ace GROUP BY deck_id HAVING sum(n) > 1
+  UNION ALL SELECT deck_id, 'radiant_limit', '', CAST(sum(n) AS BIGINT), string_agg(card_id::VARCHAR, ',' ORDER BY card_id::VARCHAR) FROM jd WHERE rule = 'radiant' GROUP BY deck_id HAVING sum(n) > 1
+  UNION ALL SELECT deck_id, 'prism_star_limit', '', CAST(sum(n) AS BIGINT), string_agg(card_id::VARCHAR, ',' ORDER BY card_id::VARCHAR) FROM jd WHERE prism GROUP BY deck_id HAVING sum(n) > 1
+  UNION ALL SELECT deck_id, 'name_limit', CAST(card_id AS VARCHAR), n, CAST(card_id AS VARCHAR) FROM gd WHERE n > lim AND lim < glim
+  UNION ALL SELECT deck_id, 'name_limit', name_full, CAST(sum(n) AS BIGINT), string_agg(card_id::VARCHAR, ',' ORDER BY card_id::VARCHAR) FROM gd GROUP BY deck_id, name_full, glim HAVING sum(n) > glim)"""
 
 
 def rule_baskets(t: Tables) -> DataFrame:
@@ -250,12 +250,13 @@ def rule_baskets(t: Tables) -> DataFrame:
     )
 
 
-@query("basket_rule_violations", f"WITH {RULES_SQL} SELECT deck_id, kind, subject, cnt AS copies FROM viol")
+@query("basket_rule_violations", f"WITH {RULES_SQL} SELECT deck_id, kind, subject, cnt AS copies, cards FROM viol")
 def basket_rule_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     cards = rule_cards(t)
     groups = cards.select("card_id", F.col("name_full").alias("group_key"))
-    return k.rule_violations(rule_baskets(t), cards, groups, 16).withColumnRenamed("count", "copies")
+    found = k.rule_violations(rule_baskets(t), cards, groups, 16).withColumnRenamed("count", "copies")
+    return found.withColumn("cards", F.array_join("cards", ","))
 
 
 @query(

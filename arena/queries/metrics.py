@@ -111,6 +111,18 @@ def weighted_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round(m.weighted_usage(b.basket_star(Tables(spark, sf_dir), WINDOW), PARAMS), "value")
 
 
+NAMES = "names AS (SELECT p_brand AS group_key, 'set of ' || min(p_name) AS display_name FROM part WHERE p_brand <> 'Brand#13' GROUP BY 1)"
+
+
+@query("weighted_usage_named", f"WITH {NAMES}, metric AS ({_usage_sql('')}) SELECT group_key, display_name, value, n, low_confidence FROM metric JOIN names USING (group_key)")
+def weighted_usage_named(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    groups = t.part.filter(F.col("p_brand") != "Brand#13").groupBy(F.col("p_brand").alias("group_key")).agg(
+        F.concat(F.lit("set of "), F.min("p_name")).alias("display_name")
+    )
+    return m.named(weighted_usage(spark, sf_dir), groups)
+
+
 @query("weighted_usage_copies", _usage_sql(" * copies"))
 def weighted_usage_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     params = m.replace(PARAMS, usage_basis="copies")

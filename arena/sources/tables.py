@@ -173,9 +173,9 @@ def records(t: Tables, window: Window | None = None) -> DataFrame:
 
 def ranked_entries(t: Tables, window: Window | None = None) -> DataFrame:
     """Entries ranked by price inside each competition; a hot competition is split by price range."""
-    splits = quantile_splits(orders_of(t, window), "o_totalprice")
+    splits, ties = quantile_splits(orders_of(t, window), "o_totalprice", "o_orderkey")
     return split_rank(
-        entries(t, window), ["tournament_id"], "o_totalprice", splits=splits, desc=True, tie=["o_orderkey"], name="rank"
+        entries(t, window), ["tournament_id"], "o_totalprice", splits=splits, desc=True, tie=["o_orderkey"], tie_splits=ties, name="rank"
     )
 
 

@@ -215,8 +215,8 @@ def test_rule_page(spark):
     pages = spark.createDataFrame([(1, blocks)], "page_id long, blocks array<struct<tag:string,text:string>>")
     got = {row["format"]: row for row in p.parse_rule_pages(pages).collect()}
     assert got["standard"]["effective_from"] == date(2026, 7, 16)
-    assert got["standard"]["marks"] == ["G", "H", "I"] and got["standard"]["whitelist"] == ["小火龙"]
-    assert got["open"]["whitelist"] == ["甲", "戊"]
+    assert got["standard"]["marks"] == ["G", "H", "I"] and [tuple(w) for w in got["standard"]["whitelist"]] == [("小火龙", "特典卡 PROMO_002/30th-P")]
+    assert [tuple(w) for w in got["open"]["whitelist"]] == [("甲", None), ("戊", None)]
     assert [(b["name"], b["ability_or_attack"]) for b in got["open"]["banned"]] == [("乙", "丙"), ("丁", None)]
 
 
