@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arena.functions import text as x
-from arena.functions.rank import earliest_per_key, latest_per_key
+from arena.functions.rank import earliest_per_key
 from arena.functions.vocab import TOPCUT_SIZES
 
 DECK_SIZE = 60
@@ -192,10 +192,11 @@ def rank_cut(entries: DataFrame, tier: str, cuts: DataFrame) -> tuple[DataFrame,
     return marked.filter(F.col("_kept")).drop("_kept", "cut_limit"), dropped
 
 
-def collisions(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> tuple[DataFrame, DataFrame]:
-    """(last row per key, keys seen more than once with their count)."""
-    seen = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("seen")).filter(F.col("seen") > 1)
-    return latest_per_key(df, keys, order), seen
+def collisions(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """Last row per key and ``seen``, how often the key came; one pass. Rows seen more than once are the warnings."""
+    rest = [c for c in df.columns if c not in keys]
+    last = F.max_by(F.struct(*rest), F.struct(*order)).alias("_row")
+    return df.groupBy(*keys).agg(last, F.count(F.lit(1)).alias("seen")).select(*keys, "_row.*", "seen")
 
 
 def env_mark_warnings(items: DataFrame, cards: DataFrame, entries: DataFrame) -> DataFrame:

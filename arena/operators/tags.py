@@ -50,11 +50,14 @@ def distinct_tagged(df: DataFrame, key: str, text: str, tags: Vocabulary, flags:
 
 def tag_coverage(distinct: DataFrame) -> DataFrame:
     """(section, label, n): totals, covered, multi-hit, zero-hit, and hits per tag and flag."""
-    size = F.size("tags")
-    totals = distinct.agg(
-        F.count(F.lit(1)).alias("total"), F.count_if(size > 0).alias("covered"), F.count_if(size >= 3).alias("multi_hit"), F.count_if(size == 0).alias("zero_hit")
+    line = lambda section, label, n: F.struct(F.lit(section).alias("section"), label.alias("label"), n.cast("long").alias("n"))
+    size, one = F.size("tags"), F.lit(1)
+    totals = {"total": one, "covered": (size > 0).cast("int"), "multi_hit": (size >= 3).cast("int"), "zero_hit": (size == 0).cast("int")}
+    rows = F.concat(
+        F.array(*[line("texts", F.lit(label), n) for label, n in totals.items()]),
+        F.transform("tags", lambda x: line("tags", x, one)), F.transform("flags", lambda x: line("flags", x, one)),
     )
-    rows = F.array(*[F.struct(F.lit(x).alias("label"), F.col(x).alias("n")) for x in ("total", "covered", "multi_hit", "zero_hit")])
-    whole = totals.select(F.explode(rows).alias("r")).select(F.lit("texts").alias("section"), "r.label", "r.n")
-    hits = lambda col: distinct.select(F.explode(col).alias("label")).groupBy("label").agg(F.count(F.lit(1)).alias("n")).select(F.lit(col).alias("section"), "label", "n")  # noqa: E731,E501
-    return whole.unionByName(hits("tags")).unionByName(hits("flags"))
+    # totals are rows even where they are zero
+    zeros = distinct.sparkSession.createDataFrame([("texts", label, 0) for label in totals], "section string, label string, n long")
+    counted = distinct.select(F.explode(rows).alias("r")).select("r.*").unionByName(zeros)
+    return counted.groupBy("section", "label").agg(F.sum("n").alias("n"))
