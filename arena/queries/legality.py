@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from arena.operators import baskets as k
@@ -228,10 +228,8 @@ def scd2_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = b.entries(t)
     first_day = F.lit("2000-10-01").cast("date")
     quarter = entries.filter(F.col("day") < first_day).select(F.col("segment").alias("format"), F.trunc("day", "quarter").alias("effective_from")).distinct()
-    following = quarter.select("format", F.col("effective_from").alias("_next"))
-    current = quarter.join(following, "format").groupBy("format", "effective_from").agg(
-        F.min(F.when(F.col("_next") > F.col("effective_from"), F.col("_next"))).alias("_next")
-    ).select(
+    after = F.lead("effective_from").over(Window.partitionBy("format").orderBy("effective_from"))
+    current = quarter.withColumn("_next", after).select(
         F.concat_ws("-", "format", day_text("effective_from")).alias("snapshot_id"), "format", "effective_from", F.date_sub("_next", 1).alias("effective_to")
     )
     month = F.trunc("day", "month")
