@@ -148,7 +148,19 @@ def op2_tier_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op6_metric_range_join")
+@query(
+    "op6_metric_range_join",
+    """
+    WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+    u AS (SELECT * FROM v WHERE label IS NOT NULL AND list_inner_product(e, e) > 0 AND isfinite(list_inner_product(e, e))),
+    l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON b.label = a.label AND b.vec_id <> a.vec_id
+          WHERE list_inner_product(a.e, b.e) / sqrt(list_inner_product(a.e, a.e) * list_inner_product(b.e, b.e)) >= 0.93),
+    r AS (SELECT vec_id AS id, vec_id AS node FROM v UNION SELECT r.id, l.b FROM r JOIN l ON l.a = r.node),
+    c AS (SELECT id, min(node) AS component_id FROM r GROUP BY id),
+    n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+    SELECT id AS vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, id = component_id AS kept FROM c LEFT JOIN n ON n.a = c.id
+    """,
+)
 def op6_metric_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join_vectors(table(spark, sf_dir, "embeddings"), threshold=0.93)
 
@@ -198,7 +210,20 @@ def op1_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(index.select("archive", "offset", "length", "digest"), copy)
 
 
-@query("op3_block_anchors")
+@query(
+    "op3_block_anchors",
+    f"""
+    WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS ws FROM documents),
+    g AS (SELECT doc_id, i, array_to_string(ws[i:i + 19], ' ') AS win FROM w, unnest(range(1, len(ws) - 18)) AS u(i)),
+    r AS (SELECT doc_id, i FROM (SELECT *, row_number() OVER (PARTITION BY win ORDER BY doc_id, i) AS n FROM g) WHERE n > 1),
+    c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS p FROM r),
+    x AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS p FROM w),
+    k AS (SELECT x.doc_id, string_agg(word, ' ' ORDER BY x.p) FILTER (c.p IS NULL) AS kept, count(c.p) AS gone
+          FROM x LEFT JOIN c ON c.doc_id = x.doc_id AND c.p = x.p GROUP BY x.doc_id)
+    SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(gone, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+    FROM w LEFT JOIN k ON k.doc_id = w.doc_id
+    """,
+)
 def op3_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), digest=True)
     return left.select(
@@ -206,6 +231,18 @@ def op3_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op8_prob_minhash")
+@query(
+    "op8_prob_minhash",
+    f"""
+    WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS ws FROM documents),
+    s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS shingle FROM w, unnest(range(1, greatest(len(ws) - 3, 2))) AS u(i) WHERE len(ws) > 0),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+    p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS m FROM s a JOIN s b ON b.shingle = a.shingle AND b.doc_id <> a.doc_id GROUP BY 1, 2),
+    l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE m >= 0.8 * (x.n + y.n - m) - 1e-9),
+    r AS (SELECT doc_id AS id, doc_id AS node FROM w UNION SELECT r.id, l.b FROM r JOIN l ON l.a = r.node),
+    c AS (SELECT id, min(node) AS class_id FROM r GROUP BY id)
+    SELECT id AS doc_id, class_id, id = class_id AS kept FROM c
+    """,
+)
 def op8_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
