@@ -108,7 +108,7 @@ def _firsts(*keys: np.ndarray) -> np.ndarray:
     return new
 
 
-def _anchors_and_probes(buckets: int):
+def _anchors_and_probes(buckets: int, homes: int):
     """Map: the distinct rolling windows of a lot, each marked if it is a block somewhere; its own repeats are hits."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -124,7 +124,7 @@ def _anchors_and_probes(buckets: int):
             twice = np.bincount(group, minlength=1)[group] > 1
             block = np.bincount(group, weights=starts[order] % BLOCK == 0, minlength=1) > 0
             own = np.sort(order[twice])
-            yield _rows(_home(ids[own], buckets), "hit", ids[own], starts[own])
+            yield _rows(_home(ids[own], homes), "hit", ids[own], starts[own])
             # 0: probe, 1: block, 2: block among own repeats, which need no answer
             flag = block.astype(np.int64) + (block & twice[new])
             sent = order[new]
@@ -146,14 +146,14 @@ def _gathered(frame: pd.DataFrame, width: int) -> tuple[np.ndarray, ...]:
     return ids, starts, h, g
 
 
-def _answer(frame: pd.DataFrame, buckets: int, settle) -> pd.DataFrame:
+def _answer(frame: pd.DataFrame, homes: int, settle) -> pd.DataFrame:
     """Reduce: places that were settled in a task go on as they are; of the others ``settle`` picks."""
     settled, asked = frame[frame["kind"] == "hit"], frame[frame["kind"] == "ask"]
     out = [settled]
     if len(asked):
         ids, starts = settle(*_gathered(asked, 5 if asked["g"].isna().all() else 8))
         order = np.lexsort((starts, ids))
-        out.append(_rows(_home(ids[order], buckets), "hit", ids[order], starts[order]))
+        out.append(_rows(_home(ids[order], homes), "hit", ids[order], starts[order]))
     return pd.concat(out)
 
 
@@ -221,7 +221,7 @@ def _opened(docs: pd.DataFrame, hits: pd.DataFrame, digest: bool) -> pd.DataFram
     return pd.DataFrame(out, columns=["id", "fp", "bucket", "n_words", "kept", "body", "windows"])
 
 
-def _windows(buckets: int):
+def _windows(buckets: int, homes: int):
     """Map: the earliest place of each distinct open window of a lot; later places of the lot are repeats."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -241,7 +241,7 @@ def _windows(buckets: int):
             first = np.flatnonzero(new)[np.cumsum(new) - 1]
             late = np.flatnonzero((ids != ids[first]) | (starts != starts[first]))
             late = late[np.lexsort((starts[late], ids[late]))]
-            yield _rows(_home(ids[late], buckets), "hit", ids[late], starts[late])
+            yield _rows(_home(ids[late], homes), "hit", ids[late], starts[late])
             sent = np.flatnonzero(new)
             sent = sent[np.lexsort((starts[sent], ids[sent]))]
             yield _rows((h[sent] % np.uint64(buckets)).astype(np.int64), "ask", ids[sent], starts[sent], h[sent], 8, g[sent])
@@ -267,16 +267,17 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", diges
     where nothing was removed; with ``digest``, the hex SHA-256 of the words left.
     """
     spark = df.sparkSession
-    buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    homes = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = 2 * homes  # of hash values; answers go to the homes of the documents
     docs = keyed(df, key, text).select("id", "fp", F.col(text).cast("binary").alias("body"))
-    asked = docs.mapInPandas(_anchors_and_probes(buckets), PLACES)
-    hits = stored(asked.groupBy("bucket").applyInPandas(lambda f: _answer(f, buckets, _probe), PLACES), "anchors-hits")
-    home = docs.withColumn("bucket", _home_column(F.col("id"), buckets))
+    asked = docs.mapInPandas(_anchors_and_probes(buckets, homes), PLACES)
+    hits = stored(asked.groupBy("bucket").applyInPandas(lambda f: _answer(f, homes, _probe), PLACES), "anchors-hits")
+    home = docs.withColumn("bucket", _home_column(F.col("id"), homes))
     opened = home.groupBy("bucket").cogroup(hits.groupBy("bucket")).applyInPandas(lambda d, h: _opened(d, h, digest), OPEN)
     opened = stored(opened, "anchors-open")
     todo = opened.filter("body is not null")
-    late = todo.select("id", "body", "windows").mapInPandas(_windows(buckets), PLACES)
-    late = stored(late.groupBy("bucket").applyInPandas(lambda f: _answer(f, buckets, _later), PLACES), "anchors-late")
+    late = todo.select("id", "body", "windows").mapInPandas(_windows(buckets, homes), PLACES)
+    late = stored(late.groupBy("bucket").applyInPandas(lambda f: _answer(f, homes, _later), PLACES), "anchors-late")
     closed = todo.select("id", "fp", "bucket", "body").groupBy("bucket").cogroup(late.groupBy("bucket")).applyInPandas(
         lambda d, h: _closed(d, h, digest), "id long, fp long, n_words long, n_removed long, kept string"
     )
