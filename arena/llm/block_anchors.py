@@ -35,7 +35,7 @@ from arena.llm.word_windows import mixed, run_hashes, split, word_hashes
 
 LENGTH = 20  # words of a repeat
 BLOCK = LENGTH // 2
-CHUNK_WORDS = 500_000  # words of which a task packs the hashes at once
+CHUNK_WORDS = 300_000  # words of which a task packs the hashes at once
 NULL_ID = -(2**63)
 
 

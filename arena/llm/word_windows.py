@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 from xxhash import xxh3_64_intdigest
 
-CACHE_WORDS = 500_000  # words whose hash a worker remembers
+CACHE_WORDS = 150_000  # words whose hash a worker remembers
 
 _known: dict[bytes, int] = {}
 
