@@ -40,7 +40,7 @@ BANDS, ROWS = 24, 4  # a pair at 0.8 shares no band with a chance of 3e-6
 REGISTERS = BANDS * ROWS
 AGREE = 56  # registers; a pair at 0.8 agrees in fewer with a chance under 1e-6
 SMALL = 64  # a bucket up to this size is compared whole
-HUBS = 8  # members of a large bucket with which all others are compared
+HUBS = 3  # members of a large bucket with which all others are compared
 LEVELS = 3  # times that large buckets are split by one more band
 GROUP_SHINGLES = 400_000  # sketched at once
 SHORT = 64  # shingles of a short text
@@ -115,27 +115,14 @@ def sketched(docs: DataFrame) -> DataFrame:
     return docs.mapInPandas(run, "id long, same binary, bands array<long>, sketch binary")
 
 
-def _agreeing(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
-    """The pairs whose sketches agree in at least AGREE registers."""
-
-    @F.pandas_udf("int")
-    def agree(a: pd.Series, b: pd.Series) -> pd.Series:
-        if not len(a):
-            return pd.Series([], dtype="int32")
-        x = np.frombuffer(b"".join(a), np.uint8).reshape(-1, REGISTERS)
-        y = np.frombuffer(b"".join(b), np.uint8).reshape(-1, REGISTERS)
-        return pd.Series((x == y).sum(axis=1).astype("int32"))
-
-    ours = sketches.select(F.col("id").alias("a"), F.col("sketch").alias("sa"))
-    theirs = sketches.select(F.col("id").alias("b"), F.col("sketch").alias("sb"))
-    return pairs.join(ours, "a").join(theirs, "b").filter(agree("sa", "sb") >= AGREE).select("a", "b")
-
-
 def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """The pairs whose shingle sets have at least that Jaccard similarity."""
+    """The pairs whose sketches agree well enough and whose shingle sets have at least that Jaccard similarity.
+
+    ``texts``: id, sketch, body. Sketch and text come by one join a side, and only agreeing pairs are cut into shingles.
+    """
 
     @F.pandas_udf("boolean")
-    def near(a: pd.Series, b: pd.Series) -> pd.Series:
+    def near(sa: pd.Series, sb: pd.Series, a: pd.Series, b: pd.Series) -> pd.Series:
         seen: dict[bytes, np.ndarray] = {}
 
         def of(body: bytes) -> np.ndarray:
@@ -146,7 +133,10 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
             return seen[body]
 
         out = []
-        for x, y in zip(a, b, strict=True):
+        for p, q, x, y in zip(sa, sb, a, b, strict=True):
+            if (np.frombuffer(p, np.uint8) == np.frombuffer(q, np.uint8)).sum() < AGREE:
+                out.append(False)
+                continue
             p, q = of(x), of(y)
             if min(len(p), len(q)) < similarity * max(len(p), len(q)):
                 out.append(False)
@@ -155,9 +145,9 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
             out.append(common >= similarity * (len(p) + len(q) - common) - 1e-9)
         return pd.Series(out, dtype="bool")
 
-    ours = texts.select(F.col("id").alias("a"), F.col("body").alias("ta"))
-    theirs = texts.select(F.col("id").alias("b"), F.col("body").alias("tb"))
-    return pairs.join(ours, "a").join(theirs, "b").filter(near("ta", "tb")).select("a", "b")
+    ours = texts.select(F.col("id").alias("a"), F.col("sketch").alias("sa"), F.col("body").alias("ta"))
+    theirs = texts.select(F.col("id").alias("b"), F.col("sketch").alias("sb"), F.col("body").alias("tb"))
+    return pairs.join(ours, "a").join(theirs, "b").filter(near("sa", "sb", "ta", "tb")).select("a", "b")
 
 
 def _candidates(members: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -177,6 +167,14 @@ def _candidates(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     return each.unionByName(star).distinct(), large.select("key", "id", "hub")
 
 
+def _reached(links: DataFrame, ids: DataFrame) -> DataFrame:
+    """id, part: the smallest id within two links. Equal parts are linked, which is all that the levels need."""
+    both = links.select(F.col("a").alias("id"), F.col("b").alias("at")).unionByName(links.select(F.col("b").alias("id"), F.col("a").alias("at")))
+    one = both.groupBy("id").agg(F.least("id", F.min("at")).alias("part"))
+    two = both.join(one.select(F.col("id").alias("at"), "part"), "at").groupBy("id").agg(F.least("id", F.min("part")).alias("part"))
+    return ids.join(two, "id", "left").select("id", F.coalesce("part", "id").alias("part"))
+
+
 def near_classes(df: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """``key``, class_id (smallest id of the component) and kept (the row is that document), one row per input row."""
     docs = df.select(
@@ -195,25 +193,27 @@ def near_classes(df: DataFrame, key: str = "doc_id", text: str = "text", similar
     found = classes.join(ids, "id", "left_semi")
     sketches = stored(found.groupBy("id").agg(F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "minhash-found")
     bodies = docs.select("id", "same", "body").join(found.select("id", "same"), ["id", "same"], "left_semi")
-    texts = stored(bodies.groupBy("id").agg(F.min("body").alias("body")), "minhash-texts")
+    texts = bodies.groupBy("id").agg(F.min("body").alias("body")).join(sketches.select("id", "sketch"), "id")
+    texts = stored(texts, "minhash-texts")
 
     level = members.select("key", "id").join(hubs, "id").withColumn("part", F.col("id"))
-    links = parts = None
+    links = None
     for depth in range(LEVELS + 1):
         pairs, large = _candidates(level)
-        new = stored(_verified(_agreeing(pairs, sketches), texts, similarity), "minhash-links")
+        new = stored(_verified(pairs, texts, similarity), "minhash-links")
         links = new if links is None else links.unionByName(new)
-        parts = stored(connected_components(ids, links.select(F.col("a").alias("src"), F.col("b").alias("dst"))), "minhash-parts")
         if depth == LEVELS or large.isEmpty():
             break
-        # similar texts share further bands; buckets of one component have nothing left to find
+        # similar texts share further bands; buckets of one part have nothing left to find; other hubs see other members
         band = F.pmod(F.xxhash64("key"), F.lit(BANDS)).cast("int")
         level = (
-            large.join(parts.select("id", F.col("component").alias("part")), "id").join(sketches.select("id", "bands"), "id")
-            .select(F.xxhash64("key", band, F.get("bands", band)).alias("key"), "id", "part", "hub")
+            large.join(_reached(links, ids), "id").join(sketches.select("id", "bands"), "id")
+            .select(F.xxhash64("key", band, F.get("bands", band)).alias("key"), "id", "part", F.xxhash64("id", "hub", F.lit(depth)).alias("hub"))
         )
         level = stored(level, "minhash-level")
 
+    ends = links.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    parts = connected_components(ends, links.select(F.col("a").alias("src"), F.col("b").alias("dst")))
     linked = parts.select(F.col("id").alias("rep"), "component")
     of_class = classes.select("same", F.col("id").alias("rep")).join(linked, "rep", "left")
     joined = rows.select("id", "same").join(of_class, "same", "left")
