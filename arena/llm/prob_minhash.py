@@ -1,13 +1,15 @@
-"""Near-duplicate documents by ProbMinHash of weighted five-word shingles.
+"""Near-duplicate documents by ProbMinHash of five-word shingles.
 
 Equal texts are one class, kept by its smallest id. A class is sketched by
-Poisson processes: shingle s of weight w (1 + ln of its count) arrives at random
-times of rate w, every arrival falls into one of REGISTERS registers, and each
-register keeps its first shingle. Arrivals after the last register's time change
-nothing, so a shingle stops early. Two sketches agree in a register with the
-probability Jaccard similarity of the shingle weights. Bands of four registers
-bring candidates together; candidates whose sketches agree well enough are
-verified on their whole texts: Jaccard similarity of the shingle sets.
+Poisson processes: shingle s of weight w arrives at random times of rate w,
+every arrival falls into one of REGISTERS registers, and each register keeps its
+first shingle. Arrivals after the last register's time change nothing, so a
+shingle stops early. Two sketches agree in a register with the probability
+Jaccard similarity of the shingle weights. A text gives every shingle once, so
+all weights are 1 in every text and that is the Jaccard similarity of the shingle
+sets, however often a text repeats a shingle. Bands of four registers bring
+candidates together; candidates whose sketches agree well enough are verified on
+their whole texts, by the same similarity.
 
 Members of a small bucket are all compared. In a large one each member is
 compared with its hubs, the members that share most buckets; where that leaves
@@ -50,14 +52,15 @@ _PAD = np.arange(1, SHINGLE, dtype=np.uint64)
 
 
 def _shingles(body: bytes | None) -> np.ndarray:
+    """Distinct shingles of a text, sorted."""
     h = word_hashes(split(body))
     if 0 < len(h) < SHINGLE:
         h = np.concatenate([h, _PAD[: SHINGLE - len(h)]])
-    return run_hashes(h, SHINGLE)
+    return np.unique(run_hashes(h, SHINGLE))
 
 
 def sketch(texts: list[np.ndarray]) -> np.ndarray:
-    """Registers of each array of shingle hashes (none empty)."""
+    """Registers of each array of shingle hashes (none empty); a shingle that stands n times weighs 1 + ln n."""
     doc = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
     flat = np.concatenate(texts)
     order = np.lexsort((flat, doc))
@@ -129,7 +132,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
             if body not in seen:
                 if len(seen) > 200:
                     seen.clear()
-                seen[body] = np.unique(_shingles(body))
+                seen[body] = _shingles(body)
             return seen[body]
 
         out = []

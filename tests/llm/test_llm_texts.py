@@ -190,3 +190,16 @@ def test_sketches_estimate_weighted_similarity():
         j = sum(1 / sum(max(w[0].get(t, 0) / w[0][s], w[1].get(t, 0) / w[1][s]) for t in w[0].keys() | w[1].keys()) for s in both)
         errors.append((a == b).mean() - j)
     assert abs(np.mean(errors)) < 0.02 and np.std(errors) < 0.08
+
+
+def test_texts_that_differ_only_in_repeats_are_near(spark):
+    """Pairs of similarity 0.94 to 0.97 whose counts of shingles differ by hundreds."""
+    rng = random.Random(35)
+    rows = []
+    for k in range(12):
+        for j, (body, line, times) in enumerate(((54, 10, 500), (104, 10, 500), (54, 20, 100))):
+            start, again = prose(rng, body, 10**6), prose(rng, line, 10**6)
+            i = 10 * (3 * k + j)
+            rows += [(i, f"{start} {again} {again}"), (i + 1, start + f" {again}" * times)]
+    got = sorted((r["doc_id"], r["class_id"]) for r in prob_minhash.near_classes(frame(spark, rows)).collect())
+    assert got == sorted(zip([i for i, _ in rows], components(rows), strict=True)) == [(i, i // 10 * 10) for i, _ in rows]
