@@ -12,10 +12,11 @@ candidates together; candidates whose sketches agree well enough are verified on
 their whole texts, by the same similarity.
 
 Members of a small bucket are all compared. In a large one each member is
-compared with its hubs, the members that share most buckets; where that leaves
-several components, the bucket is split by further bands, which similar texts
-tend to share, into small parts. So no bucket is expanded into its pairs, and no
-member is left out.
+compared with its hubs, the members that share most buckets, which links most
+copies at little cost. What the links leave in several parts is then compared
+whole: in each large bucket the members outside of its main part meet all others,
+in tiles of bounded size, so no bucket is expanded into its pairs, and no pair of
+two parts is left out. A tile sends one edge for each two parts it joins.
 
 Defined cases: a null text is empty; texts without words are alone, whatever
 they are; texts of one to four words have one shingle; rows of one id are one
@@ -29,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arena.llm.common import stored
@@ -42,8 +43,9 @@ BANDS, ROWS = 24, 4  # a pair at 0.8 shares no band with a chance of 3e-6
 REGISTERS = BANDS * ROWS
 AGREE = 56  # registers; a pair at 0.8 agrees in fewer with a chance under 1e-6
 SMALL = 64  # a bucket up to this size is compared whole
-HUBS = 3  # members of a large bucket with which all others are compared
-LEVELS = 3  # times that large buckets are split by one more band
+HUBS = 3  # members of a large bucket with which all others are compared first
+TILE = 4_000  # members of a block, and
+TILE_BYTES = 8_000_000  # its texts; a tile compares two blocks
 GROUP_SHINGLES = 400_000  # sketched at once
 SHORT = 64  # shingles of a short text
 
@@ -154,28 +156,87 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
 
 
 def _candidates(members: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs to compare of (key, id, part, hub), and the members of large buckets that go on."""
+    """Pairs to compare of (key, band, id, hub), and the members of large buckets."""
     turn = F.pmod(F.xxhash64("id"), F.lit(HUBS))
-    tops = [F.max(F.when(turn == i, F.struct("hub", "id", "part"))).alias(f"top{i}") for i in range(HUBS)]
-    buckets = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("part").alias("low"), F.max("part").alias("high"), *tops)
+    tops = [F.max(F.when(turn == i, F.struct("hub", "id"))).alias(f"top{i}") for i in range(HUBS)]
+    buckets = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("low"), F.max("id").alias("high"), *tops)
     hubs = F.array_compact(F.array(*[F.col(f"top{i}") for i in range(HUBS)]))
     buckets = buckets.filter(F.col("low") != F.col("high")).select("key", "n", F.when(F.col("n") > SMALL, hubs).alias("hubs"))
     here = stored(members.join(buckets, "key"), "minhash-members")
-    small = here.filter(F.col("n") <= SMALL).select("key", "id", "part")
-    other = small.select("key", F.col("id").alias("b"), F.col("part").alias("part_b"))
-    each = small.join(other, "key").filter((F.col("id") < F.col("b")) & (F.col("part") != F.col("part_b"))).select(F.col("id").alias("a"), "b")
+    small = here.filter(F.col("n") <= SMALL).select("key", "id")
+    each = small.join(small.select("key", F.col("id").alias("b")), "key").filter(F.col("id") < F.col("b")).select(F.col("id").alias("a"), "b")
     large = here.filter(F.col("n") > SMALL)
-    star = large.select("id", "part", F.explode("hubs").alias("h")).filter(F.col("part") != F.col("h.part"))
+    star = large.select("id", F.explode("hubs").alias("h")).filter(F.col("id") != F.col("h.id"))
     star = star.select(F.least("id", "h.id").alias("a"), F.greatest("id", "h.id").alias("b"))
-    return each.unionByName(star).distinct(), large.select("key", "id", "hub")
+    return each.unionByName(star).distinct(), large.select("key", "band", "id")
 
 
-def _reached(links: DataFrame, ids: DataFrame) -> DataFrame:
-    """id, part: the smallest id within two links. Equal parts are linked, which is all that the levels need."""
-    both = links.select(F.col("a").alias("id"), F.col("b").alias("at")).unionByName(links.select(F.col("b").alias("id"), F.col("a").alias("at")))
-    one = both.groupBy("id").agg(F.least("id", F.min("at")).alias("part"))
-    two = both.join(one.select(F.col("id").alias("at"), "part"), "at").groupBy("id").agg(F.least("id", F.min("part")).alias("part"))
-    return ids.join(two, "id", "left").select("id", F.coalesce("part", "id").alias("part"))
+def _join_tile(frame: pd.DataFrame, similarity: float) -> pd.DataFrame:
+    """Edges that join the parts of one tile (i, j) of a bucket: every pair of two parts that may be linked is compared.
+
+    A pair that shares an earlier band is left to the bucket of that band.
+    """
+    same, band = frame["i"].iloc[0] == frame["j"].iloc[0], int(frame["band"].iloc[0])
+    side, part = frame["side"].to_numpy(), frame["part"].to_numpy()
+    src, dst = [], []
+    if not same and (side == side[0]).all():
+        return pd.DataFrame({"src": src, "dst": dst}, dtype="int64")
+    small = np.stack([np.frombuffer(x, np.uint8) for x in frame["sketch"]])
+    bands = np.stack(frame["bands"].to_list())[:, :band]
+    texts = [_shingles(b) for b in frame["body"]]
+    sizes = np.array([len(t) for t in texts])
+    starts = np.cumsum(sizes) - sizes
+    number = np.unique(np.concatenate(texts), return_inverse=True)[1].astype(np.int32)
+    mark = np.zeros(int(number.max()) + 1, np.int32)
+    root = np.unique(part, return_inverse=True)[1]
+    value = np.unique(part)
+    for x in range(len(frame)) if same else np.flatnonzero(side == 0):
+        others = root != root[x]
+        others &= np.arange(len(frame)) > x if same else side == 1
+        at = np.flatnonzero(others & (np.minimum(sizes, sizes[x]) >= similarity * np.maximum(sizes, sizes[x])))
+        at = at[(small[at] == small[x]).sum(axis=1) >= AGREE]
+        at = at[~(bands[at] == bands[x]).any(axis=1)]
+        if not len(at):
+            continue
+        mark[number[starts[x] : starts[x] + sizes[x]]] = 1
+        common = np.array([mark[number[starts[y] : starts[y] + sizes[y]]].sum() for y in at])
+        mark[number[starts[x] : starts[x] + sizes[x]]] = 0
+        for y in at[common >= similarity * (sizes[x] + sizes[at] - common) - 1e-9]:
+            if root[y] != root[x]:
+                src.append(value[root[x]])
+                dst.append(value[root[y]])
+                root[root == root[y]] = root[x]
+    return pd.DataFrame({"src": src, "dst": dst}, dtype="int64")
+
+
+def _joined_parts(large: DataFrame, parts: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """src, dst: parts that a link inside a large bucket joins.
+
+    ``large``: key, band, id. ``parts``: id, part. ``texts``: id, bands, sketch, body.
+    """
+    placed = large.join(parts, "id")
+    counted = placed.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n"))
+    main = counted.groupBy("key").agg(F.max_by("part", F.struct("n", "part")).alias("main"), F.count(F.lit(1)).alias("parts"))
+    sized = texts.select("id", F.length("body").alias("size"))
+    rest = placed.join(main.filter("parts > 1").select("key", "main"), "key").join(sized, "id")
+    rest = stored(rest.withColumn("free", F.col("part") != F.col("main")), "minhash-rest")
+
+    # blocks of a bucket by hash, those of the main part last; a tile is a pair of blocks, never of two of the main part
+    def blocks(of: Column) -> Column:
+        bytes_of = F.sum(F.when(of, F.col("size").cast("long")).otherwise(0))
+        return F.greatest(F.ceil(F.count_if(of) / TILE), F.ceil(bytes_of / TILE_BYTES)).cast("int")
+
+    counts = rest.groupBy("key").agg(blocks(F.col("free")).alias("frees"), blocks(~F.col("free")).alias("mains"))
+    place = F.xxhash64("id")
+    block = F.when(F.col("free"), F.pmod(place, F.col("frees"))).otherwise(F.col("frees") + F.pmod(place, F.col("mains")))
+    blocked = rest.join(counts, "key").withColumn("block", block.cast("int"))
+    last = F.when(F.col("free"), F.col("frees") + F.col("mains")).otherwise(F.col("frees")) - 1
+    tiles = blocked.select("*", F.explode(F.sequence(F.lit(0), last)).alias("other")).select(
+        "key", "band", "id", "part", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+        F.when(F.col("block") <= F.col("other"), 0).otherwise(1).alias("side"),
+    )
+    full = tiles.join(texts, "id")
+    return full.groupBy("key", "i", "j").applyInPandas(lambda f: _join_tile(f, similarity), "src long, dst long")
 
 
 def near_classes(df: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
@@ -188,7 +249,7 @@ def near_classes(df: DataFrame, key: str = "doc_id", text: str = "text", similar
     wordy = rows.filter("bands is not null")
     classes = stored(wordy.groupBy("same").agg(F.min("id").alias("id"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "minhash-classes")
 
-    banded = classes.select("id", F.posexplode("bands").alias("band", "value")).select("id", F.xxhash64("band", "value").alias("key"))
+    banded = classes.select("id", F.posexplode("bands").alias("band", "value")).select("id", "band", F.xxhash64("band", "value").alias("key"))
     shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = stored(banded.join(shared, "key"), "minhash-buckets")
     hubs = members.groupBy("id").agg(F.sum("n").alias("hub"))
@@ -196,28 +257,19 @@ def near_classes(df: DataFrame, key: str = "doc_id", text: str = "text", similar
     found = classes.join(ids, "id", "left_semi")
     sketches = stored(found.groupBy("id").agg(F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "minhash-found")
     bodies = docs.select("id", "same", "body").join(found.select("id", "same"), ["id", "same"], "left_semi")
-    texts = bodies.groupBy("id").agg(F.min("body").alias("body")).join(sketches.select("id", "sketch"), "id")
+    texts = bodies.groupBy("id").agg(F.min("body").alias("body")).join(sketches, "id")
     texts = stored(texts, "minhash-texts")
 
-    level = members.select("key", "id").join(hubs, "id").withColumn("part", F.col("id"))
-    links = None
-    for depth in range(LEVELS + 1):
-        pairs, large = _candidates(level)
-        new = stored(_verified(pairs, texts, similarity), "minhash-links")
-        links = new if links is None else links.unionByName(new)
-        if depth == LEVELS or large.isEmpty():
-            break
-        # similar texts share further bands; buckets of one part have nothing left to find; other hubs see other members
-        band = F.pmod(F.xxhash64("key"), F.lit(BANDS)).cast("int")
-        level = (
-            large.join(_reached(links, ids), "id").join(sketches.select("id", "bands"), "id")
-            .select(F.xxhash64("key", band, F.get("bands", band)).alias("key"), "id", "part", F.xxhash64("id", "hub", F.lit(depth)).alias("hub"))
-        )
-        level = stored(level, "minhash-level")
-
-    ends = links.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    parts = connected_components(ends, links.select(F.col("a").alias("src"), F.col("b").alias("dst")))
-    linked = parts.select(F.col("id").alias("rep"), "component")
+    pairs, large = _candidates(members.select("key", "band", "id").join(hubs, "id"))
+    links = stored(_verified(pairs, texts, similarity), "minhash-links")
+    parts = connected_components(ids, links.select(F.col("a").alias("src"), F.col("b").alias("dst"))).withColumnRenamed("component", "part")
+    parts = stored(parts, "minhash-parts")
+    edges = stored(_joined_parts(large, parts, texts, similarity), "minhash-edges")
+    if not edges.isEmpty():
+        ends = edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
+        wider = connected_components(ends, edges).withColumnRenamed("id", "part")
+        parts = parts.join(wider, "part", "left").select("id", F.coalesce("component", "part").alias("part"))
+    linked = parts.select(F.col("id").alias("rep"), F.col("part").alias("component"))
     of_class = classes.select("same", F.col("id").alias("rep")).join(linked, "rep", "left")
     joined = rows.select("id", "same").join(of_class, "same", "left")
     back = joined.select(F.coalesce("component", "rep", "id").alias("class_id"), "id")

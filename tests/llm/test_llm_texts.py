@@ -203,3 +203,20 @@ def test_texts_that_differ_only_in_repeats_are_near(spark):
             rows += [(i, f"{start} {again} {again}"), (i + 1, start + f" {again}" * times)]
     got = sorted((r["doc_id"], r["class_id"]) for r in prob_minhash.near_classes(frame(spark, rows)).collect())
     assert got == sorted(zip([i for i, _ in rows], components(rows), strict=True)) == [(i, i // 10 * 10) for i, _ in rows]
+
+
+@pytest.mark.parametrize("tile", [4_000, 30])
+def test_large_buckets_of_many_groups_lose_no_pair(spark, monkeypatch, tile):
+    """Pairs inside one large group of texts that share most of their words: hubs link few of them."""
+    monkeypatch.setattr(prob_minhash, "SMALL", 2)
+    monkeypatch.setattr(prob_minhash, "TILE", tile, raising=False)
+    rng = random.Random(36)
+    common = prose(rng, 190, 10**6)
+    rows = []
+    for k in range(150):
+        tail = prose(rng, 6, 10**6)
+        rows += [(1000 + 2 * k + j, f"{prose(rng, 23, 10**6)} {common} {tail}") for j in range(2)]
+    got = sorted((r["doc_id"], r["class_id"]) for r in prob_minhash.near_classes(frame(spark, rows)).collect())
+    want = sorted(zip([i for i, _ in rows], components(rows), strict=True))
+    assert len({c for _, c in want}) == 150
+    assert got == want
