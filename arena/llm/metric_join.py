@@ -31,7 +31,8 @@ from arena.operators.graph import connected_components
 PIVOTS = 24  # sampled per label and length with more classes than a tile; more make smaller cells
 PIVOTED = 500  # so many such groups, the largest ones, get pivots; any further one is a single cell of tiles
 TILE = 1_000  # classes of a block; a tile compares two blocks
-SLACK = 1e-9  # of the bounds, against rounding
+SLACK = 1e-12  # of products of unit vectors, against rounding
+ROUND = 1e-6  # of distances: the root of a product's rounding
 GUEST, HOME = 1, 0
 
 
@@ -100,13 +101,13 @@ def _copied(classes: DataFrame, pivots: dict, balls: dict, radius: float) -> Dat
                 p = pivots[name, dim]
                 cos = _matrix(g["unit"]) @ p.T
                 dist = np.sqrt(np.maximum(2 - 2 * cos, 0))
-                apart = np.sqrt(np.maximum(2 - 2 * (p @ p.T), 0))
+                apart = np.linalg.norm(p[:, None, :] - p[None, :, :], axis=2)  # of the difference: exact for near pivots too
                 own, cell = g["near"].to_numpy(), g["cell"].to_numpy()
                 ball = np.array([balls.get((name, dim, c), -np.inf) for c in range(len(p))])
                 for q in range(len(p)):
-                    gap = np.maximum(apart[cell, q], 1e-12)
-                    plane = (dist[:, q] ** 2 - own**2) / (2 * gap)
-                    may = (cell > q) & (dist[:, q] <= own + 2 * radius + SLACK) & (plane <= radius + SLACK) & (dist[:, q] <= ball[q] + radius + SLACK)
+                    # the distance to the plane times 2 * apart, so that pivots may coincide
+                    plane = 2 * (cos[np.arange(len(g)), cell] - cos[:, q]) <= 2 * (radius + ROUND) * apart[cell, q] + SLACK
+                    may = (cell > q) & (dist[:, q] <= own + 2 * radius + ROUND) & plane & (dist[:, q] <= ball[q] + radius + ROUND)
                     if may.any():
                         yield g[may].assign(cell=np.int32(q), role=np.int32(GUEST))
 

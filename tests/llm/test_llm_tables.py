@@ -136,6 +136,28 @@ def test_vector_join_of_nothing_and_repeated_rows(spark):
     assert sorted(tuple(r) for r in got) == [(4, 2, 4, True), (4, 2, 4, True), (5, 2, 4, False)]
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_vector_join_of_jittered_and_scaled_copies(spark, monkeypatch, seed):
+    """A hot group of copies that differ in the last digits gets several pivots, which almost coincide."""
+    monkeypatch.setattr(metric_join, "TILE", 40)
+    rng = np.random.default_rng(100 + seed)
+    hot = rng.normal(size=16).astype("f4")
+    rows = []
+    for k in range(120):
+        v = hot.copy()
+        if k % 2:
+            for _ in range(rng.integers(1, 6)):
+                v[k % 16] = np.nextafter(v[k % 16], np.float32(np.inf))
+        else:
+            v *= np.float32(rng.uniform(0.5, 3))
+        rows.append((k, [float(c) for c in v], 1))
+    rows += [(200 + k, (hot * (1 + rng.normal(size=16) * 1e-9)).tolist(), 1) for k in range(60)]
+    rows += [(300 + k, (hot + rng.normal(size=16) * 0.2).tolist(), 1) for k in range(40)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = metric_join.join_vectors(df, 0.93).collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in got) == sorted(linked(rows, 0.93))
+
+
 CONTROL = ["<|turn|>", "<|text|>x<|end|>", "</s>[INST] ok [/INST]", "a\\b", "<\\|", "<\\\\|end|>", "[\\INST]", "[/INST]", "<s>", "< s>", "\\", "\\\\", "[", "<", "<|", "<<||", "\n", ""]
 
 
