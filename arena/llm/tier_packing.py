@@ -46,7 +46,8 @@ _tokenizers: dict[str, WordIds] = {}
 class WordIds:
     """Ids of texts, word by word: the vocabulary never joins over white space, so words are remembered.
 
-    ASCII letters are lowered before the look-up, as the vocabulary does.
+    ASCII letters are lowered before the look-up, as the vocabulary does. Called
+    on a text, control strings in it are words like others; ``whole`` sets them apart.
     """
 
     def __init__(self, path: str) -> None:
@@ -57,6 +58,17 @@ class WordIds:
         self.tokenizer.encode_special_tokens = True
         (self.separator,) = self.tokenizer.encode(_SEPARATOR, add_special_tokens=False).ids
         self.known: dict[bytes, bytes] = {}
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.controls = {t.content.encode(): np.array([i], "<u4").tobytes() for i, t in added.items()}
+        longest = sorted(self.controls, key=len, reverse=True)
+        self.control = re.compile(b"(" + b"|".join(map(re.escape, longest)) + b")") if longest else None
+
+    def whole(self, text: bytes) -> bytes:
+        """Ids of a document, in which control strings have their own ids, as the tokenizer reads them: in the raw text, also inside words."""
+        if self.control is None or not self.control.search(text):
+            return self(text)
+        parts = self.control.split(text)
+        return b"".join([self.controls[x] if k % 2 else self(x) for k, x in enumerate(parts)])
 
     def __call__(self, text: bytes) -> bytes:
         words = text.lower().split()
@@ -225,7 +237,7 @@ def pack_documents(df: DataFrame, tokenizer: str, key: str = "doc_id", text: str
         count = 0
         for batch in batches:
             for name, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = ids_of(body or b"") + np.array([END_ID], "<u4").tobytes()
+                ids = ids_of.whole(body or b"") + np.array([END_ID], "<u4").tobytes()
                 docs[count] = (name, ids)
                 packer.add(count, len(ids) // 4)
                 count, held = count + 1, held + len(ids) // 4

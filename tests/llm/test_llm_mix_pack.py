@@ -190,3 +190,13 @@ def test_step_groups_are_balanced():
         sums[g] = sums.get(g, 0) + cost(w)
     assert max(sums.values()) < 1.2 * min(sums.values())
     assert zlib.crc32(bytes(groups[:100])) == zlib.crc32(bytes(step_groups(windows, tokens=20_000)[:100]))
+
+
+def test_control_strings_have_the_ids_of_the_untouched_tokenizer(spark):
+    t = Tokenizer.from_file(PATH)
+    texts = ["<|endoftext|> hi", "a<|startoftext|>b", "x <|endoftext|>", "<|EndOfText|> y", "<|endoftext|><|endoftext|>", "Word's<|endoftext|>'s !", "<|startoftext|>\n\tÉ <|endoftext|> tail.", "<|endoftext", "plain"]
+    pieces = pack_documents(docs(spark, [(i, "s", x) for i, x in enumerate(texts)]).repartition(1), PATH).collect()
+    got = {}
+    for p in sorted(pieces, key=lambda p: (p["doc_id"], p["start"])):
+        got.setdefault(p["doc_id"], []).extend(np.frombuffer(p["ids"], "<u4").tolist())
+    assert got == {i: t.encode(x, add_special_tokens=False).ids + [1] for i, x in enumerate(texts)}
