@@ -13,7 +13,10 @@ backslash is put behind the first character of ``<|``, ``<s>``, ``</s>``,
 
 Defined cases: null roles and texts are empty; repeated rows of a conversation
 stay separate turns, ordered by (turn, role, text); a record of an unknown
-layout has null turns and its fingerprint, so nothing is guessed or lost.
+layout has null turns and its fingerprint, so nothing is guessed or lost. Spark
+parses JSON strings up to 20 million characters and records up to 128 MB; a text
+beyond that, or no JSON at all, has null turns unless the record comes with its
+typed turns, which ``records_of`` gives.
 """
 
 from __future__ import annotations
@@ -94,14 +97,22 @@ def fingerprint(layout: Column) -> Column:
     return F.xxhash64(layout)
 
 
-def canonical_turns(df: DataFrame, record: str = "record", keep: tuple[str, ...] = (), mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFrame:
-    """``keep``, ``layout_hash``, ``layout`` (null if unknown) and ``turns`` of JSON records."""
-    parsed = computed(df.select(*keep, F.try_parse_json(F.col(record)).alias("_v")), layout_of(F.col("_v")), "_paths")
+def canonical_turns(
+    df: DataFrame, record: str = "record", keep: tuple[str, ...] = (), mappings: tuple[Mapping, ...] = MAPPINGS, typed: str = "typed"
+) -> DataFrame:
+    """``keep``, ``layout_hash``, ``layout`` (null if unknown) and ``turns`` of JSON records.
+
+    Where the text does not parse, the column ``typed`` of (paths, turns) stands for it, if the input has one.
+    """
+    kind = f"struct<paths:string,turns:{TURNS}>"
+    other = F.col(typed) if typed in df.columns and df.schema[typed].dataType.simpleString() == kind else F.lit(None).cast(kind)
+    read = df.select(*keep, F.try_parse_json(F.col(record)).alias("_v"), other.alias("_typed"))
+    parsed = computed(read, F.when(F.col("_v").isNull() & F.col("_typed").isNotNull(), F.col("_typed.paths")).otherwise(layout_of(F.col("_v"))), "_paths")
     hashed = parsed.withColumn("layout_hash", fingerprint(F.col("_paths")))
     turns = name = F.lit(None)
     for m in mappings:
         mine = F.col("layout_hash") == fingerprint(F.lit(m.paths))
-        turns = F.when(mine, m.turns(F.col("_v"))).otherwise(turns)
+        turns = F.when(mine & F.col("_v").isNull(), F.col("_typed.turns")).when(mine, m.turns(F.col("_v"))).otherwise(turns)
         name = F.when(mine, F.lit(m.name)).otherwise(name)
     clean = let(turns.cast(TURNS), lambda t: F.transform(t, lambda x: F.struct(
         F.coalesce(x.role, F.lit("")).alias("role"), F.coalesce(x.text, F.lit("")).alias("text"))))
@@ -109,7 +120,7 @@ def canonical_turns(df: DataFrame, record: str = "record", keep: tuple[str, ...]
 
 
 def records_of(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
-    """Turn rows as one JSON record per conversation, in the plainest layout that can hold it."""
+    """Turn rows as one JSON record per conversation, in the plainest layout that can hold it, and the same turns typed."""
     one = F.struct(
         F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit("")).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text")
     )
@@ -123,7 +134,12 @@ def records_of(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role:
               F.to_json(F.struct(said(0).alias("system"), said(1).alias("instruction"), said(2).alias("output"))))
         .otherwise(F.to_json(F.struct(messages.alias("messages"))))
     )
-    return grouped.select("conv_id", record.alias("record"))
+    paths = {m.name: F.lit(m.paths) for m in MAPPINGS}
+    layout = (
+        F.when(as_is("user", "assistant"), paths["prompt"]).when(as_is("system", "user", "assistant"), paths["instruction"]).otherwise(paths["messages"])
+    )
+    turns = F.transform("t", lambda x: F.struct(x.role.alias("role"), x.text.alias("text")))
+    return grouped.select("conv_id", record.alias("record"), F.struct(layout.alias("paths"), turns.alias("turns")).alias("typed"))
 
 
 def escape(text: Column) -> Column:

@@ -200,3 +200,15 @@ def test_layouts_become_turns(spark):
     assert got == {0: ("messages", [("user", "q"), ("assistant", "")]), 1: ("conversations", [("user", "q"), ("assistant", "a")]), 2: ("prompt", [("user", "q"), ("assistant", "a")]),
                    3: ("instruction", [("system", "s"), ("user", "q"), ("assistant", "a")]), 4: (None, None), 5: (None, None), 6: (None, None)}
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
+
+
+def test_conversations_beyond_the_limit_of_json_keep_their_turns(spark):
+    """A text of over 20 million characters in each layout."""
+    n = 21_000_000
+    rows = spark.createDataFrame(
+        [(1, 0, "user"), (1, 1, "assistant"), (2, 0, "system"), (2, 1, "user"), (2, 2, "assistant"), (3, 0, "odd"), (3, 1, "assistant")],
+        "conv_id long, turn long, role string",
+    ).withColumn("text", F.when(F.col("role") == "assistant", F.repeat(F.lit("a<|b c "), n // 7)).otherwise("q"))
+    out = formatted(canonical_turns(records_of(rows), keep=("conv_id",)))
+    got = out.select("conv_id", "layout", F.size("turns"), F.length(loss_text(F.col("formatted"), F.col("loss"))), F.size(turns_back(F.col("formatted")))).collect()
+    assert sorted(tuple(r) for r in got) == [(1, "prompt", 2, n, 2), (2, "instruction", 3, n, 3), (3, "messages", 2, n, 2)]
