@@ -88,6 +88,15 @@ def _assign(classes: DataFrame, pivots: dict) -> DataFrame:
     return classes.mapInPandas(run, "cid long, copies long, label string, dim int, unit binary, cell int, near double")
 
 
+def _balls(homes: DataFrame, pivots: dict) -> dict[tuple[str, int, int], float]:
+    """Largest distance to the own pivot by (label, dim, cell), of groups with pivots: at most PIVOTS * PIVOTED rows come to the driver."""
+    if not pivots:
+        return {}
+    known = homes.sparkSession.createDataFrame([(name, int(dim)) for name, dim in pivots], "label string, dim int")
+    cells = homes.join(F.broadcast(known), ["label", "dim"]).groupBy("label", "dim", "cell").agg(F.max("near").alias("ball"))
+    return {(r["label"], r["dim"], r["cell"]): r["ball"] for r in cells.collect()}
+
+
 def _copied(classes: DataFrame, pivots: dict, balls: dict, radius: float) -> DataFrame:
     """Every class at home, and as a guest in each cell of a smaller number that may hold partners."""
 
@@ -162,7 +171,7 @@ def join_vectors(df: DataFrame, threshold: float, vec_id: str = "vec_id", vector
     pivots = _pivots(classes)
     radius = float(np.sqrt(2 - 2 * threshold))
     homes = stored(_assign(classes, pivots), "metric-cells")
-    balls = {(r["label"], r["dim"], r["cell"]): r["ball"] for r in homes.groupBy("label", "dim", "cell").agg(F.max("near").alias("ball")).collect()}
+    balls = _balls(homes, pivots)
     copied = _copied(homes, pivots, balls, radius)
 
     # blocks of a cell by hash, guests after those at home; a tile is a pair of blocks, never of two guests

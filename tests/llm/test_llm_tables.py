@@ -212,3 +212,16 @@ def test_conversations_beyond_the_limit_of_json_keep_their_turns(spark):
     out = formatted(canonical_turns(records_of(rows), keep=("conv_id",)))
     got = out.select("conv_id", "layout", F.size("turns"), F.length(loss_text(F.col("formatted"), F.col("loss"))), F.size(turns_back(F.col("formatted")))).collect()
     assert sorted(tuple(r) for r in got) == [(1, "prompt", 2, n, 2), (2, "instruction", 3, n, 3), (3, "messages", 2, n, 2)]
+
+
+def test_only_labels_with_pivots_send_their_cells_to_the_driver(spark, monkeypatch):
+    """Nearly as many labels as rows, and one large label."""
+    monkeypatch.setattr(metric_join, "TILE", 20)
+    sent, copied = [], metric_join._copied
+    monkeypatch.setattr(metric_join, "_copied", lambda c, pivots, balls, radius: sent.append((pivots, balls)) or copied(c, pivots, balls, radius))
+    rng = np.random.default_rng(40)
+    rows = [(k, rng.normal(size=8).tolist(), max(k - 40, 0)) for k in range(140)]
+    got = metric_join.join_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), 0.5).collect()
+    (pivots, balls), = sent
+    assert list(pivots) == [("0", 8)] and {k[:2] for k in balls} == {("0", 8)}
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in got) == sorted(linked(rows, 0.5))
