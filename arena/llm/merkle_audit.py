@@ -10,7 +10,9 @@ A level is one aggregate with at most FANOUT rows a group. Records repeated
 within a replica are counted before they are gathered, so a leaf never holds more
 entries than its range has bytes. Bodies are hashed in the scan and never move.
 
-Defined cases: null bodies are empty; a null archive is an archive of its own; a
+Defined cases: null bodies are empty; a null archive is an archive of its own,
+reported as ''; records of one offset are compared one by one, the left-overs of
+both replicas being paired by digest and length; a
 record that one replica lacks is ``missing`` (in the copy) or ``extra`` (only in
 the copy); one that is there more often than in the other is ``repeated``; empty
 replicas agree with each other.
@@ -18,6 +20,9 @@ replicas agree with each other.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,8 +46,8 @@ def with_offsets(df: DataFrame, archive: str, order: str, length: str) -> DataFr
 
 
 def _entries(records: DataFrame) -> DataFrame:
-    """Distinct records with their number."""
-    return records.groupBy(F.coalesce("archive", F.lit("")).alias("archive"), "offset", "length", "digest").agg(F.count(F.lit(1)).alias("n"))
+    """Distinct records with their number. A name of an archive is marked, so that a null archive is not the one named ''."""
+    return records.groupBy(F.coalesce(F.concat(F.lit("="), "archive"), F.lit("-")).alias("archive"), "offset", "length", "digest").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _tree(entries: DataFrame, levels: int) -> DataFrame:
@@ -91,19 +96,28 @@ def audit(primary: DataFrame, copy: DataFrame) -> DataFrame:
         suspects = stored(_differing(here_a, here_b), "merkle-suspects")
     bad = suspects.select("archive", F.col("node").alias("leaf"))
 
-    def within(entries: DataFrame, side: str) -> DataFrame:
+    def within(entries: DataFrame) -> DataFrame:
         placed = entries.withColumn("leaf", F.floor(F.col("offset") / RANGE).cast("long"))
-        rows = placed.join(bad, ["archive", "leaf"], "left_semi")
-        return rows.groupBy("archive", "leaf", "offset").agg(
-            F.max(F.struct("digest", "length", "n")).alias(side), F.sum("n").alias(f"{side}_n"), F.count(F.lit(1)).alias(f"{side}_kinds")
-        )
-
-    pairs = within(ours, "p").join(within(theirs, "c"), ["archive", "leaf", "offset"], "full")
-    problem = (
-        F.when(F.col("c").isNull(), "missing").when(F.col("p").isNull(), "extra")
-        .when((F.col("p.digest") != F.col("c.digest")) | (F.col("p.length") != F.col("c.length")) | (F.col("p_kinds") != F.col("c_kinds")), "changed")
-        .when(F.col("p_n") != F.col("c_n"), "repeated")
+        return placed.join(bad, ["archive", "leaf"], "left_semi")
+
+    # equal records meet first; what is left of an offset is paired in order
+    record = ["archive", "leaf", "offset", "length", "digest"]
+    mine, other = within(ours).withColumnRenamed("n", "p_n"), within(theirs).withColumnRenamed("n", "c_n")
+    met = [F.col(f"p.{c}").eqNullSafe(F.col(f"c.{c}")) for c in record]
+    either = [F.when(F.col("p_n").isNotNull(), F.col(f"p.{c}")).otherwise(F.col(f"c.{c}")).alias(c) for c in record]
+    both = mine.alias("p").join(other.alias("c"), reduce(and_, met), "full").select(*either, "p_n", "c_n")
+    both = stored(both.filter(~F.col("p_n").eqNullSafe(F.col("c_n"))), "merkle-records")
+    repeated = both.filter("p_n is not null and c_n is not null").select(
+        "archive", "offset", "length", F.col("length").alias("copy_length"), F.lit("repeated").alias("problem"), "leaf"
     )
-    return pairs.withColumn("problem", problem).filter("problem is not null").select(
-        "archive", "offset", F.col("p.length").alias("length"), F.col("c.length").alias("copy_length"), "problem", "leaf"
+    turn = Window.partitionBy("archive", "leaf", "offset").orderBy("digest", "length")
+
+    def left(rows: DataFrame, side: str) -> DataFrame:
+        return rows.select("archive", "leaf", "offset", F.row_number().over(turn).alias("turn"), F.struct("length").alias(side))
+
+    pairs = left(both.filter("c_n is null"), "p").join(left(both.filter("p_n is null"), "c"), ["archive", "leaf", "offset", "turn"], "full")
+    problem = F.when(F.col("c").isNull(), "missing").when(F.col("p").isNull(), "extra").otherwise("changed")
+    found = pairs.select(
+        "archive", "offset", F.col("p.length").alias("length"), F.col("c.length").alias("copy_length"), problem.alias("problem"), "leaf"
     )
+    return found.unionByName(repeated).withColumn("archive", F.substring("archive", 2, 2**31 - 1))

@@ -225,3 +225,12 @@ def test_only_labels_with_pivots_send_their_cells_to_the_driver(spark, monkeypat
     (pivots, balls), = sent
     assert list(pivots) == [("0", 8)] and {k[:2] for k in balls} == {("0", 8)}
     assert sorted((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in got) == sorted(linked(rows, 0.5))
+
+
+def test_audit_compares_every_record_of_an_offset(spark):
+    """The record of the smaller digest is corrupt, a null archive is not '', and an offset loses one of two."""
+    ours = [("a", 0, 5, "d1"), ("a", 0, 5, "d9"), ("b", 0, 5, "d1"), ("b", 0, 7, "d2"), ("", 3, 1, "x"), (None, 9, 1, "y"), ("c", 1, 1, "z")]
+    theirs = [("a", 0, 5, "d0"), ("a", 0, 5, "d9"), ("b", 0, 7, "d2"), (None, 3, 1, "x"), (None, 9, 1, "y"), ("c", 1, 1, "z")]
+    found = audit(spark.createDataFrame(ours, RECORDS), spark.createDataFrame(theirs, RECORDS)).collect()
+    assert sorted((r["archive"], r["offset"], r["length"] or 0, r["copy_length"] or 0, r["problem"]) for r in found) == [
+        ("", 3, 0, 1, "extra"), ("", 3, 1, 0, "missing"), ("a", 0, 5, 5, "changed"), ("b", 0, 5, 0, "missing")]
