@@ -8,14 +8,17 @@ from pyspark.sql import functions as F
 
 from arena.llm.block_anchors import NULL_ID, remove_repeats
 from arena.llm.chat_turns import canonical_turns, formatted, loss_text, records_of, turns_back
-from arena.llm.common import computed, stored, table
+from arena.llm.common import computed, stored, table, words
+from arena.llm.line_runs import drop_frequent_lines
 from arena.llm.merkle_audit import audit, warc_body, with_offsets
 from arena.llm.metric_join import join_vectors
+from arena.llm.periodic_runs import find_runs
 from arena.llm.prob_minhash import near_classes
 from arena.llm.pu_quality import fit_scorer, held_out, score_texts
 from arena.llm.quality_rules import STOP_WORDS, judged
 from arena.llm.split_mix import mix
 from arena.llm.tier_packing import pack_documents
+from arena.llm.turn_repair import repair
 from arena.llm.url_rules import WORD_RULES, judge_urls, site_rule
 from arena.registry import query
 
@@ -246,3 +249,145 @@ def op3_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op8_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of an ASCII text in SQL, bit by bit."""
+    bits = f"list_transform(range(8 * strlen({text})), lambda k: (ord(substr({text}, (k // 8 + 1)::INT, 1)) >> (k % 8)::INT) & 1)"
+    step = "lambda a, b: xor(a >> 1, 3988292384 * (xor(a, b) & 1))"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {bits}), {step}), 4294967295)"
+
+
+@query(
+    "op11_periodic_runs",
+    f"""
+    WITH t AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS ws, {_crc32("doc_id::VARCHAR")} AS h FROM documents),
+    s AS (SELECT doc_id, ws, len(ws) AS n, h, (h // 10) % greatest(len(ws), 1) AS a, 3 + (h // 10) % 8 AS parts FROM t),
+    p AS (SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(n), lambda i:
+                 ws[CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // parts) END + 1]) ELSE ws END AS ws FROM s),
+    k AS (SELECT doc_id, i, array_to_string(ws[i + 1:i + 6], ' ') AS gram FROM p, unnest(range(0, n - 5)) AS u(i)),
+    e AS (SELECT a.doc_id, a.i, b.i - a.i AS q FROM k a JOIN k b ON b.doc_id = a.doc_id AND b.gram = a.gram AND b.i > a.i),
+    f AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM e),
+    r AS (SELECT doc_id, start, length, min(q) AS period
+          FROM (SELECT doc_id, q, min(i) AS start, count(*) + 5 + q AS length FROM f GROUP BY doc_id, q, island)
+          WHERE length >= greatest(12, 2 * q) GROUP BY doc_id, start, length),
+    b AS (SELECT doc_id, count(*) AS n_runs, arg_max(struct_pack(s := start, l := length, p := period), length * 1000000000 - start) AS best,
+                 string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS listed FROM r GROUP BY doc_id),
+    c AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM r),
+    x AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) - 1 AS i FROM p),
+    y AS (SELECT x.doc_id, string_agg(word, ' ' ORDER BY x.i) FILTER (c.i IS NULL) AS kept
+          FROM x LEFT JOIN c ON c.doc_id = x.doc_id AND c.i = x.i GROUP BY x.doc_id)
+    SELECT p.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, best.s::BIGINT AS start, best.l::BIGINT AS length, best.p::BIGINT AS period,
+           ((1000 * best.l) // best.p)::BIGINT AS exponent_milli, sha256(coalesce(listed, '')) AS runs_sha256,
+           sha256(coalesce(kept, '')) AS collapsed_sha256
+    FROM p LEFT JOIN b ON b.doc_id = p.doc_id LEFT JOIN y ON y.doc_id = p.doc_id
+    """,
+)
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of the documents, of which a tenth by checksum is made periodic from some word on."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.crc32(F.col("doc_id").cast("string")).alias("h"))
+    docs = computed(docs, F.when(F.col("h") % 10 == 0, words(F.col("text"))), "said")
+    n, g = F.size("said").cast("long"), F.floor(F.col("h") / 10)
+    docs = docs.withColumn("a", F.when(n > 0, g % n))
+    docs = docs.withColumn("p", (1 + F.floor((n - F.col("a")) / (3 + g % 8))).cast("long"))
+    place = F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p")))
+    made = F.array_join(F.transform(place, lambda i: F.get(F.col("said"), i.cast("int"))), " ")
+    made = docs.select("doc_id", F.when(F.col("a").isNotNull(), made).otherwise(F.col("text")).alias("text"))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r.length.alias("length"), (-r.start).alias("start"), (-r.period).alias("period"))))
+    listed = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n")))
+    return find_runs(made).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-best.start).alias("start"), best.length.alias("length"),
+        (-best.period).alias("period"), F.floor(1000 * best.length / -best.period).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(listed, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query(
+    "op13_line_runs",
+    """
+    WITH b AS (SELECT ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) AS blank),
+    t AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+    x AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM t),
+    k AS (SELECT doc_id, i, line, translate(trim(line, blank), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM x, b),
+    f AS (SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+    SELECT doc_id, count(*)::BIGINT AS n_lines, count(f.key)::BIGINT AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (f.key IS NULL), '')) AS kept_sha256
+    FROM k LEFT JOIN f ON f.key = k.key GROUP BY doc_id
+    """,
+)
+def op13_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = drop_frequent_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select(F.col("row.doc_id").alias("doc_id"), "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def _edits(keep: int | None, due: int, due_role: str, state: int) -> str:
+    """Cheapest of the edits of a row in one state of the recursion below, as a struct (cost, audit, text)."""
+    kept = "NULL" if keep is None else f"s{keep}"
+    return f"""list_min([
+        struct_pack(c := s{state}.c + 2, a := 'D' || s{state}.a, t := s{state}.t),
+        CASE WHEN NOT goes THEN struct_pack(c := s{due}.c + 1 + more, a := 'R' || s{due}.a, t := chr(10) || '{due_role}:' || text || s{due}.t) END
+        {f", CASE WHEN NOT goes AND initial = '{'sua'[keep - 1]}' THEN struct_pack(c := {kept}.c + more, a := 'K' || {kept}.a, t := chr(10) || role || ':' || text || {kept}.t) END" if keep else ""}
+        {f", CASE WHEN NOT goes AND initial = 'u' THEN struct_pack(c := s2.c + more, a := 'K' || s2.a, t := chr(10) || role || ':' || text || s2.t) END" if keep == 1 else ""}
+    ])"""
+
+
+def _inserted(state: str, due: str, role: str) -> str:
+    return f"list_min([{state}, struct_pack(c := {due}.c + 5, a := 'I' || {due}.a, t := chr(10) || '{role}:' || {due}.t)])"
+
+
+@query(
+    "op12_turn_repair",
+    f"""
+    WITH RECURSIVE o AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+               coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS place FROM conversations),
+    h AS (SELECT *, {_crc32("place")} % 20 AS luck FROM o),
+    d AS (SELECT conv_id, turn, CASE WHEN luck = 4 THEN 'user' ELSE role END AS role,
+                 CASE WHEN luck = 1 THEN '' WHEN luck = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+                 unnest(range(CASE WHEN luck = 3 THEN 2 ELSE 1 END)) AS again FROM h WHERE luck <> 0),
+    z AS (SELECT *, trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS seen, substr(role, 1, 1) AS initial,
+                 row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, again) > 1 AS twin,
+                 row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, again) AS i FROM d),
+    r AS (SELECT *, seen = '' AS blank, seen <> '' AND twin AS duplicate, seen <> '' AND NOT twin AND substr(seen, -1) NOT IN ('.', '!', '?') AS truncated,
+                 seen = '' OR twin AS goes, CASE WHEN substr(seen, -1) NOT IN ('.', '!', '?') THEN 5 ELSE 0 END AS more,
+                 lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS pair FROM z),
+    f AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+                 count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated,
+                 count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM r GROUP BY conv_id),
+    v(conv_id, i, s0, s1, s2, s3) AS (
+        SELECT conv_id, n, {{'c': 0::BIGINT, 'a': '', 't': ''}}, {{'c': 10::BIGINT, 'a': 'II', 't': chr(10) || 'user:' || chr(10) || 'assistant:'}},
+               {{'c': 5::BIGINT, 'a': 'I', 't': chr(10) || 'assistant:'}}, {{'c': 0::BIGINT, 'a': '', 't': ''}} FROM f
+        UNION ALL
+        SELECT conv_id, i, {_inserted("b0", "c2", "user")}, {_inserted("b1", "c2", "user")}, c2, {_inserted("b3", "b2", "user")}
+        FROM (SELECT *, {_inserted("b2", "b3", "assistant")} AS c2 FROM (
+            SELECT v.conv_id, v.i - 1 AS i, {_edits(1, 2, "user", 0)} AS b0, {_edits(2, 2, "user", 1)} AS b1,
+                   {_edits(3, 3, "assistant", 2)} AS b2, {_edits(2, 2, "user", 3)} AS b3
+            FROM v JOIN r ON r.conv_id IS NOT DISTINCT FROM v.conv_id AND r.i = v.i))),
+    e AS (SELECT conv_id, s0 FROM v WHERE i = 0)
+    SELECT p.conv_id, coalesce(f.gaps, 0)::BIGINT AS gaps, coalesce(f.blank, 0)::BIGINT AS blank, coalesce(f.duplicate, 0)::BIGINT AS duplicate,
+           coalesce(f.truncated, 0)::BIGINT AS truncated, coalesce(f.illegal, 0)::BIGINT AS illegal, coalesce(e.s0.c, 0)::BIGINT AS cost,
+           coalesce(e.s0.a, '') AS audit, sha256(coalesce(substr(e.s0.t, 2), '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) p LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM p.conv_id
+    LEFT JOIN e ON e.conv_id IS NOT DISTINCT FROM p.conv_id
+    """,
+)
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repairs the conversations after a fifth of their rows was dropped, emptied, cut, repeated or given another role."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    place = F.concat(F.coalesce(F.col("conv_id").cast("string"), F.lit(" ")), F.lit(":"), F.coalesce(F.col("turn").cast("string"), F.lit(" ")))
+    hurt = rows.withColumn("luck", F.crc32(place) % 20).filter("luck <> 0")
+    text = F.coalesce("text", F.lit(" "))
+    text = F.when(F.col("luck") == 1, "").when(F.col("luck") == 2, F.translate(text, ".!?", "")).otherwise(text)
+    role = F.when(F.col("luck") == 4, "user").otherwise(F.coalesce("role", F.lit(" ")))
+    hurt = hurt.select("conv_id", "turn", role.alias("role"), text.alias("text"), F.explode(F.array_repeat(F.lit(1), F.when(F.col("luck") == 3, 2).otherwise(1))))
+    blocks = repair(hurt, digest=True)
+    figures = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    pieces = F.array_sort(F.collect_list(F.struct("block", "audit")))
+    whole = blocks.groupBy("key").agg(
+        *[F.max(c).alias(c) for c in (*figures, "digest")], F.array_join(F.transform(pieces, lambda x: x.audit), "").alias("audit")
+    )
+    known = rows.select("conv_id").distinct()
+    joined = known.join(whole, known["conv_id"].cast("string").eqNullSafe(whole["key"]), "left")
+    return joined.select(
+        "conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in figures], F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("digest", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
