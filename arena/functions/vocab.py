@@ -171,6 +171,11 @@ PRIZE_BY_RULE_BOX: dict[str, int] = {
     "vmax": 3,
     "vstar": 2,
 }
+RULE_BOX_TYPES = ["ex", "gx", "tag_team_gx", "prism_star", "radiant", "v", "vmax", "vstar", "v_union", "mega_ex"]
+RARITIES = [
+    "C", "U", "R", "RR", "RRR", "SR", "HR", "UR", "TR", "CHR", "CSR", "AR", "SAR", "S", "SSR", "K", "PR", "FUR", "无标记", "A",
+    "●", "◆", "★", "★★", "★★★", "ACE",
+]
 LIMIT_BY_RULE_BOX: dict[str, int] = {"prism_star": 1, "radiant": 1, "v_union": 1}
 SAME_NAME_BASES = ["博士的研究", "老大的指令"]
 UNION_POSITIONS = ["左上", "右上", "左下", "右下"]

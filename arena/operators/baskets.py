@@ -99,21 +99,50 @@ def backfill_misses(items: DataFrame, raw_items: DataFrame, order: str) -> DataF
 def remap_misses(items: DataFrame, resolved: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Applies newly found cards to open items: (items after, basket status before and after).
 
-    ``resolved``: deck_id, raw_name, card_id, stat_scope. An item that now has
-    the card of another line is merged into it. Nothing already mapped changes,
-    so a basket can only go up.
+    ``items``: one row per (basket, card), and per (basket, raw name) without a
+    card. ``resolved``: deck_id, raw_name, card_id, stat_scope, one row a miss. An
+    item that now has the card of another line is merged into it; baskets without
+    a hit are passed on as they are. Nothing already mapped changes, so a basket
+    can only go up. Both states are conditional sums of one pass.
     """
+    marked = with_hits(items, resolved)
+    status = remap_status(marked)
+    touched = resolved.select("deck_id").distinct()
+    plain = ["deck_id", "card_id", "raw_name", "count", "stat_scope"]
+    renewed = marked.join(touched, "deck_id", "left_semi").select(
+        "deck_id", F.coalesce("card_id", "_card").alias("card_id"), "raw_name", "count", F.coalesce("_scope", "stat_scope").alias("stat_scope")
+    )
+    after = items.join(touched, "deck_id", "left_anti").select(*plain).unionByName(merge_same_item(renewed))
+    return after, status
+
+
+def with_hits(items: DataFrame, resolved: DataFrame) -> DataFrame:
+    """Items with ``_card`` and ``_scope`` where an open one is resolved."""
     hit = resolved.select(
-        "deck_id", "raw_name", F.col("card_id").alias("_card"), F.col("stat_scope").alias("_scope")
-    ).dropDuplicates(["deck_id", "raw_name"])
-    open_items = items.filter(F.col("card_id").isNull()).join(hit, ["deck_id", "raw_name"], "left")
-    remapped = open_items.select(
-        "deck_id", F.col("_card").alias("card_id"), "raw_name", "count",
-        F.coalesce("_scope", F.col("stat_scope")).alias("stat_scope"),
+        F.col("deck_id").alias("_deck"), F.col("raw_name").alias("_name"), F.col("card_id").alias("_card"), F.col("stat_scope").alias("_scope")
     )
-    after = merge_same_item(items.filter(F.col("card_id").isNotNull()).unionByName(remapped))
-    before_status = mapping_status(items).select("deck_id", F.col("mapping_status").alias("status_before"))
-    return after, mapping_status(after).join(before_status, "deck_id")
+    same = F.col("card_id").isNull() & (F.col("deck_id") == F.col("_deck")) & (F.col("raw_name") == F.col("_name"))
+    return items.join(hit, same, "left").drop("_deck", "_name")
+
+
+def remap_status(marked: DataFrame) -> DataFrame:
+    """Per basket: total, mapped copies and status before and after the hits in ``_card``; one pass."""
+    open_item, hit = F.col("card_id").isNull(), F.col("_card").isNotNull()
+    sums = marked.groupBy("deck_id").agg(
+        F.sum("count").alias("total"),
+        F.sum(F.when(open_item, 0).otherwise(F.col("count"))).alias("_before"),
+        F.sum(F.when(open_item & ~hit, 0).otherwise(F.col("count"))).alias("mapped"),
+        F.count_if(open_item).alias("open_before"), F.count_if(open_item & hit).alias("resolved"),
+    )
+    status = lambda mapped: status_of(F.coalesce(F.try_divide(mapped, F.col("total")), F.lit(0.0)))
+    return sums.select(
+        "deck_id", "total", "mapped", status(F.col("_before")).alias("status_before"), status(F.col("mapped")).alias("mapping_status"),
+        "open_before", "resolved",
+    )
+
+
+def status_of(ratio: Column) -> Column:
+    return F.when(ratio >= 0.95, "full").when(ratio > 0, "partial").otherwise("unmapped")
 
 
 def mapping_status(items: DataFrame) -> DataFrame:
@@ -124,7 +153,7 @@ def mapping_status(items: DataFrame) -> DataFrame:
         F.sum(F.when(F.col("card_id").isNotNull(), F.col("count")).otherwise(0)).alias("mapped"),
     ).select(
         "deck_id", "total", "mapped", ratio.alias("mapped_ratio"),
-        F.when(ratio >= 0.95, "full").when(ratio > 0, "partial").otherwise("unmapped").alias("mapping_status"),
+        status_of(ratio).alias("mapping_status"),
     )
 
 

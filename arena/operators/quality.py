@@ -41,18 +41,6 @@ def required_violations(df: DataFrame, key: str, fields: Sequence[str], exempt:
     return df.select(key, F.explode(F.array_compact(F.array(*[F.when(checked(f) & blank(f), F.lit(f)) for f in fields]))).alias("field"))
 
 
-def run_checks(cards: DataFrame, key: str, by_card: Mapping[str, DataFrame], by_set: Mapping[str, DataFrame]) -> DataFrame:
-    """(set_id, rule) of every failure: rows of card checks by their key, rows of set checks whose ``ok`` is false."""
-    found = None
-    for rule, rows in by_card.items():
-        one = rows.select(F.col(key).alias("_key"), F.lit(rule).alias("rule"))
-        found = one if found is None else found.unionByName(one)
-    out = found.join(cards.select(F.col(key).alias("_key"), "set_id"), "_key").select("set_id", "rule")
-    for rule, rows in by_set.items():
-        out = out.unionByName(rows.filter(~F.col("ok")).select("set_id", F.lit(rule).alias("rule")))
-    return out
-
-
 def enum_violations(df: DataFrame, key: str, values: Mapping[str, Column], allowed: Mapping[str, Sequence[str]]) -> DataFrame:
     """(key, field, value) outside its vocabulary. ``values`` are arrays, so scalars, lists and structs fit alike."""
     def outside(field: str, col: Column) -> Column:

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arena.functions import text as x
+from arena.functions.parallel import parse_json
 from arena.functions.rank import quantile_splits
+from arena.operators import checks as ch
 from arena.operators import graph as g
 from arena.operators import normalise as n
 from arena.operators import quality as q
@@ -18,6 +20,8 @@ from arena.registry import query
 from arena.sources import catalogue as c
 from arena.sources import tables as b
 from arena.sources.tables import Tables
+from arena.session import stored_rows
+from arena.streaming import growth as gw
 
 
 @query(
@@ -251,39 +255,68 @@ def mechanic_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.mechanic_consistency(cards, "num", ["red"], " ")
 
 
+# records of the growing catalogue: planted faults by rule, in the raw record (the set number is not divisible by three) ...
+GROWING = """gr AS (SELECT p_partkey AS num, p_brand AS set_id, p_name, p_size AS size, p_type IN ('ECONOMY','STANDARD') AS mon, p_type = 'PROMO' AS promo,
+  CAST(substr(p_brand, 7) AS INTEGER) % 3 <> 0 AS f FROM part),
+ok AS (SELECT *, p_brand_card AS card_id FROM (SELECT *, set_id || '-' || num AS p_brand_card FROM gr) WHERE NOT (f AND num % 211 = 0)),
+rf AS (SELECT set_id, num, 'reconciliation' AS rule FROM gr WHERE f AND num % 211 = 0 UNION ALL SELECT set_id, num, 'mark_format' FROM ok WHERE f AND num % 223 = 0 AND NOT promo
+  UNION ALL SELECT set_id, num, 'hp_range' FROM ok WHERE f AND num % 227 = 0 AND mon UNION ALL SELECT set_id, num, 'enum' FROM ok WHERE f AND num % 229 = 0
+  UNION ALL SELECT set_id, num, 'required' FROM ok WHERE f AND num % 233 = 0 UNION ALL SELECT set_id, num, 'union' FROM ok WHERE f AND num % 239 = 0 AND mon)"""
+
+
+# records of the growing catalogue: faults are planted in the raw records of sets whose number three does not divide ...
+GROWING = """gr AS (SELECT p_partkey AS num, p_brand AS set_id, p_brand || '-' || p_partkey AS card_id, p_name, p_size AS size, p_type IN ('ECONOMY','STANDARD') AS mon,
+  p_type = 'PROMO' AS promo, CAST(substr(p_brand, 7) AS INTEGER) % 3 <> 0 AS f FROM part),
+ok AS (SELECT * FROM gr WHERE NOT (f AND num % 211 = 0)),
+rf AS (SELECT set_id, num, 'reconciliation' AS rule FROM gr WHERE f AND num % 211 = 0 UNION ALL SELECT set_id, num, 'mark_format' FROM ok WHERE f AND num % 223 = 0 AND NOT promo
+  UNION ALL SELECT set_id, num, 'hp_range' FROM ok WHERE f AND num % 227 = 0 AND mon UNION ALL SELECT set_id, num, 'enum' FROM ok WHERE f AND num % 229 = 0
+  UNION ALL SELECT set_id, num, 'required' FROM ok WHERE f AND num % 233 = 0 UNION ALL SELECT set_id, num, 'union' FROM ok WHERE f AND num % 239 = 0 AND mon)"""
+SAMPLED = """r AS (SELECT *, row_number() OVER (PARTITION BY set_id ORDER BY num) - 1 AS pos, count(*) OVER (PARTITION BY set_id) AS n, f AND num % 269 = 0 AS lost FROM ok),
+w AS (SELECT *, greatest(CAST(ceil(n * 5 / 100.0) AS BIGINT), 1) AS want FROM r),
+s AS (SELECT *, EXISTS (SELECT 1 FROM (SELECT unnest(range(0, want)) AS i) WHERE (i * n) // want = pos) AS chosen FROM w)"""
+
+
+def growing_records(t: Tables) -> DataFrame:
+    return parse_json(c.growing_cards(t), "body", c.RAW_SCHEMA)
+
+
 @query(
     "activation_gate",
-    """WITH k AS (SELECT p_partkey AS num, p_brand AS set_id, p_type AS kind, p_size AS size FROM part),
-f AS (SELECT set_id, 'required' AS rule FROM k WHERE num % 379 = 0 UNION ALL SELECT set_id, 'enum' FROM k WHERE kind IN ('SMALL', 'MEDIUM', 'LARGE') AND num % 397 = 0
-  UNION ALL SELECT set_id, 'range' FROM k WHERE kind IN ('ECONOMY', 'STANDARD') AND num % 101 = 0 UNION ALL SELECT set_id, 'range' FROM k WHERE kind <> 'PROMO' AND num % 389 = 0
-  UNION ALL SELECT set_id, 'recompute' FROM k WHERE num % 383 = 0 UNION ALL SELECT set_id, 'count' FROM k WHERE num % 373 = 0 GROUP BY set_id),
-b AS (SELECT set_id, count(*) AS failures, count(DISTINCT rule) AS rules FROM f GROUP BY 1)
-SELECT k.set_id, coalesce(max(failures), 0) AS failures, coalesce(max(rules), 0) AS rules, max(failures) IS NULL AS passed,
-  count(*) FILTER (failures IS NULL OR size % 4 = 0) AS active FROM k LEFT JOIN b USING (set_id) GROUP BY k.set_id""",
+    f"""WITH {GROWING}, {SAMPLED},
+a AS (SELECT set_id, rule FROM rf WHERE rule <> 'reconciliation' UNION ALL SELECT set_id, 'energy' FROM s WHERE lost
+  UNION ALL SELECT set_id, 'energy' FROM s WHERE NOT lost AND f AND num % 241 = 0 AND mon UNION ALL SELECT set_id, 'energy' FROM s WHERE NOT lost AND f AND num % 251 = 0 AND mon
+  UNION ALL SELECT set_id, 'parent_key' FROM s WHERE f AND num % 257 = 0
+  UNION ALL SELECT set_id, 'sample' FROM s WHERE chosen AND lost UNION ALL SELECT set_id, 'sample' FROM s WHERE chosen AND NOT lost AND f AND num % 5 = 0 AND num % 233 <> 0
+  UNION ALL SELECT set_id, 'reconciliation' FROM gr GROUP BY set_id HAVING count(*) FILTER (NOT (f AND num % 269 = 0 AND num % 211 <> 0)) <> count(*) FILTER (NOT (f AND num % 211 = 0))),
+b AS (SELECT set_id, count(*) AS failures, count(DISTINCT rule) AS rules, string_agg(DISTINCT rule, ',' ORDER BY rule) AS which FROM a GROUP BY 1)
+SELECT k.set_id, coalesce(max(failures), 0) AS failures, coalesce(max(rules), 0) AS rules, coalesce(max(which), '') AS which, max(failures) IS NULL AS passed,
+  count(*) FILTER (failures IS NULL OR num % 4 = 0) AS active FROM ok k LEFT JOIN b USING (set_id) GROUP BY k.set_id""",
 )
 def activation_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Faults planted in stored records; the checks find them, and the gate takes what the checks return."""
-    at = lambda n: F.col("num") % n == 0
-    made = c.catalogue(Tables(spark, sf_dir)).withColumns({
-        "status": F.when(F.col("size") % 4 == 0, "active").otherwise("draft"), "hp": F.least(F.col("size") * 7 + 3, F.lit(340)),
-    })
+    """Stored records against their source under all nine checks; the gate takes what the checks return."""
+    t = Tables(spark, sf_dir)
+    raw = stored_rows(growing_records(t), "gate-raw")
+    made, num = stored_rows(gw.drafts(raw), "gate-made"), F.col("seq").cast("long")
+    bad = lambda mod: (F.pmod(F.substr("set_id", F.lit(7)).cast("int"), F.lit(3)) != 0) & (num % mod == 0)
+    first = F.get("attacks", F.lit(0))
+    cut = F.concat(F.array(first.withField("cost", F.slice(first["cost"], 2, 9))), F.slice("attacks", 2, 9))
+    # ... and in what is stored: a cost cut, the retreat raised, a parent that is not there, other names, a lost source
     stored = made.withColumns({
-        "name_full": F.when(~at(379), F.col("name_full")), "trainer_subtype": F.when(F.col("trainer_subtype").isNotNull() & at(397), "?").otherwise(F.col("trainer_subtype")),
-        "hp": F.when(at(101), 400).otherwise(F.col("hp")), "mark": F.when(F.col("mark").isNotNull() & at(389), "x").otherwise(F.col("mark")),
-        "species": F.when(at(383), F.concat("species", F.lit("?"))).otherwise(F.col("species")),
+        "status": F.when(num % 4 == 0, "active").otherwise("draft"),
+        "attacks": F.when(bad(241) & (F.col("card_type") == "pokemon"), cut).otherwise(F.col("attacks")),
+        "retreat_cost": F.when(bad(251), F.col("retreat_cost") + 1).otherwise(F.col("retreat_cost")),
+        "evolves_from_id": F.when(bad(257), "nowhere-0").otherwise(F.col("evolves_from_id")),
+        "name_full": F.when(bad(5) & (F.col("name_full") != ""), F.concat("name_full", F.lit("?"))).otherwise(F.col("name_full")),
     })
-    found = q.run_checks(
-        stored, "num",
-        {
-            "required": q.required_violations(stored, "num", ["name_full", "card_type", "number"]),
-            "enum": q.enum_violations(stored, "num", {"trainer_subtype": F.array("trainer_subtype")}, {"trainer_subtype": list(c.SUBTYPE_OF.values())}),
-            "range": q.format_and_range(stored, "num", "mark", "hp", F.col("card_type") == "pokemon"),
-            "recompute": q.recompute_compare(stored, made, "num", ["species"]),
-        },
-        {"count": q.set_reconciliation(made.select("set_id", "number"), stored.filter(~at(373)))},
-    )
+    stored = stored_rows(stored, "gate-stored")
+    lost = (F.pmod(F.substr("set_id", F.lit(7)).cast("int"), F.lit(3)) != 0) & (F.col("num") % 269 == 0) & (F.col("num") % 211 != 0)
+    splits = part_splits(t)
+    found = ch.run(stored, raw.filter(~lost), made.select("card_id"), gw.union_relations(made, splits), "seq", splits)
+    found = stored_rows(found, "gate-failures")
     cards, verdict = q.activation_gate(stored, found)
-    return verdict.join(cards.groupBy("set_id").agg(F.count_if(F.col("status") == "active").alias("active")), "set_id")
+    which = found.groupBy("set_id").agg(F.array_join(F.array_sort(F.collect_set("rule")), ",").alias("which"))
+    active = cards.groupBy("set_id").agg(F.count_if(F.col("status") == "active").alias("active"))
+    return verdict.join(active, "set_id").join(which, "set_id", "left").withColumn("which", F.coalesce("which", F.lit("")))
 
 
 def part_splits(t: Tables) -> list[float]:
@@ -292,14 +325,25 @@ def part_splits(t: Tables) -> list[float]:
 
 @query(
     "stride_sample",
-    """WITH r AS (SELECT p_brand AS set_id, p_partkey AS num, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1 AS pos, count(*) OVER (PARTITION BY p_brand) AS n FROM part),
-w AS (SELECT *, greatest(CAST(ceil(n * 5 / 100.0) AS BIGINT), 1) AS want FROM r)
-SELECT set_id, num FROM w WHERE EXISTS (SELECT 1 FROM (SELECT unnest(range(0, want)) AS i) WHERE (i * n) // want = pos)""",
+    f"""WITH {GROWING}, {SAMPLED}, x AS (SELECT set_id, card_id, num % 11 = 0 AS lost, num % 5 = 0 AND NOT (f AND num % 233 = 0) AS renamed, num % 7 = 0 AND mon AS other_hp, num % 3 = 0 AND mon AS other_hit,
+  CASE WHEN f AND num % 233 = 0 THEN '' ELSE p_name END AS name, CASE WHEN f AND num % 227 = 0 THEN 400 ELSE 60 + size * 5 END AS hp, 'hit 0 ' || size AS h0, 'hit 1 ' || size AS h1 FROM s WHERE chosen)
+SELECT set_id, card_id, 'raw' AS field, CAST(NULL AS VARCHAR) AS stored, CAST(NULL AS VARCHAR) AS source FROM x WHERE lost
+UNION ALL SELECT set_id, card_id, 'name_full', name || '?', name FROM x WHERE NOT lost AND renamed
+UNION ALL SELECT set_id, card_id, 'hp', CAST(hp + 1 AS VARCHAR), CAST(hp AS VARCHAR) FROM x WHERE NOT lost AND other_hp
+UNION ALL SELECT set_id, card_id, 'attacks.name', h0 || '!|' || h1, h0 || '|' || h1 FROM x WHERE NOT lost AND other_hit
+UNION ALL SELECT set_id, card_id, NULL, NULL, NULL FROM x WHERE NOT (lost OR renamed OR other_hp OR other_hit)""",
 )
 def stride_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sample of every set against its source records, field by field; a record that is missing is a difference."""
     t = Tables(spark, sf_dir)
-    cards = t.part.select(F.col("p_brand").alias("set_id"), F.col("p_partkey").alias("num"))
-    return q.stride_sample(cards, ["set_id"], "num", part_splits(t))
+    raw, num = growing_records(t), F.col("seq").cast("long")
+    first = F.get("attacks", F.lit(0))
+    other = F.concat(F.array(first.withField("name", F.concat(first["name"], F.lit("!")))), F.slice("attacks", 2, 9))
+    stored = gw.ordered_cards(raw).withColumns({
+        "name_full": F.when((num % 5 == 0) & (F.col("name_full") != ""), F.concat("name_full", F.lit("?"))).otherwise(F.col("name_full")),
+        "hp": F.when(num % 7 == 0, F.col("hp") + 1).otherwise(F.col("hp")), "attacks": F.when(num % 3 == 0, other).otherwise(F.col("attacks")),
+    })
+    return ch.sample_compare(stored, raw.filter(F.col("num") % 11 != 0), "seq", part_splits(t))
 
 
 @query(

@@ -8,18 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arena.functions import vocab as v
-from arena.operators import legality as lg
+from arena.operators import baskets as k
+from arena.operators import normalise as n
 from arena.operators import pages as p
 from arena.plans import metrics as m
 from arena.queries.metrics import PARAMS
+from arena.queries.quality import GROWING, growing_records
 from arena.queries.sql import CARRY, star
 from arena.registry import ORACLES, query
-from arena.session import scratch_dir
+from arena.session import scratch_dir, stored_rows
 from arena.sources import catalogue as c
 from arena.sources import export as e
 from arena.sources import snapshots as s
 from arena.sources import tables as b
 from arena.sources.tables import Tables, day_text
+from arena.streaming import growth as gw
 from arena.streaming import refresh as r
 
 
@@ -278,26 +281,56 @@ def increment_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.detect_increments(fresh, count(customer.filter((F.col("c_custkey") % 20 != 0) & (key != 9))))
 
 
+SEEDED = "num % 10 <> 0 AND set_id <> 'Brand#5'"
+
+
 @query(
     "growth_pipeline",
-    """WITH f AS (SELECT p_brand, count(*) AS n, bool_or(p_size = 49 AND p_partkey % 3 = 0) AS bad FROM part GROUP BY 1), s AS (SELECT p_brand, count(*) AS n FROM part WHERE p_partkey % 10 <> 0 AND p_brand <> 'Brand#5' GROUP BY 1),
-st AS (SELECT f.p_brand AS set_id, CASE WHEN s.n IS NULL THEN 'new' ELSE 'grown' END AS kind, f.n AS expected, s.n AS current, CASE WHEN bad THEN 'blocked' ELSE 'activated' END AS state FROM f LEFT JOIN s USING (p_brand) WHERE s.n IS NULL OR f.n > s.n),
-af AS (SELECT p.* FROM part p LEFT JOIN st ON st.set_id = p_brand WHERE st.state = 'activated' OR (p_partkey % 10 <> 0 AND p_brand <> 'Brand#5')),
-nw AS (SELECT p_name, count(*) AS prints FROM af GROUP BY p_name),
-op AS (SELECT p_brand, count(*) AS n FROM lineitem JOIN part ON p_partkey = l_partkey WHERE p_partkey IN (SELECT p_partkey FROM af) AND (p_partkey % 10 = 0 OR p_brand = 'Brand#5') GROUP BY 1)
-SELECT st.*, coalesce(op.n, 0) AS items_resolved, (SELECT CAST(sum(prints - 1) AS BIGINT) FROM nw) AS override_rows FROM st LEFT JOIN op ON op.p_brand = st.set_id""",
+    f"""WITH {GROWING}, up AS (SELECT set_id, count(*) FILTER (set_id <> 'Brand#8' OR num % 4 <> 0) AS n FROM gr GROUP BY 1), st AS (SELECT set_id, count(*) AS n FROM gr WHERE {SEEDED} GROUP BY 1),
+inc AS (SELECT up.set_id, CASE WHEN st.n IS NULL THEN 'new' WHEN up.n > st.n THEN 'grown' ELSE 'shrunk' END AS kind, up.n AS expected, st.n AS current FROM up LEFT JOIN st USING (set_id) WHERE st.n IS NULL OR up.n <> st.n),
+bad AS (SELECT set_id, string_agg(DISTINCT rule, ',' ORDER BY rule) AS rules FROM rf GROUP BY 1),
+sets AS (SELECT inc.*, CASE WHEN kind = 'shrunk' THEN 'suspicious' WHEN rules IS NOT NULL THEN 'blocked' ELSE 'activated' END AS state, CASE WHEN kind <> 'shrunk' THEN rules END AS rules FROM inc LEFT JOIN bad USING (set_id)),
+act AS (SELECT set_id FROM sets WHERE state = 'activated'),
+pub AS (SELECT * FROM ok WHERE {SEEDED} OR set_id IN (SELECT set_id FROM act)),
+nm AS (SELECT CASE WHEN f AND num % 233 = 0 THEN '' ELSE p_name END AS nm, count(*) AS n FROM pub GROUP BY 1),
+ln AS (SELECT l_orderkey AS deck, l_partkey AS num, CAST(l_quantity AS BIGINT) AS q FROM lineitem),
+it AS (SELECT deck, ln.num, s.num IS NOT NULL AS mapped, s.num IS NULL AND k.set_id IN (SELECT set_id FROM act) AS hit, CASE WHEN s.num IS NOT NULL THEN sum(q) ELSE max(q) END AS c
+  FROM ln JOIN gr k USING (num) LEFT JOIN (SELECT num FROM ok WHERE {SEEDED}) s USING (num) GROUP BY deck, ln.num, s.num, k.set_id),
+dk AS (SELECT deck, sum(CASE WHEN mapped THEN c ELSE 0 END) * 1.0::DOUBLE / sum(c) AS before, sum(CASE WHEN mapped OR hit THEN c ELSE 0 END) * 1.0::DOUBLE / sum(c) AS after FROM it GROUP BY 1),
+tot AS (SELECT count(*) FILTER (NOT mapped) AS attempted, count(*) FILTER (hit) AS resolved, count(DISTINCT deck) FILTER (hit) AS decks_affected FROM it)
+SELECT sets.*, 'v20010801.2' AS data_version, attempted, resolved, decks_affected, (SELECT count(*) FROM dk WHERE before < 0.95 AND after >= 0.95) AS decks_upgraded,
+  (SELECT count(*) FROM pub) AS cards, (SELECT count(*) FROM ok WHERE {SEEDED} AND num % 9 = 0)
+    + (SELECT CAST(sum(n - 1) AS BIGINT) FROM nm WHERE nm IN (SELECT p_name FROM part WHERE p_size > 45)) AS override_rows FROM sets, tot""",
 )
 def growth_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A growing source against a seeded store: detected sets, what the checks blocked, and what the new version published."""
     t = Tables(spark, sf_dir)
-    fresh = c.catalogue(t).select("card_id", "num", "set_id", "name_full", "release_date", "size")
-    stored = fresh.filter((F.col("num") % 10 != 0) & (F.col("set_id") != "Brand#5"))
-    failures = fresh.filter((F.col("size") == 49) & (F.col("num") % 3 == 0)).select("set_id")
-    sets, after = r.growth_step(fresh, stored, failures)
-    gained = after.join(stored.select("card_id"), "card_id", "left_anti").select("num", "set_id")
-    resolved = t.lineitem.select("l_partkey").join(gained, F.col("l_partkey") == F.col("num")).groupBy("set_id").agg(F.count(F.lit(1)).alias("items_resolved"))
-    overrides = lg.latest_print_overrides(after, after.select("card_id", F.col("name_full").alias("group_key")))
-    rows = overrides.agg(F.count(F.lit(1))).scalar()
-    return sets.join(resolved, "set_id", "left").withColumn("items_resolved", F.coalesce("items_resolved", F.lit(0))).withColumn("override_rows", rows)
+    root, num = scratch_dir(spark, "catalogue"), F.col("num")
+    raw = stored_rows(growing_records(t), "growth-raw")
+    older = raw.filter((num % 10 != 0) & (F.col("set_id") != "Brand#5"))
+    base = stored_rows(gw.drafts(older), "growth-base")
+    lines = t.lineitem.select(F.col("l_orderkey").alias("deck_id"), "l_partkey", F.col("l_quantity").cast("long").alias("count"))
+    names = t.part.select("p_partkey", F.concat_ws(" ", "p_name", F.col("p_partkey").cast("string")).alias("raw_name"))
+    known = base.select("card_id", F.col("number").cast("long").alias("_num"), n.stat_scope(F.col("card_type"), F.col("trainer_subtype")).alias("_scope"))
+    items = lines.join(names, F.col("l_partkey") == F.col("p_partkey")).join(known, F.col("l_partkey") == F.col("_num"), "left").select(
+        "deck_id", "card_id", "raw_name", "count", F.coalesce("_scope", F.lit("other")).alias("stat_scope")
+    )
+    closed = base.filter(F.col("number").cast("long") % 9 == 0).select(F.lit("closed").alias("snapshot_id"), "card_id", F.lit("stored").alias("target"))
+    stale = base.filter(F.col("number").cast("long") % 7 == 0).select(F.lit("open").alias("snapshot_id"), "card_id", F.lit("stale").alias("target"))
+    store = gw.Store(spark, root)
+    expected = older.groupBy("set_id").agg(F.count(F.lit(1)).alias("expected"))
+    gw.seed(store, base, expected, k.merge_same_item(items), closed.unionByName(stale), "v20010801.1")
+
+    products = raw.groupBy("set_id").agg(F.count_if((F.col("set_id") != "Brand#8") | (num % 4 != 0)).alias("n"))
+    releases = t.part.groupBy(F.col("p_brand").alias("set_id")).agg(F.min(c.release_date(F.col("p_partkey"))).alias("release_date"))
+    snapshots = spark.createDataFrame([("open", None), ("closed", date(2001, 1, 1))], "snapshot_id string, effective_to date")
+    named = t.part.filter(F.col("p_size") > 45).select(F.col("p_name").alias("group_key")).distinct()
+    whitelists = named.select(F.explode(F.array(F.lit("open"), F.lit("closed"))).alias("snapshot_id"), "group_key")
+    grown = gw.grow(store, products, raw, releases, snapshots, whitelists, e.next_data_version("v20010801.1", date(2001, 8, 1)))
+    told = store.manifest().filter(F.col("version") == store.version()).drop("version", "activated")
+    sizes = {"cards": store.cards().agg(F.count(F.lit(1))).scalar(), "override_rows": store.overrides().agg(F.count(F.lit(1))).scalar()}
+    one = {name: told.select(name).scalar() for name in told.columns}
+    return grown.sets.withColumns({**one, **sizes})
 
 
 @query(

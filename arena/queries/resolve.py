@@ -214,14 +214,17 @@ def backfill_misses(spark: SparkSession, sf_dir: str) -> DataFrame:
   CASE WHEN mapped * 1.0::DOUBLE / total >= 0.95 THEN 'full' WHEN mapped > 0 THEN 'partial' ELSE 'unmapped' END AS mapping_status FROM s0 JOIN s1 USING (deck_id)""",
 )
 def remap_misses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every basket before and after names found later: one pass over the lines, and only new names meet open items."""
     t = Tables(spark, sf_dir)
-    items = k.merge_same_item(b.basket_lines(t).drop("group_key"))
-    fresh = t.part.filter((F.col("p_size") <= b.MAX_RESOLVED_SIZE) & F.contains("p_name", F.lit("ring"))).groupBy(
-        F.col("p_name").alias("raw_name")
-    ).agg(F.min_by(F.struct(F.col("p_partkey").alias("card_id"), b.item_scope().alias("stat_scope")), "p_partkey").alias("f"))
-    misses = items.filter(F.col("card_id").isNull()).select("deck_id", "raw_name")
-    resolved = misses.join(fresh, "raw_name").select("deck_id", "raw_name", "f.card_id", "f.stat_scope")
-    _, status = k.remap_misses(items, resolved)
+    lines = b.basket_lines(t)
+    open_name = F.when(F.col("card_id").isNull(), F.col("raw_name"))
+    items = lines.groupBy("deck_id", "card_id", open_name.alias("raw_name")).agg(
+        F.when(F.col("card_id").isNull(), F.max("count")).otherwise(F.sum("count")).alias("count")
+    )
+    fresh = t.part.filter((F.col("p_size") <= b.MAX_RESOLVED_SIZE) & F.contains("p_name", F.lit("ring"))).groupBy(F.col("p_name").alias("raw_name")).agg(
+        F.min("p_partkey").alias("_card")
+    )
+    status = k.remap_status(items.join(fresh, "raw_name", "left"))
     return status.select("deck_id", "total", "mapped", "status_before", "mapping_status")
 
 

@@ -54,3 +54,10 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(scratch_root(spark))
     return df.checkpoint(eager=True)
+
+
+def stored_rows(df: DataFrame, name: str) -> DataFrame:
+    """The rows written below the scratch root and read again: computed once, and safe when executors are lost."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

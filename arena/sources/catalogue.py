@@ -60,6 +60,41 @@ pokemonAttr struct<energyType: string, stage: string, hp: int, evolvesFrom: stri
 """
 
 
+def brand_number() -> Column:
+    return F.substr("p_brand", F.lit(7)).cast("int")
+
+
+def growing_cards(t: Tables) -> DataFrame:
+    """set_id, number, num and one JSON document per part; records are right, but for faults planted in two sets of three."""
+    key, size, kind = F.col("p_partkey"), F.col("p_size"), F.col("p_type")
+    pick = lambda values, by: F.element_at(F.array(*[F.lit(v) for v in values]), (F.pmod(by, F.lit(len(values))) + 1).cast("int"))  # noqa: E731,E501
+    bad = lambda mod: (F.pmod(brand_number(), F.lit(3)) != 0) & (key % mod == 0)
+    pokemon = kind.isin("ECONOMY", "STANDARD")
+    attack = lambda i: F.struct(
+        F.concat(F.lit(f"hit {i} "), size.cast("string")).alias("name"), F.col("p_name").alias("text"),
+        F.concat(pick("GRWLPFDMYC", key + i), F.repeat(F.lit("C"), F.pmod(size, F.lit(3))), F.when(key % 11 == 0, "+").otherwise("")).alias("cost"),
+        F.concat((size * 10).cast("string"), pick(["", "+", "×", "-"], key)).alias("damage"),
+    )
+    attr = F.struct(
+        pick("GRWLPFDMYNC", size).alias("energyType"),
+        F.when(bad(239), "V-UNION").otherwise(pick(["Basic", "Stage 1", "Stage 2", "VMAX", "VSTAR"], key)).alias("stage"),
+        F.when(bad(227), 400).otherwise(60 + size * 5).cast("int").alias("hp"), F.when(key % 4 == 0, F.col("p_name")).alias("evolvesFrom"),
+        F.array(F.struct(F.lit("gift").alias("name"), F.col("p_name").alias("text"))).alias("ability"),
+        F.array(attack(0), attack(1)).alias("attack"), F.struct(pick("RWG", key).alias("energy"), F.lit("×2").alias("value")).alias("weakness"),
+        F.pmod(size, F.lit(4)).cast("int").alias("retreatCost"),
+    )
+    card_type = lookup(kind, {"ECONOMY": "Pokemon", "STANDARD": "Pokemon", "SMALL": "Supporter", "MEDIUM": "Item", "LARGE": "Stadium", "PROMO": "Basic Energy"})
+    record = F.struct(
+        F.when(bad(233), "").otherwise(F.col("p_name")).alias("name"), F.when(bad(211), "Mystery").otherwise(card_type).alias("cardType"),
+        pick(["GX", "V", "ex", "Radiant", "Prism Star", "ACE SPEC"], size).alias("mechanic"), F.array(pick(["TAG TEAM", "Ancient"], key)).alias("label"),
+        F.col("p_name").alias("description"), F.col("p_brand").alias("setCode"), key.cast("string").alias("cardIndex"),
+        F.when(bad(229), "XX").otherwise(pick(["C", "U", "R"], size)).alias("rarity"),
+        F.when(bad(223) & (kind != "PROMO"), "x").otherwise(F.coalesce(_mark(), F.lit(""))).alias("regulationMark"),
+        F.concat_ws(" ", "p_name", key.cast("string")).alias("nameEn"), F.when(pokemon, attr).alias("pokemonAttr"),
+    )
+    return t.part.select(F.col("p_brand").alias("set_id"), key.cast("string").alias("number"), key.alias("num"), F.to_json(record).alias("body"))
+
+
 def raw_cards(t: Tables) -> DataFrame:
     """One JSON document per part in the shape of a raw card record, some of them faulty."""
     key, size, kind = F.col("p_partkey"), F.col("p_size"), F.col("p_type")

@@ -138,23 +138,6 @@ def detect_increments(fresh: DataFrame, stored: DataFrame) -> DataFrame:
     return joined.select("set_id", kind.alias("kind"), "expected", "current").filter(F.col("kind").isNotNull())
 
 
-def growth_step(fresh_cards: DataFrame, stored_cards: DataFrame, failures: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """One growth run: (sets with kind and state activated / blocked / suspicious, catalogue after it).
-
-    Tables of cards: card_id, set_id and more. ``failures``: set_id. The cards of
-    a blocked set stay as they were.
-    """
-    size = lambda df: df.groupBy("set_id").agg(F.count(F.lit(1)).alias("n"))
-    found = detect_increments(size(fresh_cards), size(stored_cards))
-    bad = failures.select("set_id").distinct().withColumn("_bad", F.lit(True))
-    state = F.when(F.col("kind") == "shrunk", "suspicious").when(F.col("_bad"), "blocked").otherwise("activated")
-    sets = found.join(bad, "set_id", "left").select("set_id", "kind", "expected", "current", state.alias("state"))
-    active = sets.filter(F.col("state") == "activated").select("set_id")
-    incoming = fresh_cards.join(active, "set_id", "left_semi")
-    after = stored_cards.join(active, "set_id", "left_anti").unionByName(incoming)
-    return sets, after
-
-
 def recaliber(tournaments: DataFrame, tiers: Sequence[tuple[str, float, list[str]]], stored_hash: str | None) -> tuple[DataFrame, DataFrame]:
     """(competitions with the coefficient of the new vocabulary, one summary row).
 
