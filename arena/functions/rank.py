@@ -37,24 +37,68 @@ def quantile_splits(df: DataFrame, *columns: str) -> list[float] | list[list[flo
     return out[0] if len(columns) == 1 else out
 
 
-def with_range(df: DataFrame, value: Column, splits: Sequence[float], name: str) -> DataFrame:
+def with_range(df: DataFrame, value: Column, splits: Sequence[float | str], name: str) -> DataFrame:
     """Adds the number of splits below the value, found in two steps: a block of splits, then inside it.
 
-    Plain comparisons, about twice the square root of the number of splits.
+    Plain comparisons, about twice the square root of the number of splits. The
+    splits are numbers, or strings in order for a string column.
     """
     if not splits:
         return df.withColumn(name, F.lit(0))
+    texts = isinstance(splits[0], str)
+    lit = F.lit if texts else lambda b: F.lit(float(b))
     width = math.ceil(math.sqrt(len(splits)))
     blocks = [list(splits[i : i + width]) for i in range(0, len(splits), width)]
     above = lambda bound: F.when(value > bound, 1).otherwise(0)
-    blocked = df.withColumn("_block", sum((above(F.lit(float(b[-1]))) for b in blocks[:-1]), F.lit(0)))
+    blocked = df.withColumn("_block", sum((above(lit(b[-1])) for b in blocks[:-1]), F.lit(0)))
     steps = []
     for i in range(width):
-        column = F.array(*[F.lit(float(b[i]) if i < len(b) else math.inf) for b in blocks])
+        # nothing is above the places that the last block lacks
+        column = F.array(*[lit(b[i]) if i < len(b) else F.lit(None if texts else math.inf) for b in blocks])
         steps.append(above(F.get(column, F.col("_block"))))
     return blocked.withColumn(name, F.col("_block") * width + sum(steps, F.lit(0))).drop("_block")
 
 
+PAGE_RANGES = 1024  # ranges that one round of paging cuts the keys into
+PAGE_ROWS = 100_000  # rows of a range that are sorted as they are
+
+
+def page_bounds(df: DataFrame, order: str, offset: int, limit: int) -> tuple[str | None, str | None, int]:
+    """(lower, upper, rows before) of the smallest key range found that holds the rows offset..offset + limit.
+
+    Keys are compared as text. Each round takes a bounded sample of the keys by
+    hash as bounds, counts the rows between them, and goes on inside the ranges
+    that the page touches, until few rows are left or one key holds them all.
+    """
+    low: str | None = None
+    high: str | None = None
+    before = 0
+    while True:
+        inside = df.select(F.col(order).alias("_k"))
+        if low is not None:
+            inside = inside.filter(F.col("_k") > F.lit(low))
+        if high is not None:
+            inside = inside.filter(F.col("_k") <= F.lit(high))
+        keys = inside.groupBy("_k").agg(F.count(F.lit(1)).alias("_n"))
+        sample = keys.select("_k").filter(F.col("_k").isNotNull()).orderBy(F.xxhash64("_k"), "_k").limit(PAGE_RANGES)
+        bounds = sorted(r["_k"] for r in sample.collect())
+        counts = {r["_r"]: r["n"] for r in with_range(keys, F.col("_k"), bounds, "_r").groupBy("_r").agg(F.sum("_n").alias("n")).collect()}
+        start, touched = before, []
+        for i in range(len(bounds) + 1):
+            n = counts.get(i, 0)
+            if n and start < offset + limit and start + n > offset:
+                touched.append((i, start, n))
+            start += n
+        if not touched:
+            return low, high, before
+        first, last = touched[0][0], touched[-1][0]
+        narrow = (bounds[first - 1] if first else low, bounds[last] if last < len(bounds) else high)
+        done = narrow == (low, high)
+        low, high, before = *narrow, touched[0][1]
+        if done or sum(n for _, _, n in touched) <= max(PAGE_ROWS, 2 * limit):
+            return low, high, before
+
+
 def split_rank(
     df: DataFrame,
     keys: Sequence[str],

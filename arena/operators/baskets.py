@@ -253,56 +253,127 @@ def group_limits(cards: DataFrame, card_groups: DataFrame) -> DataFrame:
     )
 
 
-def rule_violations(baskets: DataFrame, cards: DataFrame, card_groups: DataFrame, size: int = DECK_SIZE) -> DataFrame:
-    """Violation rows of every basket: deck_id, kind, subject, count and the involved cards in order.
+LIMITED = {"ace_spec_limit": "ace", "radiant_limit": "radiant", "prism_star_limit": "prism"}
+
+
+def rule_table(cards: DataFrame, card_groups: DataFrame, decisions: DataFrame | None = None) -> DataFrame:
+    """One row per card with all that the deck rules ask: limit, flags, name groups with their limits, and why it is refused.
 
-    ``baskets``: deck_id, card_id, count. ``cards``: card_id, deck_limit,
-    is_basic_energy, rule_box_type, is_ace_spec, is_prism. Cards outside the
-    catalogue count for the size only.
+    ``cards``: card_id, deck_limit, is_basic_energy, rule_box_type, is_ace_spec,
+    is_prism; ``decisions``: card_id, legal, banned of a format on a day. Of the
+    size of the catalogue; groups of basic energy alone have no limit.
     """
+    limits = group_limits(cards, card_groups).filter(~F.col("all_basic"))
+    of_card = card_groups.join(limits, "group_key").groupBy("card_id").agg(F.collect_list(F.struct("group_key", F.col("group_limit").cast("int").alias("group_limit"))).alias("groups"))
+    table = cards.join(of_card, "card_id", "left")
+    refused = F.lit(None).cast("string")
+    if decisions is not None:
+        why = decisions.filter(~F.col("legal")).select("card_id", F.when(F.col("banned"), "banned").otherwise("not_legal").alias("refused"))
+        table, refused = table.join(why, "card_id", "left"), F.col("refused")
+    flag = lambda col: F.coalesce(col, F.lit(False))
+    return table.select(
+        "card_id", F.col("deck_limit").cast("int").alias("deck_limit"), flag(F.col("is_ace_spec")).alias("ace"),
+        flag(F.col("rule_box_type") == "radiant").alias("radiant"), flag(F.col("is_prism")).alias("prism"),
+        F.coalesce("groups", F.array().cast("array<struct<group_key:string,group_limit:int>>")).alias("groups"), refused.alias("refused"),
+    )
+
+
+def _ruled_lines(baskets: DataFrame, rules: DataFrame) -> DataFrame:
+    """One row per (basket, card) with the rules of the card; ``known`` is false outside of the catalogue."""
     lines = baskets.groupBy("deck_id", "card_id").agg(F.sum("count").alias("n"))
-    known_cards = cards.select(
-        F.col("card_id").alias("_id"), "deck_limit", "is_basic_energy", "rule_box_type", "is_ace_spec", "is_prism"
+    marked = rules.withColumnRenamed("card_id", "_id")
+    joined = lines.join(marked, F.col("card_id") == F.col("_id"), "left")
+    return joined.withColumn("known", F.col("_id").isNotNull()).withColumn("card", F.col("card_id").cast("string")).drop("_id", "card_id")
+
+
+def _part(kind: str | Column, subject: Column, limit: Column | None = None) -> Column:
+    """What a line counts for: the whole basket, a name group, or itself."""
+    kind = F.lit(kind) if isinstance(kind, str) else kind
+    none = F.lit(None).cast("int")
+    return F.struct(kind.alias("kind"), subject.alias("subject"), (none if limit is None else limit).alias("limit"))
+
+
+def _parts() -> Column:
+    empty = F.array().cast("array<struct<kind:string,subject:string,limit:int>>")
+    groups = F.coalesce(F.col("groups"), F.array().cast("array<struct<group_key:string,group_limit:int>>"))
+    over = F.exists(groups, lambda g: (F.col("n") > F.col("deck_limit")) & (F.col("deck_limit") < g["group_limit"]))
+    return F.concat(
+        F.array(_part("", F.lit(""))), F.transform(groups, lambda g: _part("group", g["group_key"], g["group_limit"])),
+        F.when(over, F.array(_part("single", F.col("card")))).otherwise(empty),
+        F.when(F.col("refused").isNotNull(), F.array(_part(F.col("refused"), F.col("card")))).otherwise(empty),
     )
-    joined = lines.join(known_cards, F.col("card_id") == F.col("_id"), "left")
-    known = joined.filter(F.col("_id").isNotNull())
-
-    limits = {
-        "ace_spec_limit": F.col("_id").isNotNull() & F.col("is_ace_spec"),
-        "radiant_limit": F.col("_id").isNotNull() & (F.coalesce(F.col("rule_box_type"), F.lit("")) == "radiant"),
-        "prism_star_limit": F.col("_id").isNotNull() & F.col("is_prism"),
-    }
-    card = F.col("card_id").cast("string")
-    listed = lambda cond: F.sort_array(F.collect_list(F.when(cond, card)))  # noqa: E731  at most the cards of one basket
-    per_deck = joined.groupBy("deck_id").agg(
-        F.sum("n").alias("total"),
-        F.count_if(F.col("_id").isNull()).alias("unknown"),
-        listed(F.col("_id").isNull()).alias("unknown_cards"),
-        *[F.sum(F.when(cond, F.col("n")).otherwise(0)).alias(kind) for kind, cond in limits.items()],
-        *[listed(cond).alias(f"{kind}_cards") for kind, cond in limits.items()],
+
+
+def judged_baskets(baskets: DataFrame, rules: DataFrame, size: int = DECK_SIZE) -> DataFrame:
+    """deck_id, kind, total and found, the violations, of every basket (kind '') and what is limited in it.
+
+    One pass over the baskets and one aggregate of numbers. ``rules``: the output
+    of ``rule_table``. Cards outside the catalogue count for the size only.
+    """
+    rows = _ruled_lines(baskets, rules).withColumn("part", F.explode(_parts()))
+    n, known = F.col("n"), F.col("known")
+    summed = rows.groupBy("deck_id", "part.kind", "part.subject", "part.limit").agg(
+        F.sum("n").alias("total"), F.count_if(~known).alias("unknown_card"),
+        *[F.sum(F.when(known & F.col(flag), n).otherwise(0)).alias(kind) for kind, flag in LIMITED.items()],
     )
-    row = lambda kind, count, cards: F.struct(F.lit(kind).alias("kind"), F.col(count).alias("count"), cards.alias("cards"))
-    checks = F.array_compact(F.array(
-        F.when(F.col("total") != size, row("deck_size", "total", F.array().cast("array<string>"))),
-        F.when(F.col("unknown") > 0, row("unknown_card", "unknown", F.col("unknown_cards"))),
-        *[F.when(F.col(k) > GLOBAL_LIMIT, row(k, k, F.col(f"{k}_cards"))) for k in limits],
+    row = lambda kind, subject, count: F.struct(F.lit(kind).alias("kind"), subject.alias("subject"), count.alias("count"))
+    blank, total = F.lit(""), F.col("total")
+    whole = F.array_compact(F.array(
+        F.when(total != size, row("deck_size", blank, total)),
+        F.when(F.col("unknown_card") > 0, row("unknown_card", blank, F.col("unknown_card"))),
+        *[F.when(F.col(kind) > GLOBAL_LIMIT, row(kind, blank, F.col(kind))) for kind in LIMITED],
     ))
-    whole = per_deck.select("deck_id", F.explode(checks).alias("v")).select(
-        "deck_id", "v.kind", F.lit("").alias("subject"), "v.count", "v.cards"
-    )
+    kind, subject = F.col("kind"), F.col("subject")
+    one = F.array_compact(F.array(
+        F.when((kind == "group") & (total > F.col("limit")), row("name_limit", subject, total)),
+        F.when(kind == "single", row("name_limit", subject, total)),
+        F.when(kind.isin("banned", "not_legal"), F.struct(kind.alias("kind"), subject.alias("subject"), total.alias("count"))),
+    ))
+    return summed.select("deck_id", "kind", "total", F.when(kind == "", whole).otherwise(one).alias("found"))
 
-    grouped = known.join(card_groups, "card_id").join(
-        group_limits(cards, card_groups).filter(~F.col("all_basic")), "group_key"
+
+def counted_violations(judged: DataFrame) -> DataFrame:
+    """deck_id, kind, subject, count of every violation of judged baskets."""
+    return judged.select("deck_id", F.explode("found").alias("v")).select("deck_id", "v.*")
+
+
+def basket_report(judged: DataFrame) -> DataFrame:
+    """deck_id, deck_size, violations, ok of every judged basket."""
+    sums = judged.groupBy("deck_id").agg(
+        F.max(F.when(F.col("kind") == "", F.col("total"))).alias("deck_size"), F.sum(F.size("found").cast("long")).alias("violations")
     )
-    singles = grouped.filter((F.col("n") > F.col("deck_limit")) & (F.col("deck_limit") < F.col("group_limit"))).select(
-        "deck_id", F.lit("name_limit").alias("kind"), card.alias("subject"), F.col("n").alias("count"), F.array(card).alias("cards")
+    return sums.withColumn("ok", F.col("violations") == 0)
+
+
+def with_cards(violations: DataFrame, baskets: DataFrame, rules: DataFrame) -> DataFrame:
+    """Violations with the involved cards in order. Cards are listed for violating baskets alone."""
+    wrong = violations.filter(F.col("kind") != "deck_size").select("deck_id", "kind", "subject")
+    lines = _ruled_lines(baskets.join(wrong.select("deck_id").distinct(), "deck_id", "left_semi"), rules)
+    known, groups = F.col("known"), F.coalesce(F.col("groups"), F.array().cast("array<struct<group_key:string,group_limit:int>>"))
+    place = lambda kind, subject: F.struct(kind.alias("kind"), subject.alias("subject"))
+    places = F.concat(
+        F.array_compact(F.array(
+            F.when(~known, place(F.lit("unknown_card"), F.lit(""))), *[F.when(known & F.col(flag), place(F.lit(kind), F.lit(""))) for kind, flag in LIMITED.items()],
+            place(F.lit("name_limit"), F.col("card")), F.when(F.col("refused").isNotNull(), place(F.col("refused"), F.col("card"))),
+        )),
+        F.transform(groups, lambda g: place(F.lit("name_limit"), g["group_key"])),
     )
-    names = grouped.groupBy("deck_id", "group_key", "group_limit").agg(
-        F.sum("n").alias("count"), F.sort_array(F.collect_list(card)).alias("cards")
-    ).filter(F.col("count") > F.col("group_limit")).select(
-        "deck_id", F.lit("name_limit").alias("kind"), F.col("group_key").alias("subject"), "count", "cards"
+    named = lines.select("deck_id", "card", F.explode(places).alias("p")).select("deck_id", "card", "p.*").distinct()
+    listed = named.join(wrong, ["deck_id", "kind", "subject"], "left_semi").groupBy("deck_id", "kind", "subject").agg(
+        F.sort_array(F.collect_list("card")).alias("cards")
     )
-    return whole.unionByName(singles).unionByName(names)
+    return violations.join(listed, ["deck_id", "kind", "subject"], "left").select(
+        "deck_id", "kind", "subject", "count", F.coalesce("cards", F.array().cast("array<string>")).alias("cards")
+    )
+
+
+def rule_violations(baskets: DataFrame, cards: DataFrame, card_groups: DataFrame, size: int = DECK_SIZE) -> DataFrame:
+    """Violation rows of every basket: deck_id, kind, subject, count and the involved cards in order.
+
+    ``baskets``: deck_id, card_id, count; see ``rule_table`` for the rest.
+    """
+    rules = rule_table(cards, card_groups)
+    return with_cards(counted_violations(judged_baskets(baskets, rules, size)), baskets, rules)
 
 
 def legality_report(baskets: DataFrame, cards: DataFrame, card_groups: DataFrame, decisions: DataFrame,
@@ -311,19 +382,9 @@ def legality_report(baskets: DataFrame, cards: DataFrame, card_groups: DataFrame
 
     ``decisions``: card_id, legal, banned of the format on the day.
     """
-    lines = baskets.groupBy("deck_id", "card_id").agg(F.sum("count").alias("count"))
-    refused = decisions.filter(~F.col("legal")).select("card_id", "banned")
-    illegal = lines.join(refused, "card_id").select(
-        "deck_id", F.when(F.col("banned"), "banned").otherwise("not_legal").alias("kind"),
-        F.col("card_id").cast("string").alias("subject"), "count", F.array(F.col("card_id").cast("string")).alias("cards"),
-    )
-    violations = rule_violations(baskets, cards, card_groups, size).unionByName(illegal)
-    per_deck = violations.groupBy("deck_id").agg(F.count(F.lit(1)).alias("violations"))
-    sizes = lines.groupBy("deck_id").agg(F.sum("count").alias("deck_size"))
-    report = sizes.join(per_deck, "deck_id", "left").select(
-        "deck_id", "deck_size", F.coalesce("violations", F.lit(0)).alias("violations"), F.col("violations").isNull().alias("ok")
-    )
-    return violations, report
+    rules = rule_table(cards, card_groups, decisions)
+    judged = judged_baskets(baskets, rules, size)
+    return with_cards(counted_violations(judged), baskets, rules), basket_report(judged)
 
 
 def rule_distribution(mapped: DataFrame) -> DataFrame:

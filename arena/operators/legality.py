@@ -52,14 +52,49 @@ def window_guard(df: DataFrame, day: str, window: tuple[date, date]) -> tuple[Da
     return df.filter(inside), counts
 
 
+# Days are counted from the first of year 1; every calendar day fits below 2 to the LEVELS.
+EPOCH_SHIFT, LEVELS = 719_162, 22
+
+
+def _day_number(day: Column) -> Column:
+    return (F.unix_date(day) + EPOCH_SHIFT).cast("long")
+
+
+def _dyadic_cover(first: Column, last: Column) -> Column:
+    """Nodes of the binary tree over all days that make up the days first..last, two a level at most; none if last < first."""
+    start = F.struct(
+        (first + (1 << LEVELS)).alias("l"), (last + 1 + (1 << LEVELS)).alias("r"), F.array().cast("array<bigint>").alias("nodes")
+    )
+
+    def climb(acc: Column, _: Column) -> Column:
+        l, r = acc["l"], acc["r"]
+        left, right = (l < r) & (l % 2 == 1), (l < r) & (r % 2 == 1)
+        taken = F.array_compact(F.array(F.when(left, l), F.when(right, r - 1)))
+        return F.struct(
+            F.shiftright(F.when(left, l + 1).otherwise(l), 1).alias("l"), F.shiftright(F.when(right, r - 1).otherwise(r), 1).alias("r"),
+            F.concat(acc["nodes"], taken).alias("nodes"),
+        )
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(LEVELS)), start, climb, lambda acc: acc["nodes"])
+
+
 def snapshot_as_of(days: DataFrame, snapshots: DataFrame) -> DataFrame:
-    """Newest snapshot covering each (format, day); ``snapshot_id`` is NULL when there is none."""
+    """Newest snapshot covering each (format, day); ``snapshot_id`` is NULL when there is none.
+
+    An interval is cut into nodes of a binary tree over the days, and of the
+    snapshots on a node only the newest stays; a day asks the nodes above it. So
+    both sides meet by equal keys: a day never meets the snapshots that do not
+    cover it, and work grows with snapshots plus days. Ties go to the smallest id.
+    """
+    last = F.coalesce(_day_number(F.col("effective_to")), F.lit((1 << LEVELS) - 1).cast("long"))
+    newest = F.struct((-F.unix_date("effective_from")).alias("age"), "snapshot_id")
+    cover = snapshots.select("format", newest.alias("best"), F.explode(_dyadic_cover(_day_number(F.col("effective_from")), last)).alias("node"))
+    cover = cover.groupBy("format", "node").agg(F.min("best").alias("best"))
     asked = days.select("format", "day").distinct()
-    covers = (F.col("effective_from") <= F.col("day")) & (F.col("effective_to").isNull() | (F.col("day") <= F.col("effective_to")))
-    found = asked.join(snapshots, "format").filter(covers).groupBy("format", "day").agg(
-        F.max_by("snapshot_id", "effective_from").alias("snapshot_id")
-    )
-    return asked.join(found, ["format", "day"], "left")
+    leaf = _day_number(F.col("day")) + (1 << LEVELS)
+    above = F.transform(F.sequence(F.lit(0), F.lit(LEVELS)), lambda k: F.floor(leaf / F.pow(F.lit(2.0), k)).cast("long"))
+    found = asked.withColumn("node", F.explode(above)).join(cover, ["format", "node"]).groupBy("format", "day").agg(F.min("best").alias("best"))
+    return asked.join(found, ["format", "day"], "left").select("format", "day", F.col("best.snapshot_id").alias("snapshot_id"))
 
 
 @dataclass(frozen=True)

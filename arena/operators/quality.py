@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from arena.functions.rank import split_rank
+from arena.functions.rank import page_bounds, split_rank
 from arena.functions.vocab import LIMIT_BY_RULE_BOX, UNION_POSITIONS
 from arena.sources.tables import lookup
 
@@ -288,8 +288,18 @@ def search_catalogue(
 
 
 def page(df: DataFrame, order: str, limit: int | None, offset: int = 0) -> DataFrame:
-    rest = df.orderBy(order).offset(offset)
-    return rest if limit is None else rest.limit(limit)
+    """Rows offset..offset + limit in the order of a text key.
+
+    A page that starts inside is found by counts of key ranges: only rows between
+    its bounds are read and sorted, however deep it lies.
+    """
+    if limit is None or not offset:
+        rest = df.orderBy(order).offset(offset)
+        return rest if limit is None else rest.limit(limit)
+    low, high, before = page_bounds(df, order, offset, limit)
+    rows = df if high is None else df.filter(F.col(order) <= F.lit(high))
+    rows = rows if low is None else rows.filter(F.col(order) > F.lit(low))
+    return rows.orderBy(order).offset(offset - before).limit(limit)
 
 
 def catalogue_overview(cards: DataFrame, sets: DataFrame) -> DataFrame:

@@ -334,19 +334,21 @@ def vocab_fill(cards: DataFrame, vocab: DataFrame) -> tuple[DataFrame, DataFrame
     status = spread.join(per_name, "name_en").select(
         "name_en", (F.col("_open") & (F.col("_lo") != F.col("_hi"))).alias("_ambiguous")
     )
-    fills = vocab.select(F.col("en").alias("_en"), "ja", "cn")
+    # an entry for the card's own name comes before one for the English name alone
+    exact = vocab.filter(F.col("cn").isNotNull()).select(F.col("en").alias("_en1"), F.col("cn").alias("_cn"), F.col("ja").alias("_ja1"))
+    general = vocab.filter(F.col("cn").isNull()).select(F.col("en").alias("_en2"), F.col("ja").alias("_ja2"))
+    clear = ~F.col("_ambiguous")
     joined = cards.join(status, "name_en", "left").join(
-        fills,
-        (F.col("name_en") == F.col("_en")) & (F.col("cn").isNull() | (F.col("cn") == F.col("name_full"))) & ~F.col("_ambiguous"),
-        "left",
-    )
+        exact, (F.col("name_en") == F.col("_en1")) & (F.col("name_full") == F.col("_cn")) & clear, "left"
+    ).join(general, (F.col("name_en") == F.col("_en2")) & clear, "left")
+    joined = joined.withColumn("ja", F.coalesce("_ja1", "_ja2"))
     state = (
         F.when(F.col("name_en").isNull(), "no_en_bridge").when(F.col("_ambiguous").isNull(), "vocab_miss")
         .when(F.col("_ambiguous"), "ambiguous").when(F.col("ja").isNull(), "vocab_miss")
         .when(F.col("name_ja").isNull(), "filled").when(F.col("name_ja") == F.col("ja"), "already").otherwise("conflict")
     )
     out = joined.select("card_id", F.coalesce("name_ja", "ja").alias("name_ja"), state.alias("state"))
-    used = joined.filter(F.col("ja").isNotNull()).groupBy("_en", F.col("cn").alias("_cn")).agg(F.count(F.lit(1)).alias("cards"))
+    used = joined.filter(F.col("ja").isNotNull()).groupBy(F.col("name_en").alias("_en"), "_cn").agg(F.count(F.lit(1)).alias("cards"))
     usage = vocab.select("en", "cn").join(used, (F.col("en") == F.col("_en")) & F.col("cn").eqNullSafe(F.col("_cn")), "left")
     return out, usage.select("en", "cn", F.coalesce("cards", F.lit(0)).alias("cards"))
 
@@ -416,26 +418,38 @@ def resolve_parents(cards: DataFrame) -> DataFrame:
     return df.select("card_id", F.coalesce(in_set, anywhere).alias("parent_id"), how.alias("how"))
 
 
+def _marks(at: Column, word: Column) -> list[Column]:
+    """Two hashes of a word at its place; the exclusive or over a path's start tells prefixes apart."""
+    return [F.xxhash64(F.lit(salt), at, word) for salt in (1, 2)]
+
+
 def longest_prefix(keys: DataFrame, targets: DataFrame) -> DataFrame:
     """key (array) -> target with the longest prefix equal to its own array.
 
-    ``keys``: key_id, path (any length); ``targets``: target_id, path. Prefixes up
-    to the longest target meet as running hashes, two numbers each, and are
-    compared as words only where a target has the same hashes.
+    ``keys``: key_id (unique), path (any length); ``targets``: target_id, path.
+    Every prefix of a key up to the longest target is two running hashes, 16
+    bytes whatever its length, and meets the targets of that length by equality.
+    Only the longest match of a key is compared as words, once; a collision of
+    128 bits would be an error, not a wrong row.
     """
     longest = targets.agg(F.coalesce(F.max(F.size("path")), F.lit(0))).first()[0]
-    blank = F.struct(F.lit(0).cast("long").alias("a"), F.lit(1).cast("long").alias("b"), F.array().cast("array<struct<a:bigint,b:bigint>>").alias("all"))
-
-    def step(acc: Column, word: Column) -> Column:
-        a, b = F.xxhash64(acc["a"], word), F.xxhash64(acc["b"], word, F.lit(7))
-        return F.struct(a.alias("a"), b.alias("b"), F.array_append(acc["all"], F.struct(a.alias("a"), b.alias("b"))).alias("all"))
-
-    heads = lambda path: F.aggregate(F.slice(path, 1, max(longest, 1)), blank, step, lambda acc: acc["all"])
-    exploded = keys.filter(F.size("path") > 0).select("key_id", F.slice("path", 1, max(longest, 1)).alias("_head"), F.posexplode(heads("path")).alias("_at", "_h"))
-    aims = targets.filter(F.size("path") > 0).select("target_id", F.col("path").alias("_path"), F.element_at(heads("path"), -1).alias("_h"))
-    met = exploded.join(aims, "_h").filter(F.slice("_head", 1, F.col("_at") + 1) == F.col("_path"))
-    hits = met.groupBy("key_id").agg(F.max_by("target_id", "_at").alias("target_id"), (F.max("_at") + 1).alias("depth"))
-    return keys.select("key_id").join(hits, "key_id", "left")
+    heads = keys.filter(F.size("path") > 0).select("key_id", F.posexplode(F.slice("path", 1, max(longest, 1))).alias("_at", "_word"))
+    a, b = _marks(F.col("_at"), F.col("_word"))
+    so_far = Window.partitionBy("key_id").orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    marked = heads.select("key_id", "_at", a.alias("_a"), b.alias("_b"))
+    prefixes = marked.select("key_id", "_at", F.bit_xor("_a").over(so_far).alias("_a"), F.bit_xor("_b").over(so_far).alias("_b"))
+    whole = lambda which: F.aggregate(
+        F.transform("path", lambda w, i: _marks(i, w)[which]), F.lit(0).cast("long"), lambda acc, h: acc.bitwiseXOR(h)
+    )
+    aims = targets.filter(F.size("path") > 0).select("target_id", (F.size("path") - 1).alias("_at"), whole(0).alias("_a"), whole(1).alias("_b"))
+    met = prefixes.join(aims, ["_at", "_a", "_b"])
+    hits = met.groupBy("key_id").agg(F.max(F.struct("_at", "target_id")).alias("_hit")).select(
+        "key_id", F.col("_hit.target_id").alias("target_id"), (F.col("_hit._at") + 1).alias("depth")
+    )
+    found = keys.join(hits, "key_id", "left").join(targets.select("target_id", F.col("path").alias("_path")), "target_id", "left")
+    same = F.slice("path", 1, F.greatest("depth", F.lit(0))) == F.col("_path")
+    checked = F.when(F.col("target_id").isNull() | same, F.col("depth")).otherwise(F.raise_error(F.lit("two prefixes of one hash")).cast("int"))
+    return found.select("key_id", "target_id", checked.alias("depth"))
 
 
 def dangling(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> DataFrame:

@@ -10,6 +10,7 @@ from arena.operators import normalise as n
 from arena.queries.normalise import PAIR_SQL, raw_pairings
 from arena.queries.sql import star
 from arena.registry import query
+from arena.session import stored_rows
 from arena.sources import catalogue as c
 from arena.sources import tables as b
 from arena.sources.tables import Tables, lookup
@@ -251,10 +252,15 @@ def rule_baskets(t: Tables) -> DataFrame:
 @query("basket_rule_violations", f"WITH {RULES_SQL} SELECT deck_id, kind, subject, cnt AS copies, cards FROM viol")
 def basket_rule_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
-    cards = rule_cards(t)
-    groups = cards.select("card_id", F.col("name_full").alias("group_key"))
-    found = k.rule_violations(rule_baskets(t), cards, groups, 16).withColumnRenamed("count", "copies")
-    return found.withColumn("cards", F.array_join("cards", ","))
+    baskets, rules = rule_baskets(t), stored_rules(t)
+    found = k.with_cards(k.counted_violations(k.judged_baskets(baskets, rules, 16)), baskets, rules)
+    return found.withColumnRenamed("count", "copies").withColumn("cards", F.array_join("cards", ","))
+
+
+def stored_rules(t: Tables, decisions: DataFrame | None = None) -> DataFrame:
+    """The rule table of the catalogue, written once: the catalogue is read for it and not again."""
+    cards = stored_rows(rule_cards(t), "rule-cards")
+    return stored_rows(k.rule_table(cards, cards.select("card_id", F.col("name_full").alias("group_key")), decisions), "rule-table")
 
 
 @query(

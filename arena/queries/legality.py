@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from arena.operators import baskets as k
 from arena.operators import graph as g
 from arena.operators import legality as lg
-from arena.queries.baskets import RULES_SQL, rule_baskets, rule_cards
+from arena.queries.baskets import RULES_SQL, rule_baskets, stored_rules
 from arena.queries.resolve import CAT
 from arena.queries.sql import star
 from arena.registry import query
@@ -149,11 +149,9 @@ SELECT deck_id, deck_size, coalesce(violations, 0) AS violations, violations IS
 )
 def basket_legality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
-    cards = rule_cards(t)
-    groups = cards.select("card_id", F.col("name_full").alias("group_key"))
     ids = c.catalogue(t).filter(F.col("size") <= b.MAX_RESOLVED_SIZE).select("card_id", "num")
     decided = decisions(t).join(ids, "card_id").drop("card_id").withColumnRenamed("num", "card_id")
-    return k.legality_report(rule_baskets(t), cards, groups, decided, 16)[1]
+    return k.basket_report(k.judged_baskets(rule_baskets(t), stored_rules(t, decided), 16))
 
 
 DAY = date(2000, 6, 1)

@@ -387,6 +387,12 @@ def offset_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.page(c.catalogue(Tables(spark, sf_dir)).select("card_id", "name_full"), "card_id", 25, 50)
 
 
+@query("offset_page_deep", "SELECT p_brand || '-' || p_partkey AS card_id, p_name AS name_full FROM part ORDER BY card_id LIMIT 40 OFFSET (SELECT count(*) * 9 // 10 FROM part)")
+def offset_page_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cat = c.catalogue(Tables(spark, sf_dir)).select("card_id", "name_full")
+    return q.page(cat, "card_id", 40, cat.count() * 9 // 10)
+
+
 @query(
     "seeded_sample",
     f"""WITH {CAT}, a AS (SELECT 'all' AS pool, card_id FROM cat ORDER BY md5(card_id || ':20260801'), card_id LIMIT 100), s AS (SELECT 'basic' AS pool, card_id FROM cat WHERE basic ORDER BY md5(card_id || ':7'), card_id LIMIT 20)

@@ -12,7 +12,7 @@ from arena.operators import baskets as k
 from arena.operators import normalise as n
 from arena.operators import pages as p
 from arena.plans import metrics as m
-from arena.queries.metrics import PARAMS
+from arena.queries.metrics import PARAMS, WINDOW
 from arena.queries.quality import GROWING, growing_records
 from arena.queries.sql import CARRY, star
 from arena.registry import ORACLES, query
@@ -134,7 +134,8 @@ def export_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _exported_star(spark: SparkSession, sf_dir: str) -> b.Star:
-    root, live = scratch_dir(spark, "bundle"), b.basket_star(Tables(spark, sf_dir))
+    # only the months that are read back are written
+    root, live = scratch_dir(spark, "bundle"), b.basket_star(Tables(spark, sf_dir), WINDOW)
     e.write_bundle(e.star_tables(live), root, "v1")
     return e.read_star(spark, root, live)
 
@@ -150,7 +151,7 @@ def export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     star(CARRY) + "SELECT 'left' AS only_in, CAST(1 AS BIGINT) AS times, group_key, count(*) AS n FROM wc WHERE group_key = 'Brand#7' GROUP BY group_key",
 )
 def contract_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    live = m.weighted_usage(b.basket_star(Tables(spark, sf_dir), (PARAMS.date_from, PARAMS.date_to)), PARAMS).select("group_key", "n", F.round("value", 9).alias("value"))
+    live = m.weighted_usage(b.basket_star(Tables(spark, sf_dir), WINDOW), PARAMS).select("group_key", "n", F.round("value", 9).alias("value"))
     back = m.weighted_usage(_exported_star(spark, sf_dir), PARAMS).select("group_key", "n", F.round("value", 9).alias("value"))
     # one group is left out on purpose: exactly its row must be reported
     found = r.contract_differences(live, back.filter(F.col("group_key") != "Brand#7"))
@@ -182,21 +183,21 @@ def adhoc_sql_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-EVENT_SCHEMA = "event_id long, user_id long, event_type string"
+EVENT_SCHEMA = "event_id long, user_id long, event_type string, day date"
 
 
-@query("incremental_ingest", "SELECT event_id, user_id, event_type FROM events")
+@query("incremental_ingest", "SELECT event_id, user_id, event_type, strftime(ts, '%Y-%m-%d') AS day FROM events")
 def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, target, checkpoint = (scratch_dir(spark, n) for n in ("files", "store", "progress"))
-    events = Tables(spark, sf_dir).events.select("event_id", "user_id", "event_type")
-    run = lambda: r.ingest_files(spark, source, target, checkpoint, EVENT_SCHEMA, "event_id", partition="event_type")
+    events = Tables(spark, sf_dir).events.select("event_id", "user_id", "event_type", F.to_date("ts").alias("day"))
+    run = lambda: r.ingest_files(spark, source, target, checkpoint, EVENT_SCHEMA, "event_id", partition="day")
     events.filter(F.col("event_id") % 2 == 0).write.mode("append").parquet(source)
     run()
     # the second delivery repeats a third of the first; a rerun without new files adds nothing
     events.filter((F.col("event_id") % 2 == 1) | (F.col("event_id") % 6 == 0)).write.mode("append").parquet(source)
     run()
     run()
-    return r.stored_rows(spark, target, EVENT_SCHEMA).drop(r.BATCH)
+    return r.stored_rows(spark, target, EVENT_SCHEMA).drop(r.BATCH).withColumn("day", day_text("day"))
 
 
 @query(

@@ -15,6 +15,7 @@ from pyspark.sql.types import StructType
 
 from arena.functions.rank import quantile_splits, split_rank
 from arena.operators.baskets import mapping_status
+from arena.session import stored_rows
 
 
 @dataclass(frozen=True)
@@ -108,7 +109,12 @@ def entries(t: Tables, window: Window | None = None) -> DataFrame:
 
 
 def tournaments(t: Tables, window: Window | None = None) -> DataFrame:
-    agg = entries(t, window).groupBy("tournament_id", "segment").agg(
+    return tournaments_of(entries(t, window))
+
+
+def tournaments_of(played: DataFrame) -> DataFrame:
+    """Competitions of entry rows."""
+    agg = played.groupBy("tournament_id", "segment").agg(
         F.max("day").alias("date"), F.count_distinct("o_custkey").alias("buyers")
     )
     month, year = F.month("date"), F.year("date")
@@ -180,11 +186,15 @@ def ranked_entries(t: Tables, window: Window | None = None) -> DataFrame:
 
 
 def appearances(t: Tables, window: Window | None = None) -> DataFrame:
-    ranked = ranked_entries(t, window)
+    return appearances_of(ranked_entries(t, window), records(t, window))
+
+
+def appearances_of(ranked: DataFrame, results: DataFrame) -> DataFrame:
+    """Entry rows with their points and record. ``results``: deck_id, w, l, t."""
     status = F.col("o_orderstatus")
     points = F.when(status == "O", F.lit(0.0)).when(status == "F", F.col("o_totalprice") / 1000)
     played = status != "P"
-    joined = ranked.withColumnRenamed("o_orderkey", "deck_id").join(records(t, window), "deck_id", "left")
+    joined = ranked.withColumnRenamed("o_orderkey", "deck_id").join(results, "deck_id", "left")
     result = [
         F.when(played, F.coalesce(F.col(c), F.lit(0))).alias(n)
         for c, n in (("w", "record_wins"), ("l", "record_losses"), ("t", "record_ties"))
@@ -198,11 +208,38 @@ def appearances(t: Tables, window: Window | None = None) -> DataFrame:
 def basket_star(t: Tables, window: Window | None = None) -> Star:
     """The driver tables as a star; item groups are already carried by the basket rows.
 
-    With a window, only whole competitions of its months are read: ranks, records
-    and mapping states of other years are never made.
+    With a window, only whole competitions of its months are read, and only once:
+    the entries of those months and their baskets by group are written to the
+    scratch folder, and everything else comes from these two tables.
     """
-    cards = basket_lines(t, window)
-    return Star(tournaments(t, window), mapping_status(cards), appearances(t, window), cards)
+    if window is not None:
+        played = stored_rows(entries(t, window), "star-entries")
+        return star_of(played, stored_rows(group_lines(t, played), "star-groups"))
+    cards = basket_lines(t)
+    return Star(tournaments(t), mapping_status(cards), appearances(t), cards)
+
+
+def group_lines(t: Tables, played: DataFrame) -> DataFrame:
+    """One row per (basket, group, scope): copies and games of the line items of the entries ``played``; one pass."""
+    keys = played.select(F.col("o_orderkey").alias("l_orderkey"))
+    lines = t.lineitem.select("l_orderkey", "l_partkey", F.col("l_quantity").cast("long").alias("copies"), "l_returnflag").join(keys, "l_orderkey", "left_semi")
+    part = t.part.select("p_partkey", "p_brand", "p_type", "p_size")
+    resolved, flag = F.col("p_size") <= MAX_RESOLVED_SIZE, F.col("l_returnflag")
+    joined = lines.join(part, F.col("l_partkey") == F.col("p_partkey"))
+    return joined.groupBy(
+        F.col("l_orderkey").alias("deck_id"), F.when(resolved, F.col("p_brand")).alias("group_key"), item_scope().alias("stat_scope")
+    ).agg(
+        F.sum("copies").alias("count"), F.count_if(flag == "R").alias("w"), F.count_if(flag == "A").alias("l"), F.count_if(flag == "N").alias("t")
+    )
+
+
+def star_of(played: DataFrame, groups: DataFrame) -> Star:
+    """A star from entries and their baskets by group; a part that has a group is a resolved one."""
+    splits, ties = quantile_splits(played, "o_totalprice", "o_orderkey")
+    ranked = split_rank(played, ["tournament_id"], "o_totalprice", splits=splits, desc=True, tie=["o_orderkey"], tie_splits=ties, name="rank")
+    results = groups.groupBy("deck_id").agg(*[F.sum(c).alias(c) for c in ("w", "l", "t")])
+    cards = groups.select("deck_id", F.col("group_key").alias("card_id"), "group_key", "stat_scope", "count")
+    return Star(tournaments_of(played), mapping_status(cards), appearances_of(ranked, results), cards)
 
 
 def calendar_star(t: Tables, window: Window | None = None) -> Star:
