@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-import re
 import unicodedata
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from arena.functions.literals import Needs, needs_of
 from arena.functions.vocab import ENERGY_CODES, RULE_SUFFIXES
 
+# Forms of written suffixes.
 BRACKET_SUFFIX = r"\s*\([^()]*\)\s*$"
 EDITION_SUFFIX = r"(?i)\s*[(（]ACE SPEC[)）]\s*$"
 SET_SUFFIX = r"\s*[（(]([A-Za-z0-9.\-]+)\s+([^）)]*)[）)]\s*$"
@@ -70,6 +71,7 @@ def run_length_cost(cost: Column, codes: dict[str, str] = ENERGY_CODES) -> Colum
     ).cast(COST_TYPE)
 
 
+# Fixed value: form of an amount with its modifier.
 AMOUNT = r"^(\d+)([+\-×])?$"
 
 
@@ -93,11 +95,20 @@ def _normalise(value: str | None) -> str | None:
 
 
 @F.pandas_udf(T.StringType())
-def normalise_name(names: pd.Series) -> pd.Series:
-    """Case fold, decompose, drop marks and everything but [a-z0-9] (Spark has no NFKD)."""
+def _decomposed(names: pd.Series) -> pd.Series:
     return names.map(_normalise)
 
 
+def normalise_name(name: Column | str) -> Column:
+    """Case fold, decompose, drop marks and everything but [a-z0-9].
+
+    Spark has no such decomposition, so names beyond ASCII go to Python; the others stay.
+    """
+    name = F.col(name) if isinstance(name, str) else name
+    plain = name.rlike(r"^\p{ASCII}*$")
+    return F.when(plain, F.regexp_replace(F.lower(name), "[^a-z0-9]", "")).otherwise(_decomposed(F.when(~plain, name)))
+
+
 def strip_bracket_suffix(name: Column) -> Column:
     return F.trim(F.regexp_replace(name, BRACKET_SUFFIX, ""))
 
@@ -162,27 +173,42 @@ def first_match(text: Column, rules: Sequence[tuple[str, str]]) -> Column:
     return out
 
 
-LITERAL = re.compile(r"[^\\.\[\](){}*+?^$|]+")
+Has = Callable[[str, bool], Column]
 
 
-def any_pattern(text: Column, patterns: Sequence[str]) -> Column:
-    """True when one pattern is found; plain words are searched as bytes, without a regex."""
-    out = F.lit(False)
-    for pattern in sorted(patterns, key=lambda p: LITERAL.fullmatch(p) is None):
-        out = out | (F.contains(text, F.lit(pattern)) if LITERAL.fullmatch(pattern) else text.rlike(pattern))
-    return out
+def inline_has(text: Column) -> Has:
+    """Tells whether a literal occurs, in lower case where asked, by a byte search of its own."""
+    return lambda literal, folded: F.contains(F.lower(text) if folded else text, F.lit(literal))
+
+
+def pattern_found(text: Column, needs: Needs, has: Has) -> Column:
+    """True where the pattern is found; the expression runs only on texts that have all its literals."""
+    out = None
+    for one in needs.sets:
+        any_of = None
+        for literal in sorted(one):
+            any_of = has(literal, needs.folded) if any_of is None else any_of | has(literal, needs.folded)
+        out = any_of if out is None else out & any_of
+    if needs.exact:
+        return out
+    run = text.rlike(needs.pattern)
+    return run if out is None else out & run
 
 
 def regex_tags(
-    text: Column, tags: Sequence[tuple[str, Sequence[str], str | None]], kind: Column | None = None
+    text: Column, tags: Sequence[tuple[str, Sequence[str], str | None]], kind: Column | None = None, has: Has | None = None
 ) -> Column:
     """All tags hit, in vocabulary order, from one pass over the rows.
 
     A tag may be limited to a scope; scope 'pokemon' covers attacks and abilities.
     """
+    has = has or inline_has(text)
     hits = []
     for tag, patterns, scope in tags:
-        found = any_pattern(text, patterns)
+        needs = sorted((needs_of(p) for p in patterns), key=lambda n: (not n.exact, not n.sets))  # byte searches first
+        found = F.lit(False)
+        for one in needs:
+            found = found | pattern_found(text, one, has)
         if scope is not None and kind is not None:
             kinds = ["attack", "ability"] if scope == "pokemon" else [scope]
             found = kind.isin(*kinds) & found

@@ -19,9 +19,14 @@ SKIP_TAGS = ["script", "style", "noscript"]
 
 
 @F.pandas_udf(T.StringType())
-def unescape(texts: pd.Series) -> pd.Series:
-    """Character references to characters (Spark has no function for it)."""
-    return texts.map(lambda t: t if t is None or "&" not in t else html_lib.unescape(t))
+def _unescaped(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: t if t is None else html_lib.unescape(t))
+
+
+def unescape(text: Column) -> Column:
+    """Character references to characters (Spark has no function for it); texts without one stay where they are."""
+    has = F.contains(text, F.lit("&"))
+    return F.when(has, _unescaped(F.when(has, text))).otherwise(text)
 
 
 def attribute(attrs: Column, name: str) -> Column:
@@ -106,15 +111,16 @@ def block_texts(pages: DataFrame, container: str | None = None, tags: Sequence[s
         body = F.regexp_extract(body, rf"(?s)<{container}\b[^>]*>(.*)</{container}>", 1)
     clean = F.regexp_replace(body, rf"(?is)<({'|'.join(SKIP_TAGS)})\b[^>]*>.*?</\1>|<!--.*?-->", "")
     any_tag = "|".join(tags)
-    pattern = rf"(?s)<({any_tag})\b[^>]*>((?:(?!</\1>)(?!<(?:(?!\1\b)(?:{any_tag}))\b).)*+)(?=.)"
-    zipped = F.arrays_zip(
-        F.regexp_extract_all("_clean", F.lit(pattern), F.lit(1)).alias("tag"), F.regexp_extract_all("_clean", F.lit(pattern), F.lit(2)).alias("raw")
-    )
-    # separators survive unescaping, so one call per page does all blocks
-    joined = F.array_join(F.transform(zipped, lambda z: F.regexp_replace(F.regexp_replace(z["raw"], r"<br\s*/?>", "\n"), TAG, "")), CUT)
-    staged = pages.select("page_id", clean.alias("_clean")).select("page_id", zipped.alias("_z"), unescape(joined).alias("_t"))
+    # text is taken in runs; only an opening bracket is looked at twice
+    pattern = rf"(?s)<({any_tag})\b[^>]*>(?:[^<]++|<(?!/\1>)(?!(?:(?!\1\b)(?:{any_tag}))\b))*+(?=.)"
+    found = F.regexp_extract_all("_clean", F.lit(pattern), F.lit(0))
+    # the opening tag goes with the others; separators survive unescaping, so one call per page does all blocks
+    joined = F.array_join(F.transform("_z", lambda z: F.regexp_replace(F.regexp_replace(z, r"<br\s*/?>", "\n"), TAG, "")), CUT)
+    staged = pages.select("page_id", clean.alias("_clean")).select("page_id", F.explode(F.array(found)).alias("_z"))
+    staged = staged.select("page_id", "_z", F.explode(F.array(joined)).alias("_j")).select("page_id", "_z", unescape(F.col("_j")).alias("_t"))
     texts = F.transform(F.split("_t", CUT), lambda t: F.trim(F.regexp_replace(t, r"\s+", " ")))
-    pairs = F.zip_with("_z", texts, lambda z, t: F.struct(z["tag"].alias("tag"), t.alias("text")))
+    tag = lambda z: F.regexp_extract(z, r"^<(\w+)", 1)
+    pairs = F.zip_with("_z", texts, lambda z, t: F.struct(F.when(z.isNotNull(), tag(z)).alias("tag"), t.alias("text")))
     blocks = F.filter(pairs, lambda b: (b["text"] != "") & b["tag"].isNotNull())
     with_blocks = staged.select("page_id", blocks.alias("blocks"))
     return with_blocks.withColumn("content_hash", content_hash(F.col("blocks")))

@@ -2,21 +2,39 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arena.functions.text import regex_tags
+from arena.functions.literals import needs_of
+from arena.functions.text import Has, regex_tags
 
 Vocabulary = Sequence[tuple[str, Sequence[str], "str | None"]]
 
 
+def literal_columns(df: DataFrame, text: str, vocabularies: Sequence[Vocabulary]) -> tuple[DataFrame, Has]:
+    """Adds one truth column for each literal that several patterns need, and tells how to ask for any literal."""
+    uses: Counter[tuple[str, bool]] = Counter()
+    for tags in vocabularies:
+        for _, patterns, _ in tags:
+            for needs in map(needs_of, patterns):
+                uses.update({(literal, needs.folded) for one in needs.sets for literal in one})
+    if any(folded for _, folded in uses):
+        df = df.withColumn("_low", F.lower(text))
+    search = lambda literal, folded: F.contains(F.col("_low" if folded else text), F.lit(literal))
+    shared = {use: f"_has{i}" for i, use in enumerate(sorted(u for u, n in uses.items() if n > 1))}
+    df = df.withColumns({name: search(*use) for use, name in shared.items()}) if shared else df
+    return df, lambda literal, folded: F.col(shared[literal, folded]) if (literal, folded) in shared else search(literal, folded)
+
+
 def tag_texts(df: DataFrame, text: str, tags: Vocabulary, flags: Vocabulary = (), kind: str | None = None) -> DataFrame:
-    """Adds ``tags`` and ``flags`` arrays; whole texts, one pass."""
+    """Adds ``tags`` and ``flags`` arrays; whole texts, one pass. A text runs the patterns whose literals it has, and no other."""
     k = F.col(kind) if kind else None
-    flag_col = regex_tags(F.col(text), flags) if flags else F.array().cast("array<string>")
-    return df.withColumn("tags", regex_tags(F.col(text), tags, k)).withColumn("flags", flag_col)
+    marked, has = literal_columns(df, text, [tags, flags])
+    flag_col = regex_tags(F.col(text), flags, has=has) if flags else F.array().cast("array<string>")
+    return marked.select(*df.columns, regex_tags(F.col(text), tags, k, has).alias("tags"), flag_col.alias("flags"))
 
 
 def card_texts(cards: DataFrame) -> DataFrame:
@@ -48,16 +66,27 @@ def distinct_tagged(df: DataFrame, key: str, text: str, tags: Vocabulary, flags:
     )
 
 
-def tag_coverage(distinct: DataFrame) -> DataFrame:
-    """(section, label, n): totals, covered, multi-hit, zero-hit, and hits per tag and flag."""
+MULTI_HIT = 3  # tags from which on a text is listed as one of many effects
+
+
+def tag_coverage(distinct: DataFrame, key: str | None = None) -> DataFrame:
+    """(section, label, n): totals, covered, multi-hit, zero-hit, and hits per tag and flag.
+
+    With ``key``, which names a distinct text, also the lists: sections zero_hit
+    and multi_hit with the key as label and its number of tags. One pass.
+    """
     line = lambda section, label, n: F.struct(F.lit(section).alias("section"), label.alias("label"), n.cast("long").alias("n"))
     size, one = F.size("tags"), F.lit(1)
-    totals = {"total": one, "covered": (size > 0).cast("int"), "multi_hit": (size >= 3).cast("int"), "zero_hit": (size == 0).cast("int")}
-    rows = F.concat(
+    totals = {"total": one, "covered": (size > 0).cast("int"), "multi_hit": (size >= MULTI_HIT).cast("int"), "zero_hit": (size == 0).cast("int")}
+    parts = [
         F.array(*[line("texts", F.lit(label), n) for label, n in totals.items()]),
         F.transform("tags", lambda x: line("tags", x, one)), F.transform("flags", lambda x: line("flags", x, one)),
-    )
+    ]
+    if key is not None:
+        name = F.col(key).cast("string")
+        listed = F.when(size == 0, line("zero_hit", name, size)).when(size >= MULTI_HIT, line("multi_hit", name, size))
+        parts.append(F.array_compact(F.array(listed)))
     # totals are rows even where they are zero
     zeros = distinct.sparkSession.createDataFrame([("texts", label, 0) for label in totals], "section string, label string, n long")
-    counted = distinct.select(F.explode(rows).alias("r")).select("r.*").unionByName(zeros)
+    counted = distinct.select(F.explode(F.concat(*parts)).alias("r")).select("r.*").unionByName(zeros)
     return counted.groupBy("section", "label").agg(F.sum("n").alias("n"))

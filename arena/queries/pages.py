@@ -173,11 +173,12 @@ def regex_tagging(spark: SparkSession, sf_dir: str) -> DataFrame:
 t AS (SELECT doc_id, string_split(nullif({_tags_sql(DOC_TAGS)}, ''), ',') AS tags, string_split(nullif({_tags_sql(DOC_FLAGS)}, ''), ',') AS flags FROM d)
 SELECT 'texts' AS section, 'total' AS label, count(*) AS n FROM t UNION ALL SELECT 'texts', 'covered', count(*) FILTER (tags IS NOT NULL) FROM t
 UNION ALL SELECT 'texts', 'multi_hit', count(*) FILTER (len(tags) >= 3) FROM t UNION ALL SELECT 'texts', 'zero_hit', count(*) FILTER (tags IS NULL) FROM t
-UNION ALL SELECT 'tags', label, count(*) FROM (SELECT unnest(tags) AS label FROM t) GROUP BY label UNION ALL SELECT 'flags', label, count(*) FROM (SELECT unnest(flags) AS label FROM t) GROUP BY label""",
+UNION ALL SELECT 'tags', label, count(*) FROM (SELECT unnest(tags) AS label FROM t) GROUP BY label UNION ALL SELECT 'flags', label, count(*) FROM (SELECT unnest(flags) AS label FROM t) GROUP BY label
+UNION ALL SELECT CASE WHEN tags IS NULL THEN 'zero_hit' ELSE 'multi_hit' END, CAST(doc_id AS VARCHAR), coalesce(len(tags), 0) FROM t WHERE tags IS NULL OR len(tags) >= 3""",
 )
 def tag_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = Tables(spark, sf_dir).documents.select("doc_id", "text", "lang")
-    return tg.tag_coverage(tg.distinct_tagged(docs, "doc_id", "text", DOC_TAGS, DOC_FLAGS, kind="lang"))
+    return tg.tag_coverage(tg.distinct_tagged(docs, "doc_id", "text", DOC_TAGS, DOC_FLAGS, kind="lang"), "doc_id")
 
 
 # texts of cards, in the wording that the vocabulary is made for
@@ -221,3 +222,44 @@ def effect_tag_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     tagged = tg.tag_texts(tg.card_texts(cards), "text", EFFECT_TAGS, EFFECT_FLAGS, kind="kind")
     return tagged.select("card_id", "kind", "who", F.array_join("tags", ",").alias("tags"), F.array_join("flags", ",").alias("flags"))
+
+
+def _pair_rows() -> str:
+    """Number of tags, tags and flags of every pair of effect texts, by Python's own expressions."""
+    rows = []
+    for i, first in enumerate(EFFECT_TEXTS):
+        for j, second in enumerate(EFFECT_TEXTS):
+            hits = lambda vocabulary: ",".join(t for t, ps, _ in vocabulary if any(re.search(p, first + second) for p in ps))  # noqa: B023,E731
+            rows.append(f"({i}, {j}, '{first + second}', '{hits(EFFECT_TAGS)}', '{hits(EFFECT_FLAGS)}')")
+    return ", ".join(rows)
+
+
+@query(
+    "effect_tag_coverage",
+    f"""WITH v(i, j, said, tags, flags) AS (VALUES {_pair_rows()}),
+k AS (SELECT p_brand || '-' || p_partkey AS card_id, p_name, p_type, p_partkey AS n FROM part WHERE p_size % 5 <> 0),
+x AS (SELECT card_id || '|' || p_name AS example, n % 12 AS i, n // 12 % 12 AS j FROM k WHERE p_type NOT IN ('ECONOMY', 'STANDARD')
+  UNION ALL SELECT card_id || '|' || p_name || '/a', n // 3 % 12, n // 36 % 12 FROM k WHERE p_type IN ('ECONOMY', 'STANDARD')),
+d AS (SELECT said, min(example) AS example, string_split(nullif(any_value(tags), ''), ',') AS tags, string_split(nullif(any_value(flags), ''), ',') AS flags
+  FROM x JOIN v USING (i, j) WHERE said <> '' GROUP BY said)
+SELECT 'texts' AS section, 'total' AS label, count(*) AS n FROM d UNION ALL SELECT 'texts', 'covered', count(*) FILTER (tags IS NOT NULL) FROM d
+UNION ALL SELECT 'texts', 'multi_hit', count(*) FILTER (len(tags) >= 3) FROM d UNION ALL SELECT 'texts', 'zero_hit', count(*) FILTER (tags IS NULL) FROM d
+UNION ALL SELECT 'tags', label, count(*) FROM (SELECT unnest(tags) AS label FROM d) GROUP BY label UNION ALL SELECT 'flags', label, count(*) FROM (SELECT unnest(flags) AS label FROM d) GROUP BY label
+UNION ALL SELECT CASE WHEN tags IS NULL THEN 'zero_hit' ELSE 'multi_hit' END, example, coalesce(len(tags), 0) FROM d WHERE tags IS NULL OR len(tags) >= 3""",
+)
+def effect_tag_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole effect vocabulary over card texts, each text once, with the texts of no tag and of many."""
+    key = F.col("p_partkey")
+    said = lambda i: F.element_at(F.array(*[F.lit(t) for t in EFFECT_TEXTS]), (i % len(EFFECT_TEXTS) + 1).cast("int"))
+    both = lambda by: F.concat(said(F.floor(key / by)), said(F.floor(key / (12 * by))))
+    pokemon = F.col("p_type").isin("ECONOMY", "STANDARD")
+    none = F.lit(None).cast("string")
+    attack = F.struct(F.lit("a").alias("name"), both(3).alias("effect_text"), none.alias("text"))
+    cards = Tables(spark, sf_dir).part.select(
+        F.concat("p_brand", F.lit("-"), key.cast("string")).alias("card_id"), F.col("p_name").alias("name_full"),
+        F.when(pokemon, "pokemon").when(F.col("p_type") == "PROMO", "energy").otherwise("trainer").alias("card_type"),
+        F.when(F.col("p_size") % 5 == 0, "draft").otherwise("active").alias("status"), F.when(~pokemon, both(1)).alias("text_raw"),
+        F.when(pokemon, F.array(attack)).alias("attacks"), F.when(F.lit(False), F.array(attack)).alias("abilities"),
+    )
+    texts = tg.card_texts(cards).withColumn("example", F.concat_ws("|", "card_id", "who"))
+    return tg.tag_coverage(tg.distinct_tagged(texts, "example", "text", EFFECT_TAGS, EFFECT_FLAGS, kind="kind"), "example")
