@@ -32,8 +32,9 @@ def quantile_splits(df: DataFrame, *columns: str) -> list[float] | list[list[flo
     """Split points of a numeric column, or of several: one pass, bounded arrays to the driver."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     n = max(2, min(parts, MAX_SPLITS))
-    found = df.approxQuantile(list(columns), [i / n for i in range(1, n)], 1 / (4 * n))
-    out = [sorted(set(points)) for points in found]
+    points = [i / n for i in range(1, n)]
+    found = df.agg(*[F.percentile_approx(F.col(c).cast("double"), points, 4 * n) for c in columns]).first()
+    out = [sorted(set(row or ())) for row in found]
     return out[0] if len(columns) == 1 else out
 
 

@@ -147,14 +147,15 @@ def status_of(ratio: Column) -> Column:
 
 def mapping_status(items: DataFrame) -> DataFrame:
     """Mapped copies over all copies: full from 0.95, partial above 0, else unmapped."""
+    return with_status(items.groupBy("deck_id").agg(
+        F.sum("count").alias("total"), F.sum(F.when(F.col("card_id").isNotNull(), F.col("count")).otherwise(0)).alias("mapped"),
+    ))
+
+
+def with_status(sums: DataFrame) -> DataFrame:
+    """Adds ratio and state to (deck_id, total, mapped)."""
     ratio = F.coalesce(F.try_divide("mapped", "total"), F.lit(0.0))
-    return items.groupBy("deck_id").agg(
-        F.sum("count").alias("total"),
-        F.sum(F.when(F.col("card_id").isNotNull(), F.col("count")).otherwise(0)).alias("mapped"),
-    ).select(
-        "deck_id", "total", "mapped", ratio.alias("mapped_ratio"),
-        status_of(ratio).alias("mapping_status"),
-    )
+    return sums.select("deck_id", "total", "mapped", ratio.alias("mapped_ratio"), status_of(ratio).alias("mapping_status"))
 
 
 def content_entities(items: DataFrame, prefix: str) -> DataFrame:
@@ -347,8 +348,9 @@ def basket_report(judged: DataFrame) -> DataFrame:
 
 def with_cards(violations: DataFrame, baskets: DataFrame, rules: DataFrame) -> DataFrame:
     """Violations with the involved cards in order. Cards are listed for violating baskets alone."""
-    wrong = violations.filter(F.col("kind") != "deck_size").select("deck_id", "kind", "subject")
-    lines = _ruled_lines(baskets.join(wrong.select("deck_id").distinct(), "deck_id", "left_semi"), rules)
+    none = F.array().cast("array<string>")
+    sizes, wrong = violations.filter(F.col("kind") == "deck_size"), violations.filter(F.col("kind") != "deck_size")
+    lines = _ruled_lines(baskets.join(wrong.select("deck_id"), "deck_id", "left_semi"), rules)
     known, groups = F.col("known"), F.coalesce(F.col("groups"), F.array().cast("array<struct<group_key:string,group_limit:int>>"))
     place = lambda kind, subject: F.struct(kind.alias("kind"), subject.alias("subject"))
     places = F.concat(
@@ -358,13 +360,12 @@ def with_cards(violations: DataFrame, baskets: DataFrame, rules: DataFrame) -> D
         )),
         F.transform(groups, lambda g: place(F.lit("name_limit"), g["group_key"])),
     )
-    named = lines.select("deck_id", "card", F.explode(places).alias("p")).select("deck_id", "card", "p.*").distinct()
-    listed = named.join(wrong, ["deck_id", "kind", "subject"], "left_semi").groupBy("deck_id", "kind", "subject").agg(
+    named = lines.select("deck_id", "card", F.explode(F.array_distinct(places)).alias("p")).select("deck_id", "card", "p.*")
+    # every violation but that of the size has a card, so the join keeps them all
+    listed = named.join(wrong, ["deck_id", "kind", "subject"]).groupBy("deck_id", "kind", "subject", "count").agg(
         F.sort_array(F.collect_list("card")).alias("cards")
     )
-    return violations.join(listed, ["deck_id", "kind", "subject"], "left").select(
-        "deck_id", "kind", "subject", "count", F.coalesce("cards", F.array().cast("array<string>")).alias("cards")
-    )
+    return listed.unionByName(sizes.withColumn("cards", none))
 
 
 def rule_violations(baskets: DataFrame, cards: DataFrame, card_groups: DataFrame, size: int = DECK_SIZE) -> DataFrame:

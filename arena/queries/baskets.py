@@ -253,7 +253,8 @@ def rule_baskets(t: Tables) -> DataFrame:
 def basket_rule_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     baskets, rules = rule_baskets(t), stored_rules(t)
-    found = k.with_cards(k.counted_violations(k.judged_baskets(baskets, rules, 16)), baskets, rules)
+    counted = stored_rows(k.counted_violations(k.judged_baskets(baskets, rules, 16)), "rule-violations")
+    found = k.with_cards(counted, baskets, rules)
     return found.withColumnRenamed("count", "copies").withColumn("cards", F.array_join("cards", ","))
 
 

@@ -212,12 +212,12 @@ def late_refresh_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = Tables(spark, sf_dir).events.select("event_id", F.col("ts").cast("timestamp").alias("ts"), F.col("user_id").alias("amount"))
     first, second = events.filter(F.col("event_id") % 10 != 0), events.filter(F.col("event_id") % 10 == 0)
     first.write.mode("append").parquet(source)
-    r.daily_totals(spark, source, target, checkpoint, schema)
+    r.daily_totals(spark, source, target, checkpoint, schema, "event_id")
     second.write.mode("append").parquet(source)
-    r.daily_totals(spark, source, target, checkpoint, schema)
+    r.daily_totals(spark, source, target, checkpoint, schema, "event_id")
     # what the job itself set aside, not a second look at the deliveries
     late = r.late_rejects(spark, target, schema).groupBy(F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("late"))
-    totals = r.current_totals(spark, target).join(late, "day", "full_outer")
+    totals = r.current_totals(spark, target, schema).join(late, "day", "full_outer")
     return totals.select(day_text("day").alias("day"), F.coalesce("n", F.lit(0)).alias("n"), "amount", F.coalesce("late", F.lit(0)).alias("late"))
 
 

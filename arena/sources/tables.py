@@ -7,6 +7,7 @@ need; real data can be put into it directly.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from arena.functions.rank import quantile_splits, split_rank
-from arena.operators.baskets import mapping_status
+from arena.operators.baskets import mapping_status, with_status
 from arena.session import stored_rows
 
 
@@ -189,8 +190,8 @@ def appearances(t: Tables, window: Window | None = None) -> DataFrame:
     return appearances_of(ranked_entries(t, window), records(t, window))
 
 
-def appearances_of(ranked: DataFrame, results: DataFrame) -> DataFrame:
-    """Entry rows with their points and record. ``results``: deck_id, w, l, t."""
+def appearances_of(ranked: DataFrame, results: DataFrame, more: Sequence[str] = ()) -> DataFrame:
+    """Entry rows with their points and record. ``results``: deck_id, w, l, t and ``more``."""
     status = F.col("o_orderstatus")
     points = F.when(status == "O", F.lit(0.0)).when(status == "F", F.col("o_totalprice") / 1000)
     played = status != "P"
@@ -201,7 +202,7 @@ def appearances_of(ranked: DataFrame, results: DataFrame) -> DataFrame:
     ]
     return joined.select(
         "deck_id", "tournament_id", "rank", points.alias("points"), *result,
-        lookup(F.col("segment"), SEGMENT_SOURCE).alias("source"),
+        lookup(F.col("segment"), SEGMENT_SOURCE).alias("source"), *more,
     )
 
 
@@ -234,12 +235,20 @@ def group_lines(t: Tables, played: DataFrame) -> DataFrame:
 
 
 def star_of(played: DataFrame, groups: DataFrame) -> Star:
-    """A star from entries and their baskets by group; a part that has a group is a resolved one."""
+    """A star from entries and their baskets by group; a part that has a group is a resolved one.
+
+    Competitions and entries with rank, record and mapping state are written once.
+    """
     splits, ties = quantile_splits(played, "o_totalprice", "o_orderkey")
     ranked = split_rank(played, ["tournament_id"], "o_totalprice", splits=splits, desc=True, tie=["o_orderkey"], tie_splits=ties, name="rank")
-    results = groups.groupBy("deck_id").agg(*[F.sum(c).alias(c) for c in ("w", "l", "t")])
     cards = groups.select("deck_id", F.col("group_key").alias("card_id"), "group_key", "stat_scope", "count")
-    return Star(tournaments_of(played), mapping_status(cards), appearances_of(ranked, results), cards)
+    in_group = F.col("group_key").isNotNull()
+    per_deck = groups.groupBy("deck_id").agg(
+        *[F.sum(c).alias(c) for c in ("w", "l", "t")], F.sum("count").alias("total"), F.sum(F.when(in_group, F.col("count")).otherwise(0)).alias("mapped")
+    )
+    full = stored_rows(appearances_of(ranked, per_deck, ("total", "mapped")), "star-appearances")
+    decks = with_status(full.filter("total is not null").select("deck_id", "total", "mapped"))
+    return Star(stored_rows(tournaments_of(played), "star-competitions"), decks, full.drop("total", "mapped"), cards)
 
 
 def calendar_star(t: Tables, window: Window | None = None) -> Star:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from arena.operators.normalise import tier_of
 from arena.sources.export import vocabulary_hash
@@ -52,47 +55,71 @@ def ingest_files(
     job.awaitTermination()
 
 
-def daily_totals(spark: SparkSession, source: str, target: str, checkpoint: str, schema: str, lateness_days: int = 14) -> None:
-    """Day totals of a file stream; a day is open for ``lateness_days`` after the newest row of earlier batches.
+BUCKETS = 64  # parts of a day, so that one day is the work of many tasks
+DAY_MS = 86_400_000
 
-    Each micro-batch owns one folder per output and overwrites it, so a replayed
-    batch leaves the same rows: ``totals`` gets what the batch adds to open days,
-    ``late`` the rows of closed days, and ``newest`` the greatest time of the batch.
-    """
 
-    def split(batch: DataFrame, batch_id: int) -> None:
-        own = f"{BATCH}={batch_id}"
-        if batch_id == 0:
-            late, timely = batch.limit(0), batch
-        else:
-            seen = spark.read.schema(f"newest timestamp, {BATCH} long").parquet(f"{target}/newest")
-            newest_before = seen.filter(F.col(BATCH) < batch_id).agg(F.max("newest")).scalar()
-            closed = F.coalesce(is_late("ts", newest_before, lateness_days), F.lit(False))
-            late, timely = batch.filter(closed), batch.filter(~closed)
-        late.write.mode("overwrite").parquet(f"{target}/late/{own}")
-        added = timely.groupBy(F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount"))
-        added.write.mode("overwrite").parquet(f"{target}/totals/{own}")
-        batch.agg(F.max("ts").alias("newest")).write.mode("overwrite").parquet(f"{target}/newest/{own}")
+def _day_state(fields: Sequence[str]):
+    """One (day, bucket) of a batch: adds to its totals while the day is open, else hands its rows on as late."""
+
+    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        day, bucket = key
+        watermark = state.getCurrentWatermarkMs()
+        end = ((day - date(1970, 1, 1)).days + 1) * DAY_MS
+        if 0 < watermark and end <= watermark:
+            if state.exists:  # the day is over: its totals are in the sink
+                state.remove()
+            for frame in frames:
+                yield frame[list(fields)].assign(day=day, bucket=bucket, late=True, n=None, total=None)
+            return
+        n, total = state.get if state.exists else (0, 0)
+        for frame in frames:
+            n, total = n + len(frame), total + int(frame["amount"].sum())
+        state.update((n, total))
+        yield pd.DataFrame({**{f: [None] for f in fields}, "day": [day], "bucket": [bucket], "late": [False], "n": [n], "total": [total]})
+
+    return step
+
 
+def daily_totals(spark: SparkSession, source: str, target: str, checkpoint: str, schema: str, key: str, lateness_days: int = 14) -> None:
+    """Day totals of a file stream, kept as state by event time; a day is open until the watermark passes its end.
+
+    The watermark trails the newest row of earlier batches by ``lateness_days``.
+    Totals of open days live in the state store, by (day, bucket of ``key``);
+    rows of closed days come out whole. Each micro-batch owns one folder and
+    overwrites it, so a replayed batch leaves the same rows. ``schema`` has ts
+    and amount.
+    """
+    fields = [f.strip().split(" ")[0] for f in schema.split(",")]
     events = spark.readStream.schema(schema).parquet(source).withColumn("ts", F.col("ts").cast("timestamp"))
-    job = events.writeStream.foreachBatch(split).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    keyed = events.withWatermark("ts", f"{lateness_days} days").withColumns(
+        {"day": F.to_date("ts"), "bucket": F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")}
+    )
+    out = keyed.groupBy("day", "bucket").applyInPandasWithState(
+        _day_state(fields), f"{schema}, day date, bucket int, late boolean, n long, total long", "n long, total long", "update", GroupStateTimeout.NoTimeout
+    )
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").partitionBy("late").parquet(f"{target}/{BATCH}={batch_id}")
+
+    job = out.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     job.awaitTermination()
 
 
-def current_totals(spark: SparkSession, target: str) -> DataFrame:
-    rows = spark.read.schema(f"day date, n long, amount long, {BATCH} long").parquet(f"{target}/totals")
-    return rows.groupBy("day").agg(F.sum("n").alias("n"), F.sum("amount").alias("amount"))
+def _day_rows(spark: SparkSession, target: str, schema: str) -> DataFrame:
+    return spark.read.schema(f"{schema}, day date, bucket int, n long, total long, late boolean, {BATCH} long").parquet(target)
 
 
-def late_rejects(spark: SparkSession, target: str, schema: str) -> DataFrame:
-    """Rows that came after their day was closed."""
-    return spark.read.schema(f"{schema}, {BATCH} long").parquet(f"{target}/late").drop(BATCH)
+def current_totals(spark: SparkSession, target: str, schema: str) -> DataFrame:
+    """day, n, amount: the newest state of every part of a day."""
+    rows = _day_rows(spark, target, schema).filter("not late")
+    newest = rows.groupBy("day", "bucket").agg(F.max(BATCH).alias(BATCH))
+    return rows.join(newest, ["day", "bucket", BATCH], "left_semi").groupBy("day").agg(F.sum("n").alias("n"), F.sum("total").alias("amount"))
 
 
-def is_late(ts: str, newest_before: Column, days: int = 14) -> Column:
-    """The whole day was already closed when the row arrived."""
-    day_end = F.date_add(F.to_date(ts), 1).cast("timestamp")
-    return day_end <= newest_before - F.make_dt_interval(days=F.lit(days))
+def late_rejects(spark: SparkSession, target: str, schema: str) -> DataFrame:
+    """Rows that came after their day was closed."""
+    return _day_rows(spark, target, schema).filter("late").select(*[f.strip().split(" ")[0] for f in schema.split(",")])
 
 
 def page_changes(stored: DataFrame, fetched: DataFrame) -> DataFrame:
