@@ -117,7 +117,8 @@ class Packer:
 
     def __init__(self, tiers: tuple[int, ...] = TIERS) -> None:
         self.tiers, self.long = tiers, tiers[-1]
-        self.rests: list[list[tuple[int, int, int, int]]] = [[] for _ in tiers]  # (length, document, start) sorted
+        self.rests: list[list[tuple[int, int, int]]] = [[] for _ in tiers]  # (length, document, start) sorted
+        self.held = [0] * len(tiers)  # tokens of the rests of each tier
         self.windows: list[list[tuple[int, int, int]]] = []
 
     def add(self, doc: int, n: int) -> None:
@@ -131,23 +132,29 @@ class Packer:
     def _put(self, doc: int, start: int, length: int) -> None:
         tier = next(i for i, size in enumerate(self.tiers) if length <= size)
         insort(self.rests[tier], (length, doc, start))
+        self.held[tier] += length
+
+    def _take(self, tier: int, at: int) -> tuple[int, int, int]:
+        rest = self.rests[tier].pop(at)
+        self.held[tier] -= rest[0]
+        return rest
 
     def _fill(self, window: list, gap: int, below: int, least: int) -> int:
         """Puts rests of tiers under ``below`` into the window; returns the gap that is left."""
         while gap:
-            for rests in reversed(self.rests[:below]):
-                at = bisect_right(rests, (gap, 1 << 62, 0))
+            for tier in range(below - 1, -1, -1):
+                at = bisect_right(self.rests[tier], (gap, 1 << 62, 0))
                 if at:
-                    length, doc, start = rests.pop(at - 1)
+                    length, doc, start = self._take(tier, at - 1)
                     window.append((doc, start, length))
                     gap -= length
                     break
             else:
                 break
         if gap >= least:
-            for rests in self.rests[:below]:
-                if rests:  # all are longer than the gap: cut the shortest
-                    length, doc, start = rests.pop(0)
+            for tier in range(below):
+                if self.rests[tier]:  # all are longer than the gap: cut the shortest
+                    length, doc, start = self._take(tier, 0)
                     window.append((doc, start, gap))
                     self._put(doc, start + gap, length - gap)
                     return 0
@@ -156,11 +163,9 @@ class Packer:
     def pack(self, last: bool) -> None:
         """Packs tier by tier. Rests that cannot fill a window of their tier wait, and after the last call make smaller ones."""
         for tier in range(len(self.tiers) - 1, -1, -1):
-            size, rests = self.tiers[tier], self.rests[tier]
-            while rests:
-                if len(rests) < 8 and sum(r[0] for x in self.rests[: tier + 1] for r in x) < size:
-                    break
-                length, doc, start = rests.pop()
+            size = self.tiers[tier]
+            while self.rests[tier] and sum(self.held[: tier + 1]) >= size:
+                length, doc, start = self._take(tier, -1)
                 window = [(doc, start, length)]
                 least = MIN_CUT if size == self.long else 1
                 gap = self._fill(window, size - length, tier, least)
@@ -173,7 +178,7 @@ class Packer:
     def _rest(self) -> None:
         """What fits no window any more: powers of two, each exactly filled."""
         left = [(doc, start, length) for rests in self.rests for length, doc, start in rests]
-        self.rests = [[] for _ in self.tiers]
+        self.rests, self.held = [[] for _ in self.tiers], [0] * len(self.tiers)
         total = sum(x[2] for x in left)
         sizes = [self.long] * (total // self.long) + [1 << b for b in range(self.long.bit_length() - 2, -1, -1) if total % self.long >> b & 1]
         for size in sizes:

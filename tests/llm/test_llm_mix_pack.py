@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from arena.llm.queries import op2_tier_packing
 from arena.llm.split_mix import BLOCKS, hypergeometric, mix, permuted, split_tree
 from arena.llm.tier_packing import TIERS, Packer, WordIds, pack_documents, step_groups, word_ids
 
@@ -200,3 +201,53 @@ def test_control_strings_have_the_ids_of_the_untouched_tokenizer(spark):
     for p in sorted(pieces, key=lambda p: (p["doc_id"], p["start"])):
         got.setdefault(p["doc_id"], []).extend(np.frombuffer(p["ids"], "<u4").tolist())
     assert got == {i: t.encode(x, add_special_tokens=False).ids + [1] for i, x in enumerate(texts)}
+
+
+def padding_of(pieces):
+    """(tokens, places of padding) of packed pieces."""
+    sizes = {}
+    for p in pieces:
+        sizes[p["sequence_id"]] = sizes.get(p["sequence_id"], 0) + p["length"]
+    return sum(sizes.values()), sum(TIERS[-1] - n for n in sizes.values() if n & (n - 1))
+
+
+@pytest.mark.parametrize(("count", "text"), [(400, ""), (9, None), (1_000, "two words"), (3_000, "x")])
+def test_many_tiny_documents_are_not_padded(spark, count, text):
+    pieces = pack_documents(docs(spark, [(i, "s", text) for i in range(count)]).repartition(4), PATH).collect()
+    tokens, padding = padding_of(pieces)
+    assert len({p["doc_id"] for p in pieces}) == count and padding <= 0.01 * tokens
+
+
+def test_packer_counts_what_it_holds():
+    rng = random.Random(14)
+    packer = Packer()
+    for doc in range(3_000):
+        packer.add(doc, rng.choice([1, 2, 3, 60, 300, 700, 1_500, 2_047, 2_048, 5_000]))
+        if doc % 250 == 0:
+            packer.pack(False)
+            assert packer.held == [sum(r[0] for r in rests) for rests in packer.rests]
+    packer.pack(True)
+    sizes = [sum(x[2] for x in w) for w in packer.windows]
+    assert packer.held == [0] * 4 and sum(TIERS[-1] - n for n in sizes if n & (n - 1)) < 0.01 * sum(sizes)
+
+
+def test_packing_query_equals_the_untouched_tokenizer(spark, tmp_path):
+    rng = random.Random(15)
+    rows = [(i, "s", " ".join(f"Thing{rng.randrange(900)}," for _ in range(rng.choice([0, 1, 9, 200, 900])))) for i in range(80)] + [(500, "s", None), (501, "s", "<|endoftext|>")]
+    docs(spark, rows).select("doc_id", "text").write.parquet(f"{tmp_path}/documents.parquet")
+    t = Tokenizer.from_file(PATH)
+    whole = {i: np.array(t.encode(x or "", add_special_tokens=False).ids + [1], "<u4") for i, _, x in rows}
+    pieces = op2_tier_packing(spark, str(tmp_path)).collect()
+    at, offsets = {}, {}
+    for p in pieces:
+        ids = whole[p["doc_id"]]
+        assert p["doc_tokens"] == len(ids) and p["ids_crc32"] == zlib.crc32(ids[p["start"] : p["start"] + p["length"]].tobytes())
+        at.setdefault(p["doc_id"], []).append((p["start"], p["length"]))
+        offsets.setdefault(p["sequence_id"], []).append((p["offset"], p["length"]))
+    assert set(at) == set(whole)
+    for parts, end in [(at[i], len(ids)) for i, ids in whole.items()] + [(x, None) for x in offsets.values()]:
+        parts.sort()
+        assert [a for a, _ in parts] == [sum(n for _, n in parts[:k]) for k in range(len(parts))]
+        assert sum(n for _, n in parts) == end if end is not None else sum(n for _, n in parts) <= TIERS[-1]
+    tokens, padding = padding_of(pieces)
+    assert padding < 0.01 * tokens
