@@ -1,15 +1,18 @@
-"""Near-duplicate documents by ProbMinHash of five-word shingles.
+"""Near-duplicate documents by ProbMinHash of weighted five-word shingles.
+
+A shingle weighs as many as it has different words, in every text alike, so runs
+of one word count little and prose counts in full. Two texts are linked by the
+probability Jaccard similarity of these weights; as a shingle's weight depends on
+the shingle alone, that is the weight they share over the weight of both, however
+often a text repeats a shingle.
 
 Equal texts are one class, kept by its smallest id. A class is sketched by
-Poisson processes: shingle s of weight w arrives at random times of rate w,
-every arrival falls into one of REGISTERS registers, and each register keeps its
-first shingle. Arrivals after the last register's time change nothing, so a
-shingle stops early. Two sketches agree in a register with the probability
-Jaccard similarity of the shingle weights. A text gives every shingle once, so
-all weights are 1 in every text and that is the Jaccard similarity of the shingle
-sets, however often a text repeats a shingle. Bands of four registers bring
-candidates together; candidates whose sketches agree well enough are verified on
-their whole texts, by the same similarity.
+Poisson processes: a shingle of weight w arrives at random times of rate w, every
+arrival falls into one of REGISTERS registers, and each register keeps its first
+shingle. Arrivals after the last register's time change nothing, so a shingle
+stops early. Two sketches agree in a register with just the similarity above.
+Bands of four registers bring candidates together; candidates whose sketches
+agree well enough are verified on their whole texts, by the same similarity.
 
 Members of a small bucket are all compared. In a large one each member is
 compared with its hubs, the members that share most buckets, which links most
@@ -20,8 +23,9 @@ two parts is left out. A tile sends one edge for each two parts it joins.
 
 Defined cases: a null text is empty; texts without words are alone, whatever
 they are; texts of one to four words have one shingle; rows of one id are one
-document with several texts; null ids count as one id, the smallest; an empty
-table gives an empty result; only the named columns are read.
+document with several texts; rows of a null id are one document, which comes
+first, and the class it leads is null; an empty table gives an empty result; only
+the named columns are read.
 """
 
 from __future__ import annotations
@@ -38,6 +42,7 @@ from arena.llm.word_windows import mixed, run_hashes, split, word_hashes
 from arena.operators.graph import connected_components
 
 SHINGLE = 5
+NULL_ID = -(2**63)
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 4  # a pair at 0.8 shares no band with a chance of 3e-6
 REGISTERS = BANDS * ROWS
@@ -53,23 +58,29 @@ _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _PAD = np.arange(1, SHINGLE, dtype=np.uint64)
 
 
-def _shingles(body: bytes | None) -> np.ndarray:
-    """Distinct shingles of a text, sorted."""
+Shingles = tuple[np.ndarray, np.ndarray]  # hashes, sorted and distinct, and their weights
+
+
+def _shingles(body: bytes | None) -> Shingles:
+    """Distinct shingles of a text with the number of their different words."""
     h = word_hashes(split(body))
     if 0 < len(h) < SHINGLE:
         h = np.concatenate([h, _PAD[: SHINGLE - len(h)]])
-    return np.unique(run_hashes(h, SHINGLE))
-
-
-def sketch(texts: list[np.ndarray]) -> np.ndarray:
-    """Registers of each array of shingle hashes (none empty); a shingle that stands n times weighs 1 + ln n."""
-    doc = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
-    flat = np.concatenate(texts)
-    order = np.lexsort((flat, doc))
-    doc, flat = doc[order], flat[order]
-    first = np.flatnonzero(np.concatenate([[True], (flat[1:] != flat[:-1]) | (doc[1:] != doc[:-1])]))
-    pace = 1 / (1 + np.log(np.diff(np.append(first, len(flat)))))  # mean time between arrivals: 1 / weight
-    doc, seed = doc[first], flat[first]
+    keys, first = np.unique(run_hashes(h, SHINGLE), return_index=True)
+    weights = np.ones(len(keys), np.int64)
+    for j in range(1, SHINGLE):  # word j counts if none before it in the shingle is the same
+        new = np.ones(len(keys), bool)
+        for i in range(j):
+            new &= h[first + j] != h[first + i]
+        weights += new
+    return keys, weights
+
+
+def sketch(texts: list[Shingles]) -> np.ndarray:
+    """Registers of each set of weighted shingles (none empty)."""
+    doc = np.repeat(np.arange(len(texts)), [len(keys) for keys, _ in texts])
+    seed = np.concatenate([keys for keys, _ in texts])
+    pace = 1 / np.concatenate([weights for _, weights in texts])  # mean time between arrivals
     item = seed
     when = np.full(len(texts) * REGISTERS, np.inf)
     what = np.zeros(len(when), np.uint64)
@@ -107,7 +118,7 @@ def sketched(docs: DataFrame) -> DataFrame:
         for frame in frames:
             shingles = [_shingles(b) for b in frame["body"]]
             bands, tiny = [None] * len(frame), [None] * len(frame)
-            for lot in _groups(np.array([len(s) for s in shingles])):
+            for lot in _groups(np.array([len(keys) for keys, _ in shingles])):
                 if not len(lot):
                     continue
                 registers = sketch([shingles[i] for i in lot])
@@ -121,16 +132,16 @@ def sketched(docs: DataFrame) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """The pairs whose sketches agree well enough and whose shingle sets have at least that Jaccard similarity.
+    """The pairs whose sketches agree well enough and whose whole texts have at least that similarity.
 
     ``texts``: id, sketch, body. Sketch and text come by one join a side, and only agreeing pairs are cut into shingles.
     """
 
     @F.pandas_udf("boolean")
     def near(sa: pd.Series, sb: pd.Series, a: pd.Series, b: pd.Series) -> pd.Series:
-        seen: dict[bytes, np.ndarray] = {}
+        seen: dict[bytes, Shingles] = {}
 
-        def of(body: bytes) -> np.ndarray:
+        def of(body: bytes) -> Shingles:
             if body not in seen:
                 if len(seen) > 200:
                     seen.clear()
@@ -142,12 +153,14 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
             if (np.frombuffer(p, np.uint8) == np.frombuffer(q, np.uint8)).sum() < AGREE:
                 out.append(False)
                 continue
-            p, q = of(x), of(y)
-            if min(len(p), len(q)) < similarity * max(len(p), len(q)):
+            (p, weights), (q, others) = of(x), of(y)
+            m, n = int(weights.sum()), int(others.sum())
+            if min(m, n) < similarity * max(m, n):
                 out.append(False)
                 continue
-            common = len(np.intersect1d(p, q, assume_unique=True))
-            out.append(common >= similarity * (len(p) + len(q) - common) - 1e-9)
+            _, at, _ = np.intersect1d(p, q, assume_unique=True, return_indices=True)
+            common = int(weights[at].sum())
+            out.append(common >= similarity * (m + n - common) - 1e-9)
         return pd.Series(out, dtype="bool")
 
     ours = texts.select(F.col("id").alias("a"), F.col("sketch").alias("sa"), F.col("body").alias("ta"))
@@ -184,10 +197,12 @@ def _join_tile(frame: pd.DataFrame, similarity: float) -> pd.DataFrame:
     small = np.stack([np.frombuffer(x, np.uint8) for x in frame["sketch"]])
     bands = np.stack(frame["bands"].to_list())[:, :band]
     texts = [_shingles(b) for b in frame["body"]]
-    sizes = np.array([len(t) for t in texts])
-    starts = np.cumsum(sizes) - sizes
-    number = np.unique(np.concatenate(texts), return_inverse=True)[1].astype(np.int32)
-    mark = np.zeros(int(number.max()) + 1, np.int32)
+    lengths = np.array([len(keys) for keys, _ in texts])
+    sizes = np.array([int(weights.sum()) for _, weights in texts])
+    starts = np.cumsum(lengths) - lengths
+    number = np.unique(np.concatenate([keys for keys, _ in texts]), return_inverse=True)[1].astype(np.int32)
+    weight = np.concatenate([weights for _, weights in texts])
+    mark = np.zeros(int(number.max()) + 1, np.int64)
     root = np.unique(part, return_inverse=True)[1]
     value = np.unique(part)
     for x in range(len(frame)) if same else np.flatnonzero(side == 0):
@@ -198,9 +213,10 @@ def _join_tile(frame: pd.DataFrame, similarity: float) -> pd.DataFrame:
         at = at[~(bands[at] == bands[x]).any(axis=1)]
         if not len(at):
             continue
-        mark[number[starts[x] : starts[x] + sizes[x]]] = 1
-        common = np.array([mark[number[starts[y] : starts[y] + sizes[y]]].sum() for y in at])
-        mark[number[starts[x] : starts[x] + sizes[x]]] = 0
+        own = slice(starts[x], starts[x] + lengths[x])
+        mark[number[own]] = weight[own]
+        common = np.array([mark[number[starts[y] : starts[y] + lengths[y]]].sum() for y in at])
+        mark[number[own]] = 0
         for y in at[common >= similarity * (sizes[x] + sizes[at] - common) - 1e-9]:
             if root[y] != root[x]:
                 src.append(value[root[x]])
@@ -242,7 +258,7 @@ def _joined_parts(large: DataFrame, parts: DataFrame, texts: DataFrame, similari
 def near_classes(df: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """``key``, class_id (smallest id of the component) and kept (the row is that document), one row per input row."""
     docs = df.select(
-        F.coalesce(F.col(key).cast("long"), F.lit(-(2**63))).alias("id"), F.col(key).alias("own"),
+        F.coalesce(F.col(key).cast("long"), F.lit(NULL_ID)).alias("id"), F.col(key).alias("own"),
         F.coalesce(F.col(text), F.lit("")).cast("binary").alias("body"),
     ).withColumn("same", F.unhex(F.md5("body")))
     rows = stored(sketched(docs.select("id", "same", "body")), "minhash-sketches")
@@ -273,6 +289,7 @@ def near_classes(df: DataFrame, key: str = "doc_id", text: str = "text", similar
     of_class = classes.select("same", F.col("id").alias("rep")).join(linked, "rep", "left")
     joined = rows.select("id", "same").join(of_class, "same", "left")
     back = joined.select(F.coalesce("component", "rep", "id").alias("class_id"), "id")
+    named = lambda col: F.when(F.col(col) != NULL_ID, F.col(col))
     return back.select(
-        F.when(F.col("id") != -(2**63), F.col("id")).cast(df.schema[key].dataType).alias(key), "class_id", (F.col("id") == F.col("class_id")).alias("kept")
+        named("id").cast(df.schema[key].dataType).alias(key), named("class_id").alias("class_id"), (F.col("id") == F.col("class_id")).alias("kept")
     )

@@ -238,9 +238,10 @@ def op3_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     "op8_prob_minhash",
     f"""
     WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS ws FROM documents),
-    s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS shingle FROM w, unnest(range(1, greatest(len(ws) - 3, 2))) AS u(i) WHERE len(ws) > 0),
-    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
-    p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS m FROM s a JOIN s b ON b.shingle = a.shingle AND b.doc_id <> a.doc_id GROUP BY 1, 2),
+    s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS shingle, len(list_distinct(ws[i:i + 4])) AS weight
+          FROM w, unnest(range(1, greatest(len(ws) - 3, 2))) AS u(i) WHERE len(ws) > 0),
+    n AS (SELECT doc_id, sum(weight) AS n FROM s GROUP BY 1),
+    p AS (SELECT a.doc_id AS a, b.doc_id AS b, sum(a.weight) AS m FROM s a JOIN s b ON b.shingle = a.shingle AND b.doc_id <> a.doc_id GROUP BY 1, 2),
     l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE m >= 0.8 * (x.n + y.n - m) - 1e-9),
     r AS (SELECT doc_id AS id, doc_id AS node FROM w UNION SELECT r.id, l.b FROM r JOIN l ON l.a = r.node),
     c AS (SELECT id, min(node) AS class_id FROM r GROUP BY id)

@@ -120,8 +120,13 @@ def shingles(text):
     return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
 
 
+def weight(some):
+    """Of shingles: the number of different words of each."""
+    return sum(len(set(s)) for s in some)
+
+
 def components(rows):
-    """Class of each row by Jaccard similarity of at least 0.8, all pairs."""
+    """Class of each row by weighted similarity of at least 0.8, all pairs."""
     sets = [shingles(t) for _, t in rows]
     parent = list(range(len(rows)))
 
@@ -132,8 +137,7 @@ def components(rows):
 
     for a in range(len(rows)):
         for b in range(a):
-            both = len(sets[a] & sets[b])
-            near = sets[a] and both >= 0.8 * (len(sets[a]) + len(sets[b]) - both)
+            near = sets[a] and weight(sets[a] & sets[b]) >= 0.8 * weight(sets[a] | sets[b]) - 1e-9
             if near or (rows[a][0] == rows[b][0] and rows[a][0] is not None):
                 x, y = find(a), find(b)
                 parent[max(x, y, key=lambda k: rows[k][0])] = min(x, y, key=lambda k: rows[k][0])
@@ -172,24 +176,52 @@ def test_near_classes_equal_brute_force(spark, odd_rows, monkeypatch, small):
 def test_near_classes_of_nothing_and_of_null_ids(spark):
     df = frame(spark, [(None, "a b c d e f"), (None, None), (3, "a b c d e f")])
     got = sorted(((r["doc_id"] is None, r["class_id"]) for r in prob_minhash.near_classes(df).collect()), key=str)
-    assert len(got) == 3 and all(c == -(2**63) for _, c in got)
+    assert got == [(False, None), (True, None), (True, None)]
     assert prob_minhash.near_classes(df.limit(0)).count() == 0
 
 
+def test_shingles_weigh_their_different_words():
+    keys, weights = prob_minhash._shingles(b"a a a a a b c d e a a a a a")
+    assert len(keys) == len(weights) == 9 and sorted(weights.tolist()) == [1, 2, 2, 3, 3, 4, 4, 5, 5]
+    assert prob_minhash._shingles(b"one two")[0].size == 1 and prob_minhash._shingles(b"")[0].size == 0
+
+
 def test_sketches_estimate_weighted_similarity():
-    """Agreement of registers against the probability Jaccard similarity, over many pairs."""
+    """Agreement of registers against the probability Jaccard similarity, over many pairs, by its full formula."""
     rng = random.Random(9)
-    errors = []
-    for _ in range(40):
-        x = [rng.randrange(60) for _ in range(80)]
-        y = x[: rng.randrange(20, 80)] + [rng.randrange(60, 90) for _ in range(20)]
-        sets = [mixed(np.array(v, np.uint64) + np.uint64(1)) for v in (x, y)]
+    errors, plain = [], []
+    for _ in range(60):
+        x = {rng.randrange(90) for _ in range(80)}
+        y = set(rng.sample(sorted(x), rng.randrange(10, len(x)))) | {rng.randrange(90, 130) for _ in range(20)}
+        w = {k: 1 + k % 5 for k in x | y}
+        sets = [(mixed(np.array(sorted(v), np.uint64) + np.uint64(1)), np.array([w[k] for k in sorted(v)])) for v in (x, y)]
         a, b = prob_minhash.sketch(sets)
-        w = [{k: 1 + np.log(v.count(k)) for k in set(v)} for v in (x, y)]
-        both = w[0].keys() & w[1].keys()
-        j = sum(1 / sum(max(w[0].get(t, 0) / w[0][s], w[1].get(t, 0) / w[1][s]) for t in w[0].keys() | w[1].keys()) for s in both)
+        both, either = x & y, x | y
+        j = sum(1 / sum(max((t in x) * w[t] / w[s], (t in y) * w[t] / w[s]) for t in either) for s in both)
+        assert j == pytest.approx(sum(w[k] for k in both) / sum(w[k] for k in either))
         errors.append((a == b).mean() - j)
-    assert abs(np.mean(errors)) < 0.02 and np.std(errors) < 0.08
+        plain.append(len(both) / len(either) - j)
+    assert abs(np.mean(errors)) < 0.02 and np.std(errors) < 0.08 and max(map(abs, plain)) > 0.03
+
+
+def test_recall_by_similarity():
+    """Share of pairs that meet in a band and pass the sketch, by exact similarity: all from 0.8 on, few far below."""
+    rng = random.Random(10)
+    met = {0.5: [], 0.7: [], 0.8: [], 0.9: []}
+    for _ in range(500):
+        base = prose(rng, 200, 10**6)
+        pair = [base.encode(), edited(rng, base, rng.choice([1, 2, 3, 4, 5, 6, 8, 10, 14, 18])).encode()]
+        sets = [prob_minhash._shingles(t) for t in pair]
+        both = weight(shingles(base) & shingles(pair[1].decode())) / weight(shingles(base) | shingles(pair[1].decode()))
+        a, b = prob_minhash.sketch(sets)
+        bands = (a == b).reshape(prob_minhash.BANDS, prob_minhash.ROWS).all(axis=1)
+        small = ((a >> np.uint64(56)) == (b >> np.uint64(56))).sum() >= prob_minhash.AGREE
+        level = max((x for x in met if x <= both), default=None)
+        if level is not None:
+            met[level].append(bool(bands.any() and small))
+    recall = {x: np.mean(v) for x, v in met.items() if v}
+    print("recall by similarity", {x: (round(float(np.mean(v)), 3), len(v)) for x, v in met.items() if v})
+    assert recall[0.8] >= 0.99 and recall[0.9] == 1 and min(len(v) for v in met.values()) > 30
 
 
 def test_texts_that_differ_only_in_repeats_are_near(spark):
