@@ -134,11 +134,16 @@ def op7_schema_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_split_tree_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     plan = mix(docs, weights=(5, 2, 1))
-    taken = plan.draws.groupBy("sid", "begin").agg(F.sum("length").alias("taken"))
+    by_shard = plan.draws.groupBy("sid", "begin", "shard").agg(F.sum("length").alias("words"))
+    each = F.array_sort(F.collect_list(F.struct("shard", "words")))
+    taken = by_shard.groupBy("sid", "begin").agg(F.sum("words").alias("taken"), F.array_join(F.transform(each, lambda x: F.concat_ws(":", x.shard, x.words)), " ").alias("shards"))
+    # rows without words share their place with the row after them, and take nothing
     sized = plan.rows.join(taken, ["sid", "begin"], "left")
+    some = F.col("size") > 0
     return sized.select(
         F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target",
-        F.when(F.col("size") > 0, F.coalesce("taken", F.lit(0))).otherwise(0).cast("long").alias("taken"),
+        F.when(some, F.coalesce("taken", F.lit(0))).otherwise(0).cast("long").alias("taken"),
+        F.when(some, F.coalesce("shards", F.lit(""))).otherwise("").alias("shards"),
     )
 
 

@@ -1,18 +1,20 @@
 """Mixing sources to target weights with a splitting tree.
 
-Every source is a stream of words: its rows in hash order, cut into blocks of
-equal word counts, the same number of blocks for a source of any size. The
-words a source gives are exact: whole passes over the stream plus, for the
-rest, a quota of blocks and one part block. The tree splits the quotas of all
-sources among output shards: at each node the left half takes a
-multivariate-hypergeometric draw of the blocks, so every shard gets the same
-number of blocks and a fair mix, without looking at a single block. Then each
-source deals its blocks in a permuted order, and a shard's range of that order
-is disjoint from every other shard's; ``order`` shuffles rows inside a shard.
-
-Rows are handled in (source, bucket) groups, with a number of buckets that
-follows the row count, so a source with a third of all rows is spread like any
-other. All draws come from hashes of the seed: reruns agree.
+Every source is a stream of words: its rows in hash order, read as many times as
+its target asks. All passes over all streams are cut into blocks of one size,
+which follows the words to draw. A last pass that is not whole takes a permuted
+choice of its blocks and a part of one more, so the words a source gives are
+exact. The tree splits the numbers of blocks of all sources among output shards:
+at each node the left half takes a multivariate-hypergeometric draw, so shards
+hold the same number of blocks but for one, and a fair mix, without looking at a
+single block. Then each source deals its blocks in permuted order: a shard's
+range of that order is disjoint from every other shard's. ``order`` shuffles
+inside a shard.
+
+Rows are handled in (source, bucket) groups of a few hundred rows, so a source
+with a third of all rows is spread like any other; the places of buckets in their
+stream are summed in two levels. All draws come from hashes of the seed: reruns
+agree.
 
 Defined cases: a null text has size 0, gives no words and takes none; null
 sources form one source, after all others; a source without words has target 0;
@@ -29,10 +31,14 @@ from pyspark.sql import functions as F
 
 from arena.llm.common import WORD, let, stored
 
-BLOCKS = 1024  # blocks of a source, fewer only if it has fewer words
-ROWS_PER_BUCKET = 2_000
+SHARD_WORDS = 1 << 20  # words of a shard, more only beyond the most shards
+LEVELS = (2, 14)  # of the tree, least and most: 4 to 16384 shards
+SHARD_BLOCKS = 64  # blocks of a shard
+ROWS_PER_BUCKET = 250
+BUCKETS_PER_GROUP = 4_096  # whose words are summed in one step
+SPREAD = 5  # level from which the nodes of the tree are spread over tasks
 SEED = 20_240
-PRIMES = (1031, 1277, 1523, 1777, 2053, 2297, 2539, 2791)  # above BLOCKS
+PRIMES = (2147483647, 2147483629, 2147483587, 2147483579, 2147483563, 2147483549, 2147483543, 2147483497)  # fixed values: above any number of blocks
 
 
 @dataclass(frozen=True)
@@ -154,6 +160,8 @@ def split_tree(quotas: DataFrame, levels: int) -> DataFrame:
         left = F.aggregate("q", start, take, lambda a: a["left"])
         drawn = nodes.select("shard", "q", F.explode(F.array(left)).alias("left"))
         right = F.zip_with("q", "left", lambda a, b: F.struct(a.sid.alias("sid"), (a.quota - b.quota).alias("quota")))
+        if level == SPREAD:
+            drawn = drawn.repartition("shard")
         nodes = drawn.select(F.explode(F.array(
             F.struct((F.col("shard") * 2).alias("shard"), F.col("left").alias("q")),
             F.struct((F.col("shard") * 2 + 1).alias("shard"), right.alias("q")))).alias("c")).select("c.shard", "c.q")
@@ -162,45 +170,62 @@ def split_tree(quotas: DataFrame, levels: int) -> DataFrame:
     return leaves.select("sid", "shard", F.coalesce(F.sum("quota").over(before), F.lit(0)).alias("first"), "quota")
 
 
+def tree_levels(words: int, shard_words: int = SHARD_WORDS) -> int:
+    """Levels of the tree for the words to draw."""
+    return min(max((max(words, 1) - 1) // shard_words, 1).bit_length(), LEVELS[1]) if words > shard_words << LEVELS[0] else LEVELS[0]
+
+
+def _bucket_starts(totals: DataFrame) -> DataFrame:
+    """src, bucket, begin: where each bucket begins in its source's stream; groups of buckets first, then inside a group."""
+    grouped = totals.withColumn("group", F.floor(F.col("bucket") / BUCKETS_PER_GROUP))
+    before = lambda keys, order: Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    groups = grouped.groupBy("src", "group").agg(F.sum("words").alias("words"))
+    groups = groups.select(F.col("src").alias("_src"), F.col("group").alias("_group"), F.coalesce(F.sum("words").over(before(["src"], "group")), F.lit(0)).alias("_far"))
+    inside = grouped.select("src", "group", "bucket", F.coalesce(F.sum("words").over(before(["src", "group"], "bucket")), F.lit(0)).alias("_near"))
+    joined = inside.join(groups, inside["src"].eqNullSafe(groups["_src"]) & (F.col("group") == F.col("_group")))
+    return joined.select("src", "bucket", (F.col("_far") + F.col("_near")).alias("begin"))
+
+
 def mix(df: DataFrame, weights: tuple[float, ...], source: str = "source", text: str = "text", keep: tuple[str, ...] = ("doc_id",),
-        cap: float = 3.0, levels: int = 4) -> Mix:
+        cap: float = 3.0, shard_words: int = SHARD_WORDS) -> Mix:
     """Plans the mix of all words of ``df``; see the module for what the parts mean.
 
     ``draws``: row (the ``keep`` columns), sid and begin (together the row's key), pass, shard, start and length (words of the
-    row), order. Whole passes come as one draw per row and pass, on the shard of
-    the row's hash; the last pass comes as one draw per row and block.
+    row), order: one draw per row, pass and block.
     """
-    spark = df.sparkSession
     sized = df.select(
         F.struct(*keep).alias("row"), F.col(source).alias("src"), n_words(F.col(text)).alias("size"),
         F.xxhash64(F.lit(SEED), *keep, source).alias("mark"),
     )
     sized = stored(sized, "mix-sizes")
-    count = sized.count()
+    count, words = sized.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
     buckets = max(1, -(-count // ROWS_PER_BUCKET))
     placed = sized.withColumn("bucket", F.pmod(F.col("mark"), F.lit(buckets)))
+    levels = tree_levels(words, shard_words)
+    block = F.lit(max(1, -(-words // (SHARD_BLOCKS << levels)))).cast("long")
 
     totals = placed.groupBy("src", "bucket").agg(F.sum("size").alias("words"))
     sources = totals.groupBy("src").agg(F.sum("words").alias("source_size"))
     sources = stored(cyclic_weights(sources, weights), "mix-sources")
-    frac = F.col("target_words") - F.col("passes") * F.col("source_size")
+    size, frac = F.col("source_size"), F.col("target_words") - F.col("passes") * F.col("source_size")
     sources = (
         with_targets(sources, cap)
         .withColumn("sid", F.xxhash64(F.coalesce("src", F.lit("")), F.col("src").isNull()))
         .withColumn("target_words", F.floor(F.col("target") + 0.5).cast("long"))
-        .withColumn("passes", F.when(F.col("source_size") > 0, F.floor(F.col("target_words") / F.col("source_size"))).otherwise(0).cast("long"))
-        .withColumn("block", F.greatest(F.ceil(F.col("source_size") / BLOCKS).cast("long"), F.lit(1).cast("long")))
-        .withColumn("full_blocks", F.floor(F.col("source_size") / F.col("block")).cast("long"))
-        .withColumn("quota", F.floor(frac / F.col("block")).cast("long"))
-        .withColumn("rest", F.pmod(frac, F.col("block")))
+        .withColumn("passes", F.when(size > 0, F.floor(F.col("target_words") / size)).otherwise(0).cast("long"))
+        .withColumn("block", block)
+        .withColumn("full_blocks", F.floor(size / block).cast("long"))
+        .withColumn("pass_blocks", F.ceil(size / block).cast("long"))
+        .withColumn("part", F.floor(frac / block).cast("long"))
+        .withColumn("rest", F.pmod(frac, block))
+        .withColumn("quota", F.col("passes") * F.col("pass_blocks") + F.col("part") + F.when(F.col("rest") > 0, 1).otherwise(0))
     )
-    tree = split_tree(sources.select("sid", "quota"), levels)
-    shards = tree.groupBy("sid").agg(F.array_sort(F.collect_list(F.struct("first", "shard"))).alias("shards"))
-    sources = stored(sources.join(shards, "sid"), "mix-plan")
+    sources = stored(sources, "mix-plan")
+    leaves = split_tree(sources.select("sid", "quota"), levels).filter("quota > 0")
+    deal = leaves.select(F.col("sid").alias("_sid"), "shard", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("quota") - 1)).alias("_place"))
+    deal = stored(deal, "mix-deal")  # SHARD_BLOCKS rows a shard and some
 
-    # where each (source, bucket) begins in its source's stream; one row per bucket, so small
-    ahead = Window.partitionBy("src").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    begins = totals.select("src", "bucket", F.coalesce(F.sum("words").over(ahead), F.lit(0)).alias("begin"))
+    begins = _bucket_starts(totals)
     plan = begins.join(sources, begins["src"].eqNullSafe(sources["src"])).drop(sources["src"]).drop(begins["src"])
     inside = Window.partitionBy("sid", "bucket").orderBy("mark", "row", "size").rowsBetween(Window.unboundedPreceding, -1)
     keyed = placed.withColumn("sid", F.xxhash64(F.coalesce("src", F.lit("")), F.col("src").isNull()))
@@ -208,34 +233,30 @@ def mix(df: DataFrame, weights: tuple[float, ...], source: str = "source", text:
     rows = run.join(plan, ["sid", "bucket"]).withColumn("begin", F.col("begin") + F.col("inner"))
     rows = stored(rows.drop("src", "bucket", "inner"), "mix-rows")
 
-    whole = (
-        rows.filter("size > 0 and passes > 0")
-        .select("row", "sid", "begin", "mark", "size", F.explode(F.sequence(F.lit(1).cast("long"), F.col("passes"))).alias("pass"))
-        .select("row", "sid", "begin", F.col("pass") - 1, F.pmod(F.xxhash64("mark", "pass"), F.lit(2**levels)).alias("shard"),
-                F.lit(0).cast("long").alias("start"), F.col("size").alias("length"), F.xxhash64(F.lit(SEED + 1), "mark", "pass").alias("order"))
-    )
-    end = F.col("begin") + F.col("size")
-    pieces = rows.filter("size > 0 and (quota > 0 or rest > 0)").select(
-        "row", "sid", "mark", "begin", "size", "passes", "block", "full_blocks", "quota", "rest", "shards",
-        F.explode(F.sequence(F.floor(F.col("begin") / F.col("block")).cast("long"), F.floor((end - 1) / F.col("block")).cast("long"))).alias("b"),
+    end, b, turn = F.col("begin") + F.col("size"), F.col("b"), F.col("pass")
+    last = F.when((F.col("part") > 0) | (F.col("rest") > 0), F.col("passes")).otherwise(F.col("passes") - 1)
+    pieces = rows.filter("size > 0 and quota > 0").select(
+        "row", "sid", "mark", "begin", "size", "passes", "block", "full_blocks", "pass_blocks", "part", "rest",
+        F.explode(F.sequence(F.floor(F.col("begin") / block).cast("long"), F.floor((end - 1) / block).cast("long"))).alias("b"), last.alias("last"),
     )
-    # full blocks in permuted order; the short one at the end of the stream stays last
-    place = F.when(F.col("b") < F.col("full_blocks"), permuted(F.col("b"), F.col("full_blocks"), F.col("sid"))).otherwise(F.col("b"))
+    pieces = pieces.select("*", F.explode(F.sequence(F.lit(0).cast("long"), "last")).alias("pass"))
+    # full blocks in permuted order, another one each pass; the short one at the end of the stream stays last
+    place = F.when(b < F.col("full_blocks"), permuted(b, F.col("full_blocks"), F.col("sid"), turn)).otherwise(b)
     pieces = pieces.withColumn("place", place)
-    reach = F.when(F.col("place") < F.col("quota"), F.col("block")).when(F.col("place") == F.col("quota"), F.col("rest")).otherwise(0)
-    low = F.greatest(F.col("b") * F.col("block"), F.col("begin"))
-    high = F.least(F.col("b") * F.col("block") + reach, end)
-    mine = F.filter("shards", lambda s: s.first <= F.col("place"))
-    part = pieces.filter(high > low).select(
-        "row", "sid", "begin", F.col("passes").alias("pass"), F.element_at(mine, -1).shard.alias("shard"),
-        (low - F.col("begin")).alias("start"), (high - low).alias("length"), F.xxhash64(F.lit(SEED + 1), "sid", "b", "mark").alias("order"),
+    whole = (turn < F.col("passes")) | (F.col("place") < F.col("part"))
+    reach = F.when(whole, block).when(F.col("place") == F.col("part"), F.col("rest")).otherwise(0)
+    low, high = F.greatest(b * block, F.col("begin")), F.least(b * block + reach, end)
+    taken = pieces.filter(high > low).withColumn("_place", turn * F.col("pass_blocks") + F.col("place"))
+    dealt = taken.join(deal, (F.col("sid") == F.col("_sid")) & (taken["_place"] == deal["_place"]))
+    draws = dealt.select(
+        "row", "sid", "begin", "pass", "shard", (low - F.col("begin")).alias("start"), (high - low).alias("length"),
+        F.xxhash64(F.lit(SEED + 1), "sid", "pass", "b", "mark").alias("order"),
     )
-    draws = whole.toDF(*part.columns).unionByName(part)
     return Mix(rows, sources, draws)
 
 
-def permuted(b: Column, n: Column, key: Column) -> Column:
-    """A bijection of 0..n-1 for n up to BLOCKS: the multiplier is a prime above n, so it has no factor in common with n."""
-    draw = F.pmod(F.xxhash64(F.lit(SEED + 2), key), F.lit(1 << 30))
+def permuted(b: Column, n: Column, *key: Column) -> Column:
+    """A bijection of 0..n-1: the multiplier is a prime above any n, so it has no factor in common with n."""
+    draw = F.pmod(F.xxhash64(F.lit(SEED + 2), *key), F.lit(1 << 30))
     prime = F.element_at(F.array(*[F.lit(p).cast("long") for p in PRIMES]), (draw % len(PRIMES) + 1).cast("int"))
-    return F.pmod(b * prime + draw, n)
+    return F.pmod(F.pmod(b * prime, n) + draw, n)

@@ -11,8 +11,8 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from arena.llm.queries import op2_tier_packing
-from arena.llm.split_mix import BLOCKS, hypergeometric, mix, permuted, split_tree
+from arena.llm.queries import op2_tier_packing, op5_split_tree_mix
+from arena.llm.split_mix import LEVELS, SHARD_BLOCKS, SHARD_WORDS, hypergeometric, mix, permuted, split_tree, tree_levels
 from arena.llm.tier_packing import TIERS, Packer, WordIds, pack_documents, step_groups, word_ids
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -112,7 +112,7 @@ def test_draws_are_hypergeometric(spark):
 
 
 def test_places_of_blocks_are_distinct(spark):
-    sizes = spark.createDataFrame([(n,) for n in (1, 2, 7, 500, 1023, BLOCKS)], "n long")
+    sizes = spark.createDataFrame([(n,) for n in (1, 2, 7, 500, 1023, 40_000)], "n long")
     each = sizes.select("n", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("b"))
     out = each.select("n", permuted(F.col("b"), F.col("n"), F.col("n")).alias("p")).groupBy("n").agg(F.count_distinct("p").alias("d"), F.min("p").alias("lo"), F.max("p").alias("hi"))
     assert all(r["d"] == r["n"] and r["lo"] == 0 and r["hi"] == r["n"] - 1 for r in out.collect())
@@ -251,3 +251,56 @@ def test_packing_query_equals_the_untouched_tokenizer(spark, tmp_path):
         assert sum(n for _, n in parts) == end if end is not None else sum(n for _, n in parts) <= TIERS[-1]
     tokens, padding = padding_of(pieces)
     assert padding < 0.01 * tokens
+
+
+def test_levels_follow_the_words():
+    assert [tree_levels(n) for n in (0, 1, SHARD_WORDS * 4, SHARD_WORDS * 5, SHARD_WORDS * 64, 10**15)] == [LEVELS[0], LEVELS[0], 2, 3, 6, LEVELS[1]]
+
+
+def test_the_tree_decides_all_words(spark, mixed_rows):
+    """Every drawn word lies in a block, every block in the shard the tree gave it, and shards hold the same number of blocks."""
+    plan = mix(docs(spark, mixed_rows), weights=(5, 2, 1), shard_words=2_000)
+    draws = [r.asDict() for r in plan.draws.collect()]
+    sources = {r["sid"]: r for r in plan.sources.collect()}
+    blocks, words, owner = {}, {}, {}
+    for d in draws:
+        s = sources[d["sid"]]
+        at = d["begin"] + d["start"]
+        block = (d["sid"], d["pass"], at // s["block"])
+        assert (at + d["length"] - 1) // s["block"] == block[2]
+        assert owner.setdefault(block, d["shard"]) == d["shard"]
+        blocks[block] = blocks.get(block, 0) + d["length"]
+        words[d["shard"]] = words.get(d["shard"], 0) + d["length"]
+    per_shard = {}
+    for block, shard in owner.items():
+        per_shard[shard] = per_shard.get(shard, 0) + 1
+    size = next(iter(sources.values()))["block"]
+    assert len(per_shard) == 1 << tree_levels(sum(words.values()), 2_000) and max(per_shard.values()) - min(per_shard.values()) <= 1
+    assert max(blocks.values()) <= size and size == -(-sum(len((t or "").split()) for _, _, t in mixed_rows) // (SHARD_BLOCKS * len(per_shard)))
+    # shards differ by a block at most, but for the short blocks at the ends of the streams
+    short = sum(size - n for n in blocks.values())
+    assert max(words.values()) - min(words.values()) <= size + short
+    for sid, s in sources.items():
+        assert sum(n for (x, _, _), n in blocks.items() if x == sid) == s["target_words"]
+        if s["quota"] > 4_000:  # the share of a source in each shard is that of the whole, about
+            shares = [sum(1 for b, o in owner.items() if b[0] == sid and o == shard) / per_shard[shard] for shard in per_shard]
+            assert max(shares) - min(shares) < 0.6
+
+
+def test_mixing_query_against_plain_python(spark, mixed_rows, tmp_path):
+    mixed_rows = [(k, s, t) for k, (_, s, t) in enumerate(mixed_rows)]  # one source an id
+    docs(spark, mixed_rows).select("doc_id", "source", "text").write.parquet(f"{tmp_path}/documents.parquet")
+    out = op5_split_tree_mix(spark, str(tmp_path)).collect()
+    sizes, of = {}, {}
+    for i, s, t in mixed_rows:
+        sizes[s] = sizes.get(s, 0) + len((t or "").split())
+        of[i] = s
+    want, taken = targets(sizes, (5, 2, 1)), {}
+    assert sorted(str(r["doc_id"]) for r in out) == sorted(str(i) for i, _, _ in mixed_rows)
+    for r in out:
+        s = of[r["doc_id"]]
+        assert r["source_size"] == sizes[s] and r["target"] == pytest.approx(want[s]) and r["taken"] <= 3 * r["size"]
+        assert sum(int(x.split(":")[1]) for x in r["shards"].split()) == r["taken"]
+        taken[s] = taken.get(s, 0) + r["taken"]
+    assert all(abs(want[s] - taken[s]) <= 0.51 for s in sizes)
+    assert {x.split(":")[0] for r in out for x in r["shards"].split()} == {"0", "1", "2", "3"}
