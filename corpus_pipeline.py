@@ -53,25 +53,28 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The drawn texts: a row for each whole pass over a document, and one for the blocks that a last pass takes of it."""
+    """The drawn texts, in files by shard and shuffled inside a shard: a row for each document, pass and shard.
+
+    A document that a block ends in goes to two shards, in parts.
+    """
     rows = docs.select(F.struct("*").alias("row"), "doc_id", "source", "text", F.xxhash64("text").alias("fp"))
     plan = mix(rows, weights=WEIGHTS, keep=("doc_id", "fp"))
-    drawn = plan.draws.groupBy("row", "sid", "begin").agg(
-        F.array_sort(F.collect_list(F.struct("pass", "start", "length", "shard", "order"))).alias("draws"), F.max("pass").alias("last")
-    )
+    drawn = plan.draws.groupBy("row", "sid", "begin").agg(F.array_sort(F.collect_list(F.struct("pass", "shard", "start", "length", "order"))).alias("draws"))
     # equal rows are drawn alike
     drawn = drawn.select(F.col("row.doc_id").alias("_id"), F.col("row.fp").alias("_fp"), "draws").groupBy("_id", "_fp").agg(F.max("draws").alias("draws"))
     joined = rows.join(drawn, rows["doc_id"].eqNullSafe(drawn["_id"]) & rows["fp"].eqNullSafe(drawn["_fp"]))
-    passes = F.array_distinct(F.transform("draws", lambda d: d["pass"]))
-    each = joined.select("row", "draws", F.explode(passes).alias("pass")).withColumn("parts", F.filter("draws", lambda d: d["pass"] == F.col("pass")))
+    turns = F.array_distinct(F.transform("draws", lambda d: F.struct(d["pass"].alias("pass"), d["shard"].alias("shard"))))
+    each = joined.select("row", "draws", F.inline(turns).alias("_pass", "_shard"))
+    mine = lambda d: (d["pass"] == F.col("_pass")) & (d["shard"] == F.col("_shard"))
+    each = each.withColumn("parts", F.filter("draws", mine))
     size = F.aggregate("parts", F.lit(0).cast("long"), lambda a, d: a + d["length"])
     said = words(F.col("row.text"))
     part = F.array_join(F.flatten(F.transform("parts", lambda d: F.slice(F.col("said"), (d["start"] + 1).cast("int"), d["length"].cast("int")))), " ")
-    cut = each.select("row", "parts", size.alias("taken"), F.explode(F.array(said)).alias("said"))
+    cut = each.select("row", "parts", "_shard", size.alias("taken"), F.explode(F.array(said)).alias("said"))
     text = F.when(F.col("taken") == F.size("said"), F.col("row.text")).otherwise(part)
     first = F.get(F.col("parts"), F.lit(0))
-    out = cut.select("row", first["shard"].alias("shard"), first["order"].alias("order"), F.explode(F.array(text)).alias("text"))
-    shuffled = out.sortWithinPartitions("shard", "order")
+    out = cut.select("row", "_shard", first["order"].alias("_order"), F.explode(F.array(text)).alias("text"))
+    shuffled = out.repartitionByRange("_shard", "_order").sortWithinPartitions("_shard", "_order")
     return shuffled.select(F.col("row").withField("text", F.col("text")).withField("n_chars", F.length("text").cast("long")).alias("row")).select("row.*")
 
 
