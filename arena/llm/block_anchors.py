@@ -11,7 +11,9 @@ of the others are the maximal repeats, whose words go.
 Hashes travel packed: a task sends, for each bucket of hash values, one row with
 its distinct blocks and probes, seven to eight bytes a word. What a task repeats
 itself is settled in the task and sent once, so a passage in a third of all
-texts gives its bucket one entry a task and not one a text.
+texts gives its bucket one entry a task and not one a text. Buckets and homes are
+as many as the bytes of the texts ask for, each a partition of its own, so a task
+holds the same at any size of the table; no fewer than the session's tasks.
 
 Defined cases: a null or empty text has no words; texts under LENGTH words lose
 nothing; rows of one id are one document: equal ones do not repeat each other,
@@ -36,6 +38,8 @@ from arena.llm.word_windows import mixed, run_hashes, split, word_hashes
 LENGTH = 20  # words of a repeat
 BLOCK = LENGTH // 2
 CHUNK_WORDS = 300_000  # words of which a task packs the hashes at once
+BUCKET_BYTES = 8 << 20  # of texts whose hashes share a bucket, about
+HOME_BYTES = 32 << 20  # of texts that are opened and closed in one group, about
 NULL_ID = -(2**63)
 
 
@@ -260,25 +264,31 @@ def _closed(docs: pd.DataFrame, late: pd.DataFrame, digest: bool) -> pd.DataFram
     return pd.DataFrame(out, columns=["id", "fp", "n_words", "n_removed", "kept"])
 
 
+def _shape(docs: DataFrame) -> tuple[int, int]:
+    """(buckets, homes) that keep a group of either at the same size whatever the size of the table; one count of bytes."""
+    size = docs.agg(F.sum(F.octet_length("body"))).first()[0] or 0
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(2 * tasks, -(-size // BUCKET_BYTES)), max(tasks, -(-size // HOME_BYTES))
+
+
 def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", digest: bool = False) -> DataFrame:
     """id, fp, n_words, n_removed and kept, one row per input row; see ``keyed`` for id and fp.
 
     ``kept`` is the text that is left, its words joined by one space, or null
     where nothing was removed; with ``digest``, the hex SHA-256 of the words left.
     """
-    spark = df.sparkSession
-    homes = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = 2 * homes  # of hash values; answers go to the homes of the documents
     docs = keyed(df, key, text).select("id", "fp", F.col(text).cast("binary").alias("body"))
+    buckets, homes = _shape(docs)  # of hash values; answers go to the homes of the documents
     asked = docs.mapInPandas(_anchors_and_probes(buckets, homes), PLACES)
-    hits = stored(asked.groupBy("bucket").applyInPandas(lambda f: _answer(f, homes, _probe), PLACES), "anchors-hits")
+    by_bucket = lambda rows, parts: rows.repartition(parts, "bucket").groupBy("bucket")
+    hits = stored(by_bucket(asked, buckets).applyInPandas(lambda f: _answer(f, homes, _probe), PLACES), "anchors-hits")
     home = docs.withColumn("bucket", _home_column(F.col("id"), homes))
-    opened = home.groupBy("bucket").cogroup(hits.groupBy("bucket")).applyInPandas(lambda d, h: _opened(d, h, digest), OPEN)
+    opened = by_bucket(home, homes).cogroup(by_bucket(hits, homes)).applyInPandas(lambda d, h: _opened(d, h, digest), OPEN)
     opened = stored(opened, "anchors-open")
     todo = opened.filter("body is not null")
     late = todo.select("id", "body", "windows").mapInPandas(_windows(buckets, homes), PLACES)
-    late = stored(late.groupBy("bucket").applyInPandas(lambda f: _answer(f, homes, _later), PLACES), "anchors-late")
-    closed = todo.select("id", "fp", "bucket", "body").groupBy("bucket").cogroup(late.groupBy("bucket")).applyInPandas(
+    late = stored(by_bucket(late, buckets).applyInPandas(lambda f: _answer(f, homes, _later), PLACES), "anchors-late")
+    closed = by_bucket(todo.select("id", "fp", "bucket", "body"), homes).cogroup(by_bucket(late, homes)).applyInPandas(
         lambda d, h: _closed(d, h, digest), "id long, fp long, n_words long, n_removed long, kept string"
     )
     done = opened.filter("body is null").select("id", "fp", "n_words", F.lit(0).cast("long").alias("n_removed"), "kept")

@@ -115,6 +115,21 @@ def test_repeats_inside_one_text_and_texts_that_stay(spark):
     assert block_anchors.remove_repeats(frame(spark, rows).limit(0)).count() == 0
 
 
+def test_repeats_do_not_depend_on_the_number_of_groups(spark, monkeypatch):
+    rows = repeats(random.Random(5), 60)
+    df = frame(spark, rows)
+    bodies = block_anchors.keyed(df).selectExpr("cast(text as binary) as body")
+    few, size = block_anchors._shape(bodies), sum(len(t) for _, t in rows)
+    read = lambda: sorted((r["id"], r["n_words"], r["n_removed"], r["kept"]) for r in block_anchors.remove_repeats(df, digest=True).collect())
+    want = read()
+    monkeypatch.setattr(block_anchors, "BUCKET_BYTES", size // 30)
+    monkeypatch.setattr(block_anchors, "HOME_BYTES", size // 20)
+    many = block_anchors._shape(bodies)
+    assert many[0] >= 30 > few[0] and many[1] >= 20 > few[1]
+    assert read() == want
+    assert block_anchors._shape(bodies.limit(0)) == few  # no text at all: as many as the session's tasks
+
+
 def shingles(text):
     w = (text or "").split()
     return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
