@@ -294,13 +294,20 @@ def _part(kind: str | Column, subject: Column, limit: Column | None = None) -> C
     return F.struct(kind.alias("kind"), subject.alias("subject"), (none if limit is None else limit).alias("limit"))
 
 
+def _groups() -> Column:
+    return F.coalesce(F.col("groups"), F.array().cast("array<struct<group_key:string,group_limit:int>>"))
+
+
+def _over() -> Column:
+    """The line alone breaks the limit of its card, which is below the one of its group."""
+    return F.exists(_groups(), lambda g: (F.col("n") > F.col("deck_limit")) & (F.col("deck_limit") < g["group_limit"]))
+
+
 def _parts() -> Column:
     empty = F.array().cast("array<struct<kind:string,subject:string,limit:int>>")
-    groups = F.coalesce(F.col("groups"), F.array().cast("array<struct<group_key:string,group_limit:int>>"))
-    over = F.exists(groups, lambda g: (F.col("n") > F.col("deck_limit")) & (F.col("deck_limit") < g["group_limit"]))
     return F.concat(
-        F.array(_part("", F.lit(""))), F.transform(groups, lambda g: _part("group", g["group_key"], g["group_limit"])),
-        F.when(over, F.array(_part("single", F.col("card")))).otherwise(empty),
+        F.array(_part("", F.lit(""))), F.transform(_groups(), lambda g: _part("group", g["group_key"], g["group_limit"])),
+        F.when(_over(), F.array(_part("single", F.col("card")))).otherwise(empty),
         F.when(F.col("refused").isNotNull(), F.array(_part(F.col("refused"), F.col("card")))).otherwise(empty),
     )
 
@@ -349,16 +356,17 @@ def basket_report(judged: DataFrame) -> DataFrame:
 def with_cards(violations: DataFrame, baskets: DataFrame, rules: DataFrame) -> DataFrame:
     """Violations with the involved cards in order. Cards are listed for violating baskets alone."""
     none = F.array().cast("array<string>")
-    sizes, wrong = violations.filter(F.col("kind") == "deck_size"), violations.filter(F.col("kind") != "deck_size")
+    # violations grow with the baskets and come in many small rows: merged, not sent whole to every task
+    sizes, wrong = violations.filter(F.col("kind") == "deck_size"), violations.filter(F.col("kind") != "deck_size").hint("merge")
     lines = _ruled_lines(baskets.join(wrong.select("deck_id"), "deck_id", "left_semi"), rules)
-    known, groups = F.col("known"), F.coalesce(F.col("groups"), F.array().cast("array<struct<group_key:string,group_limit:int>>"))
+    known = F.col("known")
     place = lambda kind, subject: F.struct(kind.alias("kind"), subject.alias("subject"))
     places = F.concat(
         F.array_compact(F.array(
             F.when(~known, place(F.lit("unknown_card"), F.lit(""))), *[F.when(known & F.col(flag), place(F.lit(kind), F.lit(""))) for kind, flag in LIMITED.items()],
-            place(F.lit("name_limit"), F.col("card")), F.when(F.col("refused").isNotNull(), place(F.col("refused"), F.col("card"))),
+            F.when(_over(), place(F.lit("name_limit"), F.col("card"))), F.when(F.col("refused").isNotNull(), place(F.col("refused"), F.col("card"))),
         )),
-        F.transform(groups, lambda g: place(F.lit("name_limit"), g["group_key"])),
+        F.transform(_groups(), lambda g: place(F.lit("name_limit"), g["group_key"])),
     )
     named = lines.select("deck_id", "card", F.explode(F.array_distinct(places)).alias("p")).select("deck_id", "card", "p.*")
     # every violation but that of the size has a card, so the join keeps them all

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -61,3 +64,11 @@ def stored_rows(df: DataFrame, name: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stored_together(spark: SparkSession, **tables: Callable[[], DataFrame]) -> dict[str, DataFrame]:
+    """Tables that do not need each other, written at the same time; each is planned in its own thread with the caller's job settings."""
+    write = lambda name, build: stored_rows(build(), name)
+    with ThreadPoolExecutor(len(tables)) as pool:
+        running = {name: pool.submit(inheritable_thread_target(spark)(write), name.replace("_", "-"), build) for name, build in tables.items()}
+        return {name: job.result() for name, job in running.items()}

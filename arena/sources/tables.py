@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 
 from arena.functions.rank import quantile_splits, split_rank
 from arena.operators.baskets import mapping_status, with_status
-from arena.session import stored_rows
+from arena.session import stored_rows, stored_together
 
 
 @dataclass(frozen=True)
@@ -215,7 +215,7 @@ def basket_star(t: Tables, window: Window | None = None) -> Star:
     """
     if window is not None:
         played = stored_rows(entries(t, window), "star-entries")
-        return star_of(played, stored_rows(group_lines(t, played), "star-groups"))
+        return star_of(t, played)
     cards = basket_lines(t)
     return Star(tournaments(t), mapping_status(cards), appearances(t), cards)
 
@@ -234,21 +234,31 @@ def group_lines(t: Tables, played: DataFrame) -> DataFrame:
     )
 
 
-def star_of(played: DataFrame, groups: DataFrame) -> Star:
-    """A star from entries and their baskets by group; a part that has a group is a resolved one.
+def ranks_of(played: DataFrame) -> DataFrame:
+    """Entry rows with their rank by price inside the competition."""
+    splits, ties = quantile_splits(played, "o_totalprice", "o_orderkey")
+    return split_rank(played, ["tournament_id"], "o_totalprice", splits=splits, desc=True, tie=["o_orderkey"], tie_splits=ties, name="rank")
+
+
+def star_of(t: Tables, played: DataFrame) -> Star:
+    """A star from entries and the baskets they played; a part that has a group is a resolved one.
 
-    Competitions and entries with rank, record and mapping state are written once.
+    Baskets by group, ranks and competitions need the entries alone and are
+    written at the same time; entries with rank, record and mapping state after them.
     """
-    splits, ties = quantile_splits(played, "o_totalprice", "o_orderkey")
-    ranked = split_rank(played, ["tournament_id"], "o_totalprice", splits=splits, desc=True, tie=["o_orderkey"], tie_splits=ties, name="rank")
+    made = stored_together(
+        played.sparkSession, star_groups=lambda: group_lines(t, played), star_ranks=lambda: ranks_of(played),
+        star_competitions=lambda: tournaments_of(played),
+    )
+    groups = made["star_groups"]
     cards = groups.select("deck_id", F.col("group_key").alias("card_id"), "group_key", "stat_scope", "count")
     in_group = F.col("group_key").isNotNull()
     per_deck = groups.groupBy("deck_id").agg(
         *[F.sum(c).alias(c) for c in ("w", "l", "t")], F.sum("count").alias("total"), F.sum(F.when(in_group, F.col("count")).otherwise(0)).alias("mapped")
     )
-    full = stored_rows(appearances_of(ranked, per_deck, ("total", "mapped")), "star-appearances")
+    full = stored_rows(appearances_of(made["star_ranks"], per_deck, ("total", "mapped")), "star-appearances")
     decks = with_status(full.filter("total is not null").select("deck_id", "total", "mapped"))
-    return Star(stored_rows(tournaments_of(played), "star-competitions"), decks, full.drop("total", "mapped"), cards)
+    return Star(made["star_competitions"], decks, full.drop("total", "mapped"), cards)
 
 
 def calendar_star(t: Tables, window: Window | None = None) -> Star:
