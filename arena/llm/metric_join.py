@@ -1,7 +1,9 @@
 """Exact near-duplicate join of vectors: pivots, triangle inequality, independent cells.
 
-Equal unit vectors of a label are one class. Pivots are a bounded sample of the
-classes; every class belongs to the cell of its nearest pivot. If x (cell p) and
+Equal unit vectors of a label are one class. Pivots are a sample of the classes
+that grows with the label, thinned to a distance of at least r, so a dense spot
+keeps one pivot and the cells that reach a vector do not multiply with the data;
+every class belongs to the cell of its nearest pivot. If x (cell p) and
 y (cell q) are within r, the triangle inequality gives d(x, q) <= d(x, p) + 2r,
 and x must lie within r of the plane halfway between p and q, and within r of
 the ball that cell q fills. Only then is x copied to q as a guest, and of the
@@ -10,9 +12,9 @@ independently, in tiles of bounded size, so a dense cell is many small tasks;
 a tile sends counts of links and one edge per vector and local component, never
 the pairs.
 
-Defined cases: null, zero, or non-finite vectors, vectors of another length than
-most of their label, and vectors without a label link with nothing and are their
-own component; repeated ids are joined as one vector each by their content, and
+Defined cases: null, zero, or non-finite vectors, and vectors without a label
+link with nothing and are their own component; vectors of different lengths never
+link, each length of a label is joined on its own; repeated ids are joined as one vector each by their content, and
 every row gets its result; an empty table gives an empty result.
 """
 
@@ -28,9 +30,12 @@ from pyspark.sql import functions as F
 from arena.llm.common import stored
 from arena.operators.graph import connected_components
 
-PIVOTS = 24  # sampled per label and length with more classes than a tile; more make smaller cells
-PIVOTED = 500  # so many such groups, the largest ones, get pivots; any further one is a single cell of tiles
 TILE = 1_000  # classes of a block; a tile compares two blocks
+PIVOTS = 2_000  # at most, of a label and length; one for half a tile of classes before thinning
+PIVOT_ROWS = 12_000  # of all groups together, shared by size; what the driver holds and sends to tasks
+PIVOTED = 500  # so many groups of more than a tile, the largest ones, get pivots; any further one is a single cell of tiles
+PRODUCTS = 2_000_000  # of vectors and pivots held at once in a task
+FRAME = 10_000  # guests sent on at once
 SLACK = 1e-12  # of products of unit vectors, against rounding
 ROUND = 1e-6  # of distances: the root of a product's rounding
 GUEST, HOME = 1, 0
@@ -61,14 +66,35 @@ def unit_vectors(df: DataFrame, vec_id: str, vector: str, label: str) -> DataFra
     return read.mapInPandas(run, "vid long, label string, unit binary")
 
 
-def _pivots(classes: DataFrame) -> dict[tuple[str, int], np.ndarray]:
-    """PIVOTS classes in hash order of each large group: at most PIVOTS * PIVOTED rows come to the driver."""
+def _thinned(points: np.ndarray, radius: float) -> np.ndarray:
+    """Points in order, without those nearer than ``radius`` to one that was kept."""
+    kept = points[:1]
+    for point in points[1:]:
+        if np.linalg.norm(kept - point, axis=1).min() >= radius:
+            kept = np.vstack([kept, point])
+    return kept
+
+
+def _pivots(classes: DataFrame, radius: float) -> dict[tuple[str, int], np.ndarray]:
+    """Classes in hash order of each large group, as many as its size asks for: at most PIVOT_ROWS + PIVOTED rows come to the driver."""
     groups = classes.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > TILE)
-    large = groups.orderBy(F.desc("n"), "label", "dim").limit(PIVOTED)
+    large = groups.orderBy(F.desc("n"), "label", "dim").limit(PIVOTED).collect()
+    if not large:
+        return {}
+    total = sum(r["n"] for r in large)
+    asked = [(r["label"], r["dim"], min(PIVOTS, -(-2 * r["n"] // TILE), -(-PIVOT_ROWS * r["n"] // total))) for r in large]
+    quota = classes.sparkSession.createDataFrame(asked, "label string, dim int, quota long")
     first = Window.partitionBy("label", "dim").orderBy(F.xxhash64("unit"), "cid")
-    ranked = classes.join(F.broadcast(large.select("label", "dim")), ["label", "dim"]).withColumn("n", F.row_number().over(first))
-    chosen = ranked.filter(F.col("n") <= PIVOTS).select("label", "dim", "unit").toPandas()
-    return {k: _matrix(g["unit"]) for k, g in chosen.groupby(["label", "dim"])}
+    ranked = classes.join(F.broadcast(quota), ["label", "dim"]).withColumn("n", F.row_number().over(first))
+    # the fixed bound prunes in every task before the shuffle
+    chosen = ranked.filter(F.col("n") <= PIVOTS).filter(F.col("n") <= F.col("quota")).orderBy("label", "dim", "n").select("label", "dim", "unit").toPandas()
+    return {k: _thinned(_matrix(g["unit"]), radius) for k, g in chosen.groupby(["label", "dim"])}
+
+
+def _pieces(frame: pd.DataFrame, pivots: np.ndarray) -> Iterator[pd.DataFrame]:
+    step = max(1, PRODUCTS // len(pivots))
+    for i in range(0, len(frame), step):
+        yield frame.iloc[i : i + step]
 
 
 def _assign(classes: DataFrame, pivots: dict) -> DataFrame:
@@ -80,16 +106,17 @@ def _assign(classes: DataFrame, pivots: dict) -> DataFrame:
                 if (name, dim) not in pivots:
                     yield g.assign(cell=np.int32(0), near=0.0)
                     continue
-                cos = _matrix(g["unit"]) @ pivots[name, dim].T
-                cell = cos.argmax(axis=1)
-                near = np.sqrt(np.maximum(2 - 2 * cos[np.arange(len(g)), cell], 0))
-                yield g.assign(cell=cell.astype("int32"), near=near)
+                for piece in _pieces(g, pivots[name, dim]):
+                    cos = _matrix(piece["unit"]) @ pivots[name, dim].T
+                    cell = cos.argmax(axis=1)
+                    near = np.sqrt(np.maximum(2 - 2 * cos[np.arange(len(piece)), cell], 0))
+                    yield piece.assign(cell=cell.astype("int32"), near=near)
 
     return classes.mapInPandas(run, "cid long, copies long, label string, dim int, unit binary, cell int, near double")
 
 
 def _balls(homes: DataFrame, pivots: dict) -> dict[tuple[str, int, int], float]:
-    """Largest distance to the own pivot by (label, dim, cell), of groups with pivots: at most PIVOTS * PIVOTED rows come to the driver."""
+    """Largest distance to the own pivot by (label, dim, cell), of groups with pivots: at most PIVOT_ROWS + PIVOTED rows come to the driver."""
     if not pivots:
         return {}
     known = homes.sparkSession.createDataFrame([(name, int(dim)) for name, dim in pivots], "label string, dim int")
@@ -100,7 +127,13 @@ def _balls(homes: DataFrame, pivots: dict) -> dict[tuple[str, int, int], float]:
 def _copied(classes: DataFrame, pivots: dict, balls: dict, radius: float) -> DataFrame:
     """Every class at home, and as a guest in each cell of a smaller number that may hold partners."""
 
+    def bounds(name: str, dim: int) -> tuple[np.ndarray, np.ndarray]:
+        p = pivots[name, dim]
+        apart = np.stack([np.linalg.norm(p - x, axis=1) for x in p])  # of the difference: exact for near pivots too
+        return apart, np.array([balls.get((name, dim, c), -np.inf) for c in range(len(p))])
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known: dict[tuple[str, int], tuple[np.ndarray, np.ndarray]] = {}
         for frame in frames:
             frame = frame.assign(role=np.int32(HOME), home=frame["cell"])
             yield frame
@@ -108,17 +141,19 @@ def _copied(classes: DataFrame, pivots: dict, balls: dict, radius: float) -> Dat
                 if (name, dim) not in pivots:
                     continue
                 p = pivots[name, dim]
-                cos = _matrix(g["unit"]) @ p.T
-                dist = np.sqrt(np.maximum(2 - 2 * cos, 0))
-                apart = np.linalg.norm(p[:, None, :] - p[None, :, :], axis=2)  # of the difference: exact for near pivots too
-                own, cell = g["near"].to_numpy(), g["cell"].to_numpy()
-                ball = np.array([balls.get((name, dim, c), -np.inf) for c in range(len(p))])
-                for q in range(len(p)):
+                if (name, dim) not in known:
+                    known[name, dim] = bounds(name, dim)
+                apart, ball = known[name, dim]
+                for piece in _pieces(g, p):
+                    cos = _matrix(piece["unit"]) @ p.T
+                    dist = np.sqrt(np.maximum(2 - 2 * cos, 0))
+                    own, cell = piece["near"].to_numpy()[:, None], piece["cell"].to_numpy()
                     # the distance to the plane times 2 * apart, so that pivots may coincide
-                    plane = 2 * (cos[np.arange(len(g)), cell] - cos[:, q]) <= 2 * (radius + ROUND) * apart[cell, q] + SLACK
-                    may = (cell > q) & (dist[:, q] <= own + 2 * radius + ROUND) & plane & (dist[:, q] <= ball[q] + radius + ROUND)
-                    if may.any():
-                        yield g[may].assign(cell=np.int32(q), role=np.int32(GUEST))
+                    may = 2 * (cos[np.arange(len(piece)), cell][:, None] - cos) <= 2 * (radius + ROUND) * apart[cell] + SLACK
+                    may &= (cell[:, None] > np.arange(len(p))) & (dist <= own + 2 * radius + ROUND) & (dist <= ball + radius + ROUND)
+                    row, q = np.nonzero(may)
+                    for i in range(0, len(row), FRAME):
+                        yield piece.iloc[row[i : i + FRAME]].assign(cell=q[i : i + FRAME].astype("int32"), role=np.int32(GUEST))
 
     return classes.mapInPandas(run, "cid long, copies long, label string, dim int, unit binary, cell int, near double, role int, home int")
 
@@ -168,8 +203,8 @@ def join_vectors(df: DataFrame, threshold: float, vec_id: str = "vec_id", vector
     key = ["label", "unit"]
     classes = linkable.groupBy(*key).agg(F.coalesce(F.min("vid"), F.lit(-(2**63))).alias("cid"), F.count(F.lit(1)).alias("copies"))
     classes = stored(classes.select("cid", "copies", "label", (F.length("unit") / 8).cast("int").alias("dim"), "unit"), "metric-classes")
-    pivots = _pivots(classes)
     radius = float(np.sqrt(2 - 2 * threshold))
+    pivots = _pivots(classes, radius)
     homes = stored(_assign(classes, pivots), "metric-cells")
     balls = _balls(homes, pivots)
     copied = _copied(homes, pivots, balls, radius)

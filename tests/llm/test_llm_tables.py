@@ -227,6 +227,29 @@ def test_only_labels_with_pivots_send_their_cells_to_the_driver(spark, monkeypat
     assert sorted((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in got) == sorted(linked(rows, 0.5))
 
 
+def test_copies_of_a_vector_do_not_grow_with_structured_data(spark, monkeypatch):
+    """Five times the vectors around the same centres: more pivots are sampled, but none stand near each other."""
+    monkeypatch.setattr(metric_join, "TILE", 50)
+    rng = np.random.default_rng(51)
+    centres = rng.normal(size=(30, 16))
+    radius, stored, copies, pivots = np.sqrt(2 - 2 * 0.93), metric_join.stored, {}, {}
+    counted = lambda df, name: copies.update({name: df.count()}) or stored(df, name)
+    monkeypatch.setattr(metric_join, "stored", counted)
+    sampled = metric_join._pivots
+    monkeypatch.setattr(metric_join, "_pivots", lambda classes, radius: pivots.update(sampled(classes, radius)) or pivots)
+    shares = []
+    for n in (400, 2_000):
+        rows = [(k, (centres[k % 30] + rng.normal(size=16) * 0.1).tolist(), 1) for k in range(n)]
+        got = metric_join.join_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), 0.93).collect()
+        unit = np.array([r[1] for r in rows])
+        unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+        assert {r["vec_id"]: r["n_links"] for r in got} == dict(enumerate(((unit @ unit.T >= 0.93).sum(axis=1) - 1).tolist()))
+        p = pivots["1", 16]
+        assert 1 < len(p) <= 2 * n // 50 and min(np.linalg.norm(p[i] - p[j]) for i in range(len(p)) for j in range(i)) >= radius
+        shares.append(copies["metric-copies"] / n)
+    assert shares[1] < 1.5 * shares[0] and shares[1] < 5, shares
+
+
 def test_audit_compares_every_record_of_an_offset(spark):
     """The record of the smaller digest is corrupt, a null archive is not '', and an offset loses one of two."""
     ours = [("a", 0, 5, "d1"), ("a", 0, 5, "d9"), ("b", 0, 5, "d1"), ("b", 0, 7, "d2"), ("", 3, 1, "x"), (None, 9, 1, "y"), ("c", 1, 1, "z")]
