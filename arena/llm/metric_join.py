@@ -36,6 +36,7 @@ PIVOT_ROWS = 12_000  # of all groups together, shared by size; what the driver h
 PIVOTED = 500  # so many groups of more than a tile, the largest ones, get pivots; any further one is a single cell of tiles
 PRODUCTS = 2_000_000  # of vectors and pivots held at once in a task
 FRAME = 10_000  # guests sent on at once
+HASHES = 2**31  # hashes of vectors run below it
 SLACK = 1e-12  # of products of unit vectors, against rounding
 ROUND = 1e-6  # of distances: the root of a product's rounding
 GUEST, HOME = 1, 0
@@ -82,12 +83,16 @@ def _pivots(classes: DataFrame, radius: float) -> dict[tuple[str, int], np.ndarr
     if not large:
         return {}
     total = sum(r["n"] for r in large)
-    asked = [(r["label"], r["dim"], min(PIVOTS, -(-2 * r["n"] // TILE), -(-PIVOT_ROWS * r["n"] // total))) for r in large]
-    quota = classes.sparkSession.createDataFrame(asked, "label string, dim int, quota long")
+    asked = []
+    for r in large:
+        quota = min(PIVOTS, -(-2 * r["n"] // TILE), -(-PIVOT_ROWS * r["n"] // total))
+        asked.append((r["label"], r["dim"], quota, int(HASHES * min(1, (2 * quota + 100) / r["n"]))))
+    quotas = classes.sparkSession.createDataFrame(asked, "label string, dim int, quota long, below long")
+    # the hash leaves about twice the quota of a group before anything is shuffled
+    sample = classes.join(F.broadcast(quotas), ["label", "dim"]).filter(F.pmod(F.xxhash64("unit"), F.lit(HASHES)) < F.col("below"))
     first = Window.partitionBy("label", "dim").orderBy(F.xxhash64("unit"), "cid")
-    ranked = classes.join(F.broadcast(quota), ["label", "dim"]).withColumn("n", F.row_number().over(first))
-    # the fixed bound prunes in every task before the shuffle
-    chosen = ranked.filter(F.col("n") <= PIVOTS).filter(F.col("n") <= F.col("quota")).orderBy("label", "dim", "n").select("label", "dim", "unit").toPandas()
+    ranked = sample.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= F.col("quota"))
+    chosen = ranked.orderBy("label", "dim", "n").select("label", "dim", "unit").toPandas()
     return {k: _thinned(_matrix(g["unit"]), radius) for k, g in chosen.groupby(["label", "dim"])}
 
 
