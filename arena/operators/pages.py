@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import html as html_lib
+import re
 from collections.abc import Mapping, Sequence
+from html.entities import html5
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -18,15 +20,29 @@ BLOCK_TAGS = ["h1", "h2", "h3", "h4", "h5", "p", "li", "td", "th", "dt", "dd"]
 SKIP_TAGS = ["script", "style", "noscript"]
 
 
+# a reference with its semicolon; without one, HTML reads the old names ("&amp" at the end of a cut text) all the same
+CLOSED = re.compile(r"&(?:#(?:[0-9]+|[xX][0-9a-fA-F]+)|([A-Za-z][A-Za-z0-9]*));")
+
+
 @F.pandas_udf(T.StringType())
 def _unescaped(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: t if t is None else html_lib.unescape(t))
 
 
-def unescape(text: Column) -> Column:
-    """Character references to characters (Spark has no function for it); texts without one stay where they are."""
+@F.pandas_udf(T.StringType())
+def _unescaped_closed(texts: pd.Series) -> pd.Series:
+    known = lambda m: m[0] if m[1] and m[1] + ";" not in html5 else html_lib.unescape(m[0])
+    return texts.map(lambda t: t if t is None else CLOSED.sub(known, t))
+
+
+def unescape(text: Column, closed: bool = False) -> Column:
+    """Character references to characters (Spark has no function for it); texts without one stay where they are.
+
+    ``closed``: only references that end with a semicolon are read; others are text.
+    """
     has = F.contains(text, F.lit("&"))
-    return F.when(has, _unescaped(F.when(has, text))).otherwise(text)
+    run = _unescaped_closed if closed else _unescaped
+    return F.when(has, run(F.when(has, text))).otherwise(text)
 
 
 def attribute(attrs: Column, name: str) -> Column:
@@ -100,11 +116,11 @@ def attribute_rows(pages: DataFrame, tag: str, columns: Mapping[str, tuple[str,
     return rows.select("page_id", "pos", *typed)
 
 
-def block_texts(pages: DataFrame, container: str | None = None, tags: Sequence[str] = BLOCK_TAGS) -> DataFrame:
+def block_texts(pages: DataFrame, container: str | None = None, tags: Sequence[str] = BLOCK_TAGS, closed: bool = False) -> DataFrame:
     """(page_id, blocks array<struct<tag,text>>, content_hash); scripts dropped, white space folded.
 
     A block ends at its closing tag or where a block of another kind opens; one
-    that never ends is no block.
+    that never ends is no block. ``closed``: see ``unescape``.
     """
     body = F.col("html")
     if container is not None:
@@ -117,7 +133,7 @@ def block_texts(pages: DataFrame, container: str | None = None, tags: Sequence[s
     # the opening tag goes with the others; separators survive unescaping, so one call per page does all blocks
     joined = F.array_join(F.transform("_z", lambda z: F.regexp_replace(F.regexp_replace(z, r"<br\s*/?>", "\n"), TAG, "")), CUT)
     staged = pages.select("page_id", clean.alias("_clean")).select("page_id", F.explode(F.array(found)).alias("_z"))
-    staged = staged.select("page_id", "_z", F.explode(F.array(joined)).alias("_j")).select("page_id", "_z", unescape(F.col("_j")).alias("_t"))
+    staged = staged.select("page_id", "_z", F.explode(F.array(joined)).alias("_j")).select("page_id", "_z", unescape(F.col("_j"), closed).alias("_t"))
     texts = F.transform(F.split("_t", CUT), lambda t: F.trim(F.regexp_replace(t, r"\s+", " ")))
     tag = lambda z: F.regexp_extract(z, r"^<(\w+)", 1)
     pairs = F.zip_with("_z", texts, lambda z, t: F.struct(F.when(z.isNotNull(), tag(z)).alias("tag"), t.alias("text")))
