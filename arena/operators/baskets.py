@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arena.functions import text as x
+from arena.functions.parallel import tasks_for
 from arena.functions.rank import earliest_per_key
 from arena.functions.vocab import TOPCUT_SIZES
 
@@ -158,13 +159,16 @@ def with_status(sums: DataFrame) -> DataFrame:
     return sums.select("deck_id", "total", "mapped", ratio.alias("mapped_ratio"), status_of(ratio).alias("mapping_status"))
 
 
-def content_entities(items: DataFrame, prefix: str) -> DataFrame:
+def content_entities(items: DataFrame, prefix: str, tasks: int | None = None) -> DataFrame:
     """basket -> content id: equal (item, copies) sets share one id.
 
     The id is a sum of per-line hashes (order does not matter), so the basket
     is combined map-side and never collected; four independent 64-bit sums
-    (256 bits a line) and the line count make up the key, whose whole digest is kept.
+    (256 bits a line) and the line count make up the key, whose whole digest is kept. ``tasks``: whole baskets go to so
+    many tasks, in one shuffle.
     """
+    if tasks is not None:
+        items = items.repartition(tasks, "deck_id")
     lines = items.groupBy("deck_id", "item").agg(F.sum("count").alias("count"))
     h = lambda salt: F.xxhash64(F.lit(salt), "item", "count").cast("decimal(38,0)")
     parts = [F.sum(h(salt)).cast("string").alias(f"_h{salt}") for salt in range(1, 5)]
@@ -279,12 +283,18 @@ def rule_table(cards: DataFrame, card_groups: DataFrame, decisions: DataFrame |
     )
 
 
-def _ruled_lines(baskets: DataFrame, rules: DataFrame) -> DataFrame:
-    """One row per (basket, card) with the rules of the card; ``known`` is false outside of the catalogue."""
-    lines = baskets.groupBy("deck_id", "card_id").agg(F.sum("count").alias("n"))
+RULES = ["deck_limit", "ace", "radiant", "prism", "groups", "refused"]
+
+
+def _ruled_lines(baskets: DataFrame, rules: DataFrame, tasks: int) -> DataFrame:
+    """One row per (basket, card) with the rules of the card; ``known`` is false outside of the catalogue.
+
+    Whole baskets go to a task, so what is summed by basket afterwards needs no further shuffle.
+    """
     marked = rules.withColumnRenamed("card_id", "_id")
-    joined = lines.join(marked, F.col("card_id") == F.col("_id"), "left")
-    return joined.withColumn("known", F.col("_id").isNotNull()).withColumn("card", F.col("card_id").cast("string")).drop("_id", "card_id")
+    joined = baskets.join(marked, F.col("card_id") == F.col("_id"), "left").withColumn("known", F.col("_id").isNotNull()).drop("_id")
+    lines = joined.repartition(tasks, "deck_id").groupBy("deck_id", "card_id", "known", *RULES).agg(F.sum("count").alias("n"))
+    return lines.withColumn("card", F.col("card_id").cast("string")).drop("card_id")
 
 
 def _part(kind: str | Column, subject: Column, limit: Column | None = None) -> Column:
@@ -312,13 +322,14 @@ def _parts() -> Column:
     )
 
 
-def judged_baskets(baskets: DataFrame, rules: DataFrame, size: int = DECK_SIZE) -> DataFrame:
+def judged_baskets(baskets: DataFrame, rules: DataFrame, size: int = DECK_SIZE, tasks: int | None = None) -> DataFrame:
     """deck_id, kind, total and found, the violations, of every basket (kind '') and what is limited in it.
 
     One pass over the baskets and one aggregate of numbers. ``rules``: the output
     of ``rule_table``. Cards outside the catalogue count for the size only.
+    ``tasks``: by the number of lines, unless given.
     """
-    rows = _ruled_lines(baskets, rules).withColumn("part", F.explode(_parts()))
+    rows = _ruled_lines(baskets, rules, tasks or tasks_for(baskets)).withColumn("part", F.explode(_parts()))
     n, known = F.col("n"), F.col("known")
     summed = rows.groupBy("deck_id", "part.kind", "part.subject", "part.limit").agg(
         F.sum("n").alias("total"), F.count_if(~known).alias("unknown_card"),
@@ -353,12 +364,12 @@ def basket_report(judged: DataFrame) -> DataFrame:
     return sums.withColumn("ok", F.col("violations") == 0)
 
 
-def with_cards(violations: DataFrame, baskets: DataFrame, rules: DataFrame) -> DataFrame:
+def with_cards(violations: DataFrame, baskets: DataFrame, rules: DataFrame, tasks: int | None = None) -> DataFrame:
     """Violations with the involved cards in order. Cards are listed for violating baskets alone."""
-    none = F.array().cast("array<string>")
+    none, tasks = F.array().cast("array<string>"), tasks or tasks_for(baskets)
     # violations grow with the baskets and come in many small rows: merged, not sent whole to every task
-    sizes, wrong = violations.filter(F.col("kind") == "deck_size"), violations.filter(F.col("kind") != "deck_size").hint("merge")
-    lines = _ruled_lines(baskets.join(wrong.select("deck_id"), "deck_id", "left_semi"), rules)
+    sizes, wrong = violations.filter(F.col("kind") == "deck_size"), violations.filter(F.col("kind") != "deck_size")
+    lines = _ruled_lines(baskets, rules, tasks).join(wrong.select("deck_id").repartition(tasks, "deck_id").hint("merge"), "deck_id", "left_semi")
     known = F.col("known")
     place = lambda kind, subject: F.struct(kind.alias("kind"), subject.alias("subject"))
     places = F.concat(
@@ -370,7 +381,8 @@ def with_cards(violations: DataFrame, baskets: DataFrame, rules: DataFrame) -> D
     )
     named = lines.select("deck_id", "card", F.explode(F.array_distinct(places)).alias("p")).select("deck_id", "card", "p.*")
     # every violation but that of the size has a card, so the join keeps them all
-    listed = named.join(wrong, ["deck_id", "kind", "subject"]).groupBy("deck_id", "kind", "subject", "count").agg(
+    keys = ["deck_id", "kind", "subject"]
+    listed = named.repartition(tasks, *keys).join(wrong.repartition(tasks, *keys).hint("merge"), keys).groupBy("deck_id", "kind", "subject", "count").agg(
         F.sort_array(F.collect_list("card")).alias("cards")
     )
     return listed.unionByName(sizes.withColumn("cards", none))
@@ -381,8 +393,8 @@ def rule_violations(baskets: DataFrame, cards: DataFrame, card_groups: DataFrame
 
     ``baskets``: deck_id, card_id, count; see ``rule_table`` for the rest.
     """
-    rules = rule_table(cards, card_groups)
-    return with_cards(counted_violations(judged_baskets(baskets, rules, size)), baskets, rules)
+    rules, tasks = rule_table(cards, card_groups), tasks_for(baskets)
+    return with_cards(counted_violations(judged_baskets(baskets, rules, size, tasks)), baskets, rules, tasks)
 
 
 def legality_report(baskets: DataFrame, cards: DataFrame, card_groups: DataFrame, decisions: DataFrame,
@@ -391,9 +403,9 @@ def legality_report(baskets: DataFrame, cards: DataFrame, card_groups: DataFrame
 
     ``decisions``: card_id, legal, banned of the format on the day.
     """
-    rules = rule_table(cards, card_groups, decisions)
-    judged = judged_baskets(baskets, rules, size)
-    return with_cards(counted_violations(judged), baskets, rules), basket_report(judged)
+    rules, tasks = rule_table(cards, card_groups, decisions), tasks_for(baskets)
+    judged = judged_baskets(baskets, rules, size, tasks)
+    return with_cards(counted_violations(judged), baskets, rules, tasks), basket_report(judged)
 
 
 def rule_distribution(mapped: DataFrame) -> DataFrame:

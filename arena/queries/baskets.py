@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from arena.functions.parallel import tasks_for
 from arena.operators import baskets as k
 from arena.operators import normalise as n
 from arena.queries.normalise import PAIR_SQL, raw_pairings
@@ -90,7 +91,7 @@ def content_entity_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = t.lineitem.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
         F.col("l_orderkey").alias("deck_id"), F.col("p_brand").alias("item"), F.lit(1).alias("count")
     )
-    entities = k.content_entities(items, "mik_moe")
+    entities = k.content_entities(items, "mik_moe", tasks_for(t.lineitem))
     return entities.groupBy("content_id").agg(
         F.min("deck_id").alias("first_deck"), F.max("deck_id").alias("last_deck"), F.count(F.lit(1)).alias("appearances")
     ).drop("content_id")
@@ -253,8 +254,9 @@ def rule_baskets(t: Tables) -> DataFrame:
 def basket_rule_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     baskets, rules = rule_baskets(t), stored_rules(t)
-    counted = stored_rows(k.counted_violations(k.judged_baskets(baskets, rules, 16)), "rule-violations")
-    found = k.with_cards(counted, baskets, rules)
+    tasks = tasks_for(t.lineitem)
+    counted = stored_rows(k.counted_violations(k.judged_baskets(baskets, rules, 16, tasks)), "rule-violations")
+    found = k.with_cards(counted, baskets, rules, tasks)
     return found.withColumnRenamed("count", "copies").withColumn("cards", F.array_join("cards", ","))
 
 
