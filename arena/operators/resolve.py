@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from arena.functions import text as x
 from arena.functions import vocab as v
 from arena.functions.rank import earliest_per_key
+from arena.session import stored_rows
 from arena.sources.tables import lookup
 
 
@@ -433,7 +434,9 @@ def longest_prefix(keys: DataFrame, targets: DataFrame) -> DataFrame:
     128 bits would be an error, not a wrong row.
     """
     longest = targets.agg(F.coalesce(F.max(F.size("path")), F.lit(0))).first()[0]
-    heads = keys.filter(F.size("path") > 0).select("key_id", F.posexplode(F.slice("path", 1, max(longest, 1))).alias("_at", "_word"))
+    # no target tells words beyond the longest one apart: paths are made once, and only their starts are written and moved
+    keys = stored_rows(keys.select("key_id", F.slice("path", 1, max(longest, 1)).alias("path")), "prefix-starts")
+    heads = keys.filter(F.size("path") > 0).select("key_id", F.posexplode("path").alias("_at", "_word"))
     a, b = _marks(F.col("_at"), F.col("_word"))
     so_far = Window.partitionBy("key_id").orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     marked = heads.select("key_id", "_at", a.alias("_a"), b.alias("_b"))

@@ -9,6 +9,7 @@ from arena.operators import baskets as k
 from arena.operators import resolve as r
 from arena.queries.sql import star
 from arena.registry import query
+from arena.session import stored_rows
 from arena.sources import catalogue as c
 from arena.sources import tables as b
 from arena.sources.tables import Tables
@@ -474,8 +475,9 @@ def longest_prefix_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = Tables(spark, sf_dir).documents
     words = F.regexp_extract_all(F.lower("text"), F.lit("([a-z]+)"), F.lit(1))
     keys = docs.select(F.col("doc_id").alias("key_id"), words.alias("path"))
-    cut = lambda mod, size: keys.filter((F.col("key_id") % mod == 0) & (F.size("path") >= size)).select(F.slice("path", 1, size).alias("path"))
-    targets = cut(2, 2).unionByName(cut(5, 1)).unionByName(cut(3, 3)).distinct().withColumn("target_id", F.array_join("path", " "))
+    starts = stored_rows(keys.select("key_id", F.slice("path", 1, 3).alias("path")), "prefix-targets")
+    cut = lambda mod, size: starts.filter((F.col("key_id") % mod == 0) & (F.size("path") >= size)).select(F.slice("path", 1, size).alias("path"))
+    targets = stored_rows(cut(2, 2).unionByName(cut(5, 1)).unionByName(cut(3, 3)).distinct().withColumn("target_id", F.array_join("path", " ")), "prefix-aims")
     return r.longest_prefix(keys, targets).withColumn("depth", F.col("depth").cast("long"))
 
 
