@@ -113,6 +113,7 @@ def assemble(
     appearances = latest_per_key(
         entry_rows.drop("date").withColumn("source", F.lit(source)), ["deck_id", "tournament_id", "rank"], [F.col("basket_id")]
     ).drop("basket_id")
+    appearances = stored_rows(appearances, f"{source}-appearances")
     known = slots if slots is not None else appearances.groupBy("tournament_id").agg(F.count(F.lit(1)).alias("slots"))
     filled = F.col("slots") if slots is not None else F.coalesce("slots", F.lit(0))
     if "topcut_slots" in comps.columns:
@@ -268,8 +269,9 @@ def ingest_cn(
     content: one basket may stand at several ranks and in several competitions.
     ``static`` (tournament_id, topcut_times) fills slots that are not known.
     """
-    comps = with_environment(with_tier(competitions), source, calendar)
-    outcomes = k.topcut_from_columns(static, comps)
+    # competitions and their slots are asked for by many results; whatever makes them is done once
+    comps = stored_rows(with_environment(with_tier(competitions), source, calendar), f"{source}-competitions")
+    outcomes = stored_rows(k.topcut_from_columns(static, comps), f"{source}-slots")
     absent = F.lit(None).cast("string")
     return assemble(
         source, comps, comps.agg(F.count(F.lit(1)).alias("kept")), ranked_late(entries),
@@ -307,6 +309,7 @@ def ingest_site(
         "tournament_id", F.coalesce("name", F.lit("")).alias("name"), F.col("players").alias("participant_count"), "date", F.col("_v.tier").alias("tier"),
         F.when(F.col("_listed").isNull(), "not_listed").otherwise(F.col("_v.reason")).alias("tier_reason"),
     )
+    judged = stored_rows(judged, f"{source}-competitions")
     comps, counts, outside = in_window(with_environment(with_tier(judged), source, calendar), window)
     cut = lookup(F.col("tier"), {tier: limit for tier, _, limit in v.SITE_TIER_RULES})
     early = (

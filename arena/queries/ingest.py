@@ -15,6 +15,7 @@ from arena.queries.legality import SEASONS
 from arena.queries.resolve import CAT
 from arena.queries.sql import star
 from arena.registry import query
+from arena.session import stored_rows
 from arena.sources import catalogue as c
 from arena.sources import tables as b
 from arena.sources.tables import Tables, day_text, lookup
@@ -102,7 +103,7 @@ def ingest_cn(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_orderkey").alias("basket_id"), F.when(F.col("size") <= b.MAX_RESOLVED_SIZE, F.col("card_id")).alias("raw_card_id"),
         F.col("name_full").alias("raw_name"), F.lit(1).alias("count"),
     )
-    ranked = b.appearances(t).drop("source")
+    ranked = stored_rows(b.appearances(t).drop("source"), "cn-ranked")
     entries = ranked.withColumn("rank", F.when(F.col("deck_id") % 13 != 0, F.col("rank"))).withColumnRenamed("deck_id", "basket_id")
     within = [F.count_if(F.col("rank") <= s) for s in (1, 2, 4, 8, 16)]
     static = ranked.groupBy("tournament_id").agg(F.array(*within).alias("topcut_times"))
@@ -167,7 +168,8 @@ def ingest_site(spark: SparkSession, sf_dir: str) -> DataFrame:
     old = last.select("tournament_id", F.lit("World Championships").alias("name"), "players", "date", F.lit(0).alias("seq"))
     index = old.unionByName(last.withColumn("seq", F.lit(1)))
     key = F.col("deck_id")
-    standings = b.appearances(t).select(
+    ranked = stored_rows(b.ranked_entries(t).select("tournament_id", "rank", F.col("o_orderkey").alias("deck_id")), "site-ranked")
+    standings = ranked.select(
         "tournament_id", F.when(key % 13 != 0, F.col("rank")).alias("placing"), F.when(key % 17 != 0, key).alias("basket_id")
     )
     prints = t.part.select(
