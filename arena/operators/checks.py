@@ -206,11 +206,15 @@ def card_failures(
 ) -> DataFrame:
     """All card checks from one pass over the joined rows."""
     wanted = [c for c in checks if c.scope == "card"]
-    rows = with_raw(cards, raw)
-    parents = known_ids.select(F.col("card_id").alias("_pid")).distinct()
-    rows = rows.join(parents, F.col("evolves_from_id") == F.col("_pid"), "left").withColumn("_parent", F.col("_pid").isNotNull())
-    ids = sample_ids(cards, order, splits).select(F.col("card_id").alias("_sid"))
-    rows = rows.join(ids, F.col("card_id") == F.col("_sid"), "left").withColumn("_sampled", F.col("_sid").isNotNull())
+    # unknown parents and the sample are found on ids alone; whole cards are dealt out for them once
+    ids = sample_ids(cards, order, splits).select(F.col("card_id").alias("_sid"), F.lit(None).cast("string").alias("_lost"))
+    linked = cards.filter(F.col("evolves_from_id").isNotNull()).select(F.col("card_id").alias("_sid"), F.col("evolves_from_id").alias("_lost"))
+    lost = linked.join(known_ids.select(F.col("card_id").alias("_lost")), "_lost", "left_anti")
+    marks = ids.withColumn("_in", F.lit(True)).unionByName(lost.withColumn("_in", F.lit(False)))
+    marks = marks.groupBy("_sid").agg(F.max("_in").alias("_in"), F.collect_set("_lost").alias("_lost"))
+    rows = with_raw(cards, raw).join(marks, F.col("card_id") == F.col("_sid"), "left")
+    unknown = F.coalesce(F.array_contains("_lost", F.col("evolves_from_id")), F.lit(False))
+    rows = rows.withColumns({"_parent": ~unknown, "_sampled": F.coalesce("_in", F.lit(False))})
     named = [
         F.transform(c.findings(voc), lambda f: F.struct(F.lit(c.rule).alias("rule"), f["field"].alias("field"), f["stored"].alias("stored"), f["source"].alias("source")))  # noqa: B023,E501
         for c in wanted

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arena.functions import vocab as v
+from arena.functions.parallel import tasks_for
 from arena.operators import baskets as k
 from arena.operators import normalise as n
 from arena.operators import pages as p
@@ -313,9 +314,11 @@ def growth_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = t.lineitem.select(F.col("l_orderkey").alias("deck_id"), "l_partkey", F.col("l_quantity").cast("long").alias("count"))
     names = t.part.select("p_partkey", F.concat_ws(" ", "p_name", F.col("p_partkey").cast("string")).alias("raw_name"))
     known = base.select("card_id", F.col("number").cast("long").alias("_num"), n.stat_scope(F.col("card_type"), F.col("trainer_subtype")).alias("_scope"))
-    items = lines.join(names, F.col("l_partkey") == F.col("p_partkey")).join(known, F.col("l_partkey") == F.col("_num"), "left").select(
+    # lines meet one table of parts, not names and cards in turn, and are not sorted for it; whole baskets then go to tasks by their number
+    named = names.join(known, F.col("p_partkey") == F.col("_num"), "left").hint("shuffle_hash")
+    items = lines.join(named, F.col("l_partkey") == F.col("p_partkey")).select(
         "deck_id", "card_id", "raw_name", "count", F.coalesce("_scope", F.lit("other")).alias("stat_scope")
-    )
+    ).repartition(tasks_for(t.lineitem), "deck_id")
     closed = base.filter(F.col("number").cast("long") % 9 == 0).select(F.lit("closed").alias("snapshot_id"), "card_id", F.lit("stored").alias("target"))
     stale = base.filter(F.col("number").cast("long") % 7 == 0).select(F.lit("open").alias("snapshot_id"), "card_id", F.lit("stale").alias("target"))
     store = gw.Store(spark, root)
@@ -325,8 +328,8 @@ def growth_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     products = raw.groupBy("set_id").agg(F.count_if((F.col("set_id") != "Brand#8") | (num % 4 != 0)).alias("n"))
     releases = t.part.groupBy(F.col("p_brand").alias("set_id")).agg(F.min(c.release_date(F.col("p_partkey"))).alias("release_date"))
     snapshots = spark.createDataFrame([("open", None), ("closed", date(2001, 1, 1))], "snapshot_id string, effective_to date")
-    named = t.part.filter(F.col("p_size") > 45).select(F.col("p_name").alias("group_key")).distinct()
-    whitelists = named.select(F.explode(F.array(F.lit("open"), F.lit("closed"))).alias("snapshot_id"), "group_key")
+    listed = t.part.filter(F.col("p_size") > 45).select(F.col("p_name").alias("group_key")).distinct()
+    whitelists = listed.select(F.explode(F.array(F.lit("open"), F.lit("closed"))).alias("snapshot_id"), "group_key")
     grown = gw.grow(store, products, raw, releases, snapshots, whitelists, e.next_data_version("v20010801.1", date(2001, 8, 1)))
     told = store.manifest().filter(F.col("version") == store.version()).drop("version", "activated")
     sizes = {"cards": store.cards().agg(F.count(F.lit(1))).scalar(), "override_rows": store.overrides().agg(F.count(F.lit(1))).scalar()}

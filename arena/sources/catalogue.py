@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from arena.functions.parallel import tasks_for
 from arena.sources.tables import Tables, lookup
 
 EPOCH = "1995-01-01"
+CARDS_PER_TASK = 50_000  # documents that one task writes and parses; a part is a few bytes on disk and seconds of work by the hundred thousand
 
 
 def _mark() -> Column:
@@ -92,7 +94,9 @@ def growing_cards(t: Tables) -> DataFrame:
         F.when(bad(223) & (kind != "PROMO"), "x").otherwise(F.coalesce(_mark(), F.lit(""))).alias("regulationMark"),
         F.concat_ws(" ", "p_name", key.cast("string")).alias("nameEn"), F.when(pokemon, attr).alias("pokemonAttr"),
     )
-    return t.part.select(F.col("p_brand").alias("set_id"), key.cast("string").alias("number"), key.alias("num"), F.to_json(record).alias("body"))
+    # a file of parts is too small to be read by many tasks
+    part = t.part.repartition(tasks_for(t.part, CARDS_PER_TASK), "p_partkey")
+    return part.select(F.col("p_brand").alias("set_id"), key.cast("string").alias("number"), key.alias("num"), F.to_json(record).alias("body"))
 
 
 def raw_cards(t: Tables) -> DataFrame:

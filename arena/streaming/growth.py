@@ -24,6 +24,7 @@ from arena.operators import legality as lg
 from arena.operators import normalise as n
 from arena.operators import quality as q
 from arena.operators import resolve as r
+from arena.session import stored_rows
 from arena.streaming.refresh import detect_increments, reingest
 
 MANIFEST = "version long, data_version string, activated long, attempted long, resolved long, decks_affected long, decks_upgraded long"
@@ -124,7 +125,8 @@ def drafts(raw: DataFrame, known: DataFrame | None = None) -> DataFrame:
 
     Parents are looked for in the drafts' own sets, then in all drafts and ``known`` cards.
     """
-    cards = ordered_cards(raw)
+    # every step of the lookup reads the cards: the records are normalised once
+    cards = stored_rows(ordered_cards(raw), "drafts")
     lookup = lambda df, parent: df.select(
         "card_id", "set_id", "name_full", F.when(F.col("card_type") == "pokemon", F.col("species")).alias("species"), parent.alias("parent_name")
     )
@@ -217,11 +219,13 @@ def grow(
 
     gained = mine.join(published.select("card_id"), "card_id", "left_anti").join(releases, "set_id", "left")
     items = store.items()
-    resolved = store.note(run, "resolved", resolved_misses(items, gained))
-    rows, status = k.remap_misses(items, resolved)
-    changed = rows.join(resolved.select("deck_id").distinct(), "deck_id", "left_semi")
+    misses = store.note(run, "misses", items.filter(F.col("card_id").isNull()).select("deck_id", "card_id", "raw_name"))
+    resolved = store.note(run, "resolved", resolved_misses(misses, gained))
+    # a basket without a hit keeps its items and its status: all items are dealt out once, and only baskets with a hit go on
+    touched = store.note(run, "touched", items.join(resolved.select("deck_id").distinct(), "deck_id", "left_semi"))
+    changed, status = k.remap_misses(touched, resolved)
     stats = status.agg(
-        F.sum("open_before").alias("attempted"), F.sum("resolved").alias("resolved"), F.count_if(F.col("resolved") > 0).alias("affected"),
+        F.sum("resolved").alias("resolved"), F.count_if(F.col("resolved") > 0).alias("affected"),
         F.count_if((F.col("status_before") != "full") & (F.col("mapping_status") == "full")).alias("upgraded"),
     ).first()
 
@@ -229,6 +233,6 @@ def grow(
     latest = lg.latest_print_overrides(dated, dated.select("card_id", F.col("name_full").alias("group_key")))
     overrides = lg.refresh_overrides(snapshots, whitelists, store.overrides(), latest)
     version = store.version() + 1
-    row = (data_version, active.count(), *[int(stats[c] or 0) for c in ("attempted", "resolved", "affected", "upgraded")])
+    row = (data_version, active.count(), misses.count(), *[int(stats[c] or 0) for c in ("resolved", "affected", "upgraded")])
     store.publish(version, after_pointers, overrides, row, changed.select(*[f.split()[0] for f in ITEMS.split(", ")]))
     return Growth(sets, version)
